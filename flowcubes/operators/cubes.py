@@ -136,7 +136,7 @@ def all_cubes_one_pass(orders: DataFrame, tables: Sequence[str] | None = None) -
             if d not in dims:
                 dims.append(d)
     sets = [["day", *schemas.CUBE_DIMENSIONS[t]] for t in tables]
-    gid = F.grouping_id(*dims) if dims else F.lit(0)
+    gid = F.grouping_id()  # over (day, *dims); day is always grouped (bit 0)
     label = None
     for t in tables:
         cond = F.col("_gid") == F.lit(_gid(dims, schemas.CUBE_DIMENSIONS[t]))

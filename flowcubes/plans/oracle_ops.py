@@ -2,6 +2,326 @@
 
 from __future__ import annotations
 
+from .. import schemas
+from ..sources import binding
+from . import registry, registry_ops
+from .oracle import CUBES, FAILED, FF, FILLED, STABLE, XC, with_base
+
+VIEW_COLUMNS = (
+    "status, quote_id, src_chain_id, dst_chain_id, input_asset_chain, input_asset_kind, "
+    "input_asset_address, output_asset_chain, output_asset_kind, output_asset_address, "
+    "quote_input_units, quote_output_units, actual_input_units, actual_output_units, "
+    "actual_protocol_fee_units, actual_integrator_fee_units, integrator_fee_pips, protocol_fee_pips, "
+    "resolver_id, src_trader_chain, src_trader_address, dst_trader_chain, dst_trader_address, "
+    "src_resolver_chain, src_resolver_address, dst_resolver_chain, dst_resolver_address, "
+    "integrator_chain, integrator_address, quote_request_time, quote_time, order_create_time, "
+    "order_finalize_time, t_quote, t_decide, t_settle, t_total, day, finalized_usd, filled_usd, "
+    "protocol_fee_usd, integrator_fee_usd"
+)
+
+
+def _metrics_out(table: str) -> str:
+    out = []
+    for m in schemas.cube_metrics(table):
+        kind = "BIGINT" if m.endswith("_count") else "DOUBLE"
+        out.append(f"CAST({m} AS {kind}) AS {m}")
+    return ", ".join(out)
+
+
+def _cube_name(table: str) -> str:
+    return table.removeprefix("daily_")
+
+
+def _sql_cube(table: str) -> str:
+    dims = ", ".join(("day",) + schemas.CUBE_DIMENSIONS[table])
+    return with_base(f"x AS (SELECT 1)\nSELECT {dims}, {_metrics_out(table)} FROM {_cube_name(table)}",
+                     (_cube_name(table),))
+
+
+_METRICS_SQL = """
+    sum(finalized_usd) AS finalized_orders_volume_usd,
+    sum(filled_usd) AS filled_orders_volume_usd,
+    sum(protocol_fee_usd) AS protocol_fees_usd,
+    sum(integrator_fee_usd) AS integrator_fees_usd,
+    count(*) AS finalized_orders_count,
+    count(DISTINCT src_trader_address) AS unique_trader_wallets_count"""
+
+
+def _sql_alltime() -> str:
+    dims = ", ".join(schemas.CUBE_DIMENSIONS["daily_chainpair"])
+    return with_base(f"""
+c AS (SELECT {dims}, {_METRICS_SQL} FROM ov GROUP BY {dims})
+SELECT {dims}, {_metrics_out("daily_chainpair")} FROM c""")
+
+
+def _sql_hourly() -> str:
+    dims = ", ".join(schemas.CUBE_DIMENSIONS["daily_chainpair"])
+    return with_base(f"""
+c AS (
+  SELECT date_trunc('hour', make_timestamp(CAST(order_create_time * 1000000 AS BIGINT))) AS hour, {dims},
+         {_METRICS_SQL}
+  FROM ov GROUP BY ALL
+)
+SELECT hour, {dims}, {_metrics_out("daily_chainpair")} FROM c""")
+
+
+def _sql_rollup_total() -> str:
+    sums = ", ".join(
+        f"CAST(sum({m}) AS {'BIGINT' if m.endswith('_count') else 'DOUBLE'}) AS {m}"
+        for m in schemas.ADDITIVE_METRICS
+    )
+    return with_base(f"x AS (SELECT 1)\nSELECT day, {sums} FROM chainpair GROUP BY day", ("chainpair",))
+
+
+def _sql_grouping_sets() -> str:
+    dims: list[str] = []
+    for t in schemas.CUBE_DIMENSIONS:
+        for d in schemas.CUBE_DIMENSIONS[t]:
+            if d not in dims:
+                dims.append(d)
+    parts = []
+    for t, own in schemas.CUBE_DIMENSIONS.items():
+        cols = ", ".join(d if d in own else f"CAST(NULL AS VARCHAR) AS {d}" for d in dims)
+        parts.append(f"SELECT '{t}' AS cube, day, {cols}, {_metrics_out('daily_total')} FROM {_cube_name(t)}")
+    return with_base("x AS (SELECT 1)\n" + "\nUNION ALL\n".join(parts), tuple(CUBES))
+
+
+_TON_RAW = "'0:' || substr(upper(hex(from_base64(replace(replace({a}, '-', '+'), '_', '/')))), 5, 64)"
+
+
+def _resolved(src: str) -> str:
+    return f"""
+  LEFT JOIN evm_tokens t ON t.blockchain = {src}.input_asset_chain
+        AND t.contract_address = try(unhex(regexp_replace({src}.input_asset_address, '^0x', '')))
+  LEFT JOIN jettons jt ON jt.address = CASE WHEN {src}.input_asset_chain = 'ton'
+        AND {src}.input_asset_address IS NOT NULL THEN {_TON_RAW.format(a=src + '.input_asset_address')} END"""
+
+
+def _sql_latest_revision() -> str:
+    return with_base("x AS (SELECT 1)\nSELECT address, symbol, decimals FROM jettons")
+
+
+def _sql_ton_raw() -> str:
+    return with_base(f"""
+a AS (SELECT DISTINCT input_asset_address AS address FROM ov
+      WHERE input_asset_chain = 'ton' AND input_asset_address IS NOT NULL)
+SELECT address, {_TON_RAW.format(a='address')} AS raw_address FROM a""")
+
+
+def _sql_evm_key() -> str:
+    return with_base("""
+a AS (SELECT DISTINCT input_asset_address AS address FROM ov
+      WHERE input_asset_chain <> 'ton' AND input_asset_address IS NOT NULL)
+SELECT address, hex(try(unhex(regexp_replace(address, '^0x', '')))) AS key_hex FROM a""")
+
+
+def _sql_resolution() -> str:
+    return with_base(f"""
+a AS (SELECT DISTINCT input_asset_chain, input_asset_kind, input_asset_address FROM ov)
+SELECT a.input_asset_chain, a.input_asset_kind, a.input_asset_address,
+       coalesce(t.symbol, jt.symbol) AS symbol, CAST(coalesce(t.decimals, jt.decimals) AS INTEGER) AS decimals
+FROM a {_resolved('a')}""")
+
+
+def _priced_cte() -> str:
+    return f"""
+p0 AS (
+  SELECT o.actual_input_units, coalesce(t.symbol, jt.symbol) AS symbol,
+         coalesce(t.decimals, jt.decimals) AS decimals
+  FROM ov o {_resolved('o')}
+  WHERE o.{FF} AND o.{XC}
+),
+priced AS (
+  SELECT *, CASE WHEN symbol IN ({STABLE})
+                 THEN try_cast(actual_input_units AS DOUBLE) / power(10.0, decimals) END AS usd
+  FROM p0
+)"""
+
+
+def _sql_stable_pricing() -> str:
+    return with_base(_priced_cte() + """,
+per AS (
+  SELECT symbol, decimals, count(*) AS n, sum(try_cast(actual_input_units AS DECIMAL(38,0))) AS u
+  FROM priced WHERE usd IS NOT NULL GROUP BY 1, 2
+)
+SELECT symbol, CAST(sum(n) AS BIGINT) AS orders, sum(u::DOUBLE / power(10.0, decimals)) AS volume_usd
+FROM per GROUP BY symbol""")
+
+
+def _sql_reconciliation() -> str:
+    return with_base(_priced_cte() + f""",
+per AS (
+  SELECT decimals, count(*) AS n, sum(try_cast(actual_input_units AS DECIMAL(38,0))) AS u
+  FROM priced WHERE usd IS NOT NULL GROUP BY 1
+),
+p AS (SELECT CAST(sum(n) AS BIGINT) AS priced_trades, sum(u::DOUBLE / power(10.0, decimals)) AS priced_usd FROM per),
+n AS (SELECT count(*) AS trades FROM priced),
+c AS (SELECT sum(filled_orders_volume_usd)::DOUBLE AS cube_usd FROM chainpair WHERE {XC})
+SELECT priced_trades, trades, priced_usd, cube_usd, (cube_usd - priced_usd) / nullif(cube_usd, 0) AS gap
+FROM p, n, c""", ("chainpair",))
+
+
+def _sql_top_resolvers() -> str:
+    k = registry_ops.TOP_RESOLVERS
+    return with_base(f"""
+per AS (SELECT resolver_id, sum(filled_orders_volume_usd) AS usd FROM resolver WHERE {XC} GROUP BY 1),
+top AS (SELECT resolver_id FROM per ORDER BY usd DESC, resolver_id LIMIT {k})
+SELECT CASE WHEN resolver_id IN (SELECT resolver_id FROM top) THEN resolver_id ELSE 'other' END AS resolver_id,
+       sum(usd)::DOUBLE AS volume_usd
+FROM per GROUP BY 1""", ("resolver",))
+
+
+def _sql_labels() -> str:
+    return with_base("""
+r AS (SELECT DISTINCT resolver_id AS value FROM ov),
+i AS (SELECT DISTINCT integrator_address AS value FROM ov WHERE integrator_address IS NOT NULL)
+SELECT 'resolver' AS kind, value, substr(value, 1, 10) || '…' AS label FROM r
+UNION ALL
+SELECT 'integrator', value, substr(value, 1, 6) || '…' || substr(value, -4) FROM i""")
+
+
+def _sql_health() -> str:
+    parts = []
+    for t in schemas.CUBE_DIMENSIONS:
+        c = _cube_name(t)
+        for col in schemas.required_columns(t):
+            parts.append(f"SELECT '{t}' AS \"table\", (SELECT count(*) FROM {c}) AS rows, "
+                         f"'{col}' AS \"column\", CAST(0 AS BIGINT) AS null_rows")
+    for col in schemas.required_columns(schemas.ORDERS_TABLE):
+        parts.append(f"SELECT 'orders', (SELECT count(*) FROM ov), '{col}', CAST(0 AS BIGINT)")
+    return with_base("x AS (SELECT 1)\n" + "\nUNION ALL\n".join(parts), tuple(CUBES))
+
+
+def _sql_day_gaps() -> str:
+    return with_base("""
+d AS (SELECT DISTINCT day FROM total WHERE day IS NOT NULL),
+g AS (SELECT lag(day) OVER (ORDER BY day) AS prev_day, day FROM d)
+SELECT prev_day, day, CAST(day - prev_day AS INTEGER) AS gap FROM g WHERE day - prev_day > 2""", ("total",))
+
+
+def _sql_cube_mismatch() -> str:
+    return with_base(f"""
+fo AS (SELECT day, src_chain_id, dst_chain_id, status, count(*) AS order_rows FROM ov GROUP BY ALL),
+fc AS (SELECT day, src_chain_id, dst_chain_id, status, CAST(sum(finalized_orders_count) AS BIGINT) AS cube_count
+       FROM chainpair GROUP BY ALL)
+SELECT coalesce(fc.day, fo.day) AS day, coalesce(fc.src_chain_id, fo.src_chain_id) AS src_chain_id,
+       coalesce(fc.dst_chain_id, fo.dst_chain_id) AS dst_chain_id, coalesce(fc.status, fo.status) AS status,
+       cube_count, order_rows
+FROM fc FULL JOIN fo ON fc.day = fo.day AND fc.src_chain_id = fo.src_chain_id
+     AND fc.dst_chain_id = fo.dst_chain_id AND fc.status = fo.status
+WHERE NOT coalesce(cube_count = order_rows, false)""", ("chainpair",))
+
+
+def _sql_unknown_status() -> str:
+    return with_base(f"""
+x AS (SELECT 1)
+SELECT status, count(*) AS orders FROM ov
+WHERE status IS NULL OR status NOT IN ('{FILLED}', '{FAILED}') GROUP BY status""")
+
+
+def _sql_failed_units() -> str:
+    return with_base(f"""
+x AS (SELECT 1)
+SELECT count(*) AS orders FROM ov
+WHERE status = '{FAILED}'
+  AND (coalesce(try_cast(actual_input_units AS DECIMAL(38,0)) <> 0, false)
+    OR coalesce(try_cast(actual_output_units AS DECIMAL(38,0)) <> 0, false))""")
+
+
+def _sql_monthly() -> str:
+    return with_base(f"""
+x AS (SELECT 1)
+SELECT CAST(date_trunc('month', day) AS DATE) AS month,
+       CAST(count_if(status = '{FILLED}') AS BIGINT) AS filled,
+       CAST(count_if(status = '{FAILED}') AS BIGINT) AS failed
+FROM ov GROUP BY 1""")
+
+
+def _sql_latency() -> str:
+    return with_base("x AS (SELECT 1)\nSELECT quote_id, resolver_id, t_quote, t_decide, t_settle, t_total FROM ov")
+
+
+def _sql_seek() -> str:
+    ts = registry_ops.epoch(registry_ops.SEEK_FROM) * 1_000_000_000
+    return with_base(f"x AS (SELECT 1)\nSELECT count(*) AS orders, min(lt_num) AS first_lt FROM ov WHERE lt_num >= {ts}")
+
+
+def _sql_dup_lt() -> str:
+    return with_base("""
+x AS (SELECT 1)
+SELECT CAST(lt_num AS VARCHAR) AS lt, count(*) AS copies FROM ov GROUP BY lt_num HAVING count(*) > 1""")
+
+
+def _sql_created_between() -> str:
+    a, b = registry_ops.epoch(registry_ops.CREATED_FROM), registry_ops.epoch(registry_ops.CREATED_TO)
+    return with_base(f"""
+x AS (SELECT 1)
+SELECT status, count(*) AS orders FROM ov
+WHERE order_create_time >= {a}.0 AND order_create_time < {b}.0 GROUP BY status""")
+
+
+def _sql_coverage() -> str:
+    a, b = registry_ops.epoch(registry_ops.BACKFILL_FROM), registry_ops.epoch(registry_ops.BACKFILL_TO)
+    step = 30 * 86400
+    n = max(0, -(-(b - a) // step))
+    return with_base(f"""
+w AS (SELECT CAST(i AS BIGINT) AS window FROM range(0, {n}) t(i)),
+c AS (
+  SELECT CAST(floor((order_create_time - {a}.0) / {float(step)}) AS BIGINT) AS window, count(*) AS orders
+  FROM ov WHERE order_create_time >= {a}.0 AND order_create_time < {b}.0 GROUP BY 1
+)
+SELECT w.window, {a} + w.window * {step} AS from_ts, least({a} + (w.window + 1) * {step}, {b}) AS to_ts,
+       CAST(coalesce(c.orders, 0) AS BIGINT) AS orders
+FROM w LEFT JOIN c ON c.window = w.window""")
+
+
+def _sql_dedupe() -> str:
+    return with_base(f"x AS (SELECT 1)\nSELECT count(*) AS orders FROM (SELECT DISTINCT {VIEW_COLUMNS} FROM ov)")
+
+
+def _sql_recent() -> str:
+    a, d = registry_ops.RETENTION_AS_OF, registry_ops.RETENTION_DAYS
+    return with_base(f"""
+x AS (SELECT 1)
+SELECT day, count(*) AS orders FROM ov
+WHERE day >= DATE '{a}' - {d} AND day < DATE '{a}' GROUP BY day""")
+
+
+def _sql_history_recent() -> str:
+    return with_base(f"x AS (SELECT 1)\nSELECT day, {_metrics_out('daily_total')} FROM total", ("total",))
+
 
 def operator_sql() -> dict[str, str]:
-    return {}
+    out = {f"cube_{t}": _sql_cube(t) for t in schemas.CUBE_DIMENSIONS}
+    out.update({
+        "cube_alltime_chainpair": _sql_alltime(),
+        "cube_hourly_chainpair": _sql_hourly(),
+        "cube_rollup_total": _sql_rollup_total(),
+        "cube_grouping_sets": _sql_grouping_sets(),
+        "token_latest_revision": _sql_latest_revision(),
+        "token_ton_raw": _sql_ton_raw(),
+        "token_evm_key": _sql_evm_key(),
+        "token_resolution": _sql_resolution(),
+        "token_stable_pricing": _sql_stable_pricing(),
+        "token_pricing_reconciliation": _sql_reconciliation(),
+        "token_top_k": _sql_top_resolvers(),
+        "token_labels": _sql_labels(),
+        "quality_table_health": _sql_health(),
+        "quality_day_gaps": _sql_day_gaps(),
+        "quality_cube_reconciliation": _sql_cube_mismatch(),
+        "quality_status_domain": _sql_unknown_status(),
+        "quality_failed_units": _sql_failed_units(),
+        "quality_monthly_status": _sql_monthly(),
+        "order_latency": _sql_latency(),
+        "order_lt_seek": _sql_seek(),
+        "order_lt_duplicates": _sql_dup_lt(),
+        "order_created_between": _sql_created_between(),
+        "order_backfill_coverage": _sql_coverage(),
+        "order_dedupe": _sql_dedupe(),
+        "retention_recent_orders": _sql_recent(),
+        "retention_history_recent": _sql_history_recent(),
+    })
+    return out
+
+
+__all__ = ["operator_sql", "binding", "registry"]

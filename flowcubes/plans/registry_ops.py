@@ -3,6 +3,233 @@ retention), each over the whole stand-in tables."""
 
 from __future__ import annotations
 
+import calendar
+import datetime as dt
 
-def operator_queries() -> dict:
-    return {}
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .. import schemas
+from ..functions.address import evm_key, ton_raw, truncate_label
+from ..operators import cubes, ingest, pricing, publish, quality
+from ..sources import binding
+from .common import cross_chain, settled, top_k_with_other
+from .registry import RUN_TS, Inputs, Query, _q
+
+# Parameters of the registered operator checks.
+SEEK_FROM = "1999-01-01"
+CREATED_FROM, CREATED_TO = "1996-01-01", "1997-01-01"
+BACKFILL_FROM, BACKFILL_TO = "1995-01-01", "2001-12-31"
+RETENTION_AS_OF, RETENTION_DAYS = "2001-08-01", 90
+TOP_RESOLVERS = 5
+
+
+def epoch(day: str) -> int:
+    return calendar.timegm(dt.date.fromisoformat(day).timetuple())
+
+
+def published_metrics(df: DataFrame, table: str) -> list[Column]:
+    out = []
+    for m in schemas.cube_metrics(table):
+        kind = "bigint" if m.endswith("_count") else "double"
+        out.append(F.col(m).cast(kind).alias(m))
+    return out
+
+
+def _cube(table: str, grouping: str | None = cubes.DAY):
+    def build(i: Inputs) -> DataFrame:
+        c = cubes.named_cube(i.orders(), table, grouping)
+        keys = {cubes.DAY: [F.col("day")], cubes.HOUR: [F.col("hour").cast("timestamp_ntz").alias("hour")],
+                None: []}[grouping]
+        return c.select(*keys, *schemas.CUBE_DIMENSIONS[table], *published_metrics(c, table))
+
+    return build
+
+
+def _rollup_total(i: Inputs) -> DataFrame:
+    r = cubes.rollup(i.cube("daily_chainpair"), ["day"])
+    return r.select("day", *[F.col(m).cast("bigint" if m.endswith("_count") else "double").alias(m)
+                             for m in schemas.ADDITIVE_METRICS])
+
+
+def _grouping_sets(i: Inputs) -> DataFrame:
+    one = cubes.all_cubes_one_pass(i.orders())
+    return one.select(
+        *[c for c in one.columns if c not in schemas.METRICS],
+        *published_metrics(one, "daily_total"),
+    )
+
+
+def _stamped_tables(i: Inputs) -> dict[str, DataFrame]:
+    orders = i.orders()
+    tables = {t: ingest.stamp_run(cubes.named_cube(orders, t), RUN_TS) for t in schemas.CUBE_DIMENSIONS}
+    tables[schemas.ORDERS_TABLE] = ingest.stamp_run(orders, RUN_TS)
+    return tables
+
+
+def _latest_revision(i: Inputs) -> DataFrame:
+    return pricing.latest_revision(i.jettons())
+
+
+def _ton_raw(i: Inputs) -> DataFrame:
+    o = i.orders().where(F.col("input_asset_chain") == "ton").select(
+        F.col("input_asset_address").alias("address")).where(F.col("address").isNotNull()).distinct()
+    return o.select("address", ton_raw(F.col("address")).alias("raw_address"))
+
+
+def _evm_key(i: Inputs) -> DataFrame:
+    o = i.orders().where(F.col("input_asset_chain") != "ton").select(
+        F.col("input_asset_address").alias("address")).where(F.col("address").isNotNull()).distinct()
+    return o.select("address", F.hex(evm_key(F.col("address"))).alias("key_hex"))
+
+
+def _resolution(i: Inputs) -> DataFrame:
+    a = i.orders().select("input_asset_chain", "input_asset_kind", "input_asset_address").distinct()
+    r = pricing.resolve_tokens(a, "input_asset_chain", "input_asset_address", i.evm(), i.jettons())
+    return r.select("input_asset_chain", "input_asset_kind", "input_asset_address",
+                    pricing.symbol().alias("symbol"), pricing.decimals().cast("int").alias("decimals"))
+
+
+def _exact_usd_by(df: DataFrame, keys: list[str], units: str = "actual_input_units") -> DataFrame:
+    """Exact dollar sums: integer units summed per precision, scaled once."""
+    per = df.groupBy(*keys, "decimals").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(F.col(units).try_cast("decimal(38,0)")).alias("_u"))
+    return per.groupBy(*keys).agg(
+        F.sum("_n").cast("bigint").alias("orders"),
+        F.sum(F.col("_u").cast("double") / F.pow(F.lit(10.0), F.col("decimals"))).alias("volume_usd"),
+    )
+
+
+def _stable_pricing(i: Inputs) -> DataFrame:
+    priced = pricing.price_orders(i.orders().where(settled() & cross_chain()), i.evm(), i.jettons(),
+                                  binding.stable_symbols()).where(F.col("usd").isNotNull())
+    return _exact_usd_by(priced, ["symbol"])
+
+
+def _reconciliation(i: Inputs) -> DataFrame:
+    priced = pricing.price_orders(i.orders().where(settled() & cross_chain()), i.evm(), i.jettons(),
+                                  binding.stable_symbols())
+    p = _exact_usd_by(priced.where(F.col("usd").isNotNull()).withColumn("_k", F.lit(1)), ["_k"])
+    n = priced.agg(F.count(F.lit(1)).alias("trades"))
+    c = i.cube("daily_chainpair").where(cross_chain()).agg(
+        F.sum("filled_orders_volume_usd").cast("double").alias("cube_usd"))
+    from .common import one_row
+
+    both = one_row(p.select(F.col("orders").alias("priced_trades"), F.col("volume_usd").alias("priced_usd")), n, c)
+    return both.select(
+        "priced_trades", "trades", "priced_usd", "cube_usd",
+        ((F.col("cube_usd") - F.col("priced_usd")) / F.nullif(F.col("cube_usd"), F.lit(0.0))).alias("gap"),
+    )
+
+
+def _top_resolvers(i: Inputs) -> DataFrame:
+    per = i.cube("daily_resolver").where(cross_chain()).groupBy("resolver_id").agg(
+        F.sum("filled_orders_volume_usd").alias("usd"))
+    pooled = top_k_with_other(per, "resolver_id", "usd", TOP_RESOLVERS, "other")
+    return pooled.groupBy("resolver_id").agg(F.sum("usd").cast("double").alias("volume_usd"))
+
+
+def _labels(i: Inputs) -> DataFrame:
+    o = i.orders()
+    res = o.select(F.col("resolver_id").alias("value")).distinct().select(
+        F.lit("resolver").alias("kind"), "value", truncate_label(F.col("value"), 10).alias("label"))
+    integ = o.select(F.col("integrator_address").alias("value")).where(F.col("value").isNotNull()).distinct().select(
+        F.lit("integrator").alias("kind"), "value", truncate_label(F.col("value"), 6, 4).alias("label"))
+    return res.unionByName(integ)
+
+
+def _health(i: Inputs) -> DataFrame:
+    return quality.table_health(_stamped_tables(i))
+
+
+def _day_gaps(i: Inputs) -> DataFrame:
+    return quality.day_gaps(i.cube("daily_total"))
+
+
+def _cube_mismatch(i: Inputs) -> DataFrame:
+    return quality.cube_order_mismatch(i.cube("daily_chainpair"), i.orders())
+
+
+def _unknown_status(i: Inputs) -> DataFrame:
+    return quality.unknown_statuses(i.orders())
+
+
+def _failed_units(i: Inputs) -> DataFrame:
+    return quality.failed_with_units(i.orders()).agg(F.count(F.lit(1)).alias("orders"))
+
+
+def _monthly(i: Inputs) -> DataFrame:
+    return quality.monthly_status_counts(i.orders())
+
+
+def _latency(i: Inputs) -> DataFrame:
+    return i.orders().select("quote_id", "resolver_id", "t_quote", "t_decide", "t_settle", "t_total")
+
+
+def _seek(i: Inputs) -> DataFrame:
+    return ingest.seek_lt(i.orders(), epoch(SEEK_FROM)).agg(
+        F.count(F.lit(1)).alias("orders"), F.min("lt_num").alias("first_lt"))
+
+
+def _dup_lt(i: Inputs) -> DataFrame:
+    return i.orders().groupBy("lt").agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
+
+
+def _created_between(i: Inputs) -> DataFrame:
+    return ingest.created_between(i.orders(), epoch(CREATED_FROM), epoch(CREATED_TO)).groupBy("status").agg(
+        F.count(F.lit(1)).alias("orders"))
+
+
+def _coverage(i: Inputs) -> DataFrame:
+    return ingest.window_coverage(i.spark, i.orders(), epoch(BACKFILL_FROM), epoch(BACKFILL_TO))
+
+
+def _dedupe(i: Inputs) -> DataFrame:
+    o = i.orders().drop("lt", "lt_num")
+    return ingest.dedupe(o, key=None).agg(F.count(F.lit(1)).alias("orders"))
+
+
+def _recent(i: Inputs) -> DataFrame:
+    return publish.trim_recent(i.orders(), RETENTION_AS_OF, RETENTION_DAYS).groupBy("day").agg(
+        F.count(F.lit(1)).alias("orders"))
+
+
+def _history_recent(i: Inputs) -> DataFrame:
+    history, recent = publish.split_history(i.orders(), RETENTION_AS_OF, RETENTION_DAYS)
+    both = cubes.daily_total(history).unionByName(cubes.daily_total(recent))
+    return both.select("day", *published_metrics(both, "daily_total"))
+
+
+def operator_queries() -> dict[str, Query]:
+    out: dict[str, Query] = {}
+    for table in schemas.CUBE_DIMENSIONS:
+        out[f"cube_{table}"] = _q(_cube(table))
+    out.update({
+        "cube_alltime_chainpair": _q(_cube("daily_chainpair", None)),
+        "cube_hourly_chainpair": _q(_cube("daily_chainpair", cubes.HOUR)),
+        "cube_rollup_total": _q(_rollup_total),
+        "cube_grouping_sets": _q(_grouping_sets),
+        "token_latest_revision": _q(_latest_revision),
+        "token_ton_raw": _q(_ton_raw),
+        "token_evm_key": _q(_evm_key),
+        "token_resolution": _q(_resolution),
+        "token_stable_pricing": _q(_stable_pricing),
+        "token_pricing_reconciliation": _q(_reconciliation),
+        "token_top_k": _q(_top_resolvers),
+        "token_labels": _q(_labels),
+        "quality_table_health": _q(_health),
+        "quality_day_gaps": _q(_day_gaps),
+        "quality_cube_reconciliation": _q(_cube_mismatch),
+        "quality_status_domain": _q(_unknown_status),
+        "quality_failed_units": _q(_failed_units),
+        "quality_monthly_status": _q(_monthly),
+        "order_latency": _q(_latency),
+        "order_lt_seek": _q(_seek),
+        "order_lt_duplicates": _q(_dup_lt),
+        "order_created_between": _q(_created_between),
+        "order_backfill_coverage": _q(_coverage),
+        "order_dedupe": _q(_dedupe),
+        "retention_recent_orders": _q(_recent),
+        "retention_history_recent": _q(_history_recent),
+    })
+    return out
