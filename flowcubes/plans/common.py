@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -34,12 +34,14 @@ def week_of(ts: Column) -> Column:
 
 
 def top_k_with_other(df: DataFrame, key: str, measure: str, k: int,
-                     other: str = "other") -> DataFrame:
+                     other: str = "other", null_safe: bool = False) -> DataFrame:
     """Keep the k largest keys by total measure, relabel the rest.
 
     The k keys come from one aggregate and a ``limit`` -- at most k rows by
     construction -- so they are broadcast back onto the detail rows.
-    Ties are broken by the key so the choice is deterministic.
+    Ties are broken by the key so the choice is deterministic. With
+    ``null_safe`` a NULL key ranked inside k keeps its place (rank semantics);
+    otherwise it is pooled (``IN (subquery)`` semantics).
     """
     top = (
         df.groupBy(key).agg(F.sum(measure).alias("_total"))
@@ -47,7 +49,8 @@ def top_k_with_other(df: DataFrame, key: str, measure: str, k: int,
         .limit(k)
         .select(F.col(key).alias("_top_key"), F.lit(True).alias("_is_top"))
     )
-    joined = df.join(F.broadcast(top), df[key] == F.col("_top_key"), "left")
+    cond = df[key].eqNullSafe(F.col("_top_key")) if null_safe else df[key] == F.col("_top_key")
+    joined = df.join(F.broadcast(top), cond, "left")
     return joined.withColumn(
         key, F.when(F.col("_is_top"), F.col(key)).otherwise(F.lit(other))
     ).drop("_top_key", "_is_top")
@@ -55,12 +58,13 @@ def top_k_with_other(df: DataFrame, key: str, measure: str, k: int,
 
 def rank_top_k(df: DataFrame, key: str, measure: str, k: int, other: str) -> DataFrame:
     """T7 over an already aggregated frame (one row per key): keys ranked
-    beyond k are pooled under ``other``. The window spans the aggregated
-    keys only, never the orders."""
-    w = Window.orderBy(F.col(measure).desc(), F.col(key).asc())
-    ranked = df.withColumn("_rn", F.row_number().over(w))
+    beyond k (by measure, then key) are pooled under ``other``.
+
+    Same result as ``row_number() over (order by measure desc) <= k``, but
+    the ranking is a distributed top-k (``limit`` after ``orderBy``) whose k
+    rows are broadcast back, instead of one window partition of all keys."""
     return (
-        ranked.withColumn(key, F.when(F.col("_rn") <= k, F.col(key)).otherwise(F.lit(other)))
+        top_k_with_other(df, key, measure, k, other, null_safe=True)
         .groupBy(key).agg(F.sum(measure).alias(measure))
     )
 
