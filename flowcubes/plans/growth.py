@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import percentile, ratio
+from ..functions.stats import ratio
+from ..operators.percentiles import percentiles
 from .common import created_ts, cross_chain, filled_count, one_row, settled, top_k_with_other, week_of
 
 HOME_CHAIN = "ton"
@@ -38,17 +39,16 @@ def headline(chainpair: DataFrame, orders: DataFrame, home_chain: str = HOME_CHA
             "status",
             F.when(settled(), F.col("src_trader_address")).alias("_trader"),
             F.when(settled(), F.col("resolver_id")).alias("_resolver"),
-            F.when(settled(), F.col("t_total")).alias("_t_total"),
         )
         .agg(
             F.count_distinct("_trader").alias("traders"),
             F.count_distinct("_resolver").alias("resolvers"),
-            percentile("_t_total", 0.5, exact).alias("median_seconds"),
             (F.lit(100.0) * F.count_if(settled()).cast("double") / F.count(F.lit(1)).cast("double"))
             .alias("success_pct"),
         )
     )
-    both = one_row(cc, o)
+    median = percentiles(orders.where(xc & settled()), [], "t_total", {"median_seconds": 0.5}, exact)
+    both = one_row(cc, o, median)
     volume = F.col("_volume").cast("double")
     return both.select(
         volume.alias("volume_usd"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.stats import percentile
+from ..operators.percentiles import percentiles
 from .common import cross_chain, settled
 
 # The funnel's stages, in order.
@@ -20,32 +20,23 @@ STAGES = (
 def latency_funnel(orders: DataFrame, exact: bool = True) -> DataFrame:
     """Q14: p50 / p90 / p99 of each stage over settled cross-chain orders.
 
-    One aggregate computes all twelve percentiles in a single scan; ``stack``
-    then turns the one row into four."""
-    o = orders.where(settled() & cross_chain())
-    aggs = []
-    for _, _, col in STAGES:
-        for p in (0.5, 0.9, 0.99):
-            aggs.append(percentile(col, p, exact).alias(f"{col}_p{int(round(p * 100))}"))
-    wide = o.agg(*aggs)
-    rows = ", ".join(
-        f"{ordinal}, '{stage}', {col}_p50, {col}_p90, {col}_p99" for ordinal, stage, col in STAGES
+    The four stage columns are stacked into (stage, seconds) rows in one scan
+    and the percentiles are taken per stage."""
+    rows = ", ".join(f"{ordinal}, '{stage}', {col}" for ordinal, stage, col in STAGES)
+    stacked = orders.where(settled() & cross_chain()).selectExpr(
+        f"stack({len(STAGES)}, {rows}) as (ord, stage, seconds)"
     )
-    return wide.selectExpr(f"stack({len(STAGES)}, {rows}) as (ord, stage, p50, p90, p99)").orderBy("ord")
+    ps = percentiles(stacked, ["ord", "stage"], "seconds", {"p50": 0.5, "p90": 0.9, "p99": 0.99}, exact)
+    stages = orders.sparkSession.createDataFrame(
+        [(o, s) for o, s, _ in STAGES], "ord int, stage string")
+    return stages.join(ps, ["ord", "stage"], "left").select("ord", "stage", "p50", "p90", "p99").orderBy("ord")
 
 
 def settlement_speed_daily(orders: DataFrame, min_swaps: int = 20, exact: bool = True) -> DataFrame:
     """Q15: p50 / p90 of end-to-end time per creation day; only positive
     times, only days with at least ``min_swaps`` settled swaps."""
-    return (
-        orders.where(settled() & (F.col("t_total") > 0) & cross_chain())
-        .groupBy("day")
-        .agg(
-            percentile("t_total", 0.5, exact).alias("p50_seconds"),
-            percentile("t_total", 0.9, exact).alias("p90_seconds"),
-            F.count(F.lit(1)).alias("_n"),
-        )
-        .where(F.col("_n") >= min_swaps)
-        .select("day", "p50_seconds", "p90_seconds")
-        .orderBy("day")
-    )
+    o = orders.where(settled() & (F.col("t_total") > 0) & cross_chain())
+    busy = o.groupBy("day").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_swaps)
+    ps = percentiles(o.join(busy.select("day"), "day", "left_semi"), ["day"], "t_total",
+                     {"p50_seconds": 0.5, "p90_seconds": 0.9}, exact)
+    return ps.select("day", "p50_seconds", "p90_seconds").orderBy("day")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.address import truncate_label
-from ..functions.stats import percentile, ratio
+from ..functions.stats import ratio
+from ..operators.percentiles import percentiles
 from .common import cross_chain, filled_count, settled
 
 
@@ -26,13 +27,11 @@ def resolver_league(resolver_cube: DataFrame, orders: DataFrame, exact: bool = T
             F.sum("finalized_orders_count").alias("_finalized"),
         )
     )
+    o = orders.where(settled() & F.col("resolver_id").isNotNull() & cross_chain())
     lat = (
-        orders.where(settled() & F.col("resolver_id").isNotNull() & cross_chain())
-        .groupBy("resolver_id")
-        .agg(
-            percentile("t_settle", 0.5, exact).alias("median_settle_seconds"),
-            F.count_distinct("src_trader_address").alias("traders"),
-        )
+        o.groupBy("resolver_id").agg(F.count_distinct("src_trader_address").alias("traders"))
+        .join(percentiles(o, ["resolver_id"], "t_settle", {"median_settle_seconds": 0.5}, exact),
+              "resolver_id", "left")
     )
     return (
         vol.join(lat, "resolver_id", "left")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import percentile, ratio
+from ..functions.stats import ratio
+from ..operators.percentiles import percentiles
 from .common import created_ts, cross_chain, filled_count, one_row, settled
 
 # Fixed values of the reference deployment: the tagged token and its decimals.
@@ -48,21 +49,21 @@ def token_flow_headline(orders: DataFrame, chainpair: DataFrame, deposit_token:
     token's share of settled cross-chain swaps and volume."""
     flows = token_flows(orders, deposit_token, withdrawal_token)
     is_dep = F.col("direction") == 1
-    f = flows.withColumn(
-        "_dep_usd", F.when(is_dep, F.col("_units_double") / F.lit(float(10 ** decimals)))
-    ).agg(
+    f = flows.agg(
         _usd(F.sum(F.when(is_dep, F.col("units"))), decimals).alias("deposits_usd"),
         _usd(F.sum(F.when(~is_dep, F.col("units"))), decimals).alias("withdrawals_usd"),
         _usd(F.sum(F.col("direction") * F.col("units")), decimals).alias("net_usd"),
         F.count(F.lit(1)).alias("transfers"),
-        percentile("_dep_usd", 0.5, exact).alias("median_deposit_usd"),
         _usd(F.sum("units"), decimals).alias("_flow_usd"),
     )
+    dep_usd = flows.where(is_dep).select(
+        (F.col("_units_double") / F.lit(float(10 ** decimals))).alias("_dep_usd"))
+    median = percentiles(dep_usd, [], "_dep_usd", {"median_deposit_usd": 0.5}, exact)
     xc = chainpair.where(cross_chain()).agg(
         F.sum(filled_count()).alias("_swaps"),
         F.sum("filled_orders_volume_usd").alias("_volume"),
     )
-    both = one_row(f, xc)
+    both = one_row(f, xc, median)
     return both.select(
         "deposits_usd", "withdrawals_usd", "net_usd", "transfers", "median_deposit_usd",
         ratio(F.lit(100.0) * F.col("transfers").cast("double"), F.col("_swaps")).alias("share_of_swaps_pct"),
@@ -133,16 +134,20 @@ def funded_wallet_impact(deposits: DataFrame, deposit_wallets: DataFrame, trades
         (F.unix_micros("first_trade") - F.unix_micros("first_deposit")) / F.lit(1_000_000)
     ).cast("bigint")
     j = j.withColumn("_lag", F.when(after, lag))
-    return j.agg(
+    median = percentiles(j, [], "_lag", {"_median_lag": 0.5}, exact)
+    totals = j.agg(
         F.count(F.lit(1)).alias("wallets_funded"),
         F.count_if(F.col("_traded").isNotNull()).alias("wallets_that_traded"),
         F.count_if(after).alias("new_traders"),
         F.round(F.sum("deposited_usd")).cast("double").alias("deposited_usd"),
         F.round(F.sum("wagered_usd")).cast("double").alias("wagered_usd"),
         F.round(ratio(F.sum("wagered_usd"), F.sum("deposited_usd")), 1).alias("multiple"),
-        F.round(percentile("_lag", 0.5, exact)).alias("median_lag_seconds"),
         ratio(
             F.lit(100.0) * F.count_if(after & (F.col("_lag") <= within_seconds)).cast("double"),
             F.count_if(after),
         ).alias("within_a_minute_pct"),
     )
+    return one_row(totals, median).select(
+        "wallets_funded", "wallets_that_traded", "new_traders", "deposited_usd", "wagered_usd", "multiple",
+        F.round("_median_lag").alias("median_lag_seconds"), "within_a_minute_pct",
+    )
