@@ -279,3 +279,13 @@ def dedupe(orders: DataFrame, key: Sequence[str] | None = ("lt",)) -> DataFrame:
     """Drop re-landed copies (a retried chunk repeats rows exactly).
     ``key=None`` compares whole rows."""
     return orders.dropDuplicates(list(key)) if key else orders.dropDuplicates()
+
+
+def landed_cube(normalized: DataFrame, table: str) -> DataFrame:
+    """Service cube rows (``normalize_cube_rows`` output) projected onto one
+    published cube: ``day`` parsed from the API text, the cube's dimensions
+    and metrics, nothing else. Unparseable days are left NULL for the
+    non-null gate to refuse (see ``quality.unparseable_days``)."""
+    withday = normalized.withColumn("day", parse_day(F.col("day_text")))
+    fields = [f for f in schemas.cube_schema(table).fields if f.name != "run_ts"]
+    return project(withday, T.StructType(fields))
