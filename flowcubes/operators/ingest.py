@@ -205,8 +205,8 @@ def cursor_violations(landed: DataFrame) -> DataFrame:
     """``lt`` must be unique and strictly ascending across a landing.
 
     Within a page the check is a window over at most one page of rows; across
-    pages it compares each page's first ``lt`` with the previous page's last,
-    over one summary row per page. Returns the offending rows with a
+    pages it compares each page's first ``lt`` with the last ``lt`` of the page
+    numbered one lower (page files end in a sequence number). Returns the offending rows with a
     ``problem`` column (empty when the landing is sound)."""
     lt = F.col("lt").try_cast("decimal(38,0)")
     rows = landed.select("_page", "_pos", lt.alias("_lt"))
@@ -217,10 +217,13 @@ def cursor_violations(landed: DataFrame) -> DataFrame:
     )
     pages = rows.groupBy("_page").agg(
         F.min_by("_lt", "_pos").alias("_first"), F.max_by("_lt", "_pos").alias("_last"), F.min("_pos").alias("_p0")
-    )
+    ).withColumn("_seq", F.regexp_extract("_page", r"(\d+)\D*$", 1).try_cast("bigint"))
+    # Page n is compared with page n - 1 by an equi-join on the sequence
+    # number in the file name: no window over all pages of a landing.
+    prev = pages.select((F.col("_seq") + 1).alias("_seq"), F.col("_last").alias("_prev_last"))
     across = (
-        pages.withColumn("_prev_last", F.lag("_last").over(Window.orderBy("_page")))
-        .where(F.col("_prev_last").isNotNull() & (F.col("_first") <= F.col("_prev_last")))
+        pages.join(prev, "_seq")
+        .where(F.col("_first") <= F.col("_prev_last"))
         .select("_page", F.col("_p0").alias("_pos"), F.col("_first").cast("string").alias("lt"),
                 F.lit("cursor did not advance").alias("problem"))
     )
