@@ -194,3 +194,13 @@ def split_history(df: DataFrame, as_of: str, recent_days: int) -> tuple[DataFram
     """The two halves a P5 table is made of: (history, recent)."""
     cut = F.date_sub(F.lit(as_of).cast("date"), recent_days)
     return df.where(F.col("day") < cut), df.where(F.col("day") >= cut)
+
+
+def register_views(spark: SparkSession, root: str, prefix: str = "", fmt: str = "parquet") -> list[str]:
+    """Temporary views over the current run's tables (``<prefix><table>``),
+    so existing SQL runs unchanged against the published data."""
+    names = []
+    for name in schemas.TABLES:
+        read_table(spark, root, name, fmt).createOrReplaceTempView(f"{prefix}{name}")
+        names.append(f"{prefix}{name}")
+    return names
