@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cubes
 from ..sources import binding
-from . import assets, fees, flows, freshness, growth, latency, leagues, rhythm, wallets
+from . import assets, dashboard, fees, flows, freshness, growth, latency, leagues, rhythm, wallets
 
 # Parameters of the stand-in data (see ``sources.binding``).
 DEPOSIT_TOKEN = "0x50524F4D4F"        # part type PROMO bought on an EVM chain
@@ -19,6 +19,14 @@ TOKEN_DECIMALS = binding.TOKEN_DECIMALS
 SIZE_BOUNDS = (2000, 10000, 50000, 90000)
 EVENTS_AS_OF = binding.EVENTS_AS_OF
 RUN_TS = "2024-01-31 06:00:00"
+# Dashboard parameters: tiles end the day after the last creation day of
+# the driver's data; the global filters of the filtered-volume report.
+DASHBOARD_AS_OF = "2001-08-02"
+FILTERS = {"granularity": "month", "start": "1996-01-01", "end": "1998-01-01", "src": "ton", "dst": None,
+           "min_usd": SIZE_BOUNDS[1]}
+TOP_CORRIDORS = 10
+TOP_TRADERS = 10
+LOOKUP_QUOTE_ID = "7"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,9 +113,34 @@ def metric_queries() -> dict[str, Query]:
     }
 
 
+def dashboard_queries() -> dict[str, Query]:
+    """The design document's dashboard analytics."""
+    stable = binding.stable_symbols()
+    return {
+        "headline_windows": _q(lambda i: dashboard.headline_windows(
+            i.cube("daily_chainpair"), i.orders(), DASHBOARD_AS_OF)),
+        "filtered_volume": _q(lambda i: dashboard.filtered_volume(
+            i.orders(), i.evm(), i.jettons(), stable=stable, **FILTERS)),
+        "cross_vs_intra_daily": _q(lambda i: dashboard.cross_vs_intra_daily(i.cube("daily_chainpair"))),
+        "corridor_matrix_volume": _q(lambda i: dashboard.corridor_matrix(i.cube("daily_chainpair"), "volume")),
+        "corridor_matrix_success": _q(lambda i: dashboard.corridor_matrix(i.cube("daily_chainpair"), "success")),
+        "top_corridors": _q(lambda i: dashboard.top_corridors(i.cube("daily_chainpair"), TOP_CORRIDORS)),
+        "latency_by_size": _q(lambda i: dashboard.latency_by_size(
+            i.orders(), i.evm(), i.jettons(), stable, SIZE_BOUNDS)),
+        "settle_time_by_corridor": _q(lambda i: dashboard.settle_time_by_corridor(i.orders())),
+        "success_rate_daily": _q(lambda i: dashboard.success_rate_daily(i.cube("daily_chainpair"))),
+        "quote_vs_delivered": _q(lambda i: dashboard.quote_vs_delivered(i.orders())),
+        "resolver_share_daily": _q(lambda i: dashboard.resolver_share_daily(i.cube("daily_resolver"))),
+        "size_concentration": _q(lambda i: dashboard.size_concentration(
+            i.orders(), i.evm(), i.jettons(), stable, TOP_TRADERS)),
+        "order_lookup": _q(lambda i: dashboard.order_lookup(i.orders(), LOOKUP_QUOTE_ID)),
+    }
+
+
 def queries() -> dict[str, Query]:
     out = metric_queries()
     from . import registry_ops
 
     out.update(registry_ops.operator_queries())
+    out.update(dashboard_queries())
     return out
