@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -20,6 +20,24 @@ class PublishError(RuntimeError):
     """A run that must not be published."""
 
 
+def health_aggregates(name: str, df: DataFrame) -> list[Column]:
+    """V1 + V2 as aggregate expressions: ``rows`` and ``n_<column>`` (NULL
+    count) per required column. They run as one aggregate over the table,
+    or ride along a write as an ``observe`` so no second scan is needed."""
+    required = [c for c in schemas.required_columns(name) if c in df.columns]
+    return [F.count(F.lit(1)).alias("rows")] + [
+        F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in required
+    ]
+
+
+def health_rows(name: str, values: Mapping[str, int]) -> list[dict]:
+    """The findings rows of one table from its health aggregate values."""
+    cols = [k[2:] for k in values if k.startswith("n_")]
+    if not cols:
+        return [{"table": name, "rows": values["rows"], "column": None, "null_rows": 0}]
+    return [{"table": name, "rows": values["rows"], "column": c, "null_rows": values[f"n_{c}"]} for c in cols]
+
+
 def table_health(tables: Mapping[str, DataFrame]) -> DataFrame:
     """V1 + V2 in one pass per table: ``table, rows, column, null_rows``,
     one row per required column (or one row with NULL column when the table
@@ -29,10 +47,7 @@ def table_health(tables: Mapping[str, DataFrame]) -> DataFrame:
         if name not in schemas.TABLES:
             continue
         required = [c for c in schemas.required_columns(name) if c in df.columns]
-        aggs = [F.count(F.lit(1)).alias("rows")] + [
-            F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in required
-        ]
-        one = df.agg(*aggs)
+        one = df.agg(*health_aggregates(name, df))
         if required:
             pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"n_{c}").alias("null_rows"))
                                         for c in required]))
@@ -111,11 +126,9 @@ def monthly_status_counts(orders: DataFrame) -> DataFrame:
     )
 
 
-def validate(tables: Mapping[str, DataFrame], max_gap: int = MAX_DAY_GAP) -> None:
-    """Raise ``PublishError`` on any finding: nulls in non-nullable columns,
-    an empty known table, or a day gap in the total cube. Only the small
-    findings frames reach the driver."""
-    health = table_health(tables).collect()
+def check_health(health) -> None:
+    """Raise on an empty known table (V2) or a NULL in a non-nullable
+    column (V1); ``health`` holds ``table_health`` / ``health_rows`` rows."""
     for r in health:
         if r["rows"] == 0:
             raise PublishError(f"{r['table']} came back empty (0 rows); refusing to publish")
@@ -126,12 +139,24 @@ def validate(tables: Mapping[str, DataFrame], max_gap: int = MAX_DAY_GAP) -> Non
             f"{r['table']} has {r['null_rows']} row(s) with null in non-nullable column "
             f"{r['column']!r}; refusing to publish"
         )
+
+
+def check_day_gaps(total: DataFrame, max_gap: int = MAX_DAY_GAP) -> None:
+    """V3 on the total cube (one row per day)."""
+    gap = day_gaps(total, max_gap).limit(1).collect()
+    if gap:
+        g = gap[0]
+        raise PublishError(
+            f"daily_total jumps {g['gap']} days from {g['prev_day']} to {g['day']}, "
+            f"more than {max_gap}; refusing to publish"
+        )
+
+
+def validate(tables: Mapping[str, DataFrame], max_gap: int = MAX_DAY_GAP) -> None:
+    """Raise ``PublishError`` on any finding: nulls in non-nullable columns,
+    an empty known table, or a day gap in the total cube. Only the small
+    findings frames reach the driver."""
+    check_health(table_health(tables).collect())
     total = tables.get("daily_total")
     if total is not None:
-        gap = day_gaps(total, max_gap).limit(1).collect()
-        if gap:
-            g = gap[0]
-            raise PublishError(
-                f"daily_total jumps {g['gap']} days from {g['prev_day']} to {g['day']}, "
-                f"more than {max_gap}; refusing to publish"
-            )
+        check_day_gaps(total, max_gap)

@@ -83,6 +83,17 @@ def test_refresh_publishes_one_vintage_atomically(spark, tmp_path):
     assert publish.current_run(spark, root) == first
 
 
+def test_refresh_refuses_null_observed_while_writing(spark, tmp_path):
+    root = str(tmp_path / "pub")
+    ok = make_orders(spark, [dict(order_create_time=T0, lt="100")])
+    first = publish.refresh(spark, ok, root, "2026-08-26 06:00:00") and publish.current_run(spark, root)
+    bad = make_orders(spark, [dict(order_create_time=T0, lt="100"), dict(order_create_time=T0, lt="101")]) \
+        .withColumn("lt", F.when(F.col("lt") != "101", F.col("lt")))
+    with pytest.raises(quality.PublishError, match="orders has 1 row"):
+        publish.refresh(spark, bad, root, "2026-08-27 06:00:00")
+    assert publish.current_run(spark, root) == first
+
+
 def test_dry_run_writes_nothing(spark, tmp_path):
     root = tmp_path / "dry"
     o = make_orders(spark, [dict(order_create_time=T0)])
