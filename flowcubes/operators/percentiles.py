@@ -68,31 +68,31 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, ps: Mappin
     )
 
     # Pass 2, one aggregation: a row below a bracket becomes (i, NULL) and a
-    # row inside it (i, value); rows above it are dropped. Counting per
-    # (group, i, value) and summing in value order with NULL first gives
-    # every bracket value its exact rank.
+    # row inside it (i, value); rows above it are dropped. Each tag carries
+    # its target rank, so counting per (group, i, value) and summing in value
+    # order with NULL first gives every bracket value its exact rank without
+    # joining the bounds again.
     tags = F.array(*[
-        F.when(F.col("_v") < F.col(f"_lo{i}"), F.struct(F.lit(i).alias("i"), F.lit(None).cast("double").alias("v")))
-        .when(F.col("_v") <= F.col(f"_hi{i}"), F.struct(F.lit(i).alias("i"), F.col("_v").alias("v")))
+        F.when(F.col("_v") < F.col(f"_lo{i}"),
+               F.struct(F.lit(i).alias("i"), F.lit(None).cast("double").alias("v"), F.col(f"_k{i}").alias("k")))
+        .when(F.col("_v") <= F.col(f"_hi{i}"),
+              F.struct(F.lit(i).alias("i"), F.col("_v").alias("v"), F.col(f"_k{i}").alias("k")))
         for i in range(len(probs))
     ])
     tagged = base.join(bounds, gk).select(*gk, F.explode(tags).alias("_t")).where(F.col("_t").isNotNull())
     counts = tagged.groupBy(*gk, F.col("_t.i").alias("_i"), F.col("_t.v").alias("_bv")).agg(
-        F.count(F.lit(1)).alias("_c"))
+        F.count(F.lit(1)).alias("_c"), F.max("_t.k").alias("_k"))
     w = (Window.partitionBy(*gk, "_i").orderBy(F.col("_bv").asc_nulls_first())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    target = F.element_at(F.array(*[F.col(f"_k{i}") for i in range(len(probs))]), F.col("_i") + 1)
-    ranked = counts.join(bounds.select(*gk, *[f"_k{i}" for i in range(len(probs))]), gk).select(
-        *gk, "_i", "_bv", F.sum("_c").over(w).alias("_cum"), target.alias("_k"))
+    ranked = counts.select(*gk, "_i", "_bv", "_k", F.sum("_c").over(w).alias("_cum"))
+    # Cumulative ranks only grow along a bracket, so the answer is the
+    # smallest bracket value whose rank reaches the target.
     hits = (
         ranked.where(F.col("_bv").isNotNull() & (F.col("_cum") >= F.col("_k")))
-        .groupBy(*gk, "_i").agg(F.min("_bv").alias("_ans"))
-    )
-    wide = bounds.select(*gk).join(
-        hits.groupBy(*gk).agg(*[F.max(F.when(F.col("_i") == i, F.col("_ans"))).alias(names[i])
-                                for i in range(len(probs))]),
-        gk, "left",
+        .groupBy(*gk).agg(*[F.min(F.when(F.col("_i") == i, F.col("_bv"))).alias(names[i])
+                            for i in range(len(probs))])
     )
+    wide = bounds.select(*gk).join(hits, gk, "left")
     # The bracket holds by the sketch's documented rank bound; should it
     # ever not, fail loudly rather than return a wrong value.
     out = wide.select(*gk, *[
