@@ -278,11 +278,18 @@ def quote_vs_delivered(orders: DataFrame, exact: bool = True) -> DataFrame:
         F.count(F.lit(1)).alias("settled_orders"),
         F.count("gap_pips").alias("quoted_orders"),
     )
-    quoted = o.where(F.col("gap_pips").isNotNull())
-    gap = percentiles(quoted, ["corridor"], "gap_pips", {"median_gap_pips": 0.5}, exact)
-    fee = percentiles(quoted, ["corridor"], "fee_pips", {"median_fee_pips": 0.5}, exact)
+    # Both medians in one percentile pass: the two measures are stacked into
+    # (corridor, measure, value) rows and folded back per corridor.
+    stacked = o.where(F.col("gap_pips").isNotNull()).selectExpr(
+        "corridor", "stack(2, 'gap', gap_pips, 'fee', fee_pips) as (measure, pips)")
+    medians = (
+        percentiles(stacked, ["corridor", "measure"], "pips", {"p50": 0.5}, exact)
+        .groupBy("corridor")
+        .agg(F.max(F.when(F.col("measure") == "gap", F.col("p50"))).alias("median_gap_pips"),
+             F.max(F.when(F.col("measure") == "fee", F.col("p50"))).alias("median_fee_pips"))
+    )
     return (
-        counts.join(gap, "corridor", "left").join(fee, "corridor", "left")
+        counts.join(medians, "corridor", "left")
         .select(
             "corridor", "settled_orders", "quoted_orders",
             ratio(F.lit(100.0) * F.col("quoted_orders").cast("double"), F.col("settled_orders"))
