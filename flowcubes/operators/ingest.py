@@ -41,6 +41,19 @@ def explode_order_pages(pages: DataFrame) -> DataFrame:
     return exploded.select("_page", F.col("pos").alias("_pos"), "col.*")
 
 
+def parse_order_pages(text: DataFrame, column: str = "value") -> DataFrame:
+    """I1 over pages that arrive as JSON text in a column (a text or
+    streaming source) rather than as files."""
+    pages = text.select(F.from_json(F.col(column), schemas.ORDER_PAGE).alias("_p")).select("_p.*")
+    return explode_order_pages(pages)
+
+
+def parse_cube_pages(text: DataFrame, column: str = "value") -> DataFrame:
+    """Cube pages that arrive as JSON text in a column."""
+    pages = text.select(F.from_json(F.col(column), schemas.CUBE_PAGE).alias("_p")).select("_p.*")
+    return explode_cube_pages(pages)
+
+
 def read_cube_pages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     pages = spark.read.schema(schemas.CUBE_PAGE).json(path)
     return explode_cube_pages(pages)

@@ -291,6 +291,23 @@ def _sql_history_recent() -> str:
     return with_base(f"x AS (SELECT 1)\nSELECT day, {_metrics_out('daily_total')} FROM total", ("total",))
 
 
+def _sql_ingest_pages() -> str:
+    from .registry_ops import INGESTED_COLUMNS
+
+    cols = ", ".join("CAST(lt_num AS VARCHAR) AS lt" if c == "lt" else c for c in INGESTED_COLUMNS)
+    return with_base(f"""
+x AS (SELECT 1)
+SELECT {cols} FROM ov""")
+
+
+def _sql_ingest_cube_pages() -> str:
+    table = registry_ops.INGESTED_CUBE
+    dims = ", ".join(schemas.CUBE_DIMENSIONS[table])
+    metrics = ", ".join(f"{m}::DOUBLE AS {m}" for m in schemas.cube_metrics(table))
+    return with_base(f"x AS (SELECT 1)\nSELECT day, {dims}, {metrics} FROM {_cube_name(table)}",
+                     (_cube_name(table),))
+
+
 def operator_sql() -> dict[str, str]:
     out = {f"cube_{t}": _sql_cube(t) for t in schemas.CUBE_DIMENSIONS}
     out.update({
@@ -318,6 +335,8 @@ def operator_sql() -> dict[str, str]:
         "order_created_between": _sql_created_between(),
         "order_backfill_coverage": _sql_coverage(),
         "order_dedupe": _sql_dedupe(),
+        "ingest_order_pages": _sql_ingest_pages(),
+        "ingest_cube_pages": _sql_ingest_cube_pages(),
         "retention_recent_orders": _sql_recent(),
         "retention_history_recent": _sql_history_recent(),
     })

@@ -189,6 +189,34 @@ def _dedupe(i: Inputs) -> DataFrame:
     return ingest.dedupe(o, key=None).agg(F.count(F.lit(1)).alias("orders"))
 
 
+INGESTED_COLUMNS = (
+    "lt", "status", "quote_id", "src_chain_id", "dst_chain_id",
+    "input_asset_chain", "input_asset_kind", "input_asset_address",
+    "output_asset_chain", "output_asset_kind", "output_asset_address",
+    *schemas.UNIT_FIELDS, "integrator_fee_pips", "protocol_fee_pips", "resolver_id",
+    *[c for f in schemas.ADDRESS_FIELDS for c in (f.removesuffix("_address") + "_chain", f)],
+    *schemas.CLOCK_FIELDS, "t_quote", "t_decide", "t_settle", "t_total", "day", "lt_num",
+)
+
+
+INGESTED_CUBE = "daily_input_asset"
+
+
+def _ingest_pages(i: Inputs) -> DataFrame:
+    """I1-I5 end to end: the order view rendered as landed JSON pages, then
+    page explode, asset / address flatten, latencies and silver keys."""
+    raw = ingest.parse_order_pages(binding.order_pages(i.spark, i.dir))
+    return ingest.with_silver_keys(ingest.flatten_orders(raw)).select(*INGESTED_COLUMNS)
+
+
+def _ingest_cube_pages(i: Inputs) -> DataFrame:
+    """I1 + I6 end to end: the input-asset cube rendered as landed cube pages
+    (decimal-text metrics, nested asset), exploded, normalized and projected
+    back onto the published cube."""
+    raw = ingest.parse_cube_pages(binding.cube_pages(i.spark, i.dir, INGESTED_CUBE))
+    return ingest.landed_cube(ingest.normalize_cube_rows(raw), INGESTED_CUBE)
+
+
 def _recent(i: Inputs) -> DataFrame:
     return publish.trim_recent(i.orders(), RETENTION_AS_OF, RETENTION_DAYS).groupBy("day").agg(
         F.count(F.lit(1)).alias("orders"))
@@ -229,6 +257,8 @@ def operator_queries() -> dict[str, Query]:
         "order_created_between": _q(_created_between),
         "order_backfill_coverage": _q(_coverage),
         "order_dedupe": _q(_dedupe),
+        "ingest_order_pages": _q(_ingest_pages),
+        "ingest_cube_pages": _q(_ingest_cube_pages),
         "retention_recent_orders": _q(_recent),
         "retention_history_recent": _q(_history_recent),
     })

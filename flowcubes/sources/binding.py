@@ -291,3 +291,72 @@ def activity(spark: SparkSession, data_dir: str) -> DataFrame:
         F.col("user_id").cast("string").alias("trader"),
         F.when(F.col("event_type") != UNPRICED, F.col("value").cast(schemas.USD)).alias("usd"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Landed pages: the order view rendered as the service's raw JSON
+# ---------------------------------------------------------------------------
+def _quoted(text: Column) -> Column:
+    return F.concat(F.lit('"'), text, F.lit('"'))
+
+
+def _asset_json(chain: Column, kind: Column, address: Column) -> Column:
+    """``{"chain": {"kind": "address"}}``; a native coin is ``{"chain":
+    {"native": {}}}`` and an unknown asset ``{}``."""
+    value = F.when(kind == F.lit("native"), F.lit("{}")).otherwise(_quoted(address))
+    inner = F.concat(F.lit("{"), _quoted(kind), F.lit(":"), value, F.lit("}"))
+    return F.when(chain.isNull(), F.lit("{}")).otherwise(
+        F.concat(F.lit("{"), _quoted(chain), F.lit(":"), inner, F.lit("}")))
+
+
+def order_pages(spark: SparkSession, data_dir: str) -> DataFrame:
+    """``value``: one landed page of JSON text per order of the order view,
+    with one-key asset and address maps and clocks, pips and units as text,
+    as the order service sends them. One order per page, so rendering never
+    gathers rows."""
+    o = orders(spark, data_dir)
+    text = ("lt", "status", "quote_id", "resolver_id") + schemas.UNIT_FIELDS
+    numbers = ("integrator_fee_pips", "protocol_fee_pips") + schemas.CLOCK_FIELDS
+    maps = []
+    for field in schemas.ADDRESS_FIELDS:
+        chain = F.col(field.removesuffix("_address") + "_chain")
+        maps.append(F.when(chain.isNotNull(), F.create_map(chain, F.col(field))).alias(field))
+    flat = F.to_json(F.struct(*[F.col(c) for c in text], *[F.col(c).cast("string").alias(c) for c in numbers],
+                              *maps))
+    order = F.concat(
+        F.expr("substr(_flat, 1, length(_flat) - 1)"),  # the flat fields without the closing brace
+        F.lit(',"input_asset":'),
+        _asset_json(F.col("input_asset_chain"), F.col("input_asset_kind"), F.col("input_asset_address")),
+        F.lit(',"output_asset":'),
+        _asset_json(F.col("output_asset_chain"), F.col("output_asset_kind"), F.col("output_asset_address")),
+        F.lit("}"),
+    )
+    return o.withColumn("_flat", flat).select(
+        F.concat(F.lit('{"result":{"orders":['), order, F.lit('],"has_next_page":true}}')).alias("value"))
+
+
+def cube_pages(spark: SparkSession, data_dir: str, table: str) -> DataFrame:
+    """``value``: one landed cube page per row of a daily cube built from the
+    order view, in the service's shape: ISO day text, nested asset and
+    address dimensions, every metric as decimal text."""
+    from ..operators import cubes
+
+    cube = cubes.named_cube(orders(spark, data_dir), table)
+    dims = schemas.CUBE_DIMENSIONS[table]
+    plain = [F.col(d) for d in ("src_chain_id", "dst_chain_id", "resolver_id", "status") if d in dims]
+    maps = []
+    for field in schemas.ADDRESS_FIELDS:
+        chain = field.removesuffix("_address") + "_chain"
+        if field in dims:
+            maps.append(F.when(F.col(chain).isNotNull(), F.create_map(F.col(chain), F.col(field))).alias(field))
+    metrics = [F.col(m).cast("string").alias(m) for m in schemas.cube_metrics(table)]
+    day = F.date_format(F.col("day"), "yyyy-MM-dd'T'00:00:00'Z'").alias("time_period")
+    flat = F.to_json(F.struct(day, *plain, *maps, *metrics))
+    assets = []
+    for side in ("input", "output"):
+        if f"{side}_asset_chain" in dims:
+            assets += [F.lit(f',"{side}_asset":'), _asset_json(
+                F.col(f"{side}_asset_chain"), F.col(f"{side}_asset_kind"), F.col(f"{side}_asset_address"))]
+    row = F.concat(F.expr("substr(_flat, 1, length(_flat) - 1)"), *assets, F.lit("}"))
+    return cube.withColumn("_flat", flat).select(
+        F.concat(F.lit('{"result":{"rows":['), row, F.lit("]}}")).alias("value"))
