@@ -308,6 +308,13 @@ def _sql_ingest_cube_pages() -> str:
                      (_cube_name(table),))
 
 
+def _sql_unparseable_days() -> str:
+    cube = _cube_name(registry_ops.INGESTED_CUBE)
+    return with_base(f"""
+t AS (SELECT strftime(day, '%Y-%m-%dT00:00:00Z') AS day_text FROM {cube})
+SELECT day_text AS value FROM t WHERE try_strptime(day_text, '%Y-%m-%dT%H:%M:%SZ') IS NULL""", (cube,))
+
+
 def operator_sql() -> dict[str, str]:
     out = {f"cube_{t}": _sql_cube(t) for t in schemas.CUBE_DIMENSIONS}
     out.update({
@@ -337,6 +344,7 @@ def operator_sql() -> dict[str, str]:
         "order_dedupe": _sql_dedupe(),
         "ingest_order_pages": _sql_ingest_pages(),
         "ingest_cube_pages": _sql_ingest_cube_pages(),
+        "quality_unparseable_days": _sql_unparseable_days(),
         "retention_recent_orders": _sql_recent(),
         "retention_history_recent": _sql_history_recent(),
     })

@@ -217,6 +217,21 @@ def _ingest_cube_pages(i: Inputs) -> DataFrame:
     return ingest.landed_cube(ingest.normalize_cube_rows(raw), INGESTED_CUBE)
 
 
+def _unparseable_days(i: Inputs) -> DataFrame:
+    """V4 over the day text of landed cube pages."""
+    raw = ingest.parse_cube_pages(binding.cube_pages(i.spark, i.dir, INGESTED_CUBE))
+    return quality.unparseable_days(ingest.normalize_cube_rows(raw), "day_text")
+
+
+def _wallet_sketch_rollup(i: Inputs) -> DataFrame:
+    """C10 for wallets: a chain-pair cube carrying HLL sketches of trader
+    wallets, rolled up to days by merging sketches (an estimate: rows-only)."""
+    fine = cubes.wallet_sketch_cube(i.orders(), ["src_chain_id", "dst_chain_id", "status"])
+    r = cubes.rollup_sketch(fine, ["day"])
+    return r.select("day", *[F.col(m).cast("bigint" if m.endswith("_count") else "double").alias(m)
+                             for m in schemas.ADDITIVE_METRICS], "unique_trader_wallets_estimate")
+
+
 def _recent(i: Inputs) -> DataFrame:
     return publish.trim_recent(i.orders(), RETENTION_AS_OF, RETENTION_DAYS).groupBy("day").agg(
         F.count(F.lit(1)).alias("orders"))
@@ -259,6 +274,8 @@ def operator_queries() -> dict[str, Query]:
         "order_dedupe": _q(_dedupe),
         "ingest_order_pages": _q(_ingest_pages),
         "ingest_cube_pages": _q(_ingest_cube_pages),
+        "quality_unparseable_days": _q(_unparseable_days),
+        "cube_rollup_wallet_sketch": _q(_wallet_sketch_rollup),
         "retention_recent_orders": _q(_recent),
         "retention_history_recent": _q(_history_recent),
     })
