@@ -17,6 +17,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from flowcubes import schemas  # noqa: E402
 from flowcubes.operators import publish  # noqa: E402
 from flowcubes.plans import assets, dashboard, fees, flows, growth, latency, leagues, registry, rhythm, wallets  # noqa: E402
 from flowcubes.session import build_session  # noqa: E402
@@ -41,8 +42,15 @@ def main() -> None:
     publish.refresh(spark, binding.orders(spark, sf_dir), root, registry.RUN_TS)
     times["refresh"] = time.time() - t0
 
+    # Each published table is opened once (pointer, listing, footer) and the
+    # handle reused by every metric, as a serving layer would; the open is
+    # timed as part of serving.
+    t = time.time()
+    opened = {name: publish.read_table(spark, root, name) for name in schemas.TABLES}
+    times["open_tables"] = time.time() - t
+
     def table(name):
-        return publish.read_table(spark, root, name)
+        return opened[name]
 
     evm, jet = binding.evm_tokens(spark, sf_dir), binding.jetton_metadata(spark, sf_dir)
     act = binding.activity(spark, sf_dir)
@@ -76,7 +84,7 @@ def main() -> None:
             binding.deposits(spark, sf_dir), binding.deposit_wallets(spark, sf_dir),
             binding.market_trades(spark, sf_dir)),
     }
-    serving = 0.0
+    serving = times["open_tables"]
     for name, build in published.items():
         t = time.time()
         _run(build())
