@@ -344,7 +344,7 @@ def size_concentration(orders: DataFrame, evm_tokens: DataFrame, jettons: DataFr
         per.groupBy("decimals").agg(F.sum("_units").alias("_units"), F.sum("_n").alias("_n"))
         .agg(F.sum(scaled).alias("total_usd"), F.sum("_n").alias("trades"))
     )
-    traders = priced.agg(F.count_distinct("trader").alias("traders"))
+    traders = per.agg(F.count_distinct("trader").alias("traders"))
     median = percentiles(priced, [], "usd", {"median_trade_usd": 0.5}, exact)
     both = one_row(totals, top_usd, traders, median)
     return both.select(
