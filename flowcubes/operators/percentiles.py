@@ -86,13 +86,12 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, ps: Mappin
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ranked = counts.select(*gk, "_i", "_bv", "_k", F.sum("_c").over(w).alias("_cum"))
     # Cumulative ranks only grow along a bracket, so the answer is the
-    # smallest bracket value whose rank reaches the target.
-    hits = (
-        ranked.where(F.col("_bv").isNotNull() & (F.col("_cum") >= F.col("_k")))
-        .groupBy(*gk).agg(*[F.min(F.when(F.col("_i") == i, F.col("_bv"))).alias(names[i])
-                            for i in range(len(probs))])
-    )
-    wide = bounds.select(*gk).join(hits, gk, "left")
+    # smallest bracket value whose rank reaches the target. Every non-empty
+    # group has tagged rows (its minimum is below the bracket or is the
+    # bracket's sampled lower end), so it appears here even on a miss.
+    hit = F.col("_bv").isNotNull() & (F.col("_cum") >= F.col("_k"))
+    wide = ranked.groupBy(*gk).agg(*[F.min(F.when(hit & (F.col("_i") == i), F.col("_bv"))).alias(names[i])
+                                     for i in range(len(probs))])
     # The bracket holds by the sketch's documented rank bound; should it
     # ever not, fail loudly rather than return a wrong value.
     out = wide.select(*gk, *[
