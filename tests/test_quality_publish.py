@@ -125,3 +125,18 @@ def test_recent_rewrite_keeps_history(spark, tmp_path):
     hist, recent = publish.split_history(back, "2026-08-31", 3)
     assert (hist.count(), recent.count()) == (3, 3)
     assert publish.trim_recent(back, "2026-08-31", 2).count() == 2
+
+
+def test_concurrent_cube_writes_publish_what_one_writer_does(spark, tmp_path, monkeypatch):
+    o = make_orders(spark, [dict(order_create_time=T0 + (i % 3) * DAY, lt=str(100 + i),
+                                 src_chain_id=("ton", "bnb")[i % 2], dst_chain_id=("bnb", "polygon")[i % 2],
+                                 src_trader_address=f"w{i % 4}", usd=i + 1) for i in range(12)])
+    published = {}
+    for writers in (1, 6):
+        monkeypatch.setattr(publish, "CUBE_WRITERS", writers)
+        root = str(tmp_path / f"pub{writers}")
+        publish.refresh(spark, o, root, "2026-08-26 06:00:00")
+        published[writers] = {name: sorted(map(tuple, publish.read_table(spark, root, name).collect()))
+                              for name in schemas.TABLES}
+    assert published[1] == published[6]
+    assert len(published[6]["daily_total"]) == 3
