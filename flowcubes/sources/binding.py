@@ -297,7 +297,8 @@ def activity(spark: SparkSession, data_dir: str) -> DataFrame:
 # Landed pages: the order view rendered as the service's raw JSON
 # ---------------------------------------------------------------------------
 def _quoted(text: Column) -> Column:
-    return F.concat(F.lit('"'), text, F.lit('"'))
+    """A JSON string literal, escaped by Spark's own JSON writer."""
+    return F.regexp_extract(F.to_json(F.array(text)), r"^\[(.*)\]$", 1)
 
 
 def _asset_json(chain: Column, kind: Column, address: Column) -> Column:
