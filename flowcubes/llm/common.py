@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,6 +60,13 @@ def map_batches(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], dict
     return df.mapInArrow(run, kind)
 
 
+def map_whole(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
+    """`map_batches` that keeps all columns, whatever their names are: the
+    function gets and returns batches whose columns are in the order of ``df``."""
+    plain = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    return map_batches(plain, fn, plain.schema).toDF(*df.columns)
+
+
 def held_out(doc_id: str, folds: int, fold: int):
     """Whether crc32 of the id as text falls into the fold; a null id is held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold, F.lit(True))
@@ -116,3 +124,54 @@ def split_long(docs: DataFrame, size: int, overlap: int) -> DataFrame:
 def documents(docs: DataFrame) -> DataFrame:
     """doc_id as long and text, null as empty."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+
+def map_groups(df: DataFrame, keys: list[str], fn: Callable[[], Callable[[pa.RecordBatch], dict | None]], schema: str) -> DataFrame:
+    """``fn()`` of each group of rows with equal keys, as one batch. Groups are
+    dealt out by hash and streamed from sorted partitions, so that very many
+    small ones cost little; the caller bounds their sizes."""
+    kind = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step, rest = fn(), None
+        out: dict[str, list] = {f.name: [] for f in arrow}
+        held = 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal held
+            held = 0
+            made = pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+            for v in out.values():
+                v.clear()
+            return made
+
+        def take(group: pa.Table) -> None:
+            nonlocal held
+            found = step(group.combine_chunks().to_batches()[0])
+            if found:
+                for name, v in out.items():
+                    v.extend(found[name])
+                held = len(v)
+
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            if rest is not None:
+                rows = pa.concat_tables([rest, rows])
+            ends = [c.combine_chunks() for c in (rows.column(k) for k in keys)]
+            change = np.zeros(max(0, rows.num_rows - 1), bool)
+            for c in ends:
+                codes = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c).dictionary_encode(null_encoding="encode").indices.to_numpy()
+                change |= codes[1:] != codes[:-1]
+            at = [0, *(np.flatnonzero(change) + 1).tolist()]
+            for a, b in zip(at, at[1:]):
+                take(rows.slice(a, b - a))
+                if held >= 10_000:
+                    yield flush()
+            rest = rows.slice(at[-1]) if rows.num_rows else None
+        if rest is not None and rest.num_rows:
+            take(rest)
+        if held:
+            yield flush()
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, kind)

@@ -6,17 +6,49 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowcubes.llm import byte_bpe, packing, secret_scan, token_counts
+from flowcubes.llm import byte_bpe, embedding_dedup, fingerprints, language_id, near_dedup, packing, secret_scan, token_counts, toxicity, warc
 from flowcubes.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, by rank-order n-gram profiles."""
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.learn(docs))
+
+
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors of a label, by collision counting."""
+    return embedding_dedup.links(table(spark, sf_dir, "embeddings"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, by the string-kernel machine."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text, by the compiled transducer."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near-duplicate documents, by Order MinHash and alignment."""
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives and read back by the salvage reader."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invertible sketches of every text and its edited version."""
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text and the bytes they decode to."""
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
@@ -32,7 +64,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op4_token_counts, op8_byte_bpe, op9_best_fit_packing, op10_secret_scan)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (op1_language_id, op2_embedding_near_dedup, op3_toxicity, op4_token_counts, op5_order_minhash, op6_warc, op7_fingerprints, op8_byte_bpe, op9_best_fit_packing, op10_secret_scan)
+}
 
 
 def queries() -> dict[str, Query]:
@@ -48,4 +83,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The operators that SQL expresses; the others are tested against brute force."""
+    return {"op2_embedding_near_dedup": embedding_dedup.TWIN, "op6_warc": warc.TWIN}

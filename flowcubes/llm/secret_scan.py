@@ -24,7 +24,7 @@ from collections import deque
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from flowcubes.llm.common import map_batches
+from flowcubes.llm.common import map_batches, map_whole
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -218,8 +218,8 @@ def cover(text: str, spans: list[Span]) -> str:
 def redact(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """The same rows and columns with secrets covered in ``text`` and ``n_chars``
     brought up to date where it is there and the text changed."""
-    kind = docs.schema
-    at, length = kind.names.index(text), kind.names.index(n_chars) if n_chars in kind.names else None
+    names = docs.columns
+    at, length = names.index(text), names.index(n_chars) if n_chars in names else None
 
     def start():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -233,4 +233,4 @@ def redact(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> Dat
             return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
         return step
 
-    return map_batches(docs, start, kind)
+    return map_whole(docs, start)
