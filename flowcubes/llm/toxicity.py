@@ -4,8 +4,8 @@ Two words are alike by the three-letter subsequences that they share, where up
 to two other characters may stand between two letters and every character that
 a subsequence spans costs a factor; so an insult stays near itself with
 characters put in or left out. Landmarks are words that mark toxic labels.
-The kernels of a text's words with the landmarks, the largest of each, are its
-row; multiplied with the inverse root of the landmarks' own kernel matrix
+A power of the kernels of a text's words with the landmarks, summed and scaled by
+the root of their total, is its row; multiplied with the inverse root of the landmarks' own kernel matrix
 (Nyström) they are the features of a linear support vector machine, whose
 margins a sigmoid turns into scores.
 
@@ -36,23 +36,29 @@ from flowcubes.llm.common import held_out, map_batches, map_whole
 FOLDS, HELD_FOLD = 4, 2
 SAMPLE_DOCS = 4_000
 THRESHOLD = 0.3
-LANDMARKS = 96
+LANDMARKS = 160
 #: Landmark candidates: words in so many toxic documents of the sample, and so many words.
 MIN_DOCS, CANDIDATES = 3, 3_000
+#: No two landmarks have a larger kernel.
+ALIKE = 0.95
 DECAY = 0.8
 GAPS = [(a, b) for a in (1, 2, 3) for b in (1, 2, 3)]  # steps to the second and third letter
-#: Kernels below this are taken as 0.
-FLOOR = 0.35
+#: Normalised kernels below this are taken as 0; the others are raised to the power.
+FLOOR, POWER = 0.45, 4
+#: What is known of words is forgotten when there are so many.
+MEMO_WORDS = 400_000
 #: Longer words are cut into overlapping windows of so many characters.
 WINDOW = 32
-WORDS_AT_ONCE = 20_000
+WORDS_AT_ONCE = 5_000
 EDGE = re.compile(r"^\W+|\W+$")
+INNER = re.compile(r"[\W_]+")
 SPACED = re.compile(r"(?<!\S)(?:\S ){2,}\S(?!\S)")
 
 
 def words_of(text: str) -> set[str]:
     """Lower-cased words without punctuation at their ends; single characters
-    in a row make one word; long words are cut into overlapping windows."""
+    in a row make one word; a word with other characters inside also counts
+    without them; long words are cut into overlapping windows."""
     low = text.lower()
     out = set(low.split())
     if SPACED.search(low):
@@ -61,6 +67,10 @@ def words_of(text: str) -> set[str]:
     for w in out:
         if not (w[0].isalnum() and w[-1].isalnum()):
             w = EDGE.sub("", w)
+        if not w.isalnum():
+            bare = INNER.sub("", w)
+            if 3 <= len(bare) <= WINDOW:
+                found.add(bare)
         if len(w) > WINDOW:
             found.update(w[i:i + WINDOW] for i in range(0, len(w) - WINDOW // 2, WINDOW // 2))
         elif len(w) >= 3:
@@ -95,7 +105,8 @@ def vectors(words: list[str]) -> list[dict[int, float]]:
 
 
 class Kernel:
-    """Normalised kernels of words with the landmarks."""
+    """Kernels of words with the landmarks: the normalised subsequence kernel,
+    raised to ``POWER``."""
 
     def __init__(self, landmarks: list[str]):
         own = vectors(landmarks)
@@ -107,47 +118,63 @@ class Kernel:
             norm = np.sqrt(sum(x * x for x in v.values())) or 1.0
             for s, x in v.items():
                 self.weights[self.at[s], j] = x / norm
-        self.gram = self.weights.T @ self.weights
-
-    def __call__(self, words: list[str]) -> dict[str, np.ndarray]:
-        """Rows of the words that are near any landmark."""
-        out: dict[str, np.ndarray] = {}
-        for i in range(0, len(words), WORDS_AT_ONCE):
-            some = words[i:i + WORDS_AT_ONCE]
-            least = np.zeros(len(some))  # of the squared norm
-            hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            for word, sub, weight in _subsequences(some):
-                least += np.bincount(word, minlength=len(some)) * weight * weight
-                at = self.at[sub]
-                hit = at >= 0
-                hits.append((word[hit], at[hit], np.full(int(hit.sum()), weight)))
-            word, at, weight = (np.concatenate(x) for x in zip(*hits))
-            if not len(word):
-                continue
-            order = np.argsort(word, kind="stable")
-            word, at, weight = word[order], at[order], weight[order]
-            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            # at most what all of a word's hits would give if each were of the landmark it weighs most in
-            near = np.add.reduceat(weight * self.weights.max(1)[at], first) >= FLOOR * np.sqrt(least[word[first]])
-            ends = np.r_[first[1:], len(word)]
-            for k in np.flatnonzero(near):
-                span = slice(first[k], ends[k])
-                dots = weight[span] @ self.weights[at[span]]
-                w = word[first[k]]
-                if dots.max() >= FLOOR * np.sqrt(least[w]):
-                    row = dots / np.sqrt(sum(x * x for x in vectors([some[w]])[0].values()))
-                    if row.max() >= FLOOR:
-                        out[some[w]] = np.where(row >= FLOOR, row, 0.0)
-        return out
+        alike = self.weights.T @ self.weights
+        self.gram = alike**POWER
+        leaders: list[int] = []
+        group = []
+        for j in range(len(landmarks)):
+            near = [g for g, k in enumerate(leaders) if alike[j, k] >= 0.4]
+            if not near:
+                near = [len(leaders)]
+                leaders.append(j)
+            group.append(near[0])
+        #: each subsequence's largest weight in a group of similar landmarks
+        self.most = np.stack([self.weights[:, np.array(group) == g].max(1) for g in range(len(leaders))], axis=1)
+        self.cold: set[str] = set()
+        self.warm: dict[str, np.ndarray] = {}
+
+    def _add(self, words: list[str]) -> None:
+        """Finds the rows of words not seen yet."""
+        least = np.zeros(len(words))  # of the squared norm
+        hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for word, sub, weight in _subsequences(words):
+            least += np.bincount(word, minlength=len(words)) * weight * weight
+            at = self.at[sub]
+            hit = at >= 0
+            hits.append((word[hit], at[hit], np.full(int(hit.sum()), weight)))
+        word, at, weight = (np.concatenate(x) for x in zip(*hits))
+        if not len(word):
+            return
+        order = np.argsort(word, kind="stable")
+        word, at, weight = word[order], at[order], weight[order]
+        first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+        ends = np.r_[first[1:], len(word)]
+        # a word's kernel with a landmark is at most what its hits give with the most of the landmark's group
+        bound = np.add.reduceat(weight[:, None] * self.most[at], first).max(1)
+        for k in np.flatnonzero(bound >= FLOOR * np.sqrt(least[word[first]])):
+            span = slice(first[k], ends[k])
+            dots = weight[span] @ self.weights[at[span]]
+            w = words[word[first[k]]]
+            if dots.max() >= FLOOR * np.sqrt(least[word[first[k]]]):
+                row = dots / np.sqrt(sum(x * x for x in vectors([w])[0].values()))
+                if row.max() >= FLOOR:
+                    self.warm[w] = np.where(row >= FLOOR, row, 0.0) ** POWER
 
     def rows(self, texts: list[str | None]) -> np.ndarray:
-        """For each text the largest kernel of its words with each landmark."""
+        """For each text the summed kernels of its words with each landmark,
+        over the root of one and all of them."""
         words = [words_of(t) if t else set() for t in texts]
-        near = self(list(set().union(*words)))
+        if len(self.cold) + len(self.warm) > MEMO_WORDS:
+            self.cold, self.warm = set(), {}
+        new = list(set().union(*words).difference(self.cold, self.warm))
+        for i in range(0, len(new), WORDS_AT_ONCE):
+            self._add(new[i:i + WORDS_AT_ONCE])
+        self.cold.update(w for w in new if w not in self.warm)
         out = np.zeros((len(texts), self.weights.shape[1]))
         for i, own in enumerate(words):
-            if hot := own & near.keys():
-                out[i] = np.max([near[w] for w in hot], axis=0)
+            if hot := sorted(own & self.warm.keys()):
+                total = np.sum([self.warm[w] for w in hot], axis=0)
+                out[i] = total / np.sqrt(1 + total.sum())
         return out
 
 
@@ -204,7 +231,7 @@ def _landmarks(found: list[tuple[str, float]], n: int) -> list[str]:
     norms = [np.sqrt(sum(x * x for x in v.values())) for v in own]
     chosen: list[int] = []
     for i, v in enumerate(own):
-        if norms[i] and all(sum(x * own[j].get(s, 0.0) for s, x in v.items()) < 0.8 * norms[i] * norms[j] for j in chosen):
+        if norms[i] and all(sum(x * own[j].get(s, 0.0) for s, x in v.items()) < ALIKE * norms[i] * norms[j] for j in chosen):
             chosen.append(i)
             if len(chosen) == n:
                 break
@@ -252,7 +279,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     finally:
         sample.unpersist()
     values, vecs = np.linalg.eigh(Kernel(landmarks).gram)
-    root = (vecs / np.sqrt(np.maximum(values, 1e-6))) @ vecs.T
+    root = (vecs / np.sqrt(np.maximum(values, 1e-3))) @ vecs.T
     x, y = np.array([r["row"] for r in data]), np.array([1.0 if r["toxic"] else -1.0 for r in data])
     weights, bias = _svm(x @ root, y)
     slope, shift = _sigmoid(x @ root @ weights + bias, y)
