@@ -51,7 +51,8 @@ class Codec:
         return b"".join(map(self.raw.__getitem__, ids.tolist()))
 
 
-PRE_TOKEN = regex.compile(public_tokenizers.PATTERN)
+#: The pattern with the white space of Unicode, which Python's \s is not.
+PRE_TOKEN = regex.compile(public_tokenizers.PATTERN.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
 def boundaries(text: str, start: int, end: int, whole: bool) -> list[int]:

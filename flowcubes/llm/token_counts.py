@@ -41,6 +41,7 @@ MAX_WORDS = 300_000
 MAX_PAIRS = 1_000_000
 FINAL = 0x10000  # added to a symbol that ends a word
 BREAKS = " \t\n\r"
+TO_SPACE = str.maketrans(BREAKS, " " * len(BREAKS))
 FIRST_BREAK = re.compile(r"[ \t\n\r]")
 
 
@@ -59,7 +60,8 @@ class Transducer:
             spec = json.load(f)
         model, self.suffix = spec["model"], spec["model"]["end_of_word_suffix"]
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.words_of = regex.compile(split).findall
+        # the library's white space is Unicode's, which Python's \s is not
+        self.words_of = regex.compile(split.replace(r"\s", r"\p{White_Space}")).findall
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.cut_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split
         symbols = [self.symbol(t) for t in model["vocab"]]
@@ -164,7 +166,7 @@ class Transducer:
         return count
 
     def text(self, text: str) -> int:
-        return sum(map(self.piece, text.split()))
+        return sum(map(self.piece, text.translate(TO_SPACE).split(" ")))
 
     def chunk(self, text: str) -> tuple[str, int | None, str]:
         """The map of a chunk: (head, tokens, tail), or (all of it, None, "") if
