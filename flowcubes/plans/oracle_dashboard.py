@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..sources import binding
 from . import registry
 from .assets import size_buckets
-from .oracle import FF, FILLED, STABLE, XC, with_base
+from .oracle import FF, FILLED, STABLE, TOKENS, XC, token_id, with_base
 
 CNT = "finalized_orders_count"
 VOL = "filled_orders_volume_usd"
@@ -13,21 +13,15 @@ CORRIDOR = "src_chain_id || ' → ' || dst_chain_id"
 
 
 def _priced(where: str) -> str:
-    """Orders with the input side's symbol, decimals and stablecoin USD."""
-    return f"""
-p0 AS (
-  SELECT o.*, coalesce(t.symbol, jt.symbol) AS symbol, coalesce(t.decimals, jt.decimals) AS decimals
-  FROM ov o
-  LEFT JOIN evm_tokens t ON t.blockchain = o.input_asset_chain
-        AND t.contract_address = try(unhex(regexp_replace(o.input_asset_address, '^0x', '')))
-  LEFT JOIN jettons jt ON jt.address = CASE WHEN o.input_asset_chain = 'ton' THEN
-        '0:' || substr(upper(hex(from_base64(replace(replace(o.input_asset_address, '-', '+'), '_', '/')))), 5, 64) END
-  WHERE {where}
-),
+    """Orders ``o`` under a condition, with the decimals of what was sold and,
+    for dollar stablecoins, its USD."""
+    return TOKENS.strip() + f""",
 priced AS (
-  SELECT *, CASE WHEN symbol IN ({STABLE})
-                 THEN try_cast(actual_input_units AS DOUBLE) / power(10.0, decimals) END AS usd
-  FROM p0
+  SELECT o.*, k.decimals,
+         if(k.symbol IN ({STABLE}), o.actual_input_units::DOUBLE / power(10.0, k.decimals), NULL) AS usd
+  FROM (SELECT *, {token_id('input')} AS sold_id FROM ov) o
+  LEFT JOIN tokens k ON k.chain = o.input_asset_chain AND k.id = o.sold_id
+  WHERE {where}
 )"""
 
 
