@@ -10,6 +10,7 @@ they are cleaned up by the caller.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
@@ -20,12 +21,16 @@ from .. import schemas
 from . import ingest, quality
 
 CHUNK_ROWS = 50_000
+# Day folders for the published orders: worth it once a day holds gigabytes.
+PARTITION_ORDERS_BY_DAY = False
 # Cube tables written at the same time (independent jobs over the written orders).
 CUBE_WRITERS = 6
 
 
 def _run_id(run_ts: str) -> str:
-    return run_ts.replace(" ", "T").replace(":", "").replace("-", "")
+    """A folder name of this attempt alone: a rerun of the same stamp never
+    writes where readers may look."""
+    return f"{run_ts.replace(' ', 'T').replace(':', '').replace('-', '')}-{uuid.uuid4().hex}"
 
 
 def published_frame(name: str, df: DataFrame, run_ts: str) -> DataFrame:
@@ -57,7 +62,8 @@ def refresh(spark: SparkSession, orders: DataFrame, root: str,
     run_ts = str(run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S"))
     if dry_run:
         tables = {t: cubes.named_cube(orders, t) for t in schemas.CUBE_DIMENSIONS}
-        tables[schemas.ORDERS_TABLE] = ingest.stamp_run(orders, run_ts)
+        tables[schemas.ORDERS_TABLE] = orders
+        tables = {name: published_frame(name, df, run_ts) for name, df in tables.items()}
         health = quality.table_health(tables).collect()
         quality.check_health(health)
         quality.check_day_gaps(tables["daily_total"])
@@ -107,9 +113,11 @@ def _sorted_by_day(df: DataFrame, fmt: str) -> DataFrame:
 def _write_checked(df: DataFrame, name: str, path: str, fmt: str) -> dict[str, int]:
     """Write one table and return its health values (row count and NULL
     counts of the non-nullable columns), observed during the write itself."""
-    obs = Observation(f"health_{name}_{abs(hash(path))}")
-    _sorted_by_day(df, fmt).observe(obs, *quality.health_aggregates(name, df)) \
-        .write.mode("overwrite").format(fmt).save(path)
+    obs = Observation(f"health_{name}_{uuid.uuid4().hex}")
+    writer = _sorted_by_day(df, fmt).observe(obs, *quality.health_aggregates(name, df)).write.mode("errorifexists")
+    if name == schemas.ORDERS_TABLE and PARTITION_ORDERS_BY_DAY:
+        writer = writer.partitionBy("day")
+    writer.format(fmt).save(path)
     return {k: int(v) for k, v in obs.get.items()}
 
 
@@ -121,8 +129,8 @@ def _write(df: DataFrame, path: str, fmt: str, partition_by_day: bool = False) -
     min/max statistics without one directory per day. ``partition_by_day``
     adds day directories, worth it when a day holds gigabytes."""
     df = _sorted_by_day(df, fmt)
-    obs = Observation(f"rows_{abs(hash(path))}")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    obs = Observation(f"rows_{uuid.uuid4().hex}")
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
     if partition_by_day and "day" in df.columns:
         writer = writer.partitionBy("day")
     if fmt == "json":
@@ -138,15 +146,19 @@ def _hadoop_fs(spark: SparkSession, path: str):
 
 
 def _set_pointer(spark: SparkSession, root: str, run_dir: str) -> None:
-    """Write ``_current`` via a temporary file and a rename."""
+    """Write ``_current`` beside its place and rename it over the old one in
+    one step, so that a reader always finds either pointer whole."""
     fs, final = _hadoop_fs(spark, f"{root}/_current")
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/_current.tmp")
-    out = fs.create(tmp, True)
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{root}/_current.{uuid.uuid4().hex}")
+    out = fs.create(tmp, False)
     out.write(bytearray(run_dir.encode("utf-8")))
     out.close()
-    if fs.exists(final):
-        fs.delete(final, False)
-    fs.rename(tmp, final)
+    options = jvm.org.apache.hadoop.fs.Options
+    overwrite = spark.sparkContext._gateway.new_array(getattr(options, "Rename"), 1)
+    overwrite[0] = getattr(options, "Rename").OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(context.makeQualified(tmp), context.makeQualified(final), overwrite)
 
 
 def current_run(spark: SparkSession, root: str) -> str | None:
@@ -174,24 +186,27 @@ def full_refresh(spark: SparkSession, tables: Mapping[str, DataFrame], root: str
     """Validate every table, then (unless ``dry_run``) write all of
     them under a new run directory, reconcile, and switch the pointer.
 
-    Unknown table names are fatal here (V5). Returns rows per table."""
+    Unknown table names are fatal here (V5), and so is a table that is left
+    out. Returns rows per table."""
     unknown = [n for n in tables if n not in schemas.TABLES]
     if unknown:
         raise quality.PublishError(f"no schema for table(s) {unknown}")
+    absent = [n for n in schemas.TABLES if n not in tables]
+    if absent:  # a switch would hide them from readers
+        raise quality.PublishError(f"table(s) {absent} are not in this run; a run publishes all of {list(schemas.TABLES)}")
     run_ts = str(run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S"))
-    quality.validate(tables)
+    # Projected first, so a required column that a table lacks is seen as NULL and refused.
+    ready = {name: published_frame(name, df, run_ts) for name, df in tables.items()}
+    quality.validate(ready)
     if dry_run:
-        health = quality.table_health(tables).select("table", "rows").distinct().collect()
+        health = quality.table_health(ready).select("table", "rows").distinct().collect()
         return {r["table"]: int(r["rows"]) for r in health}
     run_dir = f"{root}/runs/{_run_id(run_ts)}"
-    written: dict[str, int] = {}
-    for name, df in tables.items():
-        path = f"{run_dir}/{name}"
-        sent = _write(published_frame(name, df, run_ts), path, fmt)
-        landed = spark.read.format(fmt).load(path).count()
-        if landed != sent:  # V6
-            raise quality.PublishError(f"{name}: wrote {sent} rows but {landed} landed; not switching")
-        written[name] = sent
+    written = {name: _write(df, f"{run_dir}/{name}", fmt) for name, df in ready.items()}
+    landed = _landed_rows(spark, run_dir, list(written), fmt)
+    for name, sent in written.items():  # V6
+        if landed.get(name, 0) != sent:
+            raise quality.PublishError(f"{name}: wrote {sent} rows but {landed.get(name, 0)} landed; not switching")
     _set_pointer(spark, root, run_dir)
     return written
 
@@ -203,25 +218,31 @@ def write_ndjson(df: DataFrame, path: str) -> int:
 
 def trim_recent(orders: DataFrame, as_of: str, keep_days: int) -> DataFrame:
     """Orders of the last ``keep_days`` days before ``as_of`` (cubes keep
-    all time). A filter on the ``day`` partition column prunes files."""
+    all time): a predicate on ``day``, which prunes the day folders of a table
+    written with them and row groups elsewhere."""
     as_of_d = F.lit(as_of).cast("date")
     return orders.where((F.col("day") >= F.date_sub(as_of_d, keep_days)) & (F.col("day") < as_of_d))
 
 
 def rewrite_recent(df: DataFrame, path: str, as_of: str, recent_days: int, fmt: str = "parquet") -> None:
-    """P5: history is append-only; only the last ``recent_days`` day
-    partitions are rewritten (late finalizations change them), via dynamic
-    partition overwrite. ``recent_days`` must cover the late-finalization
-    tail."""
+    """P5: history is append-only; the days from ``recent_days`` before
+    ``as_of`` up to ``as_of`` are replaced as a whole (late finalizations
+    change them): days with rows by dynamic partition overwrite, and days that
+    have none any more lose their folder. ``recent_days`` must cover the
+    late-finalization tail. Rows after ``as_of`` are refused."""
     spark = df.sparkSession
-    previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        as_of_d = F.lit(as_of).cast("date")
-        recent = df.where(F.col("day") >= F.date_sub(as_of_d, recent_days))
-        recent.write.mode("overwrite").partitionBy("day").format(fmt).save(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", previous)
+    first = F.date_sub(F.lit(as_of).cast("date"), recent_days)
+    recent = df.where(F.col("day") >= first)
+    days = {r["day"].isoformat() for r in recent.select("day").distinct().limit(recent_days + 2).collect()}
+    if any(d > as_of for d in days):
+        raise quality.PublishError(f"rows after {as_of} in the recent window; refusing to rewrite")
+    recent.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").format(fmt).save(path)
+    fs, _ = _hadoop_fs(spark, path)
+    start = dt.date.fromisoformat(as_of) - dt.timedelta(days=recent_days)
+    for i in range(recent_days + 1):
+        day = (start + dt.timedelta(days=i)).isoformat()
+        if day not in days:
+            fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/day={day}"), True)
 
 
 def split_history(df: DataFrame, as_of: str, recent_days: int) -> tuple[DataFrame, DataFrame]:
