@@ -26,12 +26,9 @@ def ton_raw_if(chain: Column, address: Column, friendly_chain: str = FRIENDLY_CH
 
 
 def evm_key(address: Column) -> Column:
-    """``0x``-hex address -> binary key; bad hex -> NULL.
-
-    The prefix is stripped first: hex decoding of the whole ``0x..`` text is
-    NULL rather than the intended bytes.
-    """
-    return F.try_to_binary(F.regexp_replace(address, "^0x", ""), F.lit("hex"))
+    """``0x``-hex address -> binary key; NULL unless whole bytes of hex follow
+    the prefix (which may be left out)."""
+    return F.when(address.rlike("^(0x)?([0-9A-Fa-f]{2})+$"), F.unhex(F.regexp_replace(address, "^0x", "")))
 
 
 def truncate_label(value: Column, head: int, tail: int = 0) -> Column:

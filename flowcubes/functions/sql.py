@@ -13,7 +13,7 @@ FUNCTIONS = {
         "address STRING", "STRING",
         "concat('0:', upper(hex(substr(try_to_binary(translate(address, '-_', '+/'), 'base64'), 3, 32))))",
     ),
-    "evm_key": ("address STRING", "BINARY", "try_to_binary(regexp_replace(address, '^0x', ''), 'hex')"),
+    "evm_key": ("address STRING", "BINARY", "if(address rlike '^(0x)?([0-9A-Fa-f]{2})+$', unhex(regexp_replace(address, '^0x', '')), NULL)"),
     "short_label": (
         "value STRING, head INT, tail INT", "STRING",
         "concat(substr(value, 1, head), '…', if(tail > 0, substr(value, -tail, tail), ''))",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def percentile(column: str, p: float, exact: bool = True, accuracy: int = 10_000) -> Column:
@@ -25,6 +26,23 @@ def ratio(num: Column, den: Column) -> Column:
     return num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0))
 
 
+def whole_units(text: Column) -> Column:
+    """Raw units as an exact integer; NULL if they are not a number. Units of
+    more than 38 digits cannot be summed exactly and fail the job."""
+    digits = F.regexp_replace(text, "^0+", "")
+    wide = F.concat(F.lit("units of more than 38 digits: "), text)
+    return F.when(digits.rlike("^[0-9]{39,}$"), F.raise_error(wide).cast("decimal(38,0)")).otherwise(text.try_cast("decimal(38,0)"))
+
+
+def shifted(text: Column, decimals: Column, kind: T.DecimalType) -> Column:
+    """``units / 10^decimals`` exactly, by placing the point in the digits;
+    NULL if the units are not digits or the amount does not fit ``kind``."""
+    places = decimals.cast("int")
+    digits = F.when(text.rlike("^[0-9]+$"), F.lpad(text, F.greatest(F.length(text), places + 1), F.lit("0")))
+    whole = F.substring(digits, F.lit(1), F.length(digits) - places)
+    return F.concat(whole, F.lit("."), F.right(digits, places)).try_cast(kind)
+
+
 def dsum(value: Column) -> Column:
     """Exact sum (inputs are DECIMAL), published as DOUBLE."""
     return F.sum(value).cast("double")

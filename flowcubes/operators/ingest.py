@@ -1,9 +1,10 @@
 """Ingest: landed JSON pages -> flat, typed orders and cube rows.
 
 Pages land as files of ``{"result": {"orders": [...], "has_next_page": b}}``
-(or ``"rows"`` for cube pulls); a missing list means an empty page. Each file
-is split by Spark like any JSON source, and flattening is a single
-``select`` of native column expressions.
+(or ``"rows"`` for cube pulls). A well-formed ``result`` without its list is an
+empty page; anything else that is not such a page (cut short, an error body,
+not JSON) fails the read and names the file, and ``page_problems`` lists all of
+them. Flattening is a single ``select`` of native column expressions.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from .. import schemas
 from ..functions.flatten import asset_columns, chain_address_columns, seconds, units
+from ..functions.stats import shifted
 
 NANOS = 1_000_000_000
 WINDOW_DAYS = 30  # the service caps a filtered range at 31 days
@@ -25,94 +27,121 @@ WINDOW_DAYS = 30  # the service caps a filtered range at 31 days
 # ---------------------------------------------------------------------------
 # Page explode
 # ---------------------------------------------------------------------------
-def read_order_pages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Raw orders with their landing position (``_page`` file, ``_pos``
-    index within the page)."""
-    pages = spark.read.schema(schemas.ORDER_PAGE).json(path)
-    return explode_order_pages(pages.withColumn("_page", F.col("_metadata.file_path")))
+#: Pages of one file follow one another as lines; no object ends a line before another begins inside a page.
+PAGE_BREAK = r"(?<=\})\s*\n\s*(?=\{\s*\")"
+
+
+def page_texts(files: DataFrame, column: str = "value", name: Column | None = None) -> DataFrame:
+    """``_page, _text``: the pages of landed files, from their whole texts."""
+    parts = F.posexplode(F.split(F.trim(F.col(column)), PAGE_BREAK))
+    pages = files.select((name if name is not None else F.monotonically_increasing_id().cast("string")).alias("_file"), parts)
+    return pages.select(
+        F.when(F.col("pos") > 0, F.concat("_file", F.lit("#"), F.col("pos").cast("string"))).otherwise(F.col("_file")).alias("_page"),
+        F.col("col").alias("_text"))
+
+
+def landed_pages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """The pages of landed files. A file of no bytes is a page too, a bad one;
+    scans leave such files out, so they are taken from the listing."""
+    files = spark.read.format("binaryFile").load(path).select("path", F.decode("content", "UTF-8").alias("value"))
+    empty = [(name, "") for p in ([path] if isinstance(path, str) else path) for name in _empty_files(spark, p)]
+    if empty:
+        files = files.where(F.length("value") > 0).unionByName(spark.createDataFrame(empty, "path string, value string"))
+    return page_texts(files, name=F.col("path"))
+
+
+def _empty_files(spark: SparkSession, path: str) -> list[str]:
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for top in fs.globStatus(root) or []:
+        for f in fs.listStatus(top.getPath()) if top.isDirectory() else [top]:
+            if f.isFile() and f.getLen() == 0 and f.getPath().getName()[0] not in "._":
+                found.append(f.getPath().toString())
+    return found
+
+
+def _parsed(pages: DataFrame, schema: T.StructType) -> DataFrame:
+    kind = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    return pages.withColumn("_p", F.from_json("_text", kind, {"columnNameOfCorruptRecord": "_bad"}))
+
+
+def _problem() -> Column:
+    return F.when(F.col("_p").isNull() | F.col("_p._bad").isNotNull(), F.lit("not a JSON page")).when(
+        F.col("_p.result").isNull(), F.lit("no result"))
+
+
+def page_problems(pages: DataFrame, schema: T.StructType = schemas.ORDER_PAGE) -> DataFrame:
+    """``_page, problem`` of every page that may not be read as one."""
+    return _parsed(pages, schema).select("_page", _problem().alias("problem")).where("problem is not null")
+
+
+def _results(pages: DataFrame, schema: T.StructType) -> DataFrame:
+    """``_page, result`` of pages; a bad one fails the job and is named."""
+    said = F.concat(F.lit("bad page "), F.col("_page"), F.lit(": "), _problem())
+    result = F.when(_problem().isNotNull(), F.raise_error(said).cast(schema["result"].dataType)).otherwise(F.col("_p.result"))
+    return _parsed(pages, schema).select("_page", result.alias("result"))
 
 
 def explode_order_pages(pages: DataFrame) -> DataFrame:
-    page_col = F.col("_page") if "_page" in pages.columns else F.lit(None).cast("string")
-    exploded = pages.select(
-        page_col.alias("_page"),
-        F.posexplode(F.coalesce(F.col("result.orders"), F.array().cast(T.ArrayType(schemas.RAW_ORDER)))),
-    )
-    return exploded.select("_page", F.col("pos").alias("_pos"), "col.*")
+    """Raw orders with their landing position: ``_page`` and ``_pos`` within it."""
+    return _results(pages, schemas.ORDER_PAGE).select("_page", F.posexplode("result.orders").alias("_pos", "_o")).select("_page", "_pos", "_o.*")
 
 
-def parse_order_pages(text: DataFrame, column: str = "value") -> DataFrame:
-    """I1 over pages that arrive as JSON text in a column (a text or
-    streaming source) rather than as files."""
-    pages = text.select(F.from_json(F.col(column), schemas.ORDER_PAGE).alias("_p")).select("_p.*")
-    return explode_order_pages(pages)
+def explode_cube_pages(pages: DataFrame) -> DataFrame:
+    return _results(pages, schemas.CUBE_PAGE).select(F.explode("result.rows").alias("r")).select("r.*")
 
 
-def parse_cube_pages(text: DataFrame, column: str = "value") -> DataFrame:
-    """Cube pages that arrive as JSON text in a column."""
-    pages = text.select(F.from_json(F.col(column), schemas.CUBE_PAGE).alias("_p")).select("_p.*")
-    return explode_cube_pages(pages)
+def read_order_pages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    return explode_order_pages(landed_pages(spark, path))
 
 
 def read_cube_pages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    pages = spark.read.schema(schemas.CUBE_PAGE).json(path)
-    return explode_cube_pages(pages)
+    return explode_cube_pages(landed_pages(spark, path))
 
 
-def explode_cube_pages(pages: DataFrame) -> DataFrame:
-    rows = F.coalesce(F.col("result.rows"), F.array().cast(T.ArrayType(schemas.RAW_CUBE_ROW)))
-    return pages.select(F.explode(rows).alias("r")).select("r.*")
+def parse_order_pages(text: DataFrame, column: str = "value") -> DataFrame:
+    """I1 over pages that arrive as JSON text in a column (a text or
+    streaming source) rather than as files."""
+    return explode_order_pages(page_texts(text, column))
+
+
+def parse_cube_pages(text: DataFrame, column: str = "value") -> DataFrame:
+    """Cube pages that arrive as JSON text in a column."""
+    return explode_cube_pages(page_texts(text, column))
 
 
 # ---------------------------------------------------------------------------
 # Order flatten and latency
 # ---------------------------------------------------------------------------
-def _gap(later: Column, earlier: Column) -> Column:
-    # NULL-propagating subtraction: NULL if either clock is missing.
-    return later - earlier
+#: Each latency is the time from one clock to a later one.
+LATENCIES = {
+    "t_quote": ("quote_request_time", "quote_time"),
+    "t_decide": ("quote_time", "order_create_time"),
+    "t_settle": ("order_create_time", "order_finalize_time"),
+    "t_total": ("quote_request_time", "order_finalize_time"),
+}
 
 
 def flatten_orders(raw: DataFrame) -> DataFrame:
     """Raw orders -> the 38 published order columns (all but ``run_ts``).
 
-    Source / destination chain are the chains of the sold / bought asset;
-    units stay text with ``""`` as NULL; fee pips default to 0; the four
-    latencies are NULL when either of their clocks is missing."""
-    requested = seconds(F.col("quote_request_time"))
-    quoted = seconds(F.col("quote_time"))
-    created = seconds(F.col("order_create_time"))
-    finalized = seconds(F.col("order_finalize_time"))
-    in_cols = asset_columns(F.col("input_asset"), "input_asset")
-    out_cols = asset_columns(F.col("output_asset"), "output_asset")
-    addr_cols = []
+    A chain side is the chain of the asset on that side; units stay text with
+    ``""`` as NULL; absent fee pips are 0; a latency is NULL when either of its
+    clocks is. The schema decides the order of the columns."""
+    made: dict[str, Column] = {c: F.col(c) for c in ("status", "quote_id", "resolver_id")}
+    made["lt"] = F.col("lt").cast("string")
+    for side, end in (("input", "src"), ("output", "dst")):
+        chain, kind, address = asset_columns(F.col(f"{side}_asset"), f"{side}_asset")
+        made |= {f"{side}_asset_chain": chain, f"{side}_asset_kind": kind, f"{side}_asset_address": address, f"{end}_chain_id": chain}
     for field in schemas.ADDRESS_FIELDS:
-        addr_cols += chain_address_columns(F.col(field), field.removesuffix("_address"))
-    pips = [
-        F.coalesce(seconds(F.col(f)), F.lit(0.0)).alias(f)
-        for f in ("integrator_fee_pips", "protocol_fee_pips")
-    ]
-    flat = raw.select(
-        F.col("lt").cast("string").alias("lt"),
-        "status",
-        "quote_id",
-        in_cols[0].alias("src_chain_id"),
-        out_cols[0].alias("dst_chain_id"),
-        *in_cols,
-        *out_cols,
-        *[units(F.col(f)).alias(f) for f in schemas.UNIT_FIELDS],
-        *pips,
-        "resolver_id",
-        *addr_cols,
-        requested.alias("quote_request_time"),
-        quoted.alias("quote_time"),
-        created.alias("order_create_time"),
-        finalized.alias("order_finalize_time"),
-        _gap(quoted, requested).alias("t_quote"),
-        _gap(created, quoted).alias("t_decide"),
-        _gap(finalized, created).alias("t_settle"),
-        _gap(finalized, requested).alias("t_total"),
-    )
-    return flat
+        stem = field.removesuffix("_address")
+        made[f"{stem}_chain"], made[field] = chain_address_columns(F.col(field), stem)
+    made |= {f: units(F.col(f)) for f in schemas.UNIT_FIELDS}
+    made |= {f: F.coalesce(seconds(F.col(f)), F.lit(0.0)) for f in ("integrator_fee_pips", "protocol_fee_pips")}
+    made |= {f: seconds(F.col(f)) for f in schemas.CLOCK_FIELDS}
+    made |= {name: made[until] - made[since] for name, (since, until) in LATENCIES.items()}
+    return raw.select(*[made[f.name].alias(f.name) for f in schemas.ORDERS.fields if f.name != "run_ts"])
 
 
 def with_silver_keys(flat: DataFrame) -> DataFrame:
@@ -128,34 +157,29 @@ def price_silver(flat: DataFrame, evm_tokens: DataFrame, jettons: DataFrame,
     stablecoins: finalized (quoted input), filled (actual input, settled
     only) and both fees (collected in the output asset).
 
-    Unpriceable amounts are 0: they exist but carry no dollar figure."""
+    No digit is cut: amounts keep 18 decimals. One that cannot be priced (no
+    stablecoin, no number, beyond the column's range) is NULL, which is not the
+    0 of an order that moved nothing; ``quality.pricing_coverage`` counts them."""
     from . import pricing
 
-    def usd(units_col: str, decimals_col: str, out_type: T.DecimalType) -> Column:
-        amount = F.col(units_col).try_cast("decimal(38,0)")
-        scale = F.pow(F.lit(10), F.col(decimals_col)).cast("decimal(38,0)")
-        return F.coalesce(F.try_divide(amount, scale).cast(out_type), F.lit(0).cast(out_type))
+    sides = flat
+    for side, places in (("input", "_in_dec"), ("output", "_out_dec")):
+        sides = pricing.resolve_tokens(sides, f"{side}_asset_chain", f"{side}_asset_address", evm_tokens, jettons)
+        sides = sides.withColumn(places, F.when(pricing.symbol().isin(*stable), pricing.decimals())).drop(
+            "evm_symbol", "evm_decimals", "ton_symbol", "ton_decimals")
 
-    inp = pricing.resolve_tokens(flat, "input_asset_chain", "input_asset_address", evm_tokens, jettons)
-    inp = inp.withColumn("_in_dec", F.when(pricing.symbol().isin(*stable), pricing.decimals())).drop(
-        "evm_symbol", "evm_decimals", "ton_symbol", "ton_decimals"
-    )
-    both = pricing.resolve_tokens(inp, "output_asset_chain", "output_asset_address", evm_tokens, jettons)
-    both = both.withColumn("_out_dec", F.when(pricing.symbol().isin(*stable), pricing.decimals())).drop(
-        "evm_symbol", "evm_decimals", "ton_symbol", "ton_decimals"
-    )
-    filled = F.col("status") == F.lit(schemas.FILLED)
-    zero = F.lit(0).cast(schemas.USD)
-    zero_fee = F.lit(0).cast(schemas.FEE_USD)
-    return both.select(
-        *[c for c in both.columns if c not in ("_in_dec", "_out_dec")],
-        usd("quote_input_units", "_in_dec", schemas.USD).alias("finalized_usd"),
-        F.when(filled, usd("actual_input_units", "_in_dec", schemas.USD)).otherwise(zero).alias("filled_usd"),
-        F.when(filled, usd("actual_protocol_fee_units", "_out_dec", schemas.FEE_USD))
-        .otherwise(zero_fee).alias("protocol_fee_usd"),
-        F.when(filled, usd("actual_integrator_fee_units", "_out_dec", schemas.FEE_USD))
-        .otherwise(zero_fee).alias("integrator_fee_usd"),
-    )
+    def usd(units_col: str, places: str) -> Column:
+        return shifted(F.col(units_col), F.col(places), schemas.EXACT_USD)
+
+    def when_filled(value: Column) -> Column:
+        return F.when(F.col("status") == F.lit(schemas.FILLED), value).otherwise(F.lit(0).cast(schemas.EXACT_USD))
+
+    return sides.withColumns({
+        "finalized_usd": usd("quote_input_units", "_in_dec"),
+        "filled_usd": when_filled(usd("actual_input_units", "_in_dec")),
+        "protocol_fee_usd": when_filled(usd("actual_protocol_fee_units", "_out_dec")),
+        "integrator_fee_usd": when_filled(usd("actual_integrator_fee_units", "_out_dec")),
+    }).drop("_in_dec", "_out_dec")
 
 
 # ---------------------------------------------------------------------------
@@ -183,8 +207,8 @@ def parse_day(text: Column) -> Column:
 
 
 def project(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Keep exactly the schema's columns in order; absent ones become typed
-    NULLs."""
+    """The table as its schema has it: other columns go, and a column that is
+    not there is NULL of its type."""
     present = set(df.columns)
     return df.select(
         *[
@@ -222,24 +246,31 @@ def cursor_violations(landed: DataFrame) -> DataFrame:
     numbered one lower (page files end in a sequence number). Returns the offending rows with a
     ``problem`` column (empty when the landing is sound)."""
     lt = F.col("lt").try_cast("decimal(38,0)")
-    rows = landed.select("_page", "_pos", lt.alias("_lt"))
+    # a file may hold several pages, named file#1, file#2, ... after the first
+    parts = F.regexp_extract("_page", r"#(\d+)$", 1).try_cast("int")
+    rows = landed.select("_page", "_pos", lt.alias("_lt"), F.regexp_replace("_page", r"#\d+$", "").alias("_file"),
+                         F.struct(F.coalesce(parts, F.lit(0)).alias("n"), F.col("_pos")).alias("_at"))
     in_page = (
-        rows.withColumn("_prev", F.lag("_lt").over(Window.partitionBy("_page").orderBy("_pos")))
+        rows.withColumn("_prev", F.lag("_lt").over(Window.partitionBy("_file").orderBy("_at")))
         .where(F.col("_prev").isNotNull() & (F.col("_lt") <= F.col("_prev")))
         .select("_page", "_pos", F.col("_lt").cast("string").alias("lt"), F.lit("not ascending in page").alias("problem"))
     )
-    pages = rows.groupBy("_page").agg(
-        F.min_by("_lt", "_pos").alias("_first"), F.max_by("_lt", "_pos").alias("_last"), F.min("_pos").alias("_p0")
-    ).withColumn("_seq", F.regexp_extract("_page", r"(\d+)\D*$", 1).try_cast("bigint"))
+    name = F.substring_index("_file", "/", -1)
+    pages = rows.groupBy("_file").agg(
+        F.min_by("_lt", "_at").alias("_first"), F.max_by("_lt", "_at").alias("_last"), F.min("_pos").alias("_p0")
+    ).withColumn("_seq", F.regexp_extract(name, r"(\d+)\D*$", 1).try_cast("bigint")).withColumnRenamed("_file", "_page")
     # Page n is compared with page n - 1 by an equi-join on the sequence
     # number in the file name: no window over all pages of a landing.
     prev = pages.select((F.col("_seq") + 1).alias("_seq"), F.col("_last").alias("_prev_last"))
-    across = (
-        pages.join(prev, "_seq")
-        .where(F.col("_first") <= F.col("_prev_last"))
-        .select("_page", F.col("_p0").alias("_pos"), F.col("_first").cast("string").alias("lt"),
-                F.lit("cursor did not advance").alias("problem"))
+    start = pages.agg(F.min("_seq").alias("_start"))
+    checked = pages.join(prev, "_seq", "left").join(F.broadcast(start))  # one row
+    said = (
+        F.when(F.col("_seq").isNull(), F.lit("page has no number"))
+        .when(F.col("_prev_last").isNull() & (F.col("_seq") > F.col("_start")), F.lit("page before is missing"))
+        .when(F.col("_first") <= F.col("_prev_last"), F.lit("cursor did not advance"))
     )
+    across = checked.select(
+        "_page", F.col("_p0").alias("_pos"), F.col("_first").cast("string").alias("lt"), said.alias("problem")).where("problem is not null")
     dupes = (
         rows.groupBy("_lt").agg(F.count(F.lit(1)).alias("_n"), F.min("_page").alias("_page"), F.min("_pos").alias("_pos"))
         .where(F.col("_n") > 1)

@@ -24,12 +24,14 @@ def latest_revision(jettons: DataFrame, key: str = "address", updated: str = "_u
                     values: Sequence[str] = ("symbol", "decimals")) -> DataFrame:
     """Newest revision per address among rows that have a symbol.
 
-    ``max_by`` over a struct aggregates partially per partition -- no sort and
+    A revision without a date is the oldest; of several at the same time the
+    one of largest ``values`` counts, so the pick never depends on row order.
+    The maximum of a struct aggregates partially per partition -- no sort and
     no window over a hot address."""
     picked = (
         jettons.where(F.col("symbol").isNotNull())
         .groupBy(key)
-        .agg(F.max_by(F.struct(*values), F.col(updated)).alias("_r"))
+        .agg(F.max(F.struct(F.col(updated), *values)).alias("_r"))
     )
     return picked.select(key, *[F.col(f"_r.{v}").alias(v) for v in values])
 

@@ -6,7 +6,7 @@ of findings; ``validate`` turns findings into one ``PublishError``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +24,10 @@ def health_aggregates(name: str, df: DataFrame) -> list[Column]:
     """V1 + V2 as aggregate expressions: ``rows`` and ``n_<column>`` (NULL
     count) per required column. They run as one aggregate over the table,
     or ride along a write as an ``observe`` so no second scan is needed."""
-    required = [c for c in schemas.required_columns(name) if c in df.columns]
+    required = schemas.required_columns(name)
+    absent = [c for c in required if c not in df.columns]
+    if absent:
+        raise PublishError(f"{name} lacks required column(s) {absent}; refusing to publish")
     return [F.count(F.lit(1)).alias("rows")] + [
         F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in required
     ]
@@ -46,7 +49,7 @@ def table_health(tables: Mapping[str, DataFrame]) -> DataFrame:
     for name, df in tables.items():
         if name not in schemas.TABLES:
             continue
-        required = [c for c in schemas.required_columns(name) if c in df.columns]
+        required = schemas.required_columns(name)
         one = df.agg(*health_aggregates(name, df))
         if required:
             pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"n_{c}").alias("null_rows"))
@@ -76,6 +79,23 @@ def day_gaps(cube: DataFrame, max_gap: int = MAX_DAY_GAP) -> DataFrame:
     )
 
 
+def null_rows(name: str, df: DataFrame, keys: Sequence[str] = ("lt", "day")) -> DataFrame:
+    """V1 with row identity: ``table, column, row`` for each NULL in a required
+    column, where ``row`` shows the key columns that the table has."""
+    shown = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit("NULL"))) for k in keys if k in df.columns])
+    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in schemas.required_columns(name)]))
+    return df.select(F.lit(name).alias("table"), F.explode(missing).alias("column"), shown.alias("row"))
+
+
+def pricing_coverage(orders: DataFrame) -> DataFrame:
+    """Orders, and those that carry a dollar figure, by day: an amount that
+    cannot be priced is NULL, and volumes leave it out."""
+    return orders.groupBy("day").agg(
+        F.count(F.lit(1)).alias("orders"), F.count("finalized_usd").alias("priced_orders"),
+        F.count_if(F.col("status") == F.lit(schemas.FILLED)).alias("filled_orders"),
+        F.count_if((F.col("status") == F.lit(schemas.FILLED)) & F.col("filled_usd").isNotNull()).alias("priced_filled_orders"))
+
+
 def unparseable_days(df: DataFrame, column: str = "day_text",
                      fmt: str = "yyyy-MM-dd'T'HH:mm:ssX") -> DataFrame:
     """V4: values of a day-text column that do not parse."""
@@ -95,9 +115,9 @@ def cube_order_mismatch(chainpair: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def unknown_statuses(orders: DataFrame) -> DataFrame:
+def unknown_statuses(orders: DataFrame, statuses: Sequence[str] = schemas.KNOWN_STATUSES) -> DataFrame:
     """V9: statuses outside the known domain, with counts."""
-    known = orders.sparkSession.createDataFrame([(s,) for s in schemas.KNOWN_STATUSES], "status string")
+    known = orders.sparkSession.createDataFrame([(s,) for s in statuses], "status string")
     return (
         orders.select("status").join(F.broadcast(known), "status", "left_anti")
         .groupBy("status").agg(F.count(F.lit(1)).alias("orders"))
@@ -108,7 +128,7 @@ def failed_with_units(orders: DataFrame) -> DataFrame:
     """Failed orders that nonetheless moved units."""
     moved = F.lit(False)
     for f in ("actual_input_units", "actual_output_units"):
-        moved = moved | F.coalesce(F.col(f).try_cast("decimal(38,0)") != 0, F.lit(False))
+        moved = moved | F.coalesce(F.col(f).rlike("^[0-9]*[1-9][0-9]*$"), F.lit(False))
     return orders.where((F.col("status") == F.lit(schemas.FAILED)) & moved)
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.stats import whole_units
+
 from ..operators import pricing
 from .common import cross_chain, rank_top_k, settled
 
@@ -102,7 +104,7 @@ def trade_size_distribution(orders: DataFrame, evm_tokens: DataFrame, jettons: D
         priced.groupBy(bucket.alias("bucket"), "decimals")
         .agg(
             F.count(F.lit(1)).alias("_n"),
-            F.sum(F.col("actual_input_units").try_cast("decimal(38,0)")).alias("_units"),
+            F.sum(whole_units(F.col("actual_input_units"))).alias("_units"),
         )
     )
     return (
@@ -112,6 +114,6 @@ def trade_size_distribution(orders: DataFrame, evm_tokens: DataFrame, jettons: D
             F.sum(F.col("_units").cast("double") / F.pow(F.lit(10.0), F.col("decimals"))).alias("volume_usd"),
         )
         .orderBy("bucket")
-        .select(F.substring("bucket", 4, 1000).alias("trade_size"),
+        .select(F.expr("substr(bucket, 4)").alias("trade_size"),
                 F.col("orders").cast("bigint").alias("orders"), "volume_usd")
     )

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import ratio
+from ..functions.stats import ratio, whole_units
 from ..operators import pricing
 from ..operators.percentiles import percentiles
 from .assets import SIZE_BOUNDS, size_buckets
@@ -104,7 +104,7 @@ def _exact_usd(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     precision and scaled once, so the total does not depend on summation
     order."""
     per_precision = df.groupBy(*keys, "decimals").agg(
-        F.sum(F.col("actual_input_units").try_cast("decimal(38,0)")).alias("_units"))
+        F.sum(whole_units(F.col("actual_input_units"))).alias("_units"))
     return per_precision.groupBy(*keys).agg(
         F.sum(F.col("_units").cast("double") / F.pow(F.lit(10.0), F.col("decimals"))).alias("volume_usd"))
 
@@ -230,7 +230,7 @@ def latency_by_size(orders: DataFrame, evm_tokens: DataFrame, jettons: DataFrame
     ps = percentiles(priced, ["bucket"], "t_total", {"p50": 0.5, "p90": 0.9, "p99": 0.99}, exact)
     return (
         n.join(ps, "bucket", "left").orderBy("bucket")
-        .select(F.substring("bucket", 4, 1000).alias("trade_size"), "swaps", "p50", "p90", "p99")
+        .select(F.expr("substr(bucket, 4)").alias("trade_size"), "swaps", "p50", "p90", "p99")
     )
 
 
@@ -328,7 +328,7 @@ def size_concentration(orders: DataFrame, evm_tokens: DataFrame, jettons: DataFr
     priced = pricing.price_orders(orders.where(settled() & cross_chain()), evm_tokens, jettons, stable) \
         .where(F.col("usd").isNotNull()).withColumnRenamed("src_trader_address", "trader")
     per = priced.groupBy("trader", "decimals").agg(
-        F.sum(F.col("actual_input_units").try_cast("decimal(38,0)")).alias("_units"),
+        F.sum(whole_units(F.col("actual_input_units"))).alias("_units"),
         F.count(F.lit(1)).alias("_n"),
     )
     scaled = F.col("_units").cast("double") / F.pow(F.lit(10.0), F.col("decimals"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import ratio
+from ..functions.stats import ratio, whole_units
 from ..operators.percentiles import percentiles
 from .common import created_ts, cross_chain, filled_count, one_row, settled
 
@@ -32,7 +32,7 @@ def token_flows(orders: DataFrame, deposit_token: str = TAGGED_TOKEN,
         F.when(dep, F.col("dst_trader_address")).otherwise(F.col("src_trader_address")).alias("wallet"),
     ).select(
         "day", "direction", "wallet",
-        F.col("_units_text").try_cast("decimal(38,0)").alias("units"),
+        whole_units(F.col("_units_text")).alias("units"),
         F.col("_units_text").try_cast("double").alias("_units_double"),
     )
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
-# Fixed values that must equal the source service's vocabulary.
+# Fixed values that must equal the source service's vocabulary: statuses, metric
+# names in publication order, cube dimensions, raw fields and published columns.
 # ---------------------------------------------------------------------------
 FILLED = "TRADE_STATUS_FULLY_FILLED"
 FAILED = "TRADE_STATUS_FAILED"
@@ -158,14 +159,16 @@ ORDERS = T.StructType(
 # creation-day partition key, a numeric seek key and exact USD amounts.
 USD = T.DecimalType(18, 2)
 FEE_USD = T.DecimalType(24, 4)
+# Amounts priced from raw units: tokens carry up to 18 decimals, none is cut.
+EXACT_USD = T.DecimalType(38, 18)
 SILVER_EXTRAS = T.StructType(
     [
         T.StructField("day", T.DateType()),
         T.StructField("lt_num", T.LongType()),
-        T.StructField("finalized_usd", USD),
-        T.StructField("filled_usd", USD),
-        T.StructField("protocol_fee_usd", FEE_USD),
-        T.StructField("integrator_fee_usd", FEE_USD),
+        T.StructField("finalized_usd", EXACT_USD),
+        T.StructField("filled_usd", EXACT_USD),
+        T.StructField("protocol_fee_usd", EXACT_USD),
+        T.StructField("integrator_fee_usd", EXACT_USD),
     ]
 )
 

@@ -15,26 +15,28 @@ def flat_asset(spark, asset):
     return (row.x_chain, row.x_kind, row.x_address)
 
 
-@pytest.mark.parametrize("asset, expected", [
-    ({"ton": {"native": {}}}, ("ton", "native", None)),
-    ({"ton": {"jetton": "EQCxE6mUtQJKFnGfaROTKOt1lZbDiiX1kCixRv7Nw2Id_sDs"}},
-     ("ton", "jetton", "EQCxE6mUtQJKFnGfaROTKOt1lZbDiiX1kCixRv7Nw2Id_sDs")),
-    ({"bnb": {"erc20": "0x55d398326f99059fF775485246999027B3197955"}},
-     ("bnb", "erc20", "0x55d398326f99059fF775485246999027B3197955")),
-    ({"tron": {"trc20": "TR7NHqjeKQxGTCi8q8ZY4pL8otSzgjLj6t"}}, ("tron", "trc20", "TR7NHqjeKQxGTCi8q8ZY4pL8otSzgjLj6t")),
-    ({"xlayer": {"erc20": "0xdeadbeef"}}, ("xlayer", "erc20", "0xdeadbeef")),
-    ({"ethereum": {"erc1155": {"contract_address": "0xabc", "token_id": "42"}}}, ("ethereum", "erc1155", "0xabc:42")),
-    ({"ethereum": {"erc1155": {"contract_address": "0xabc"}}}, ("ethereum", "erc1155", "0xabc:")),
-    ({"ton": {}}, ("ton", None, None)),
-    (None, (None, None, None)),
-    ({}, (None, None, None)),
-])
+CASES = {
+    "coin": ({"lunar": {"native": {}}}, ("lunar", "native", None)),
+    "friendly address": ({"ton": {"jetton": "kQAB-_cd"}}, ("ton", "jetton", "kQAB-_cd")),
+    "contract": ({"solis": {"erc20": "0xAB12"}}, ("solis", "erc20", "0xAB12")),
+    "unknown chain and kind": ({"pluto": {"p2p": "addr 9"}}, ("pluto", "p2p", "addr 9")),
+    "token of a contract": ({"solis": {"erc1155": {"contract_address": "0x77", "token_id": "900"}}}, ("solis", "erc1155", "0x77:900")),
+    "no token id": ({"solis": {"erc1155": {"contract_address": "0x77"}}}, ("solis", "erc1155", "0x77:")),
+    "object without contract": ({"solis": {"erc1155": {"token_id": "900"}}}, ("solis", "erc1155", None)),
+    "numeric token id": ({"solis": {"erc721": {"contract_address": "0x78", "token_id": 5}}}, ("solis", "erc721", "0x78:5")),
+    "quotes": ({"lunar": {"erc20": 'a"b'}}, ("lunar", "erc20", 'a"b')),
+    "chain alone": ({"lunar": {}}, ("lunar", None, None)),
+    "empty": ({}, (None, None, None)),
+    "null": (None, (None, None, None)),
+}
+
+
+@pytest.mark.parametrize("asset, expected", CASES.values(), ids=CASES.keys())
 def test_asset_flatten(spark, asset, expected):
     assert flat_asset(spark, asset) == expected
 
 
 def test_chain_address(spark):
-    df = spark.createDataFrame([({"polygon": "0xcd93"},), (None,)], T.StructType([T.StructField("a", schemas.CHAIN_ADDRESS)]))
+    df = spark.createDataFrame([({"lunar": "w-1"},), ({},), (None,)], T.StructType([T.StructField("a", schemas.CHAIN_ADDRESS)]))
     rows = df.select(*chain_address_columns(F.col("a"), "t")).collect()
-    assert (rows[0].t_chain, rows[0].t_address) == ("polygon", "0xcd93")
-    assert (rows[1].t_chain, rows[1].t_address) == (None, None)
+    assert [tuple(r) for r in rows] == [("lunar", "w-1"), (None, None), (None, None)]
