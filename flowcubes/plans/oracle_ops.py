@@ -196,14 +196,14 @@ def _sql_day_gaps() -> str:
     return with_base("""
 d AS (SELECT DISTINCT day FROM total WHERE day IS NOT NULL),
 g AS (SELECT lag(day) OVER (ORDER BY day) AS prev_day, day FROM d)
-SELECT prev_day, day, CAST(day - prev_day AS INTEGER) AS gap FROM g WHERE day - prev_day > 2""", ("total",))
+SELECT prev_day, day, CAST(day - prev_day AS INTEGER) AS gap FROM g WHERE day - prev_day > %d""" % registry_ops.DAY_GAP, ("total",))
 
 
 def _sql_cube_mismatch() -> str:
     return with_base(f"""
 fo AS (SELECT day, src_chain_id, dst_chain_id, status, count(*) AS order_rows FROM ov GROUP BY ALL),
 fc AS (SELECT day, src_chain_id, dst_chain_id, status, CAST(sum(finalized_orders_count) AS BIGINT) AS cube_count
-       FROM chainpair GROUP BY ALL)
+       FROM chainpair WHERE status = '{FILLED}' GROUP BY ALL)
 SELECT coalesce(fc.day, fo.day) AS day, coalesce(fc.src_chain_id, fo.src_chain_id) AS src_chain_id,
        coalesce(fc.dst_chain_id, fo.dst_chain_id) AS dst_chain_id, coalesce(fc.status, fo.status) AS status,
        cube_count, order_rows
@@ -216,7 +216,7 @@ def _sql_unknown_status() -> str:
     return with_base(f"""
 x AS (SELECT 1)
 SELECT status, count(*) AS orders FROM ov
-WHERE status IS NULL OR status NOT IN ('{FILLED}', '{FAILED}') GROUP BY status""")
+WHERE status IS DISTINCT FROM '{FILLED}' GROUP BY status""")
 
 
 def _sql_failed_units() -> str:
@@ -311,10 +311,19 @@ def _sql_ingest_cube_pages() -> str:
 def _sql_unparseable_days() -> str:
     cube = _cube_name(registry_ops.INGESTED_CUBE)
     return with_base(f"""
-t AS (SELECT strftime(day, '%Y-%m-%dT00:00:00Z') AS day_text FROM {cube})
+t AS (SELECT if(src_chain_id = '{registry_ops.ODD_DAYS_CHAIN}', strftime(day, '%Y/%m/%d'), strftime(day, '%Y-%m-%d')) || 'T00:00:00Z' AS day_text FROM {cube})
 SELECT day_text AS value FROM t WHERE try_strptime(day_text, '%Y-%m-%dT%H:%M:%SZ') IS NULL""", (cube,))
 
 
+def _sql_freshness() -> str:
+    return with_base("""
+stamps AS (
+  SELECT make_timestamp((max(order_finalize_time) * 1000000)::BIGINT) AS v FROM ov
+  UNION ALL SELECT max(day)::TIMESTAMP FROM ov
+)
+SELECT max(v) AS refreshed_at, count(DISTINCT v) AS distinct_vintages FROM stamps""")
+
+
 def operator_sql() -> dict[str, str]:
     out = {f"cube_{t}": _sql_cube(t) for t in schemas.CUBE_DIMENSIONS}
     out.update({
@@ -330,6 +339,7 @@ def operator_sql() -> dict[str, str]:
         "token_pricing_reconciliation": _sql_reconciliation(),
         "token_top_k": _sql_top_resolvers(),
         "token_labels": _sql_labels(),
+        "freshness": _sql_freshness(),
         "quality_table_health": _sql_health(),
         "quality_day_gaps": _sql_day_gaps(),
         "quality_cube_reconciliation": _sql_cube_mismatch(),

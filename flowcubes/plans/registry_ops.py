@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.address import evm_key, ton_raw, truncate_label
+from ..functions.stats import whole_units
 from ..operators import cubes, ingest, pricing, publish, quality
 from ..sources import binding
 from .common import cross_chain, settled, top_k_with_other
@@ -22,6 +23,8 @@ CREATED_FROM, CREATED_TO = "1996-01-01", "1997-01-01"
 BACKFILL_FROM, BACKFILL_TO = "1995-01-01", "2001-12-31"
 RETENTION_AS_OF, RETENTION_DAYS = "2001-08-01", 90
 TOP_RESOLVERS = 5
+# Parameters under which the quality checks have something to find.
+DAY_GAP, ODD_DAYS_CHAIN = 0, "ton"
 
 
 def epoch(day: str) -> int:
@@ -93,7 +96,7 @@ def _resolution(i: Inputs) -> DataFrame:
 def _exact_usd_by(df: DataFrame, keys: list[str], units: str = "actual_input_units") -> DataFrame:
     """Exact dollar sums: integer units summed per precision, scaled once."""
     per = df.groupBy(*keys, "decimals").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(F.col(units).try_cast("decimal(38,0)")).alias("_u"))
+        F.count(F.lit(1)).alias("_n"), F.sum(whole_units(F.col(units))).alias("_u"))
     return per.groupBy(*keys).agg(
         F.sum("_n").cast("bigint").alias("orders"),
         F.sum(F.col("_u").cast("double") / F.pow(F.lit(10.0), F.col("decimals"))).alias("volume_usd"),
@@ -143,15 +146,18 @@ def _health(i: Inputs) -> DataFrame:
 
 
 def _day_gaps(i: Inputs) -> DataFrame:
-    return quality.day_gaps(i.cube("daily_total"))
+    return quality.day_gaps(i.cube("daily_total"), DAY_GAP)
 
 
 def _cube_mismatch(i: Inputs) -> DataFrame:
-    return quality.cube_order_mismatch(i.cube("daily_chainpair"), i.orders())
+    """V8 with findings: a cube of the settled orders only against all orders."""
+    o = i.orders()
+    return quality.cube_order_mismatch(cubes.named_cube(o.where(settled()), "daily_chainpair"), o)
 
 
 def _unknown_status(i: Inputs) -> DataFrame:
-    return quality.unknown_statuses(i.orders())
+    """V9 with findings: only settled orders belong to the domain."""
+    return quality.unknown_statuses(i.orders(), (schemas.FILLED,))
 
 
 def _failed_units(i: Inputs) -> DataFrame:
@@ -218,9 +224,11 @@ def _ingest_cube_pages(i: Inputs) -> DataFrame:
 
 
 def _unparseable_days(i: Inputs) -> DataFrame:
-    """V4 over the day text of landed cube pages."""
+    """V4 over the day text of landed cube pages, where those of one source
+    chain are written another way."""
     raw = ingest.parse_cube_pages(binding.cube_pages(i.spark, i.dir, INGESTED_CUBE))
-    return quality.unparseable_days(ingest.normalize_cube_rows(raw), "day_text")
+    odd = F.when(F.col("src_chain_id") == F.lit(ODD_DAYS_CHAIN), F.translate("day_text", "-", "/")).otherwise(F.col("day_text"))
+    return quality.unparseable_days(ingest.normalize_cube_rows(raw).withColumn("day_text", odd), "day_text")
 
 
 def _wallet_sketch_rollup(i: Inputs) -> DataFrame:
