@@ -1,12 +1,12 @@
 """Document fingerprints as invertible Bloom lookup sketches of paragraphs.
 
-A text's paragraphs (lines, cut at sentence ends, and within long sentences at
-words that their letters choose) are hashed, and each
+A text's paragraphs (lines, cut at sentence ends and at words that their own
+hash chooses) are hashed, and each
 digest is added to three cells of a small table of (count, xor of digests, xor
 of checks). The table is the fingerprint. The tables of two versions subtract
 cell by cell; what they share cancels, and peeling cells that hold one digest
 recovers those that differ. When peeling gets stuck, both tables are built
-four times larger, until it succeeds. The recovered digests give the likeness:
+larger, until it succeeds. The recovered digests give the likeness:
 shared paragraphs over all paragraphs of both.
 
 Defined results: a null text is an empty one; two texts without paragraphs are
@@ -20,8 +20,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,59 +29,76 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flowcubes.llm.common import documents, map_batches
-
-#: Cells of the fingerprint; three equal parts.
-CELLS = 12
-PARTS = 3
-MAX_CELLS = 1 << 24
-#: Paragraphs of more words are cut further.
-LONG = 12
-PARAGRAPH = re.compile(r"\n+|(?<=[.!?]) +")
+from flowcubes.llm.hashing import mix, spelled
+
+#: Cells of the fingerprint: three equal parts, of a power of two.
+CELLS, PARTS = 12, 3
+MAX_CELLS = 3 << 20
+SHIFT = np.array([[0], [21], [42]], "u8")
+#: One word in so many ends a paragraph by itself.
+LONG = np.uint64(8)
+PLACE = np.uint64(0xD6E8FEB86659FD93)
 CELL = np.dtype([("count", "<i4"), ("digest", "<u8"), ("check", "<u4")])
 
 
-def _pieces(words: list[str]) -> Iterator[str]:
-    """A paragraph, or if it is long its parts: a part ends at a word that its
-    own letters choose, so that equal stretches are cut alike anywhere."""
-    if len(words) > LONG:
-        start = 0
-        for i, w in enumerate(words):
-            if i - start >= 2 and (ord(w[0]) + 3 * ord(w[-1]) + 5 * len(w)) % 4 == 0 or i - start >= LONG:
-                yield " ".join(words[start:i + 1])
-                start = i + 1
-        words = words[start:]
-    if words:
-        yield " ".join(words)
-
-
 def paragraph_digests(text: str) -> np.ndarray:
-    """64-bit digests of the paragraphs; the n-th copy of one has its own."""
-    seen: dict[str, int] = {}
-    out = bytearray()
-    for p in PARAGRAPH.split(text):
-        for piece in _pieces(p.split()):
-            n = seen.get(piece, 0)
-            seen[piece] = n + 1
-            out += hashlib.blake2b(piece.encode("utf-8", "surrogatepass"), digest_size=8, salt=n.to_bytes(8, "little")).digest()
-    return np.frombuffer(bytes(out), "<u8")
+    """64-bit digests of the paragraphs; the n-th copy of one has its own.
+
+    A paragraph ends at a line's or sentence's end, and at every word that its
+    own hash chooses (one in ``LONG``), so equal stretches are cut alike anywhere."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    line = code == 10
+    space = line | (code == 32) | (code == 9) | (code == 13)
+    word = ~space
+    begin = np.flatnonzero(word & np.r_[True, space[:-1]])
+    if not len(begin):
+        return np.zeros(0, "u8")
+    last = np.flatnonzero(word & np.r_[space[1:], True])
+    h = spelled(code[word], last - begin + 1)
+    lines = np.cumsum(line)
+    closing = code[last]
+    stop = (np.r_[lines[begin[1:]], -1] != lines[last]) | (closing == 46) | (closing == 33) | (closing == 63) | (h % LONG == 0)
+    owner = np.cumsum(stop) - stop
+    start = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+    within = np.arange(len(h)) - np.repeat(start, np.diff(np.r_[start, len(h)]))
+    powers = np.cumprod(np.full(int(within.max()) + 1, PLACE))
+    digest = mix(np.add.reduceat(h * powers[within], start))
+    order = np.argsort(digest, kind="stable")
+    run = np.arange(len(digest))
+    fresh = np.r_[True, digest[order[1:]] != digest[order[:-1]]]
+    copy = np.zeros(len(digest), "u8")
+    copy[order] = run - np.maximum.accumulate(np.where(fresh, run, 0))
+    return np.where(copy > 0, mix(digest + copy * PLACE), digest)
 
 
 def _check(digests):
     return (digests * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype("<u4")
 
 
-def _places(digests: np.ndarray, cells: int) -> list[np.ndarray]:
-    part = cells // PARTS
-    return [(digests >> np.uint64(21 * i) & np.uint64(0x1FFFFF)) % np.uint64(part) + np.uint64(i * part) for i in range(PARTS)]
-
-
 def sketch(digests: np.ndarray, cells: int = CELLS) -> np.ndarray:
+    """The table of digests: each is in one cell of each part."""
     out = np.zeros(cells, CELL)
-    check = _check(digests)
-    for at in _places(digests, cells):
-        np.add.at(out["count"], at, 1)
-        np.bitwise_xor.at(out["digest"], at, digests)
-        np.bitwise_xor.at(out["check"], at, check)
+    if len(digests):
+        at = ((digests >> SHIFT & np.uint64(cells // PARTS - 1)).astype("i8") + np.arange(PARTS)[:, None] * (cells // PARTS)).ravel()
+        order = np.argsort(at, kind="stable")
+        place = at[order]
+        first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+        own = digests[order % len(digests)]
+        place = place[first]
+        out["count"][place] = np.diff(np.r_[first, len(order)])
+        out["digest"][place] = np.bitwise_xor.reduceat(own, first)
+        out["check"][place] = np.bitwise_xor.reduceat(_check(own), first)
+    return out
+
+
+def folded(table: np.ndarray, cells: int) -> np.ndarray:
+    """The smaller table of the same digests: cells whose numbers agree in
+    their low bits are added up."""
+    out = np.empty(cells, CELL)
+    by = table.reshape(PARTS, -1, cells // PARTS)
+    out["count"] = by["count"].sum(1).ravel()
+    for name in ("digest", "check"):
+        out[name] = np.bitwise_xor.reduce(by[name], axis=1).ravel()
     return out
 
 
@@ -96,41 +111,54 @@ def subtract(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def peel(table: np.ndarray) -> tuple[set[int], set[int]] | None:
-    """Digests only in the first and only in the second version; None when stuck."""
-    cells = len(table)
-    part = cells // PARTS
-    count, digest, check = table["count"].tolist(), table["digest"].tolist(), table["check"].tolist()
-    first, second, work = set(), set(), [i for i, c in enumerate(count) if c in (1, -1)]
-    while work:
-        i = work.pop()
-        c, d = count[i], digest[i]
-        own = (d * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> 32
-        if c not in (1, -1) or check[i] != own:
-            continue
-        (first if c == 1 else second).add(d)
-        for j in range(PARTS):
-            at = (d >> 21 * j & 0x1FFFFF) % part + j * part
-            count[at] -= c
-            digest[at] ^= d
-            check[at] ^= own
-            if count[at] in (1, -1):
-                work.append(at)
-    return None if any(count) or any(digest) else (first, second)
-
-
-def difference(a: np.ndarray, b: np.ndarray, cells: int = CELLS) -> tuple[set[int], set[int]]:
-    """The digests in which two versions differ, with ever larger tables."""
+    """Digests only in the first and only in the second version; None when stuck.
+    Each round takes all cells that hold one digest."""
+    part = len(table) // PARTS
+    offset = np.arange(PARTS)[:, None] * part
+    count, digest, check = table["count"].copy(), table["digest"].copy(), table["check"].copy()
+    first: list[int] = []
+    second: list[int] = []
     while True:
-        found = peel(subtract(sketch(a, cells), sketch(b, cells)))
-        if found is not None:
-            return found
-        cells *= 4
-        if cells > MAX_CELLS:
-            raise RuntimeError("the difference does not peel")
-
-
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    first, second = difference(a, b)
+        at = np.flatnonzero(np.abs(count) == 1)
+        at = at[_check(digest[at]) == check[at]]
+        if not len(at):
+            return None if count.any() or digest.any() else (set(first), set(second))
+        found, one = np.unique(digest[at], return_index=True)
+        sign = count[at[one]]
+        first += found[sign > 0].tolist()
+        second += found[sign < 0].tolist()
+        place = ((found >> SHIFT & np.uint64(part - 1)).astype("i8") + offset).ravel()
+        np.subtract.at(count, place, np.tile(sign, PARTS))
+        np.bitwise_xor.at(digest, place, np.tile(found, PARTS))
+        np.bitwise_xor.at(check, place, np.tile(_check(found), PARTS))
+
+
+def roomy(*digests: np.ndarray) -> int:
+    """Cells with which any two of these sets are likely to peel."""
+    cells = 4 * CELLS
+    while cells < 3 * sum(sorted(map(len, digests))[-2:]) // 2 + CELLS:
+        cells *= 2
+    return cells
+
+
+def difference(a: np.ndarray, b: np.ndarray, large: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[set[int], set[int]]:
+    """The digests in which two versions differ: first from the fingerprints,
+    then, when these get stuck, from ever larger tables (``large``: of equal
+    size, if they are at hand)."""
+    x, y = large or (sketch(a, roomy(a, b)), sketch(b, roomy(a, b)))
+    found = peel(subtract(folded(x, CELLS), folded(y, CELLS)))
+    while found is None:
+        found = peel(subtract(x, y))
+        if found is None:
+            cells = 2 * len(x)
+            if cells > MAX_CELLS:
+                raise RuntimeError("the difference does not peel")
+            x, y = sketch(a, cells), sketch(b, cells)
+    return found
+
+
+def likeness(a: np.ndarray, b: np.ndarray, large: tuple[np.ndarray, np.ndarray] | None = None) -> float:
+    first, second = difference(a, b, large)
     shared = len(a) - len(first)
     every = shared + len(first) + len(second)
     return shared / every if every else 1.0
@@ -171,18 +199,24 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited version, and likenesses."""
 
     def start():
+        ahead: list = [None, None]  # the text that came next, and its digests: mostly those of the following row
+
         def step(batch: pa.RecordBatch) -> dict:
             out = {k: [] for k in SCHEMA.replace(",", "").split()[::2] if k != "doc_id"}
             for text, after in zip(batch.column("text").to_pylist(), batch.column("next_text").to_pylist()):
                 half = len(text) // 2
                 edited = text[:len(text) - half] + after[:half]
-                own, new, other = paragraph_digests(text), paragraph_digests(edited), paragraph_digests(after)
+                own = ahead[1] if ahead[0] == text else paragraph_digests(text)
+                new, other = paragraph_digests(edited), paragraph_digests(after)
+                ahead[:] = after, other
+                cells = roomy(own, new, other)
+                x, y, z = (sketch(d, cells) for d in (own, new, other))
                 out["n_chars"].append(len(text))
                 out["edited_sha256"].append(hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest())
-                out["fingerprint"].append(text_of(sketch(own)))
-                out["edited_fingerprint"].append(text_of(sketch(new)))
-                out["near_edited"].append(likeness(own, new))
-                out["near_next"].append(likeness(own, other))
+                out["fingerprint"].append(text_of(folded(x, CELLS)))
+                out["edited_fingerprint"].append(text_of(folded(y, CELLS)))
+                out["near_edited"].append(likeness(own, new, (x, y)))
+                out["near_next"].append(likeness(own, other, (x, z)))
             return out | {"doc_id": batch.column("doc_id")}
         return step
 
