@@ -1,6 +1,7 @@
 """Benchmark: one refresh, then every metric and dashboard analytic over the
 published tables, then every registered query end to end from the raw tables.
-The headline value is the refresh plus the 23 metrics.
+The headline value is the refresh plus the metrics over the published tables
+(Q1-Q22; Q23 reads only their stamps).
 
 Env: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8), ``BENCH_SCRATCH`` (folder for the published tables; a fresh
@@ -126,7 +127,7 @@ def main() -> None:
 
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
-        "metric": "refresh_plus_23_metrics_seconds",
+        "metric": "refresh_plus_22_metrics_seconds",
         "value": round(times["refresh"] + serving, 3),
         "unit": "sec",
         "queries": {k: round(v, 3) for k, v in times.items()},

@@ -79,7 +79,13 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, ps: Mappin
               F.struct(F.lit(i).alias("i"), F.col("_v").alias("v"), F.col(f"_k{i}").alias("k")))
         for i in range(len(probs))
     ])
-    tagged = base.join(bounds, gk).select(*gk, F.explode(tags).alias("_t")).where(F.col("_t").isNotNull())
+    if keys:
+        bounded = base.join(bounds, gk)
+    else:  # one row of bounds: a scalar subquery, not a join on a constant
+        names_of = [c for c in bounds.columns if c != "_g"]
+        one = bounds.select(F.struct(*names_of).alias("_b")).scalar()
+        bounded = base.withColumn("_b", one).select("_g", "_v", "_b.*")
+    tagged = bounded.select(*gk, F.explode(tags).alias("_t")).where(F.col("_t").isNotNull())
     counts = tagged.groupBy(*gk, F.col("_t.i").alias("_i"), F.col("_t.v").alias("_bv")).agg(
         F.count(F.lit(1)).alias("_c"), F.max("_t.k").alias("_k"))
     w = (Window.partitionBy(*gk, "_i").orderBy(F.col("_bv").asc_nulls_first())

@@ -35,3 +35,16 @@ def test_global_and_empty(spark):
     assert exact_percentiles(df.where("v > 1000"), [], "v", PS).count() == 0
     approx = percentiles(df, [], "v", {"p50": 0.5}, exact=False).collect()[0]
     assert approx.p50 == pytest.approx(50.0, abs=1.0)
+
+
+def test_global_percentiles_join_nothing(spark):
+    """The one row of bounds is a scalar subquery, with adaptive plans off too."""
+    df = spark.range(1000).select(F.col("id").cast("double").alias("v"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = exact_percentiles(df, [], "v", PS)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Cartesian" not in plan and "NestedLoop" not in plan
+        assert tuple(out.collect()[0]) == (9.0, 499.0, 899.0, 989.0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
