@@ -158,10 +158,12 @@ def cross_vs_intra_daily(chainpair: DataFrame) -> DataFrame:
     ).orderBy("day")
 
 
-def corridor_matrix(chainpair: DataFrame, measure: str = "volume") -> DataFrame:
+def corridor_matrix(chainpair: DataFrame, measure: str = "volume",
+                    chains: Sequence[str] | None = None) -> DataFrame:
     """Source x destination matrix of cross-chain corridors: one row per
-    source chain, one column per destination chain (taken from the data,
-    never a fixed list). ``measure`` is ``volume`` (filled USD) or
+    source chain, one column per destination chain: those of ``chains``, or
+    taken from the data, for which building the frame reads it once.
+    ``measure`` is ``volume`` (filled USD) or
     ``success`` (settled share of finalized orders, %).
 
     The cube is first reduced to one row per corridor; the pivot then runs
@@ -182,7 +184,7 @@ def corridor_matrix(chainpair: DataFrame, measure: str = "volume") -> DataFrame:
     else:
         raise ValueError("measure must be 'volume' or 'success'")
     cells = per.select(F.col("src_chain_id").alias("source"), "dst_chain_id", cell.alias("_v"))
-    return cells.groupBy("source").pivot("dst_chain_id").agg(F.max("_v")).orderBy("source")
+    return cells.groupBy("source").pivot("dst_chain_id", list(chains) if chains else None).agg(F.max("_v")).orderBy("source")
 
 
 def top_corridors(chainpair: DataFrame, k: int = 10) -> DataFrame:

@@ -25,6 +25,7 @@ DASHBOARD_AS_OF = "2001-08-02"
 FILTERS = {"granularity": "month", "start": "1996-01-01", "end": "1998-01-01", "src": "ton", "dst": None,
            "min_usd": SIZE_BOUNDS[1]}
 TOP_CORRIDORS = 10
+CHAINS = tuple(sorted(set(binding.CHAIN_OF_REGION.values())))
 TOP_TRADERS = 10
 LOOKUP_QUOTE_ID = "7"
 
@@ -124,8 +125,8 @@ def dashboard_queries() -> dict[str, Query]:
         "filtered_volume": _q(lambda i: dashboard.filtered_volume(
             i.orders(), i.evm(), i.jettons(), stable=stable, **FILTERS)),
         "cross_vs_intra_daily": _q(lambda i: dashboard.cross_vs_intra_daily(i.cube("daily_chainpair"))),
-        "corridor_matrix_volume": _q(lambda i: dashboard.corridor_matrix(i.cube("daily_chainpair"), "volume")),
-        "corridor_matrix_success": _q(lambda i: dashboard.corridor_matrix(i.cube("daily_chainpair"), "success")),
+        "corridor_matrix_volume": _q(lambda i: dashboard.corridor_matrix(i.cube("daily_chainpair"), "volume", CHAINS)),
+        "corridor_matrix_success": _q(lambda i: dashboard.corridor_matrix(i.cube("daily_chainpair"), "success", CHAINS)),
         "top_corridors": _q(lambda i: dashboard.top_corridors(i.cube("daily_chainpair"), TOP_CORRIDORS)),
         "latency_by_size": _q(lambda i: dashboard.latency_by_size(
             i.orders(), i.evm(), i.jettons(), stable, SIZE_BOUNDS)),

@@ -106,11 +106,12 @@ def orders(spark: SparkSession, data_dir: str) -> DataFrame:
     dst = chains.select(F.col("nationkey").alias("s_nk"), F.col("chain").alias("dst_chain_id"))
 
     # Orders is a fact table (a quarter of lineitem's rows): joined by a
-    # shuffle on the order key, never broadcast, whatever its size here. The
+    # sort-merge shuffle on the order key, which can spill, and never broadcast,
+    # whatever its size here. The
     # customer, supplier and part dimensions are left to the size estimate
     # and AQE (broadcast when small, sort-merge when not).
     j = (
-        li.join(o.hint("shuffle_hash"), li.l_orderkey == o.o_orderkey)
+        li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey)
         .join(c, F.col("o_custkey") == c.c_custkey)
         .join(src, F.col("c_nationkey") == F.col("c_nk"))
         .join(s, F.col("l_suppkey") == s.s_suppkey)
