@@ -22,6 +22,7 @@ result; `score` reads no other columns, and `keep_clean` keeps them.
 from __future__ import annotations
 
 import re
+import string
 from collections import Counter
 from dataclasses import dataclass
 
@@ -50,31 +51,22 @@ MEMO_WORDS = 400_000
 #: Longer words are cut into overlapping windows of so many characters.
 WINDOW = 32
 WORDS_AT_ONCE = 5_000
-EDGE = re.compile(r"^\W+|\W+$")
-INNER = re.compile(r"[\W_]+")
+PUNCTUATION = str.maketrans("", "", string.punctuation + "¡¿«»“”„‘’…–—·•")
 SPACED = re.compile(r"(?<!\S)(?:\S ){2,}\S(?!\S)")
 
 
 def words_of(text: str) -> set[str]:
-    """Lower-cased words without punctuation at their ends; single characters
-    in a row make one word; a word with other characters inside also counts
-    without them; long words are cut into overlapping windows."""
-    low = text.lower()
-    out = set(low.split())
-    if SPACED.search(low):
-        out.update(m.group().replace(" ", "") for m in SPACED.finditer(low))
-    found = set()
-    for w in out:
-        if not (w[0].isalnum() and w[-1].isalnum()):
-            w = EDGE.sub("", w)
-        if not w.isalnum():
-            bare = INNER.sub("", w)
-            if 3 <= len(bare) <= WINDOW:
-                found.add(bare)
+    """Lower-cased words of three characters or more, without punctuation at
+    their ends or inside; single characters in a row make one word; long words
+    are cut into overlapping windows."""
+    bare = text.lower().translate(PUNCTUATION)
+    every = set(bare.split())
+    if SPACED.search(bare):
+        every.update(m.group().replace(" ", "") for m in SPACED.finditer(bare))
+    found = {w for w in every if 3 <= len(w) <= WINDOW}
+    for w in every:
         if len(w) > WINDOW:
             found.update(w[i:i + WINDOW] for i in range(0, len(w) - WINDOW // 2, WINDOW // 2))
-        elif len(w) >= 3:
-            found.add(w)
     return found
 
 
@@ -129,7 +121,7 @@ class Kernel:
                 leaders.append(j)
             group.append(near[0])
         #: each subsequence's largest weight in a group of similar landmarks
-        self.most = np.stack([self.weights[:, np.array(group) == g].max(1) for g in range(len(leaders))], axis=1)
+        self.most = np.stack([self.weights[:, np.array(group) == g].max(1) for g in range(len(leaders))], axis=1).astype("f4")
         self.cold: set[str] = set()
         self.warm: dict[str, np.ndarray] = {}
 
@@ -150,15 +142,17 @@ class Kernel:
         first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
         ends = np.r_[first[1:], len(word)]
         # a word's kernel with a landmark is at most what its hits give with the most of the landmark's group
-        bound = np.add.reduceat(weight[:, None] * self.most[at], first).max(1)
+        bound = np.add.reduceat(weight[:, None].astype("f4") * self.most[at], first).max(1) * (1 + 1e-5)
+        near: list[tuple[str, np.ndarray]] = []
         for k in np.flatnonzero(bound >= FLOOR * np.sqrt(least[word[first]])):
             span = slice(first[k], ends[k])
             dots = weight[span] @ self.weights[at[span]]
-            w = words[word[first[k]]]
             if dots.max() >= FLOOR * np.sqrt(least[word[first[k]]]):
-                row = dots / np.sqrt(sum(x * x for x in vectors([w])[0].values()))
-                if row.max() >= FLOOR:
-                    self.warm[w] = np.where(row >= FLOOR, row, 0.0) ** POWER
+                near.append((words[word[first[k]]], dots))
+        for (w, dots), own in zip(near, vectors([w for w, _ in near])):
+            row = dots / np.sqrt(sum(x * x for x in own.values()))
+            if row.max() >= FLOOR:
+                self.warm[w] = np.where(row >= FLOOR, row, 0.0) ** POWER
 
     def rows(self, texts: list[str | None]) -> np.ndarray:
         """For each text the summed kernels of its words with each landmark,
