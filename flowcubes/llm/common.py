@@ -72,6 +72,10 @@ def held_out(doc_id: str, folds: int, fold: int):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold, F.lit(True))
 
 
+#: Edge lists of no more rows are worked on in one task, without shuffles.
+SMALL_EDGES = 200_000
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of (a, b) long pairs: (node, component = smallest
     node), for the nodes that have edges.
@@ -84,19 +88,25 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     e = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     before = None
     for _ in range(max_rounds):
-        state = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(state) == before:
-            return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-                e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
-        before = tuple(state)
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        state = tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+        if state == before:
+            break
+        before, small = state, state[0] <= SMALL_EDGES
+
+        def together(df: DataFrame) -> DataFrame:
+            return df.coalesce(1) if small else df
+
+        both = together(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.col("b").alias("x"), "m").where("x <> m").toDF("a", "b").unionByName(low.toDF("a", "b"))
-        e = cut(small.distinct())
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        shorter = large.join(low, "a").select(F.col("b").alias("x"), "m").where("x <> m").toDF("a", "b").unionByName(low.toDF("a", "b"))
+        e = cut(together(shorter).distinct())
+    else:
+        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    roots = e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return e.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
 def split_long(docs: DataFrame, size: int, overlap: int) -> DataFrame:

@@ -14,8 +14,10 @@ than 0.9999.
 
 In a bucket, first every member is compared with one pivot; members that are
 then connected need no more comparison. A second round takes other pivots.
-What is still apart is compared in full. So a large group of copies costs a
-few comparisons a member, and no link between groups is lost.
+In buckets with members that are still apart, all of them are compared: tasks
+take blocks of such a bucket, count what each two documents share, and align
+those that may reach the threshold. So a large group of copies costs a few
+comparisons a member, no pairs are listed, and no link between groups is lost.
 
 Defined results: a null text is an empty one; texts without words are equal,
 and so copies; a text of fewer than five words is one shingle; one document of
@@ -35,36 +37,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowcubes.llm.common import components, cut, map_batches
+from flowcubes.llm.common import components, cut, map_batches, map_groups
+from flowcubes.llm.hashing import ROOT, mix, word_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES, ORDERED = 24, 5
 PIVOT_ROUNDS = 2
+#: Members of a bucket that one task compares with one another, the shingles that
+#: these may have, and shingles that it counts at a time.
+BLOCK, BLOCK_SHINGLES, COLUMNS = 1024, 2_000_000, 8192
 SEED = 8_675_309
 
-_U = np.uint64
-_ROOT = _U(0x9E3779B97F4A7C15)
 _STEPS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], "u8")
 _SEEDS = np.random.default_rng(SEED).integers(1, 2**63, SKETCHES, "u8")
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ x >> _U(32)) * _U(0xD6E8FEB86659FD93)
-    x = (x ^ x >> _U(32)) * _U(0xD6E8FEB86659FD93)
-    return x ^ x >> _U(32)
-
-
-def word_hashes(words: list[str]) -> np.ndarray:
-    """64-bit hashes of the words, the same on every worker."""
-    code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype("u8")
-    size = np.fromiter(map(len, words), "i8", len(words))
-    start = np.cumsum(size) - size
-    within = np.arange(len(code)) - np.repeat(start, size)
-    powers = np.cumprod(np.full(int(size.max()), _ROOT))
-    return _mix(np.add.reduceat(_mix(code + _U(1)) * powers[within], start))
-
-
 def shingles(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(shingles, labelled shingles) in text order; labelled ones are distinct."""
     if not words:
@@ -74,13 +62,13 @@ def shingles(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     plain = np.zeros(n, "u8")
     for i in range(min(SHINGLE, len(h))):
         plain += h[i:i + n] * _STEPS[i]
-    plain = _mix(plain)
+    plain = mix(plain)
     order = np.argsort(plain, kind="stable")
     same = np.r_[False, plain[order[1:]] == plain[order[:-1]]]
     run = np.arange(n)
     before = np.zeros(n, "u8")
     before[order] = run - np.maximum.accumulate(np.where(same, 0, run))
-    return plain, np.where(before > 0, _mix(plain + before * _ROOT), plain)
+    return plain, np.where(before > 0, mix(plain + before * ROOT), plain)
 
 
 def sketch(plain: np.ndarray, labelled: np.ndarray) -> np.ndarray:
@@ -92,12 +80,12 @@ def sketch(plain: np.ndarray, labelled: np.ndarray) -> np.ndarray:
     k = min(ORDERED, n)
     rows = max(1, (1 << 19) // n)  # hash functions at a time
     for i in range(0, SKETCHES, rows):
-        values = _mix(labelled[None, :] ^ _SEEDS[i:i + rows, None])
+        values = mix(labelled[None, :] ^ _SEEDS[i:i + rows, None])
         at = np.argpartition(values, k - 1, axis=1)[:, :k] if k < n else np.tile(np.arange(n), (len(values), 1))
         chosen = plain[np.sort(at, axis=1)]
         total = np.zeros(len(values), "u8")
         for j in range(k):
-            total = _mix(total * _ROOT + chosen[:, j])
+            total = mix(total * ROOT + chosen[:, j])
         out[i:i + rows] = total
     return out.view("i8")
 
@@ -181,37 +169,101 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     return map_batches(both, start, "a long, b long, similarity double").where(F.col("similarity") >= threshold)
 
 
+def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many labelled shingles each of ``a`` shares with each of ``b``."""
+    every = np.concatenate([*a, *b])
+    doc = np.repeat(np.arange(len(a) + len(b)), [len(x) for x in (*a, *b)])
+    _, at, times = np.unique(every, return_inverse=True, return_counts=True)
+    often = times > 1
+    column = np.cumsum(often) - 1
+    keep = often[at]
+    doc, column = doc[keep], column[at[keep]]
+    out = np.zeros((len(a), len(b)), "f4")
+    order = np.argsort(column, kind="stable")
+    doc, column = doc[order], column[order]
+    for lo in range(0, int(often.sum()), COLUMNS):
+        part = slice(*np.searchsorted(column, (lo, lo + COLUMNS)))
+        has = np.zeros((len(a) + len(b), COLUMNS), "f4")
+        has[doc[part], column[part] - lo] = 1
+        out += has[:len(a)] @ has[len(a):].T
+    return out
+
+
+def _apart_links(members: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): links that connect components within the buckets, from all pairs
+    of them. A bucket of more than ``BLOCK`` members is dealt out as pairs of
+    blocks; a task counts what its documents share, aligns those that may reach
+    the threshold and are not yet connected, and returns only links that connect."""
+
+    def shingled():
+        return lambda b: {"row": b.column("row"), "labelled": [shingles((t or "").split())[1].view("i8") for t in b.column("text").to_pylist()]}
+
+    texts = _rows(docs).join(members.select("row").distinct(), "row", "left_semi").select("row", "text")
+    labelled = cut(map_batches(texts, shingled, "row long, labelled array<long>"))
+    sizes = members.groupBy("k", "sample").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    placed = members.select("k", "sample", "row", "component").join(sizes, ["k", "sample"]).withColumn("b", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("k", "sample", "row", "component", F.least("b", "other").alias("lo"), F.greatest("b", "other").alias("hi"), (F.col("b") <= F.col("other")).alias("first"))
+
+    def compare():
+        def step(batch: pa.RecordBatch) -> dict | None:
+            rows, component = batch.column("row").to_pylist(), batch.column("component").to_pylist()
+            own = [x.values.to_numpy().view("u8") for x in batch.column("labelled")]
+            alone = batch.column("lo")[0].as_py() == batch.column("hi")[0].as_py()
+            first = batch.column("first").to_numpy(zero_copy_only=False)
+            q, d = (np.arange(len(rows)),) * 2 if alone else (np.flatnonzero(first), np.flatnonzero(~first))
+            if len(set(component)) < 2 or not len(q) or not len(d):
+                return None
+            size = np.array([len(x) for x in own])
+            shared = overlaps([own[i] for i in q], [own[i] for i in d])
+            may = shared >= (threshold - 1e-6) * (size[q][:, None] + size[d][None, :] - shared)
+            if alone:
+                may = np.triu(may, 1)
+            root = {c: c for c in component}
+
+            def find(c: int) -> int:
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            out: dict[str, list] = {"a": [], "b": []}
+            for i, j in zip(*np.nonzero(may)):
+                i, j = int(q[i]), int(d[j])
+                x, y = find(component[i]), find(component[j])
+                if x != y and aligned(own[i], own[j], threshold) >= threshold:
+                    root[x] = y
+                    out["a"].append(min(rows[i], rows[j]))
+                    out["b"].append(max(rows[i], rows[j]))
+            return out if out["a"] else None
+        return step
+
+    return map_groups(placed.join(labelled, "row"), ["k", "sample", "lo", "hi"], compare, "a long, b long").distinct()
+
+
 def linked(docs: DataFrame, reps: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """Components (node, component) of the class representatives (row, size, sketches)."""
     members = reps.where("sketches is not null").select("row", "size", F.posexplode("sketches").alias("k", "sample"))
     shared = members.groupBy("k", "sample").agg(F.count("*").alias("n")).where("n > 1").select("k", "sample")
-    members = cut(members.join(shared, ["k", "sample"]))  # of buckets with company
+    members = cut(members.join(shared, ["k", "sample"]).withColumn("component", F.col("row")))  # of buckets with company
     near = F.least("size", "other_size") >= threshold * F.greatest("size", "other_size")
-    edges = known = None
+    known = docs.sparkSession.createDataFrame([], "node long, component long")
 
-    def verify(pairs: DataFrame) -> None:
-        nonlocal edges, known
-        pairs = pairs.select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")).distinct()
-        found = cut(_verified(pairs, docs, threshold).select("a", "b"))
-        edges = found if edges is None else edges.unionByName(found)
-        known = components(edges)
-
-    def by_component() -> DataFrame:
-        if known is None:
-            return members.withColumn("component", F.col("row"))
-        return members.join(known.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
+    def connect(found: DataFrame) -> DataFrame:
+        return known if found.isEmpty() else cut(components(found.select("a", "b").unionByName(known.toDF("a", "b"))))
 
     for i in range(PIVOT_ROUNDS):
-        now = by_component()
-        pivot = now.groupBy("k", "sample").agg(F.min_by(F.struct("row", "size", "component"), F.xxhash64(F.lit(i), "row") if i else F.col("row")).alias("p"))
-        pivot = pivot.select("k", "sample", F.col("p.row").alias("other"), F.col("p.size").alias("other_size"), F.col("p.component").alias("other_component"))
-        verify(now.join(pivot, ["k", "sample"]).where("component <> other_component").where(near))
-    now = by_component()
-    apart = now.groupBy("k", "sample").agg((F.min("component") < F.max("component")).alias("apart")).where("apart").select("k", "sample")
-    now = cut(now.join(apart, ["k", "sample"]))
-    other = now.select("k", "sample", F.col("row").alias("other"), F.col("size").alias("other_size"), F.col("component").alias("other_component"))
-    verify(now.join(other, ["k", "sample"]).where("row < other and component <> other_component").where(near))
-    return known
+        pivot = F.struct(F.col("row").alias("other"), F.col("size").alias("other_size"), F.col("component").alias("other_component"))
+        pivots = members.groupBy("k", "sample").agg(F.min_by(pivot, F.xxhash64(F.lit(i), "row")).alias("o")).select("k", "sample", "o.*")
+        pairs = members.join(pivots, ["k", "sample"]).where("component <> other_component").where(near)
+        pairs = pairs.select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")).distinct()
+        known = connect(cut(_verified(pairs, docs, threshold)))
+        # go on with the buckets whose members are not all connected
+        now = members.drop("component").join(known.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
+        apart = now.groupBy("k", "sample").agg((F.min("component") < F.max("component")).alias("apart")).where("apart").select("k", "sample")
+        members = cut(now.join(apart, ["k", "sample"]))
+        if members.isEmpty():
+            return known
+    return connect(cut(_apart_links(members, docs, threshold)))
 
 
 def _grouped(docs: DataFrame, threshold: float) -> DataFrame:

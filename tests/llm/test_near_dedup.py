@@ -112,6 +112,22 @@ def test_repeated_ids_nulls_and_empty_table(docs_of):
     assert N.classes(docs_of([])).count() == 0 and N.keep_one(docs_of([])).count() == 0
 
 
+def test_shared_counts():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 40_000, 3000)).astype("u8") for _ in range(9)]
+    got = N.overlaps(sets[:4], sets[4:])
+    assert (got == [[len(np.intersect1d(a, b)) for b in sets[4:]] for a in sets[:4]]).all()
+
+
+def test_blocks_of_a_bucket_lose_no_link(docs_of, rng, monkeypatch):
+    """Copies with so many edits that pivots do not connect them all."""
+    base = prose(rng, 150).split()
+    rows = [(i, " ".join(edited(rng, base, rng.randint(0, 9)))) for i in range(120)]
+    monkeypatch.setattr(N, "BLOCK", 16)
+    monkeypatch.setattr(N, "PIVOT_ROUNDS", 1)
+    assert {r.doc_id: r.component_id for r in N.classes(docs_of(rows)).collect()} == brute(rows)
+
+
 def test_a_large_group_costs_a_few_comparisons_a_member(docs_of, rng, monkeypatch):
     base = prose(rng, 120).split()
     rows = [(i, " ".join(edited(rng, base, 1))) for i in range(300)]
