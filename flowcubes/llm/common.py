@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -72,6 +73,27 @@ def held_out(doc_id: str, folds: int, fold: int):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == fold, F.lit(True))
 
 
+#: Samples of no more rows are broadcast; what is sampled is then not shuffled.
+BROADCAST_ROWS = 200_000
+
+
+def sample_by(rows: DataFrame, kind: str, most: int) -> DataFrame:
+    """At most ``most`` distinct (doc_id, kind) of each kind: those of least
+    hash of the id. Rows far above that are left out by their hash first, so
+    that the ranking sees a few times ``most`` rows of each kind, however many
+    there are; only the counts by kind come to the driver."""
+    rows = rows.select("doc_id", kind).where(F.col(kind).isNotNull())
+    counts = {r[kind]: r["n"] for r in rows.groupBy(kind).agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return rows.limit(0)
+    share = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 4 * most / n))]), F.col(kind))
+    place = F.xxhash64("doc_id").bitwiseAND(F.lit(2**53 - 1)) / F.lit(float(2**53))
+    rows = rows.where(place < share).distinct()
+    at = F.row_number().over(W.partitionBy(kind).orderBy(place, "doc_id"))
+    rows = rows.withColumn("at", at).where(F.col("at") <= most).drop("at")
+    return F.broadcast(rows) if len(counts) * most <= BROADCAST_ROWS else rows
+
+
 #: Edge lists of no more rows are worked on in one task, without shuffles.
 SMALL_EDGES = 200_000
 

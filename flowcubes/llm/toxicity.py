@@ -29,10 +29,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowcubes.llm.common import held_out, map_batches, map_whole
+from flowcubes.llm.common import held_out, map_batches, map_whole, sample_by
 
 FOLDS, HELD_FOLD = 4, 2
 SAMPLE_DOCS = 4_000
@@ -239,9 +238,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     marks = marks.where(~held_out("doc_id", FOLDS, HELD_FOLD)).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     marks = marks.join(texts.select("doc_id"), "doc_id", "left_semi")
-    at = F.row_number().over(W.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = marks.withColumn("at", at).where(F.col("at") <= sample_docs).select("doc_id", "toxic")
-    sample = texts.join(chosen, "doc_id").repartition(16).persist()
+    sample = texts.join(sample_by(marks, "toxic", sample_docs), "doc_id").repartition(16).persist()
     try:
         sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
         if not (sizes.get(0) and sizes.get(1)):

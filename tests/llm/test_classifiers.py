@@ -10,6 +10,7 @@ import pytest
 
 from flowcubes.llm import language_id as L
 from flowcubes.llm import toxicity as X
+from flowcubes.llm.common import sample_by
 from llm_helpers import prose
 
 LETTERS = {"aa": "aeioulmnr", "bb": "zxkqwtpbd", "cc": "éèàçùœîô"}
@@ -136,3 +137,13 @@ def test_without_labels_of_both_classes(docs_of, spark):
     assert X.train(docs, none) is None
     assert [(r.score, r.predicted) for r in X.score(docs, None).collect()] == [(0.0, 0)] * 2
     assert X.keep_clean(docs, None).count() == 2 and X.score(docs_of([]), None).count() == 0
+
+
+def test_samples_are_bounded_even_and_repeatable(spark):
+    rows = [(i, "many") for i in range(20_000)] + [(i, "few") for i in range(7)] * 3 + [(9, None), (None, "few")]
+    df = spark.createDataFrame(rows, "doc_id long, lang string")
+    got = [tuple(r) for r in sample_by(df, "lang", 100).collect()]
+    assert len(got) == len(set(got)) == 108 and {k for _, k in got} == {"many", "few"}
+    assert sorted(got, key=str) == sorted(map(tuple, sample_by(df.repartition(3), "lang", 100).collect()), key=str)
+    assert 5_000 < np.mean([i for i, k in got if k == "many"]) < 15_000
+    assert sample_by(df.limit(0), "lang", 5).count() == 0
