@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flowcubes.llm.common import held_out, map_batches, map_whole
+from flowcubes.llm.common import held_out, map_batches, map_whole, sample_by
 
 FOLDS, HELD_FOLD = 5, 0
 SAMPLE_DOCS = 2_000
@@ -75,9 +75,7 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, size: int = PROFILE)
     lists (``size`` n-grams a language) come to the driver."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = rows.where("lang is not null and text is not null").where(~held_out("doc_id", FOLDS, HELD_FOLD))
-    at = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = rows.select("doc_id", "lang").withColumn("at", at).where(F.col("at") <= sample_docs).select("doc_id", "lang").distinct()
-    sample = rows.join(chosen, ["doc_id", "lang"], "left_semi")
+    sample = rows.join(sample_by(rows, "lang", sample_docs), ["doc_id", "lang"], "left_semi")
 
     def start():
         grams = Grams()
