@@ -1,16 +1,16 @@
 """Near-duplicate documents by Order MinHash and banded alignment.
 
 A document is its sequence of five-word shingles, each labelled with how often
-it has occurred before. For each of ``SKETCHES`` hash functions the ``ORDERED``
-least labelled shingles are sampled and kept in text order; documents with an
-equal sample share a bucket. Documents of equal words are one class, and only
-one of each takes part.
+it has occurred before. For each of ``SKETCHES`` hash functions the five least
+labelled shingles are sampled and kept in text order, in short texts the four or
+three least (``ORDERS``); documents with an equal sample share a bucket.
+Documents of equal words are one class, and only one of each takes part.
 
 Two documents of a bucket are verified by aligning their labelled shingles
 within the band that the threshold allows: with ``m`` aligned shingles of
 ``a`` and ``b``, their similarity is m / (a + b - m), and 0.8 or more links
-them. A pair of that similarity shares a bucket with a probability of more
-than 0.9999.
+them. A pair of that similarity, of any length, shares a bucket with a
+probability of more than 0.9999.
 
 In a bucket, first every member is compared with one pivot; members that are
 then connected need no more comparison. A second round takes other pivots.
@@ -42,7 +42,13 @@ from flowcubes.llm.hashing import ROOT, mix, word_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SKETCHES, ORDERED = 24, 5
+SKETCHES = 24
+#: (shingles in a sample, least and most shingles of the texts that have such
+#: samples). A pair with m aligned of u shingles agrees in a sample of k with a
+#: probability of C(m, k) / C(u, k) or more, which is too little for k = 5 below
+#: u = 95 and for k = 4 at u = 5; with m >= 0.8 u both texts have 0.8 u to u
+#: shingles, so the ranges overlap. Texts of fewer than 4 have only equals.
+ORDERS = ((3, 4, 5), (4, 5, 94), (5, 76, None))
 PIVOT_ROUNDS = 2
 #: Members of a bucket that one task compares with one another, the shingles that
 #: these may have, and shingles that it counts at a time.
@@ -71,25 +77,30 @@ def shingles(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return plain, np.where(before > 0, mix(plain + before * ROOT), plain)
 
 
-def sketch(plain: np.ndarray, labelled: np.ndarray) -> np.ndarray:
-    """The hash of the ordered sample of each hash function."""
+def sketch(plain: np.ndarray, labelled: np.ndarray, k: int) -> np.ndarray:
+    """The hash of the ordered sample of ``k`` shingles of each hash function."""
     n = len(labelled)
-    if not n:
-        return np.zeros(SKETCHES, "i8")
     out = np.zeros(SKETCHES, "u8")
-    k = min(ORDERED, n)
     rows = max(1, (1 << 19) // n)  # hash functions at a time
     for i in range(0, SKETCHES, rows):
         values = mix(labelled[None, :] ^ _SEEDS[i:i + rows, None])
         at = np.argpartition(values, k - 1, axis=1)[:, :k] if k < n else np.tile(np.arange(n), (len(values), 1))
         chosen = plain[np.sort(at, axis=1)]
-        total = np.zeros(len(values), "u8")
+        total = np.full(len(values), k, "u8")
         for j in range(k):
             total = mix(total * ROOT + chosen[:, j])
         out[i:i + rows] = total
     return out.view("i8")
 
 
+def sketches(plain: np.ndarray, labelled: np.ndarray) -> np.ndarray | None:
+    """The sketches of each sample size that texts of this length have, one after
+    the other; None if no other text can be near."""
+    n = len(labelled)
+    found = [sketch(plain, labelled, k) for k, least, most in ORDERS if least <= n and (most is None or n <= most)]
+    return np.concatenate(found) if found else None
+
+
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY) -> float:
     """Similarity of two sequences of labelled shingles: the longest common
     subsequence within the band, over all shingles of both. 0 if the threshold
@@ -135,14 +146,14 @@ def _rows(docs: DataFrame) -> DataFrame:
 def _signed(docs: DataFrame) -> DataFrame:
     def start():
         def step(batch: pa.RecordBatch) -> dict:
-            words, sketches, size = [], [], []
+            words, samples, size = [], [], []
             for text in batch.column("text").to_pylist():
                 own = (text or "").split()
                 words.append(hashlib.blake2b(" ".join(own).encode("utf-8", "surrogatepass"), digest_size=16).digest())
                 plain, labelled = shingles(own)
                 size.append(len(labelled))
-                sketches.append(sketch(plain, labelled) if own else None)
-            return {"row": batch.column("row"), "doc_id": batch.column("doc_id"), "words": words, "size": size, "sketches": sketches}
+                samples.append(sketches(plain, labelled))
+            return {"row": batch.column("row"), "doc_id": batch.column("doc_id"), "words": words, "size": size, "sketches": samples}
         return step
 
     return map_batches(_rows(docs), start, "row long, doc_id long, words binary, size int, sketches array<long>")
@@ -243,6 +254,7 @@ def _apart_links(members: DataFrame, docs: DataFrame, threshold: float) -> DataF
 def linked(docs: DataFrame, reps: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """Components (node, component) of the class representatives (row, size, sketches)."""
     members = reps.where("sketches is not null").select("row", "size", F.posexplode("sketches").alias("k", "sample"))
+    members = members.withColumn("k", F.col("k") % SKETCHES)
     shared = members.groupBy("k", "sample").agg(F.count("*").alias("n")).where("n > 1").select("k", "sample")
     members = cut(members.join(shared, ["k", "sample"]).withColumn("component", F.col("row")))  # of buckets with company
     near = F.least("size", "other_size") >= threshold * F.greatest("size", "other_size")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+from math import comb
 
 import numpy as np
 import pytest
@@ -138,3 +139,32 @@ def test_a_large_group_costs_a_few_comparisons_a_member(docs_of, rng, monkeypatc
     assert got.where("kept").count() == 1
     assert sum(made) < 300 * 3 * N.SKETCHES
     assert got.agg(F.countDistinct("component_id")).first()[0] == 1
+
+
+def likeliest(a, b, m):
+    """Largest probability that two texts with m aligned shingles agree in a sketch."""
+    u = a + b - m
+    p = [comb(m, k) / comb(u, k) for k, least, most in N.ORDERS if all(least <= n <= (most or n) for n in (a, b))]
+    return 1 - (1 - max(p, default=0)) ** N.SKETCHES
+
+
+def test_pairs_of_any_length_share_a_bucket_as_stated():
+    for u in range(5, 600):
+        for m in range(-(-4 * u // 5), u):
+            assert all(likeliest(a, u + m - a, m) > 0.9999 for a in range(m, u + 1))
+
+
+def test_short_near_copies_are_found(docs_of, rng):
+    texts = []
+    for n in [8] * 40 + [9] * 40 + [12] * 40 + [rng.randint(1, 110) for _ in range(120)]:
+        words = prose(rng, n).split()
+        texts += [" ".join(words), " ".join(words + ["zz"]), " ".join(["yy"] + words[:-1])]
+    got = {r.doc_id: r.component_id for r in N.classes(docs_of(list(enumerate(texts)))).collect()}
+    sh = [N.shingles(t.split())[1].tolist() for t in texts]
+    near = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if texts[i].split() == texts[j].split()
+            or set(sh[i]) & set(sh[j]) and (m := lcs(sh[i], sh[j])) / (len(sh[i]) + len(sh[j]) - m) >= 0.8]
+    low = {n: n for n in range(len(texts))}
+    for _ in range(9):
+        for i, j in near:
+            low[i] = low[j] = min(low[i], low[j])
+    assert got == low
