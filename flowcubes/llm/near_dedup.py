@@ -23,13 +23,14 @@ Defined results: a null text is an empty one; texts without words are equal,
 and so copies; a text of fewer than five words is one shingle; one document of
 a group stays, that of least doc_id (a null id is the largest, among equal ids
 the first row stays); an empty table gives an empty result; extra columns are
-not read by `classes` and are kept by `keep_one`. The input has to be a file
-scan or a checkpoint, so that its rows come in the same order twice.
+not read by `classes` and are kept by `keep_one`. The input is read once; its
+numbered rows are written to the shared folder, and read from there after that.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from bisect import bisect_left
 
 import numpy as np
@@ -39,6 +40,7 @@ from pyspark.sql import functions as F
 
 from flowcubes.llm.common import components, cut, map_batches, map_groups
 from flowcubes.llm.hashing import ROOT, mix, word_hashes
+from flowcubes.session import ensure_checkpoint_dir
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -139,8 +141,14 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float = SIMILARITY) -> floa
     return found / (n + m - found)
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows with a number of their own in ``row``, written to the shared
+    folder: the numbers depend on how a scan is split, which may differ from one
+    plan to the next, so every later read takes them from these files."""
+    made = docs.withColumn("row", F.monotonically_increasing_id())
+    folder = f"{ensure_checkpoint_dir(docs.sparkSession).rstrip('/')}/rows-{uuid.uuid4().hex}"
+    made.write.parquet(folder)
+    return docs.sparkSession.read.schema(made.schema).parquet(folder)
 
 
 def _signed(docs: DataFrame) -> DataFrame:
@@ -156,12 +164,12 @@ def _signed(docs: DataFrame) -> DataFrame:
             return {"row": batch.column("row"), "doc_id": batch.column("doc_id"), "words": words, "size": size, "sketches": samples}
         return step
 
-    return map_batches(_rows(docs), start, "row long, doc_id long, words binary, size int, sketches array<long>")
+    return map_batches(docs.select("row", "doc_id", "text"), start, "row long, doc_id long, words binary, size int, sketches array<long>")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) that align, with their similarity."""
-    texts = _rows(docs).select("row", "text")
+    texts = docs.select("row", "text")
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
 
     def start():
@@ -209,7 +217,7 @@ def _apart_links(members: DataFrame, docs: DataFrame, threshold: float) -> DataF
     def shingled():
         return lambda b: {"row": b.column("row"), "labelled": [shingles((t or "").split())[1].view("i8") for t in b.column("text").to_pylist()]}
 
-    texts = _rows(docs).join(members.select("row").distinct(), "row", "left_semi").select("row", "text")
+    texts = docs.join(members.select("row").distinct(), "row", "left_semi").select("row", "text")
     labelled = cut(map_batches(texts, shingled, "row long, labelled array<long>"))
     sizes = members.groupBy("k", "sample").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     placed = members.select("k", "sample", "row", "component").join(sizes, ["k", "sample"]).withColumn("b", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
@@ -279,7 +287,7 @@ def linked(docs: DataFrame, reps: DataFrame, threshold: float = SIMILARITY) -> D
 
 
 def _grouped(docs: DataFrame, threshold: float) -> DataFrame:
-    """(row, doc_id, kept_row, component_id) of every document."""
+    """(row, doc_id, kept_row, component_id) of every document of the numbered rows."""
     signed = cut(_signed(docs))
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     by_words = signed.groupBy("words").agg(F.min_by(F.struct("row", "doc_id", "size", "sketches"), order).alias("r"))
@@ -294,11 +302,14 @@ def _grouped(docs: DataFrame, threshold: float) -> DataFrame:
 def classes(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, component_id (the doc_id that stays of its
     group), kept."""
-    return _grouped(docs, threshold).select("doc_id", "component_id", (F.col("row") == F.col("kept_row")).alias("kept"))
+    rows = _numbered(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
+    return _grouped(rows, threshold).select("doc_id", "component_id", (F.col("row") == F.col("kept_row")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, threshold: float = SIMILARITY) -> DataFrame:
     """The rows, with all their columns, that stay: one of each group."""
-    gone = cut(_grouped(docs, threshold).where("row <> kept_row").select("row"))
-    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
-    return plain.withColumn("row", F.monotonically_increasing_id()).join(gone, "row", "left_anti").drop("row").toDF(*docs.columns)
+    rows = _numbered(docs.toDF(*(f"c{i}" for i in range(len(docs.columns)))))
+    doc_id, text = (F.col(f"c{docs.columns.index(c)}") for c in ("doc_id", "text"))
+    own = rows.select("row", doc_id.cast("long").alias("doc_id"), text.cast("string").alias("text"))
+    gone = cut(_grouped(own, threshold).where("row <> kept_row").select("row"))
+    return rows.join(gone, "row", "left_anti").drop("row").toDF(*docs.columns)

@@ -168,3 +168,29 @@ def test_short_near_copies_are_found(docs_of, rng):
         for i, j in near:
             low[i] = low[j] = min(low[i], low[j])
     assert got == low
+
+
+def test_rows_keep_their_numbers_when_the_scan_is_split_anew(spark, docs_of, rng, tmp_path, monkeypatch):
+    """As on a cluster whose cores change between two plans."""
+    texts = [prose(rng, 40) for _ in range(30)]
+    rows = list(enumerate(texts + [t + " zz" for t in texts[:10]]))
+    path = f"{tmp_path}/docs"
+    docs_of(rows).repartition(8).write.parquet(path)
+    split = {"spark.sql.files.maxPartitionBytes": "2k", "spark.sql.files.minPartitionNum": "8"}
+    before = {k: spark.conf.get(k, None) for k in split}
+    real = N.linked
+
+    def shifted(docs, reps, threshold):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        return real(docs, reps, threshold)
+
+    monkeypatch.setattr(N, "linked", shifted)
+    try:
+        for k, v in split.items():
+            spark.conf.set(k, v)
+        stay = sorted(r.doc_id for r in N.keep_one(spark.read.parquet(path)).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v else spark.conf.unset(k)
+    assert stay == list(range(30))
