@@ -112,12 +112,16 @@ def _unpack(raw: bytes) -> bytes | None:
         return None
 
 
-def _text(raw: bytes) -> str | None:
+def _text(raw: bytes) -> tuple[str, list[int]] | None:
+    """A decoded layer and the bytes of each of its characters: UTF-8, or else
+    Latin-1. None if nothing is to be found in it."""
     try:
         text = raw.decode("utf-8")
     except UnicodeDecodeError:
+        text = raw.decode("latin-1")
+    if not (base_spans(text) or ESCAPE.search(text) or BASE64.search(text)):
         return None
-    return text if text and sum(c.isprintable() or c in "\r\n\t" for c in text) == len(text) else None
+    return text, [1] * len(text) if len(text) == len(raw) else [len(c.encode("utf-8")) for c in text]
 
 
 def _layers(text: str):
@@ -138,12 +142,13 @@ def _layers(text: str):
             depth = 0
             while (deeper := _unpack(opened)) is not None and deeper != opened and depth < 64:
                 opened, depth = deeper, depth + 1
-            if (new := _text(opened)) is not None:
+            if (layer := _text(opened)) is not None:
+                new = layer[0]
                 yield new, [lo] * len(new), [hi] * len(new)
-        elif (new := _text(raw)) is not None:
+        elif (layer := _text(raw)) is not None:
+            new, sizes = layer
             starts, ends, b = [], [], 0
-            for c in new:
-                n = len(c.encode("utf-8"))
+            for n in sizes:
                 starts.append(lo + b * 4 // 3)
                 ends.append(min(hi, lo - (-(b + n) * 4 // 3)))
                 b += n

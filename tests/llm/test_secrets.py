@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import base64
+import bz2
 import gzip
 import hashlib
 import re
@@ -91,3 +92,16 @@ def test_redaction_keeps_rows_and_columns(docs_of, clash):
     assert by[1].text is None and by[2].text == "" and by[4].text == "clean" and by[4].n_chars == 5
     assert by[3].text == "x [ACCESS] y" and by[3].n_chars == len(by[3].text)
     assert "[ACCESS]" in by[5].text and by[5].text.endswith(" z")
+
+
+@pytest.mark.parametrize("around", ["\u00a0prix\u00a0: ", "\u3000\u200b", "\ufeff", "\x0c", "\x00", "\x1b[31m", b"\xff\xfe\x80 ", b"\x00\x01\x02\xe9 "])
+@pytest.mark.parametrize("pack", [lambda b: b, gzip.compress, zlib.compress, bz2.compress])
+def test_layers_that_are_not_plain_text_are_scanned(around, pack):
+    raw = around if isinstance(around, bytes) else around.encode()
+    hidden = base64.b64encode(pack(raw + KEY.encode() + b" " + raw)).decode()
+    text = f"see {hidden} end"
+    found = [(s, e) for s, k, e in S.all_spans(text)[1] if k == 1]
+    assert found and all(4 <= s < e <= 4 + len(hidden) for s, e in found)
+    if pack(b"") == b"":
+        assert found == [(4 + len(raw) * 4 // 3, 4 + -(-(len(raw) + len(KEY)) * 4 // 3))]
+    assert KEY not in S.cover(text, S.all_spans(text)[1]) and "[ACCESS]" in S.cover(text, S.all_spans(text)[1])
