@@ -2,7 +2,9 @@
 
 Every text is scanned for three kinds of secrets. Then its URL-escaped,
 Unicode-escaped, base64 and compressed parts are unwrapped into new layers,
-which are scanned and unwrapped in turn until no new layer appears. A layer
+which are scanned and unwrapped in turn until no new layer appears. Base64 is
+read over line breaks and from each of the four places where it may begin in a
+run; compressed bytes are looked for anywhere in what it decodes to. A layer
 already seen at the same place is not taken again, so cycles end. Each
 character of a layer knows the code points of the original text that it came
 from, so every finding is a span of the original.
@@ -35,7 +37,11 @@ MIN_VALUE, MIN_ACCESS = 12, 18
 
 ESCAPE = re.compile(r"%[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}")
 ESCAPE_RUN = re.compile(r"(?:%[0-9A-Fa-f]{2})+|(?:\\u[0-9A-Fa-f]{4})+|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: A run, also over line breaks, of which LEAST_BASE64 characters are of the alphabet.
+BASE64 = re.compile(r"[A-Za-z0-9+/_-]+(?:[ \t]*(?:\r\n?|\n)[ \t]*[A-Za-z0-9+/_-]+)*={0,2}")
+LEAST_BASE64 = 16
+BREAK = re.compile(r"[ \t\r\n]+")
+PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]")
 #: A compressed layer that would unwrap to more bytes is not opened (a bomb guard); the rest of the text is unaffected.
 MAX_UNPACKED = 64 << 20
 
@@ -100,18 +106,40 @@ def _unpack(raw: bytes) -> bytes | None:
     try:
         if raw[:2] == b"\x1f\x8b":
             opened = zlib.decompressobj(31)
-        elif raw[:1] == b"\x78" and len(raw) > 2 and (raw[0] * 256 + raw[1]) % 31 == 0:
+        elif raw[:1] == b"\x78":
             opened = zlib.decompressobj()
-        elif raw[:3] == b"BZh":
-            opened = bz2.BZ2Decompressor()
         else:
-            return None
+            opened = bz2.BZ2Decompressor()
         out = opened.decompress(raw, MAX_UNPACKED + 1)
         return out if len(out) <= MAX_UNPACKED else None
     except (zlib.error, OSError, ValueError, EOFError):
         return None
 
 
+def _unpacked(raw: bytes):
+    """What the gzip, zlib and bzip2 bytes anywhere in ``raw`` unpack to, and
+    those in what they unpack to, until nothing new appears."""
+    work, seen = [raw], set()
+    while work:
+        part = work.pop()
+        for m in PACKED.finditer(part):
+            opened = _unpack(memoryview(part)[m.start():])
+            if opened and (key := hashlib.blake2b(opened, digest_size=16).digest()) not in seen:
+                seen.add(key)
+                work.append(opened)
+                yield opened
+
+
+def _base64_runs(text: str):
+    """(start, run without padding, end) of the runs that are long enough."""
+    for m in BASE64.finditer(text):
+        lo, hi = m.span()
+        if hi - lo >= LEAST_BASE64:
+            run = m.group().rstrip("=")
+            if sum(map(len, BREAK.split(run))) >= LEAST_BASE64:
+                yield lo, run, hi
+
+
 def _text(raw: bytes) -> tuple[str, list[int]] | None:
     """A decoded layer and the bytes of each of its characters: UTF-8, or else
     Latin-1. None if nothing is to be found in it."""
@@ -119,7 +147,7 @@ def _text(raw: bytes) -> tuple[str, list[int]] | None:
         text = raw.decode("utf-8")
     except UnicodeDecodeError:
         text = raw.decode("latin-1")
-    if not (base_spans(text) or ESCAPE.search(text) or BASE64.search(text)):
+    if not (base_spans(text) or ESCAPE.search(text) or next(_base64_runs(text), None)):
         return None
     return text, [1] * len(text) if len(text) == len(raw) else [len(c.encode("utf-8")) for c in text]
 
@@ -132,27 +160,28 @@ def _layers(text: str):
             if ("%" in line or "\\" in line) and (new := _unescape_line(line)):
                 yield new[0], [at + i for i in new[1]], [at + i for i in new[2]]
             at += len(line)
-    for m in BASE64.finditer(text):
-        run = m.group().rstrip("=")
-        if len(run) % 4 == 1:
-            continue
-        raw = base64.b64decode(run.translate(_URLSAFE) + "=" * (-len(run) % 4))
-        lo, hi = m.span()
-        if (opened := _unpack(raw)) is not None:
-            depth = 0
-            while (deeper := _unpack(opened)) is not None and deeper != opened and depth < 64:
-                opened, depth = deeper, depth + 1
-            if (layer := _text(opened)) is not None:
-                new = layer[0]
-                yield new, [lo] * len(new), [hi] * len(new)
-        elif (layer := _text(raw)) is not None:
-            new, sizes = layer
-            starts, ends, b = [], [], 0
-            for n in sizes:
-                starts.append(lo + b * 4 // 3)
-                ends.append(min(hi, lo - (-(b + n) * 4 // 3)))
-                b += n
-            yield new, starts, ends
+    for lo, run, hi in _base64_runs(text):
+        if BREAK.search(run):
+            places = [lo + i for i, c in enumerate(run) if c not in " \t\r\n"]
+            run = BREAK.sub("", run)
+        else:
+            places = range(lo, lo + len(run))
+        run = run.translate(_URLSAFE)
+        for skip in range(4):  # what precedes it may be glued to the encoded part
+            body = run[skip:len(run) - ((len(run) - skip) % 4 == 1)]
+            raw = base64.b64decode(body + "=" * (-len(body) % 4))
+            for opened in _unpacked(raw):
+                if (layer := _text(opened)) is not None:
+                    new = layer[0]
+                    yield new, [lo] * len(new), [hi] * len(new)
+            if (layer := _text(raw)) is not None:
+                new, sizes = layer
+                starts, ends, b = [], [], 0
+                for n in sizes:
+                    starts.append(places[skip + b * 4 // 3])
+                    b += n
+                    ends.append(places[skip - (-b * 4 // 3) - 1] + 1)
+                yield new, starts, ends
 
 
 _URLSAFE = str.maketrans("-_", "+/")

@@ -105,3 +105,39 @@ def test_layers_that_are_not_plain_text_are_scanned(around, pack):
     if pack(b"") == b"":
         assert found == [(4 + len(raw) * 4 // 3, 4 + -(-(len(raw) + len(KEY)) * 4 // 3))]
     assert KEY not in S.cover(text, S.all_spans(text)[1]) and "[ACCESS]" in S.cover(text, S.all_spans(text)[1])
+
+
+def wrapped(raw, width, end="\n"):
+    line = base64.b64encode(raw).decode()
+    return end.join(line[i:i + width] for i in range(0, len(line), width))
+
+
+NOISE = b"".join(hashlib.sha256(bytes([i])).digest() for i in range(20))
+
+
+@pytest.mark.parametrize("width", [10, 64, 76])
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n    "])
+@pytest.mark.parametrize("pack", [lambda b: b, gzip.compress, zlib.compress, bz2.compress])
+def test_wrapped_base64_is_one_layer(width, end, pack):
+    for before in range(40, 60):
+        hidden = wrapped(pack(NOISE[:before] + b" " + KEY.encode() + b" " + NOISE), width, end)
+        text = f"é:\n{hidden}\n."
+        found = [(s, e) for s, k, e in S.all_spans(text)[1] if k == 1]
+        assert found and all(3 <= s < e <= 3 + len(hidden) for s, e in found)
+
+
+@pytest.mark.parametrize("pack", [lambda b: b, gzip.compress, zlib.compress, bz2.compress])
+def test_base64_glued_to_what_precedes_it(pack):
+    for glue in ("", "a/", "path/", "x/y", "abcdefgh/"):
+        for tail in ("", "A"):
+            hidden = base64.b64encode(pack(b"xy " + KEY.encode() + b" z.")).decode().rstrip("=")
+            text = f"é {glue}{hidden}{tail}"
+            assert any(k == 1 and s >= 2 for s, k, e in S.all_spans(text)[1]), (glue, tail)
+
+
+def test_exact_spans_over_breaks():
+    raw = b"?" * 40 + b" " + KEY.encode() + b" end"
+    text = "k " + wrapped(raw, 20)
+    place = [i for i in range(2, len(text)) if text[i] != "\n"]
+    found = [(s, e) for s, k, e in S.all_spans(text)[1] if k == 1]
+    assert found == [(place[41 * 4 // 3], place[-(-61 * 4 // 3) - 1] + 1)]
