@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from flowcubes.llm.common import components, cut, map_batches, map_groups
 
 COSINE = 0.93
-TABLES, BITS, CELL = 20, 8, 2.0
+BITS, CELL = 8, 2.0
 COUNTED, RECALL = 16, 0.9999
 BLOCK = 1024
 SEED = 20240517
@@ -45,6 +45,17 @@ def spread(cosine: float) -> float:
     return math.sqrt(2 * (1 - cosine))
 
 
+def sharing(tables: int, cosine: float = COSINE) -> float:
+    """Probability that a pair at the threshold shares a cell of some table."""
+    c = spread(cosine) / CELL
+    side = math.erf(1 / c / math.sqrt(2)) - c * math.sqrt(2 / math.pi) * (1 - math.exp(-1 / (2 * c * c)))
+    return 1 - (1 - side**BITS) ** tables
+
+
+#: The fewest tables in which a pair at the threshold shares a cell with ``RECALL``.
+TABLES = next(t for t in range(1, 1000) if sharing(t) >= RECALL)
+
+
 def needed(cosine: float = COSINE, counted: int = COUNTED, recall: float = RECALL) -> int:
     """The largest count that a pair at the threshold reaches with ``recall``,
     for windows of two deviations to either side."""

@@ -95,3 +95,20 @@ def test_window_counts():
 
 def test_empty_table(spark):
     assert E.links(frame(spark, [(1, 1, [1.0])]).limit(0)).count() == 0
+
+
+def test_pairs_at_the_threshold_share_a_cell_as_stated():
+    rng = np.random.default_rng(11)
+    lost, size, n = 0, 32, 2000
+    table, offset, _ = E.directions(size)
+    for _ in range(20):
+        x = rng.standard_normal((n, size))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        y = rng.standard_normal((n, size))
+        y -= (y * x).sum(1, keepdims=True) * x
+        y /= np.linalg.norm(y, axis=1, keepdims=True)
+        y = E.COSINE * x + np.sqrt(1 - E.COSINE**2) * y
+        a, b = (np.floor((v @ table + offset) / E.CELL).reshape(n, E.TABLES, E.BITS) for v in (x, y))
+        lost += n - int((a == b).all(2).any(1).sum())
+    print(f"lost {lost} of 40000, {E.TABLES} tables")
+    assert lost <= 16  # four expected at 0.9999
