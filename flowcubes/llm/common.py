@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -38,6 +39,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write compressed Parquet to the shared checkpoint folder and read it from
+    there: for tables of some size, and rows whose numbers must not change."""
+    folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def map_batches(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], dict | pa.RecordBatch | None]], schema: str | T.StructType) -> DataFrame:
     """mapInArrow over batches. ``fn()`` is called once a task and gives the
     function of a batch, which returns columns by name (or a batch)."""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowcubes.llm import byte_bpe, embedding_dedup, fingerprints, language_id, near_dedup, packing, secret_scan, token_counts, toxicity, warc
+from flowcubes.llm import byte_bpe, collocations, embedding_dedup, fingerprints, language_id, license_scan, near_dedup, packing, prefix_trie, secret_scan, token_counts, toxicity, warc
 from flowcubes.llm.common import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,9 +64,26 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named in every whole text, by the positional index of rare words."""
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.scan(docs, license_scan.learn(docs))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The most strongly bound phrases of each language, by SON partitioning."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all rebuilt conversations, by adaptive radix trees."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_language_id, op2_embedding_near_dedup, op3_toxicity, op4_token_counts, op5_order_minhash, op6_warc, op7_fingerprints, op8_byte_bpe, op9_best_fit_packing, op10_secret_scan)
+    for f in (op1_language_id, op2_embedding_near_dedup, op3_toxicity, op4_token_counts, op5_order_minhash, op6_warc, op7_fingerprints, op8_byte_bpe, op9_best_fit_packing, op10_secret_scan,
+              op11_license_scan, op12_phrase_collocations, op13_prefix_trie)
 }
 
 
@@ -84,4 +101,4 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """The operators that SQL expresses; the others are tested against brute force."""
-    return {"op2_embedding_near_dedup": embedding_dedup.TWIN, "op6_warc": warc.TWIN}
+    return {"op2_embedding_near_dedup": embedding_dedup.TWIN, "op6_warc": warc.TWIN, "op12_phrase_collocations": collocations.TWIN, "op13_prefix_trie": prefix_trie.TWIN}

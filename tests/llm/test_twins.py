@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="driver tables n
 @pytest.mark.parametrize("name", sorted(R.oracle_sql()))
 def test_matches_duckdb(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "conversations"):
         con.execute(f"create view {t} as select * from read_parquet('{DATA}/{t}.parquet')")
     res = con.execute(R.oracle_sql()[name])
     columns = [d[0] for d in res.description]
