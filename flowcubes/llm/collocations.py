@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from flowcubes.llm.common import stored
-from flowcubes.llm.hashing import ROOT, mix, spelled
+from flowcubes.llm.hashing import mix, spelled
 
 MIN_COUNT = 10
 SHARDS = 4
@@ -114,7 +114,7 @@ class Words(NamedTuple):
         return np.flatnonzero(ok[:self.own])
 
     def keys(self, places: np.ndarray, size: int, salt: np.uint64) -> np.ndarray:
-        total = np.full(len(places), salt + np.uint64(size), "u8")
+        total = np.full(len(places), salt, "u8") + np.uint64(size)
         for i in range(size):
             total += self.hash[places + i] * _STEPS[i]
         return mix(total)
@@ -137,7 +137,7 @@ def words_of(raw: bytes, own: int) -> Words | None:
 
 
 def salt_of(lang: str) -> np.uint64:
-    return np.uint64(int.from_bytes(hashlib.blake2b(lang.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")) * ROOT
+    return np.uint64(int.from_bytes(hashlib.blake2b(lang.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little"))
 
 
 class Bits:
