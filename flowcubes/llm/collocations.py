@@ -1,10 +1,11 @@
 """Phrase collocation mining by partitioning (SON).
 
-The input's tasks are dealt to ``SHARDS`` shards. Each shard is mined completely,
-level by level, at a local support that is lowered in proportion to its size: a
-phrase that occurs ``MIN_COUNT`` times in all reaches that support in one shard
-at least. The union of the locally frequent phrases is then counted globally and
-exactly, by their texts.
+The input's tasks are dealt to ``SHARDS`` shards, each of them mined by many
+tasks. A shard is mined completely at a local support that is lowered in
+proportion to its size: a phrase that occurs ``MIN_COUNT`` times in all reaches
+that support in one shard at least. The union of the locally frequent phrases is
+then counted globally and exactly, by their texts. The fewer the shards, the
+higher their supports, and the fewer phrases are counted in vain.
 
 Mining works on hashes of words and phrases, counted in the tasks and added up
 by shard; its union is a set of bits, ``BITS_PER_PHRASE`` a phrase and at most
@@ -40,7 +41,7 @@ from flowcubes.llm.common import stored
 from flowcubes.llm.hashing import mix, spelled
 
 MIN_COUNT = 10
-SHARDS = 4
+SHARDS = 2
 #: A phrase goes if a longer one holds it and has this share (per cent) of its count.
 COVERED = 50
 TOP = 2_000
