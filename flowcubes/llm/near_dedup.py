@@ -25,22 +25,23 @@ a group stays, that of least doc_id (a null id is the largest, among equal ids
 the first row stays); an empty table gives an empty result; extra columns are
 not read by `classes` and are kept by `keep_one`. The input is read once; its
 numbered rows are written to the shared folder, and read from there after that.
+Only the texts of documents that share a bucket are shuffled, compressed.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
 from bisect import bisect_left
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowcubes.llm.common import components, cut, map_batches, map_groups
+from flowcubes.llm.common import components, cut, map_batches, map_groups, stored
 from flowcubes.llm.hashing import ROOT, mix, word_hashes
-from flowcubes.session import ensure_checkpoint_dir
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -55,6 +56,8 @@ PIVOT_ROUNDS = 2
 #: Members of a bucket that one task compares with one another, the shingles that
 #: these may have, and shingles that it counts at a time.
 BLOCK, BLOCK_SHINGLES, COLUMNS = 1024, 2_000_000, 8192
+#: Texts that are compared pass through the shuffles compressed at this level.
+PACK_LEVEL = 1
 SEED = 8_675_309
 
 _STEPS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], "u8")
@@ -145,10 +148,7 @@ def _numbered(docs: DataFrame) -> DataFrame:
     """The rows with a number of their own in ``row``, written to the shared
     folder: the numbers depend on how a scan is split, which may differ from one
     plan to the next, so every later read takes them from these files."""
-    made = docs.withColumn("row", F.monotonically_increasing_id())
-    folder = f"{ensure_checkpoint_dir(docs.sparkSession).rstrip('/')}/rows-{uuid.uuid4().hex}"
-    made.write.parquet(folder)
-    return docs.sparkSession.read.schema(made.schema).parquet(folder)
+    return stored(docs.withColumn("row", F.monotonically_increasing_id()), "rows")
 
 
 def _signed(docs: DataFrame) -> DataFrame:
@@ -167,12 +167,29 @@ def _signed(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select("row", "doc_id", "text"), start, "row long, doc_id long, words binary, size int, sketches array<long>")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+def _packed(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The texts of the given rows, compressed before they are shuffled (row, text)."""
+
+    def start():
+        pack = zstandard.ZstdCompressor(level=PACK_LEVEL).compress
+        return lambda b: {"row": b.column("row"), "text": [pack((t or "").encode("utf-8", "surrogatepass")) for t in b.column("text").to_pylist()]}
+
+    return stored(map_batches(docs.select("row", "text"), start, "row long, text binary").join(rows, "row", "left_semi"), "texts")
+
+
+def _opened() -> Callable[[bytes], np.ndarray]:
+    """The labelled shingles of a packed text."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    return lambda packed: shingles(unpack(packed).decode("utf-8", "surrogatepass").split())[1]
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) that align, with their similarity."""
-    texts = docs.select("row", "text")
     both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
 
     def start():
+        labelled = _opened()
+
         def step(batch: pa.RecordBatch) -> dict:
             known: dict[int, np.ndarray] = {}
             out = []
@@ -180,7 +197,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
             for x, y, s, t in zip(a, b, text_a, text_b):
                 for row, text in ((x, s), (y, t)):
                     if row not in known:
-                        known[row] = shingles((text or "").split())[1]
+                        known[row] = labelled(text)
                 out.append(aligned(known[x], known[y], threshold))
             return {"a": a, "b": b, "similarity": out}
         return step
@@ -208,17 +225,18 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _apart_links(members: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+def _apart_links(members: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """(a, b): links that connect components within the buckets, from all pairs
     of them. A bucket of more than ``BLOCK`` members is dealt out as pairs of
     blocks; a task counts what its documents share, aligns those that may reach
     the threshold and are not yet connected, and returns only links that connect."""
 
     def shingled():
-        return lambda b: {"row": b.column("row"), "labelled": [shingles((t or "").split())[1].view("i8") for t in b.column("text").to_pylist()]}
+        opened = _opened()
+        return lambda b: {"row": b.column("row"), "labelled": [opened(t).view("i8") for t in b.column("text").to_pylist()]}
 
-    texts = docs.join(members.select("row").distinct(), "row", "left_semi").select("row", "text")
-    labelled = cut(map_batches(texts, shingled, "row long, labelled array<long>"))
+    own = texts.join(members.select("row").distinct(), "row", "left_semi").select("row", "text")
+    labelled = stored(map_batches(own, shingled, "row long, labelled array<long>"), "shingles")
     sizes = members.groupBy("k", "sample").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     placed = members.select("k", "sample", "row", "component").join(sizes, ["k", "sample"]).withColumn("b", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -264,7 +282,8 @@ def linked(docs: DataFrame, reps: DataFrame, threshold: float = SIMILARITY) -> D
     members = reps.where("sketches is not null").select("row", "size", F.posexplode("sketches").alias("k", "sample"))
     members = members.withColumn("k", F.col("k") % SKETCHES)
     shared = members.groupBy("k", "sample").agg(F.count("*").alias("n")).where("n > 1").select("k", "sample")
-    members = cut(members.join(shared, ["k", "sample"]).withColumn("component", F.col("row")))  # of buckets with company
+    members = stored(members.join(shared, ["k", "sample"]).withColumn("component", F.col("row")), "members")  # of buckets with company
+    texts = _packed(docs, members.select("row").distinct())
     near = F.least("size", "other_size") >= threshold * F.greatest("size", "other_size")
     known = docs.sparkSession.createDataFrame([], "node long, component long")
 
@@ -276,22 +295,22 @@ def linked(docs: DataFrame, reps: DataFrame, threshold: float = SIMILARITY) -> D
         pivots = members.groupBy("k", "sample").agg(F.min_by(pivot, F.xxhash64(F.lit(i), "row")).alias("o")).select("k", "sample", "o.*")
         pairs = members.join(pivots, ["k", "sample"]).where("component <> other_component").where(near)
         pairs = pairs.select(F.least("row", "other").alias("a"), F.greatest("row", "other").alias("b")).distinct()
-        known = connect(cut(_verified(pairs, docs, threshold)))
+        known = connect(cut(_verified(pairs, texts, threshold)))
         # go on with the buckets whose members are not all connected
         now = members.drop("component").join(known.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
         apart = now.groupBy("k", "sample").agg((F.min("component") < F.max("component")).alias("apart")).where("apart").select("k", "sample")
-        members = cut(now.join(apart, ["k", "sample"]))
+        members = stored(now.join(apart, ["k", "sample"]), "members")
         if members.isEmpty():
             return known
-    return connect(cut(_apart_links(members, docs, threshold)))
+    return connect(cut(_apart_links(members, texts, threshold)))
 
 
 def _grouped(docs: DataFrame, threshold: float) -> DataFrame:
     """(row, doc_id, kept_row, component_id) of every document of the numbered rows."""
-    signed = cut(_signed(docs))
+    signed = stored(_signed(docs), "signed")
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
     by_words = signed.groupBy("words").agg(F.min_by(F.struct("row", "doc_id", "size", "sketches"), order).alias("r"))
-    reps = cut(by_words.select("words", "r.*"))
+    reps = stored(by_words.select("words", "r.*"), "classes")
     of = linked(docs, reps, threshold)
     reps = reps.select("words", "row", "doc_id").join(of.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
     least = reps.groupBy("component").agg(F.min_by(F.struct("row", "doc_id"), order).alias("l"))
