@@ -86,13 +86,13 @@ def held_out(doc_id: str, folds: int, fold: int):
 BROADCAST_ROWS = 200_000
 
 
-def sample_by(rows: DataFrame, kind: str, most: int) -> DataFrame:
-    """At most ``most`` distinct (doc_id, kind) of each kind: those of least
-    hash of the id. Rows far above that are left out by their hash first, so
+def sample_by(rows: DataFrame, kind: str, most: int, kinds: int = 256) -> DataFrame:
+    """At most ``most`` distinct (doc_id, kind) of each of the ``kinds`` most
+    frequent kinds: those of least hash of the id. Rows far above that are left out by their hash first, so
     that the ranking sees a few times ``most`` rows of each kind, however many
     there are; only the counts by kind come to the driver."""
     rows = rows.select("doc_id", kind).where(F.col(kind).isNotNull())
-    counts = {r[kind]: r["n"] for r in rows.groupBy(kind).agg(F.count("*").alias("n")).collect()}
+    counts = {r[kind]: r["n"] for r in rows.groupBy(kind).agg(F.count("*").alias("n")).orderBy(F.desc("n"), kind).limit(kinds).collect()}
     if not counts:
         return rows.limit(0)
     share = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 4 * most / n))]), F.col(kind))

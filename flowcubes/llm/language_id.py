@@ -7,7 +7,9 @@ two ranks, or the length of the profile if it is not there. The language of
 least total cost is the prediction.
 
 Profiles are learned from at most ``SAMPLE_DOCS`` documents of each language,
-those of least hash of the id among the rows that may be learned from.
+those of least hash of the id among the rows that may be learned from, and of
+the ``MAX_LANGS`` languages with the most rows. A letter is what Unicode calls
+one; number signs and marks divide words.
 
 Defined results: ``und`` and score 0 for a null text and one without a letter,
 and for every text if there is nothing to learn from; ties go to the language
@@ -18,9 +20,8 @@ empty result; `predict` reads no other columns, and `keep_known` keeps them.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
-from operator import itemgetter
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,40 +35,117 @@ FOLDS, HELD_FOLD = 5, 0
 SAMPLE_DOCS = 2_000
 PROFILE = 400
 SIZES = (1, 2, 3)
-WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 #: A prediction of lower score is no known language: `keep_known` rejects it.
 MIN_SCORE = 0.02
-MEMO_WORDS = 100_000
+MARK = ord("_")  # at either end of a word
+#: Letters of a block whose n-grams are counted in tables of all that are possible.
+MOST_KINDS = 96
+BLOCK = 1 << 20
+#: Languages learned: those with the most rows.
+MAX_LANGS = 256
 
 Profiles = dict[str, list[str]]
 
 
-class Grams(dict):
-    """n-grams of a word, remembered up to a bound."""
+@cache
+def letter_table() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
-    def __missing__(self, word: str) -> list[str]:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        padded = f"_{word}_"
-        out = [padded[i:i + n] for n in SIZES for i in range(len(padded) - n + 1)]
-        out = [g for g in out if g != "_"]
-        if len(word) <= 32:
-            self[word] = out
-        return out
 
-
-def gram_counts(text: str, grams: Grams) -> dict[str, int]:
-    out: dict[str, int] = {}
-    for word, n in Counter(WORD.findall(text.lower())).items():
-        for g in grams[word]:
-            out[g] = out.get(g, 0) + n
+def packed(gram: str) -> int:
+    """The code points of an n-gram in 21 bits each."""
+    out = 0
+    for c in gram:
+        out = out << 21 | ord(c)
     return out
 
 
-def ranked(counts: dict[str, int], size: int = PROFILE) -> list[str]:
-    """The most frequent n-grams; equal counts in the order of first occurrence."""
-    return [g for g, _ in sorted(counts.items(), key=itemgetter(1), reverse=True)[:size]]
+def spelled_out(code: int) -> str:
+    return "".join(chr(code >> s & 0x1FFFFF) for s in (42, 21, 0) if code >> s & 0x1FFFFF)
+
+
+def block_grams(code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(packed n-grams, counts, places) of a block of code points. Places give the
+    order of first occurrence: by word, then size, then place in the word."""
+    letter = letter_table()[code]
+    after = np.r_[False, letter[:-1]]
+    kept = letter | after  # letters, and one mark after each word
+    seq = np.r_[MARK, np.where(letter, code, MARK)[kept]].astype("i8")
+    if letter[-1]:
+        seq = np.r_[seq, MARK]
+    if len(seq) < 3:
+        return (np.zeros(0, "i8"),) * 3
+    mark = seq == MARK
+    marks = np.flatnonzero(mark)
+    # the letters of this block as small numbers
+    low = seq.min()
+    if seq.max() - low < 1 << 16:
+        there = np.bincount(seq - low) > 0
+        own, kinds = (np.cumsum(there) - 1)[seq - low], int(there.sum())
+    else:
+        values, own = np.unique(seq, return_inverse=True)
+        kinds = len(values)
+    dense = kinds <= MOST_KINDS
+    codes, counts, places = [], [], []
+    for n in SIZES:
+        at = np.arange(len(seq) - n + 1)
+        if n == 1:
+            at = at[~mark]
+        elif n == 3:
+            at = at[~mark[1:-1]]
+        number, full = np.zeros(len(at), "i8"), np.zeros(len(at), "i8")
+        for i in range(n):
+            number = number * kinds + own[at + i] if dense else number
+            full = full << 21 | seq[at + i]
+        if dense:
+            tally = np.bincount(number, minlength=kinds**n)
+            first = np.empty(kinds**n, "i8")
+            first[number[::-1]] = np.arange(len(at))[::-1]  # of equal ones the last write stays: the first place
+            found = np.flatnonzero(tally)
+            count, first = tally[found], first[found]
+        else:
+            _, first, count = np.unique(full, return_index=True, return_counts=True)
+        codes.append(full[first])
+        counts.append(count)
+        place = at[first]
+        word = np.searchsorted(marks, place, "right") - 1
+        start = marks[word]
+        places.append(2 * start + (n - 1) * (marks[word + 1] - start + 1) + place)
+    return np.concatenate(codes), np.concatenate(counts), np.concatenate(places)
+
+
+def text_grams(text: str, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`block_grams` of a whole text; a long one is read in blocks that end with a word."""
+    code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    parts, at = [], 0
+    while at < len(code):
+        end = at + block
+        while end < len(code) and letter_table()[code[end - 1]]:
+            end += 1
+        found = block_grams(code[at:end])
+        parts.append((*found[:2], found[2] + 4 * at))
+        at = end
+    if len(parts) == 1:
+        return parts[0]
+    if not parts:
+        return (np.zeros(0, "i8"),) * 3
+    codes, counts, places = (np.concatenate(c) for c in zip(*parts))
+    every, first, own = np.unique(codes, return_index=True, return_inverse=True)  # the first one is of the first block
+    return every, np.bincount(own, counts, len(every)).astype("i8"), places[first]
+
+
+def ranked(grams: tuple[np.ndarray, np.ndarray, np.ndarray], size: int = PROFILE) -> np.ndarray:
+    """The most frequent n-grams, packed; equal counts in the order of first occurrence."""
+    codes, counts, places = grams
+    if not len(codes):
+        return codes
+    key = (counts.max() - counts) * (places.max() + 1) + places
+    if len(key) > size:
+        least = np.argpartition(key, size)[:size]
+        return codes[least[np.argsort(key[least])]]
+    return codes[np.argsort(key)]
 
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, size: int = PROFILE) -> Profiles:
@@ -75,17 +153,16 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, size: int = PROFILE)
     lists (``size`` n-grams a language) come to the driver."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     rows = rows.where("lang is not null and text is not null").where(~held_out("doc_id", FOLDS, HELD_FOLD))
-    sample = rows.join(sample_by(rows, "lang", sample_docs), ["doc_id", "lang"], "left_semi")
+    sample = rows.join(sample_by(rows, "lang", sample_docs, MAX_LANGS), ["doc_id", "lang"], "left_semi")
 
     def start():
-        grams = Grams()
-
         def step(batch: pa.RecordBatch) -> dict:
             counts: Counter = Counter()
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                for g, n in gram_counts(text, grams).items():
+                codes, own, _ = text_grams(text)
+                for g, n in zip(codes.tolist(), own.tolist()):
                     counts[lang, g] += n
-            return {"lang": [k[0] for k in counts], "gram": [k[1] for k in counts], "n": list(counts.values())}
+            return {"lang": [k[0] for k in counts], "gram": [spelled_out(k[1]) for k in counts], "n": list(counts.values())}
         return step
 
     counts = map_batches(sample.select("lang", "text"), start, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
@@ -99,23 +176,24 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, size: int = PROFILE)
 
 class Classifier:
     def __init__(self, profiles: Profiles, size: int = PROFILE):
-        self.size, self.langs, self.grams = size, sorted(profiles), Grams()
-        every = sorted({g for p in profiles.values() for g in p})
-        self.at = {g: i for i, g in enumerate(every)}
+        self.size, self.langs = size, sorted(profiles)
+        every = sorted({packed(g) for p in profiles.values() for g in p})
+        at = {g: i for i, g in enumerate(every)}
+        self.codes = np.array([*every, 1 << 62], "i8")
         #: rank of each n-gram in each profile; -1 if it is not there (the last row: in none)
         self.ranks = np.full((len(every) + 1, len(self.langs)), -1, "i4")
         for j, lang in enumerate(self.langs):
             for r, g in enumerate(profiles[lang]):
-                self.ranks[self.at[g], j] = r
+                self.ranks[at[packed(g)], j] = r
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         """(language, how near its profile is: 1 for the same list, 0 for
         nothing in common)."""
-        own = ranked(gram_counts(text, self.grams), self.size) if text and self.langs else []
-        if not own:
+        own = ranked(text_grams(text), self.size) if text and self.langs else ()
+        if not len(own):
             return UNKNOWN, 0.0
-        none = len(self.at)
-        theirs = self.ranks[[self.at.get(g, none) for g in own]]
+        row = np.minimum(np.searchsorted(self.codes, own), len(self.codes) - 1)
+        theirs = self.ranks[np.where(self.codes[row] == own, row, len(self.codes) - 1)]
         cost = np.where(theirs < 0, self.size, np.abs(theirs - np.arange(len(own))[:, None])).sum(0)
         best = int(cost.argmin())
         return self.langs[best], float(1 - cost[best] / (self.size * len(own)))

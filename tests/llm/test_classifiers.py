@@ -7,6 +7,8 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from flowcubes.llm import language_id as L
 from flowcubes.llm import toxicity as X
@@ -50,19 +52,48 @@ def test_nothing_to_learn_from(docs_of):
 def test_the_distance_is_out_of_place():
     profiles = {"p": ["_a", "ab", "c"], "q": ["zz", "c", "ab"]}
     classify = L.Classifier(profiles, size=3)
-    own = L.ranked(L.gram_counts("abc ab", L.Grams()), 3)
+    own = [g for g, _ in plain_grams("abc ab").most_common(3)]
     cost = {k: sum(abs(p.index(g) - i) if g in p else 3 for i, g in enumerate(own)) for k, p in profiles.items()}
     best = min(sorted(cost), key=cost.get)
     assert classify("abc ab") == (best, pytest.approx(1 - cost[best] / 9))
 
 
-def test_ngrams_of_words():
-    counts = L.gram_counts("Abab abab x", L.Grams())
-    want = Counter()
-    for w in ("abab", "abab", "x"):
+def plain_grams(text):
+    """n-grams of words of letters, in the order of first occurrence by distinct word."""
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    out = Counter()
+    for w, times in Counter(words).items():
         p = f"_{w}_"
-        want.update(g for n in (1, 2, 3) for g in (p[i:i + n] for i in range(len(p) - n + 1)) if g != "_")
-    assert counts == want
+        for g in (p[i:i + n] for n in (1, 2, 3) for i in range(len(p) - n + 1)):
+            if g != "_":
+                out[g] += times
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("abAB_é½²1 .漢字İß\u0301") | st.characters(blacklist_categories=("Cs",)), max_size=60), st.integers(1, 40), st.sampled_from([2, 96]))
+def test_ngrams_of_words(text, block, kinds):
+    want = plain_grams(text)
+    most, L.MOST_KINDS = L.MOST_KINDS, kinds
+    try:
+        for size in (1 << 20, block):
+            grams = L.text_grams(text, size)
+            assert {L.spelled_out(c): n for c, n in zip(grams[0].tolist(), grams[1].tolist())} == want
+            assert [L.spelled_out(c) for c in L.ranked(grams, 9).tolist()] == [g for g, _ in want.most_common(9)]
+    finally:
+        L.MOST_KINDS = most
+
+
+def test_number_signs_are_no_letters():
+    classify = L.Classifier({"p": ["a"], "q": ["b"]})
+    assert [classify(t) for t in ("½ ² ①", "Ⅷ ٣", "_ __", "\u0301")] == [("und", 0.0)] * 4
+    assert classify("½a²")[0] == "p"
+
+
+def test_the_languages_learned_are_bounded(docs_of, monkeypatch):
+    monkeypatch.setattr(L, "MAX_LANGS", 2)
+    docs = docs_of([(i, "some text", lang) for i, lang in enumerate(["aa"] * 40 + ["bb"] * 30 + ["cc"] * 5)])
+    assert set(L.learn(docs)) == {"aa", "bb"}
 
 
 def kernel(s, t):
