@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import FAILED, FF, make_orders
+from order_helpers import FAILED, FF, make_orders
 from flowcubes import schemas
 from flowcubes.operators import cubes, ingest
 

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import FAILED, make_orders
+from order_helpers import FAILED, make_orders
 from flowcubes.operators import cubes
 from flowcubes.plans import dashboard
 

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import FAILED, FF, make_orders
+from order_helpers import FAILED, FF, make_orders
 from flowcubes.operators import cubes
 from flowcubes.plans import assets, fees, flows, growth, latency, leagues, rhythm, wallets
 

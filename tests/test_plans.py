@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from conftest import make_orders
+from order_helpers import make_orders
 from flowcubes.operators import cubes
 from flowcubes.plans import dashboard, latency
 

@@ -1,4 +1,4 @@
-from conftest import make_orders
+from order_helpers import make_orders
 from flowcubes.functions.sql import register_functions
 from flowcubes.operators import publish
 
