@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import cubes
 from ..sources import binding
-from . import assets, dashboard, fees, flows, freshness, growth, latency, leagues, rhythm, wallets
+from . import assets, dashboard, fees, flows, freshness, growth, impact, latency, leagues, rhythm, wallets
 
 # Parameters of the stand-in data (see ``sources.binding``).
 DEPOSIT_TOKEN = "0x50524F4D4F"        # part type PROMO bought on an EVM chain
 WITHDRAWAL_TOKEN = "0x4272616E642334"  # part brand Brand#4 sold on an EVM chain
+IMPACT_FROM, IMPACT_TO, IMPACT_WITHIN = "1997-04-10", "1997-10-10", 30 * 86400
 TOKEN_DECIMALS = binding.TOKEN_DECIMALS
 SIZE_BOUNDS = (2000, 10000, 50000, 90000)
 EVENTS_AS_OF = binding.EVENTS_AS_OF
@@ -71,6 +72,13 @@ def _freshness(i: Inputs) -> DataFrame:
     return freshness.freshness(tables).withColumn("refreshed_at", F.col("refreshed_at").cast("timestamp_ntz"))
 
 
+def _wallet_impact(i: Inputs) -> DataFrame:
+    """Deposits of one half-year, and trades from two months before the first."""
+    orders = binding.hex_wallet_orders(i.spark, i.dir).where(f"day >= date '{IMPACT_FROM}' and day < date '{IMPACT_TO}'")
+    return impact.wallet_impact(orders, binding.creation_traces(i.spark, i.dir, impact.WALLET_FACTORY), binding.monthly_trades(i.spark, i.dir),
+                                token=DEPOSIT_TOKEN, decimals=TOKEN_DECIMALS, within_seconds=IMPACT_WITHIN)
+
+
 def metric_queries() -> dict[str, Query]:
     """Q1-Q23."""
     return {
@@ -112,6 +120,7 @@ def metric_queries() -> dict[str, Query]:
                 binding.market_trades(i.spark, i.dir),
             )
         ),
+        "wallet_impact_from_orders": _q(_wallet_impact),
         "freshness": _q(_freshness),
     }
 

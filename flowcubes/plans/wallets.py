@@ -128,6 +128,12 @@ def funded_wallet_impact(deposits: DataFrame, deposit_wallets: DataFrame, trades
         )
         .withColumn("_traded", F.lit(True))
     )
+    return impact_summary(funded, traded, within_seconds, exact)
+
+
+def impact_summary(funded: DataFrame, traded: DataFrame, within_seconds: int = 60, exact: bool = True) -> DataFrame:
+    """The row of Q22 from funded wallets (``addr, first_deposit,
+    deposited_usd``) and traded ones (``addr, wagered_usd, first_trade, _traded``)."""
     j = funded.join(traded, "addr", "left")
     after = F.col("first_trade") > F.col("first_deposit")
     lag = F.floor(

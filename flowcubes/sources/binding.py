@@ -17,11 +17,14 @@ Every frame is lazy; selecting a few columns prunes the scans to them.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.address import FRIENDLY_CHAIN
+from ..session import ensure_checkpoint_dir
 from .tables import table
 
 # ---------------------------------------------------------------------------
@@ -283,6 +286,57 @@ def market_trades(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+WALLET_BYTES = 20
+#: Market segments whose customers' wallets the factory created.
+FACTORY_SEGMENTS = ("BUILDING", "MACHINERY", "FURNITURE")
+OTHER_DEPLOYER = "00000000000000000000000000000000000000ff"
+TRADE_FILES_PER_MONTH = 4
+
+
+def wallet_hex(key: Column) -> Column:
+    return F.lpad(F.hex(key), 2 * WALLET_BYTES, "0")
+
+
+def hex_wallet_orders(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The order view with destination traders as hex addresses, in either case
+    and with or without ``0x``."""
+    o = orders(spark, data_dir)
+    key = F.col("dst_trader_address").cast("bigint")
+    digits = wallet_hex(key)
+    return o.withColumn("dst_trader_address", F.when(key % 2 == 0, F.concat(F.lit("0x"), F.lower(digits))).otherwise(digits))
+
+
+def creation_traces(spark: SparkSession, data_dir: str, factory: str) -> DataFrame:
+    """``from, address`` (binary), written to the shared folder and read from
+    there: every customer's wallet, some of them traced twice."""
+    c = table(spark, data_dir, "customer")
+    maker = F.when(F.col("c_mktsegment").isin(*FACTORY_SEGMENTS), F.lit(factory)).otherwise(F.lit(OTHER_DEPLOYER))
+    times = F.when(F.col("c_custkey") % 10 == 0, 2).otherwise(1)
+    rows = c.select(F.unhex(maker).alias("from"), F.unhex(wallet_hex(F.col("c_custkey"))).alias("address"), F.explode(F.sequence(F.lit(1), times)).alias("n"))
+    return _landed(rows.drop("n"), "traces")
+
+
+def monthly_trades(spark: SparkSession, data_dir: str) -> DataFrame:
+    """``maker, taker`` (binary), ``amount, block_time``, in folders by
+    ``block_month``: one trade an order, between a customer and the next one;
+    every third has no taker."""
+    o = table(spark, data_dir, "orders")
+    key = F.col("o_orderkey")
+    at = F.timestamp_seconds(F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + key % 400_000)
+    rows = o.select(
+        F.unhex(wallet_hex(F.col("o_custkey"))).alias("maker"), F.when(key % 3 != 0, F.unhex(wallet_hex(F.col("o_custkey") + 1))).alias("taker"),
+        F.col("o_totalprice").cast(schemas.USD).alias("amount"), at.alias("block_time"), F.trunc(at, "month").alias("block_month"), key.alias("k"))
+    # a month's rows go to a few files, however many tasks and rows there are
+    rows = rows.repartition("block_month", F.pmod(F.xxhash64("k"), F.lit(TRADE_FILES_PER_MONTH))).drop("k")
+    return _landed(rows, "trades", "block_month")
+
+
+def _landed(rows: DataFrame, name: str, *folders: str) -> DataFrame:
+    path = f"{ensure_checkpoint_dir(rows.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    (rows.write.partitionBy(*folders) if folders else rows.write).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def activity(spark: SparkSession, data_dir: str) -> DataFrame:
     """``ts, trader, usd``: settled swaps with second-resolution clocks for the
     hour / weekday rhythm; error events carry no dollar value."""
