@@ -35,12 +35,14 @@ def whole_units(text: Column) -> Column:
 
 
 def shifted(text: Column, decimals: Column, kind: T.DecimalType) -> Column:
-    """``units / 10^decimals`` exactly, by placing the point in the digits;
-    NULL if the units are not digits or the amount does not fit ``kind``."""
+    """``units / 10^decimals`` exactly, by placing the point in the digits; NULL if
+    the units are not digits or the amount does not fit ``kind``: zeros at the end
+    are no digits of it, and digits below its scale are never rounded away."""
     places = decimals.cast("int")
     digits = F.when(text.rlike("^[0-9]+$"), F.lpad(text, F.greatest(F.length(text), places + 1), F.lit("0")))
     whole = F.substring(digits, F.lit(1), F.length(digits) - places)
-    return F.concat(whole, F.lit("."), F.right(digits, places)).try_cast(kind)
+    part = F.regexp_replace(F.right(digits, places), "0+$", "")
+    return F.when(F.length(part) <= kind.scale, F.concat(whole, F.lit("."), part).try_cast(kind))
 
 
 def dsum(value: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from .. import schemas
 from ..sources import binding
 from . import registry, registry_ops
-from .oracle import CUBES, FAILED, FF, FILLED, STABLE, XC, with_base
+from .oracle import _METRICS, CUBES, FAILED, FF, FILLED, STABLE, XC, with_base
 
 VIEW_COLUMNS = (
     "status, quote_id, src_chain_id, dst_chain_id, input_asset_chain, input_asset_kind, "
@@ -324,6 +324,35 @@ stamps AS (
 SELECT max(v) AS refreshed_at, count(DISTINCT v) AS distinct_vintages FROM stamps""")
 
 
+def _sql_cursor() -> str:
+    """Row by row over the whole landing."""
+    return with_base(f"""
+daily AS (SELECT lt_num // {registry_ops.DAY_NANOS} AS page, lt_num AS lt FROM ov),
+sent AS (SELECT page, lt FROM daily WHERE page % 40 NOT IN (8, 20) UNION ALL SELECT page + 1, lt FROM daily WHERE page % 40 = 7),
+steps AS (SELECT page, count(*) AS rows, min(lt) AS first, max(lt) AS last, count(*) - count(DISTINCT lt) AS stalls FROM sent GROUP BY page),
+seen AS (SELECT *, max(last) OVER w AS high, lag(page) OVER (ORDER BY page) AS previous FROM steps WINDOW w AS (ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT page, 'not ascending in page' AS problem, stalls AS rows FROM seen WHERE stalls > 0
+UNION ALL SELECT page, 'cursor did not advance', rows FROM seen WHERE first <= high
+UNION ALL SELECT page, 'pages missing before', page - previous - 1 FROM seen WHERE page > previous + 1""")
+
+
+def _sql_upsert() -> str:
+    return with_base("""
+best AS (SELECT lt_num AS lt, filled_usd, status FROM ov QUALIFY row_number() OVER (PARTITION BY lt_num ORDER BY filled_usd DESC, status DESC) = 1),
+merged AS (SELECT lt, CASE WHEN lands AND lt % 2 = 0 THEN 'RELANDED' ELSE status END AS status, CASE WHEN lands AND lt % 2 = 0 THEN filled_usd + 1 ELSE filled_usd END AS filled_usd
+           FROM (SELECT *, (lt % 5 = 0 OR lt % 3 = 0) AS lands FROM best))
+SELECT status, count(*) AS orders, count(*) AS keys, sum(filled_usd)::DOUBLE AS filled_usd FROM merged GROUP BY status""")
+
+
+def _sql_late_finalization() -> str:
+    """Recomputed from the orders that are left."""
+    dims = ", ".join(("day",) + schemas.CUBE_DIMENSIONS["daily_chainpair"])
+    return with_base(f"""
+now AS (SELECT * FROM ov WHERE day < DATE '{registry_ops.WINDOW_FROM}' OR lt_num % 11 <> 0),
+chainpair AS (SELECT {dims}, {_METRICS} FROM now GROUP BY {dims})
+SELECT {dims}, {_metrics_out("daily_chainpair")} FROM chainpair""")
+
+
 def operator_sql() -> dict[str, str]:
     out = {f"cube_{t}": _sql_cube(t) for t in schemas.CUBE_DIMENSIONS}
     out.update({
@@ -351,6 +380,9 @@ def operator_sql() -> dict[str, str]:
         "order_lt_duplicates": _sql_dup_lt(),
         "order_created_between": _sql_created_between(),
         "order_backfill_coverage": _sql_coverage(),
+        "order_cursor_violations": _sql_cursor(),
+        "order_upsert_lt": _sql_upsert(),
+        "cube_late_finalization": _sql_late_finalization(),
         "order_dedupe": _sql_dedupe(),
         "ingest_order_pages": _sql_ingest_pages(),
         "ingest_cube_pages": _sql_ingest_cube_pages(),

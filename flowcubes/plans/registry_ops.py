@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.address import evm_key, ton_raw, truncate_label
 from ..functions.stats import whole_units
-from ..operators import cubes, ingest, pricing, publish, quality
+from ..operators import cubes, ingest, maintain, pricing, publish, quality
 from ..sources import binding
 from .common import cross_chain, settled, top_k_with_other
 from .registry import RUN_TS, Inputs, Query, _q
@@ -23,6 +23,8 @@ CREATED_FROM, CREATED_TO = "1996-01-01", "1997-01-01"
 BACKFILL_FROM, BACKFILL_TO = "1995-01-01", "2001-12-31"
 RETENTION_AS_OF, RETENTION_DAYS = "2001-08-01", 90
 TOP_RESOLVERS = 5
+# The re-pulled window of late finalization, and when the first pull was made.
+WINDOW_FROM, FIRST_PULL = "2000-10-01", "2001-01-15"
 # Parameters under which the quality checks have something to find.
 DAY_GAP, ODD_DAYS_CHAIN = 0, "ton"
 
@@ -195,6 +197,46 @@ def _dedupe(i: Inputs) -> DataFrame:
     return ingest.dedupe(o, key=None).agg(F.count(F.lit(1)).alias("orders"))
 
 
+DAY_NANOS = 86_400_000_000_000
+
+
+def _cursor(i: Inputs) -> DataFrame:
+    """Pages of a day's orders, some of which land twice (in place of the next
+    one) or not at all; orders of one ``lt`` stall."""
+    o = i.orders().select(F.floor(F.col("lt_num") / DAY_NANOS).alias("page"), F.col("lt_num").alias("pos"), "lt")
+    at = F.col("page") % 40
+    sent = o.where(~at.isin(8, 20)).unionByName(o.where(at == 7).withColumn("page", F.col("page") + 1))
+    return maintain.sequence_violations(sent)
+
+
+def _upsert(i: Inputs) -> DataFrame:
+    """A landing with orders that are held, new ones, and copies of both."""
+    o = i.orders().groupBy("lt").agg(F.max(F.struct("filled_usd", "status")).alias("r")).select("lt", "r.status", "r.filled_usd")
+    key = F.col("lt").cast("bigint")
+    held = maintain.write_bucketed(o.where(key % 5 != 0), "silver")
+    first = o.where((key % 5 == 0) | (key % 3 == 0)).withColumn("landing", F.lit(1))
+    again = first.where(key % 2 == 0).select("lt", F.lit("RELANDED").alias("status"), (F.col("filled_usd") + 1).cast("decimal(18,2)").alias("filled_usd"), F.lit(2).alias("landing"))
+    merged = maintain.upserted(held, first.unionByName(first).unionByName(again))
+    return merged.groupBy("status").agg(F.count(F.lit(1)).alias("orders"), F.count_distinct("lt").alias("keys"), F.sum("filled_usd").cast("double").alias("filled_usd"))
+
+
+def _late_finalization(i: Inputs) -> DataFrame:
+    """The chain-pair cube after a window was pulled again: orders that finalized
+    after the first pull, orders that changed and orders that are gone."""
+    o = i.orders()
+    recent, key = F.col("day") >= F.lit(WINDOW_FROM).cast("date"), F.col("lt_num")
+    changed = recent & (key % 7 == 0)
+    zero = F.lit(0).cast("decimal(18,2)")
+    held = o.where(~recent | (F.col("order_finalize_time") < epoch(FIRST_PULL))).withColumns({
+        "status": F.when(changed, F.lit(schemas.FAILED)).otherwise(F.col("status")),
+        "filled_usd": F.when(changed, zero).otherwise(F.col("filled_usd")),
+        "src_trader_address": F.when(changed, F.lit("nobody")).otherwise(F.col("src_trader_address"))})
+    before = {"daily_chainpair": cubes.daily_chainpair(held)}
+    _, after = maintain.refresh_window(i.spark, held, o.where(recent & (key % 11 != 0)), before, WINDOW_FROM)
+    cube = after["daily_chainpair"]
+    return cube.select("day", *schemas.CUBE_DIMENSIONS["daily_chainpair"], *published_metrics(cube, "daily_chainpair"))
+
+
 INGESTED_COLUMNS = (
     "lt", "status", "quote_id", "src_chain_id", "dst_chain_id",
     "input_asset_chain", "input_asset_kind", "input_asset_address",
@@ -280,6 +322,9 @@ def operator_queries() -> dict[str, Query]:
         "order_created_between": _q(_created_between),
         "order_backfill_coverage": _q(_coverage),
         "order_dedupe": _q(_dedupe),
+        "order_cursor_violations": _q(_cursor),
+        "order_upsert_lt": _q(_upsert),
+        "cube_late_finalization": _q(_late_finalization),
         "ingest_order_pages": _q(_ingest_pages),
         "ingest_cube_pages": _q(_ingest_cube_pages),
         "quality_unparseable_days": _q(_unparseable_days),

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators import ingest
+from ..operators.quality import PublishError
 from ..session import ensure_checkpoint_dir
 
 
@@ -32,8 +33,12 @@ def order_stream(spark: SparkSession, landing: str, max_files_per_trigger: int |
 
 def merge_batch(batch: DataFrame, path: str, batch_id: int) -> None:
     """Write a batch's orders that the table does not hold yet. Only ``lt``
-    values of the batch's own range are read back."""
+    values of the batch's own range are read back. Orders without ``lt`` cannot be
+    told from one another: a batch that holds one is refused as a whole, before
+    anything is written."""
     spark = batch.sparkSession
+    if not batch.where(F.col("lt").isNull()).isEmpty():
+        raise PublishError(f"batch {batch_id} has orders without lt; refusing to merge it")
     new = batch.dropDuplicates(["lt"])
     bounds = new.agg(F.min("lt_num").alias("low"), F.max("lt_num").alias("high"), F.count(F.lit(1)).alias("rows"),
                      F.count_if(F.col("lt_num").isNull()).alias("odd")).first()

@@ -1,5 +1,8 @@
 import json
 
+import pytest
+
+from flowcubes.operators.quality import PublishError
 from flowcubes.streaming import silver
 from test_ingest import order, page
 
@@ -40,6 +43,13 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     assert silver.read_silver(spark, str(tmp_path / "none")) is None
 
 
+def test_orders_without_lt_are_refused_whole(spark, tmp_path):
+    out = str(tmp_path / "silver")
+    with pytest.raises(PublishError, match="without lt"):
+        silver.merge_batch(spark.createDataFrame([("1", 1), (None, None), (None, None)], "lt string, lt_num long"), out, 0)
+    assert silver.read_silver(spark, out) is None
+
+
 def test_daily_cube_over_a_stream_of_the_table(spark, tmp_path):
     out = str(tmp_path / "silver")
     landing = land(tmp_path / "in", {"p-1.json": page(*[order(lt=str(i), src_trader_address={"solis": f"w{i % 2}"}) for i in range(4)])})
