@@ -215,18 +215,23 @@ def _store(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
-def read(files: DataFrame, folder: str) -> DataFrame:
-    """Every record and every gap of the archives named by ``path``."""
+def read(files: DataFrame, folder: str, whole: bool = False) -> DataFrame:
+    """Every record and every gap of the archives named by ``path``, each archive
+    in a task of its own. With ``whole`` an archive that has a gap, or other than
+    the number of ``records`` that were written to it, ends the run."""
 
     def start():
         store, _ = _store(folder)
 
         def step(batch: pa.RecordBatch) -> dict:
             out = {f: [] for f in names}
-            for path in batch.column("path").to_pylist():
+            for path, records in zip(batch.column("path").to_pylist(), batch.column("records").to_pylist()):
                 with store.open_input_stream(path, compression=None) as f:
                     raw = f.read()
-                for found in salvage(raw):
+                all_found = list(salvage(raw))
+                if whole and (len(all_found) != records or any(f.reason for f in all_found)):
+                    raise RuntimeError(f"{path}: {records} records written, {sum(not f.reason for f in all_found)} read")
+                for found in all_found:
                     fields = found.fields or {}
                     head, _, body = found.block.partition(b"\r\n\r\n")
                     size = re.search(rb"(?i)\r\ncontent-length: *(\d+)", head)
@@ -247,18 +252,22 @@ def read(files: DataFrame, folder: str) -> DataFrame:
 
     schema = "path string, start long, end long, gap string, record_type string, page_id long, url string, refers_to long, payload_bytes long, payload_digest string, payload binary"
     names = T.StructType.fromDDL(schema).names
-    return map_batches(files.repartition(F.col("path")), start, schema)
+    if "records" not in files.columns:
+        files = files.withColumn("records", F.lit(None).cast("long"))
+    # by number, which is kept: file names are a few bytes, and would be folded into one task
+    return map_batches(files.select("path", "records").repartitionByRange(max(1, files.count()), "path"), start, schema)
 
 
-def archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
+def archive(pages: DataFrame, folder: str | None = None, whole: bool = False) -> DataFrame:
     """Writes the pages as archives and reads these back: records and gaps."""
     folder = folder or f"{ensure_checkpoint_dir(pages.sparkSession).rstrip('/')}/warc-{uuid.uuid4().hex}"
-    return read(write(marked(pages), folder), folder)
+    return read(write(marked(pages), folder), folder, whole)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """One row per page, from what the salvage reader finds."""
-    return archive(pages).where("gap is null").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    """One row per page, from what the salvage reader finds; it fails if that is
+    not every record written."""
+    return archive(pages, whole=True).where("gap is null").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 TWIN = f"""

@@ -96,3 +96,16 @@ def test_reader_logs_gaps_of_damaged_files(spark, tmp_path):
     gaps = [r for r in rows if r.gap]
     assert [g.path for g in gaps] == [path] and gaps[0].end > gaps[0].start
     assert len(PAGES) - 1 <= len(rows) - len(gaps) < len(PAGES) + 1
+
+
+def test_each_archive_has_a_reader_task(spark, tmp_path):
+    prepare(spark)
+    pages = spark.range(40).selectExpr("id as page_id", "'u' as url", "repeat(cast(id as string), 400) as html").repartition(8)
+    files = W.write(W.marked(pages), str(tmp_path), roll=2000)
+    n = files.count()
+    read = W.read(files, str(tmp_path), whole=True)
+    assert n > 3 and read.count() == 40
+    assert read.rdd.getNumPartitions() == n
+    short = files.withColumn("records", files.records + 1)
+    with pytest.raises(Exception, match="records written"):
+        W.read(short, str(tmp_path), whole=True).count()
