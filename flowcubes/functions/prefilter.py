@@ -22,9 +22,9 @@ def cut_by_keys(rows: DataFrame, key: str, keys: DataFrame, bits: int = 24) -> D
     ``2**bits / 8`` bytes in all, however many keys there are (2 MB by default);
     what is dropped is dropped where it is read. An exact join has to follow."""
     slot = _slot(F.col(key), bits)
-    maps = keys.where(F.col(key).isNotNull()).select(slot.alias("_s")).groupBy(F.floor(F.col("_s") / BUCKET).alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.col("_s") % BUCKET).alias("_map"))
-    probed = rows.where(F.col(key).isNotNull()).withColumn("_bucket", F.floor(slot / BUCKET)).withColumn("_at", (slot % BUCKET).cast("int"))
-    byte = F.conv(F.hex(F.expr("substring(_map, _at div 8 + 1, 1)")), 16, 10).cast("int")
-    held = F.getbit(byte, F.pmod(F.col("_at"), F.lit(8))) == 1
-    return probed.join(F.broadcast(maps), "_bucket").where(held).select(*rows.columns)
+    maps = keys.where(F.col(key).isNotNull()).select(slot.alias("_prefilter_slot")).groupBy(F.floor(F.col("_prefilter_slot") / BUCKET).alias("_prefilter_bucket")).agg(
+        F.bitmap_construct_agg(F.col("_prefilter_slot") % BUCKET).alias("_prefilter_map"))
+    probed = rows.where(F.col(key).isNotNull()).withColumn("_prefilter_bucket", F.floor(slot / BUCKET)).withColumn("_prefilter_at", (slot % BUCKET).cast("int"))
+    byte = F.conv(F.hex(F.expr("substring(_prefilter_map, _prefilter_at div 8 + 1, 1)")), 16, 10).cast("int")
+    held = F.getbit(byte, F.pmod(F.col("_prefilter_at"), F.lit(8))) == 1
+    return probed.join(F.broadcast(maps), "_prefilter_bucket").where(held).select(*rows.columns)
