@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -48,3 +49,40 @@ def test_global_percentiles_join_nothing(spark):
         assert tuple(out.collect()[0]) == (9.0, 499.0, 899.0, 989.0)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def _skewed(spark):
+    """A third of the rows in one group, copies and spread values; a NULL key."""
+    rnd = random.Random(11)
+    rows = [("hot", rnd.choice([rnd.gauss(50, 5), 50.0])) for _ in range(9000)]
+    rows += [(rnd.choice(["a", "b", "c", None]), float(rnd.randint(0, 4000))) for _ in range(18000)]
+    return spark.createDataFrame(rows, "g string, v double").repartition(8)
+
+
+@pytest.mark.parametrize("keys", [["g"], []])
+def test_brackets_are_narrowed_until_few_values_are_left(spark, keys):
+    df = _skewed(spark).cache()
+    names = [*keys, *PS]
+    got = {tuple(r[n] for n in names) for r in exact_percentiles(df, keys, "v", PS, accuracy=100, last=100).collect()}
+    assert got == {tuple(r[n] for n in names) for r in disc(df, keys).collect()}
+
+
+def test_more_groups_than_are_broadcast(spark):
+    df = _skewed(spark).withColumn("g", F.concat("g", (F.col("v") % 40).cast("int").cast("string"))).cache()
+    got = {(r.g, r.p01, r.p50, r.p90, r.p99) for r in exact_percentiles(df, ["g"], "v", PS, groups=7).collect()}
+    want = {(r.g, r.p01, r.p50, r.p90, r.p99) for r in disc(df, ["g"]).collect()}
+    assert len(want) > 100 and got == want
+
+
+def test_rows_are_never_shuffled_on_the_group(spark):
+    """What reaches an exchange is counted by value first; the brackets are broadcast."""
+    df = _skewed(spark).where("v > 0")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = exact_percentiles(df, ["g"], "v", PS)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    # Exchanges from the scan upwards: repartition, then by value, then of counts.
+    by = [re.sub(r"#\d+", "", k) for k in re.findall(r"hashpartitioning\((.*?), 8\)", plan)][::-1]
+    assert by[0] == "g, _i, _bv", by
