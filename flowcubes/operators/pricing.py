@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.address import FRIENDLY_CHAIN, evm_key, ton_raw_if
+from ..functions.wide import sum_units
 
 # The dollar stablecoin symbols priced at face value.
 STABLECOINS = ("USDT", "USDC", "USDG", "pUSD", "USD₮", "USD₮0", "USDe", "DAI")
@@ -104,3 +105,9 @@ def pricing_reconciliation(priced: DataFrame, cube_volume: DataFrame) -> DataFra
         "priced_trades", "trades", "priced_usd", "cube_usd",
         ((F.col("cube_usd") - F.col("priced_usd")) / F.nullif(F.col("cube_usd"), F.lit(0.0))).alias("gap"),
     )
+
+
+def unit_totals(orders: DataFrame, keys: Sequence[str], units: Sequence[str]) -> DataFrame:
+    """Exact totals of raw units of up to 256 bits per group, as text of digits;
+    NULL where a group has no number. One aggregate with map-side sums."""
+    return orders.groupBy(*keys).agg(*[sum_units(F.col(u)).alias(u) for u in units])

@@ -123,6 +123,12 @@ def _settled_activity(orders: DataFrame, drop_null_traders: bool) -> DataFrame:
     return activity.withColumn("cohort_week", F.min("active_week").over(Window.partitionBy("trader")))
 
 
+def cohort_activity(orders: DataFrame) -> DataFrame:
+    """What Q5 counts: ``trader``, ``active_week``, ``cohort_week``, a row a
+    trader and week."""
+    return _settled_activity(orders, drop_null_traders=True)
+
+
 def new_vs_returning_weekly(orders: DataFrame) -> DataFrame:
     """Q4: per week, traders seen for the first time and returning ones, and
     the running count of distinct traders (a running sum of new only)."""
@@ -141,7 +147,7 @@ def new_vs_returning_weekly(orders: DataFrame) -> DataFrame:
 def trader_cohorts(orders: DataFrame, min_cohort: int = 20) -> DataFrame:
     """Q5: weekly retention curves of cohorts with at least ``min_cohort``
     traders; ``retained`` is a fraction of the cohort."""
-    a = _settled_activity(orders, drop_null_traders=True)
+    a = cohort_activity(orders)
     sizes = (
         a.where(F.col("active_week") == F.col("cohort_week"))
         .groupBy("cohort_week").agg(F.count(F.lit(1)).alias("cohort_size"))

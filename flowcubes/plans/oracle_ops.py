@@ -5,7 +5,7 @@ from __future__ import annotations
 from .. import schemas
 from ..sources import binding
 from . import registry, registry_ops
-from .oracle import _METRICS, CUBES, FAILED, FF, FILLED, STABLE, XC, with_base
+from .oracle import _METRICS, CUBES, FAILED, FF, FILLED, SEEN, STABLE, XC, with_base
 
 VIEW_COLUMNS = (
     "status, quote_id, src_chain_id, dst_chain_id, input_asset_chain, input_asset_kind, "
@@ -353,6 +353,50 @@ chainpair AS (SELECT {dims}, {_METRICS} FROM now GROUP BY {dims})
 SELECT {dims}, {_metrics_out("daily_chainpair")} FROM chainpair""")
 
 
+def _sql_monthly_quantiles() -> str:
+    return with_base(f"""
+timed AS (SELECT date_trunc('month', day)::DATE AS month, src_chain_id, count(*) AS orders FROM ov
+          WHERE {FF} AND t_total > 0 GROUP BY ALL)
+SELECT month, src_chain_id, p, orders, true AS within_bound
+FROM timed, (SELECT unnest([0.5::DOUBLE, 0.9::DOUBLE, 0.99::DOUBLE]) AS p)""")
+
+
+def _sql_new_returning_sketch() -> str:
+    return with_base(SEEN + """
+SELECT week, (SELECT count(DISTINCT e.trader) FROM seen e WHERE e.born <= s.week) AS cumulative_traders,
+       true AS new_traders_within, true AS returning_traders_within, true AS cumulative_traders_within
+FROM (SELECT DISTINCT week FROM seen) s""")
+
+
+def _sql_cohort_sketch() -> str:
+    """Each two active weeks at most so far apart, and who of the first's new
+    traders was active in the second."""
+    return with_base(SEEN + f""",
+weeks AS (SELECT DISTINCT week FROM seen)
+SELECT a.week AS cohort_week, ((b.week - a.week) // 7)::BIGINT AS weeks_after,
+       (SELECT count(*) FROM seen s WHERE s.born = a.week AND s.week = b.week) AS retained_traders, true AS within_bound
+FROM weeks a JOIN weeks b ON b.week BETWEEN a.week AND a.week + {7 * registry_ops.SKETCH_WEEKS}""")
+
+
+def _sql_wide_total(column: str, size: int = 15, parts: int = 6) -> str:
+    """Digits added up by parts of 15 and carried by hand, lowest part first."""
+    width = size * parts
+    at = [f"sum(substr(lpad({column}, {width}, '0'), {width - size * (i + 1) + 1}, {size})::HUGEINT)" for i in range(parts)]
+    total, text = at[0], ""
+    for part in at[1:]:
+        text = f"lpad((({total}) % {10**size}::HUGEINT)::VARCHAR, {size}, '0')" + (f" || {text}" if text else "")
+        total = f"({part} + ({total}) // {10**size}::HUGEINT)"
+    return f"ltrim(({total})::VARCHAR || {text}, '0')"
+
+
+def _sql_wide_units() -> str:
+    return with_base(f"""
+wide AS (SELECT src_chain_id, dst_chain_id, '1' || lpad(lt_num::VARCHAR, 29, '0') || lpad(quote_id, 30, '0') AS units_60,
+                '9' || lpad(quote_id, 38, '7') || lpad(lt_num::VARCHAR, 39, '8') AS units_78 FROM ov)
+SELECT src_chain_id, dst_chain_id, {_sql_wide_total("units_60")} AS units_60, {_sql_wide_total("units_78")} AS units_78
+FROM wide GROUP BY ALL""")
+
+
 def operator_sql() -> dict[str, str]:
     out = {f"cube_{t}": _sql_cube(t) for t in schemas.CUBE_DIMENSIONS}
     out.update({
@@ -383,6 +427,10 @@ def operator_sql() -> dict[str, str]:
         "order_cursor_violations": _sql_cursor(),
         "order_upsert_lt": _sql_upsert(),
         "cube_late_finalization": _sql_late_finalization(),
+        "cube_monthly_quantiles": _sql_monthly_quantiles(),
+        "cube_new_returning_sketch": _sql_new_returning_sketch(),
+        "cube_cohort_sketch": _sql_cohort_sketch(),
+        "token_wide_units": _sql_wide_units(),
         "order_dedupe": _sql_dedupe(),
         "ingest_order_pages": _sql_ingest_pages(),
         "ingest_cube_pages": _sql_ingest_cube_pages(),

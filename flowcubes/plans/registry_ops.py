@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.address import evm_key, ton_raw, truncate_label
 from ..functions.stats import whole_units
-from ..operators import cubes, ingest, maintain, pricing, publish, quality
+from ..operators import cubes, ingest, maintain, pricing, publish, quality, sketches
 from ..sources import binding
+from . import growth
 from .common import cross_chain, settled, top_k_with_other
 from .registry import RUN_TS, Inputs, Query, _q
 
@@ -25,6 +26,10 @@ RETENTION_AS_OF, RETENTION_DAYS = "2001-08-01", 90
 TOP_RESOLVERS = 5
 # The re-pulled window of late finalization, and when the first pull was made.
 WINDOW_FROM, FIRST_PULL = "2000-10-01", "2001-01-15"
+# Sketch cubes: percentiles of a month, the size of the weekly trader sketches
+# (small, so that they are estimates at every scale), weeks of retention.
+SKETCH_PS = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
+TRADER_LG_K, SKETCH_WEEKS = 9, 12
 # Parameters under which the quality checks have something to find.
 DAY_GAP, ODD_DAYS_CHAIN = 0, "ton"
 
@@ -282,6 +287,57 @@ def _wallet_sketch_rollup(i: Inputs) -> DataFrame:
                              for m in schemas.ADDITIVE_METRICS], "unique_trader_wallets_estimate")
 
 
+def _monthly_quantiles(i: Inputs) -> DataFrame:
+    """C10 for percentiles: a daily chain-pair cube of KLL sketches merged to
+    months, and whether each estimate keeps the sketch's rank error."""
+    o = i.orders()
+    keys = {"month": F.trunc("day", "month"), "src_chain_id": F.col("src_chain_id")}
+    cube = sketches.time_sketch_cube(o, ["src_chain_id", "dst_chain_id"])
+    estimates = sketches.merged_quantiles(cube, keys, SKETCH_PS)
+    errors = sketches.rank_errors(o, estimates, keys, SKETCH_PS)
+    return errors.select("month", "src_chain_id", "p", "orders",
+                         (F.col("rank_error") <= sketches.kll_rank_bound()).alias("within_bound"))
+
+
+def _new_returning_sketch(i: Inputs) -> DataFrame:
+    """Q4 from weekly theta sketches, held against the exact answer."""
+    o = i.orders()
+    est = sketches.new_vs_returning_estimate(sketches.trader_sketch_cube(o, TRADER_LG_K), TRADER_LG_K)
+    both = growth.new_vs_returning_weekly(o).join(
+        est.select("week", *[F.col(c).alias("e_" + c) for c in est.columns if c != "week"]), "week", "full")
+    bound = sketches.theta_bound(F.col("cumulative_traders"), TRADER_LG_K)
+    within = [F.coalesce(F.abs(F.col("e_" + c) - F.col(c)) <= bound, F.lit(False)).alias(c + "_within")
+              for c in ("new_traders", "returning_traders", "cumulative_traders")]
+    return both.select("week", "cumulative_traders", *within)
+
+
+def _cohort_sketch(i: Inputs) -> DataFrame:
+    """Q5 from weekly theta sketches, held against the exact answer."""
+    o = i.orders()
+    est = sketches.cohort_estimate(sketches.trader_sketch_cube(o, TRADER_LG_K), SKETCH_WEEKS, TRADER_LG_K)
+    seen = growth.cohort_activity(o)
+    weeks = F.floor(F.datediff("active_week", "cohort_week") / F.lit(7)).cast("bigint")
+    exact = seen.groupBy("cohort_week", weeks.alias("weeks_after")).agg(F.count(F.lit(1)).alias("traders")).where(
+        F.col("weeks_after") <= SKETCH_WEEKS)
+    so_far = growth.new_vs_returning_weekly(o).select(F.col("week").alias("_w"), "cumulative_traders")
+    both = est.join(exact, ["cohort_week", "weeks_after"], "full").join(
+        so_far, F.date_add("cohort_week", (F.col("weeks_after") * 7).cast("int")) == F.col("_w"), "left")
+    # The retained err by the error of the cohort and of the intersection.
+    bound = F.lit(2) * sketches.theta_bound(F.col("cumulative_traders"), TRADER_LG_K)
+    traders = F.coalesce("traders", F.lit(0))
+    return both.select("cohort_week", "weeks_after", traders.alias("retained_traders"),
+                       F.coalesce(F.abs(F.col("retained_traders") - traders) <= bound, F.lit(False)).alias("within_bound"))
+
+
+def _wide_units(i: Inputs) -> DataFrame:
+    """Exact totals of units of 60 and of 78 digits, as 256-bit tokens have."""
+    o = i.orders().select(
+        "src_chain_id", "dst_chain_id",
+        F.concat(F.lit("1"), F.lpad("lt", 29, "0"), F.lpad("quote_id", 30, "0")).alias("units_60"),
+        F.concat(F.lit("9"), F.lpad("quote_id", 38, "7"), F.lpad("lt", 39, "8")).alias("units_78"))
+    return pricing.unit_totals(o, ["src_chain_id", "dst_chain_id"], ["units_60", "units_78"])
+
+
 def _recent(i: Inputs) -> DataFrame:
     return publish.trim_recent(i.orders(), RETENTION_AS_OF, RETENTION_DAYS).groupBy("day").agg(
         F.count(F.lit(1)).alias("orders"))
@@ -329,6 +385,10 @@ def operator_queries() -> dict[str, Query]:
         "ingest_cube_pages": _q(_ingest_cube_pages),
         "quality_unparseable_days": _q(_unparseable_days),
         "cube_rollup_wallet_sketch": _q(_wallet_sketch_rollup),
+        "cube_monthly_quantiles": _q(_monthly_quantiles),
+        "cube_new_returning_sketch": _q(_new_returning_sketch),
+        "cube_cohort_sketch": _q(_cohort_sketch),
+        "token_wide_units": _q(_wide_units),
         "retention_recent_orders": _q(_recent),
         "retention_history_recent": _q(_history_recent),
     })
