@@ -2,7 +2,9 @@
 
 A run writes every table under ``<root>/runs/<run id>/<table>``, checks the
 row counts it reads back against the counts it wrote, and only then points
-``<root>/_current`` at the new run. Readers resolve the pointer, so no table
+``<root>/_current`` at the new run. Each run that passed has a manifest beside
+its tables (table, rows, files, run stamp): vintages are read from there, and a
+run whose stamp is older than the published one is refused. Readers resolve the pointer, so no table
 is ever empty or half-written from their side. Old runs stay readable until
 they are cleaned up by the caller.
 """
@@ -25,6 +27,7 @@ CHUNK_ROWS = 50_000
 PARTITION_ORDERS_BY_DAY = False
 # Cube tables written at the same time (independent jobs over the written orders).
 CUBE_WRITERS = 6
+MANIFEST = "manifest"
 
 
 def _run_id(run_ts: str) -> str:
@@ -47,7 +50,7 @@ def published_frame(name: str, df: DataFrame, run_ts: str) -> DataFrame:
 
 def refresh(spark: SparkSession, orders: DataFrame, root: str,
             run_ts: dt.datetime | str | None = None, dry_run: bool = False,
-            fmt: str = "parquet") -> dict[str, int]:
+            fmt: str = "parquet", max_gap: int = quality.MAX_DAY_GAP) -> dict[str, int]:
     """The whole run from silver orders.
 
     The orders are written once under the new (still invisible) run
@@ -65,9 +68,10 @@ def refresh(spark: SparkSession, orders: DataFrame, root: str,
         tables[schemas.ORDERS_TABLE] = orders
         tables = {name: published_frame(name, df, run_ts) for name, df in tables.items()}
         health = quality.table_health(tables).collect()
-        quality.check_health(health)
-        quality.check_day_gaps(tables["daily_total"])
+        quality.check_health(health, tables.__getitem__)
+        quality.check_day_gaps(tables["daily_total"], max_gap)
         return {r["table"]: int(r["rows"]) for r in health}
+    _refuse_older(spark, root, run_ts)
     run_dir = f"{root}/runs/{_run_id(run_ts)}"
     path = f"{run_dir}/{schemas.ORDERS_TABLE}"
     health = {schemas.ORDERS_TABLE: _write_checked(
@@ -83,25 +87,75 @@ def refresh(spark: SparkSession, orders: DataFrame, root: str,
         }
         health.update({name: job.result() for name, job in jobs.items()})
     # V1 / V2 from the values observed while writing: no second scan.
-    quality.check_health([row for name, values in health.items() for row in quality.health_rows(name, values)])
-    quality.check_day_gaps(spark.read.format(fmt).load(f"{run_dir}/daily_total"))
+    quality.check_health([row for name, values in health.items() for row in quality.health_rows(name, values)],
+                         lambda name: spark.read.format(fmt).load(f"{run_dir}/{name}"))
+    quality.check_day_gaps(spark.read.format(fmt).load(f"{run_dir}/daily_total"), max_gap)
     written = {name: int(values["rows"]) for name, values in health.items()}
-    landed = _landed_rows(spark, run_dir, list(written), fmt)
-    for name, sent in written.items():  # V6: landed rows, counted from the files
-        if landed.get(name, 0) != sent:
-            raise quality.PublishError(f"{name}: wrote {sent} rows but {landed.get(name, 0)} landed; not switching")
-    _set_pointer(spark, root, run_dir)
+    _seal(spark, root, run_dir, run_ts, written, fmt)
     return written
 
 
-def _landed_rows(spark: SparkSession, run_dir: str, names: list[str], fmt: str) -> dict[str, int]:
-    """Rows per written table, read back in one job: the scans select no
-    data column, so Parquet answers from row-group metadata."""
+def _landed(spark: SparkSession, run_dir: str, names: list[str], fmt: str) -> DataFrame:
+    """``table, rows, files`` read back in one job: the scans select no data
+    column, so Parquet answers from row-group metadata."""
     tagged = None
     for name in names:
-        one = spark.read.format(fmt).load(f"{run_dir}/{name}").select(F.lit(name).alias("table"))
+        one = spark.read.format(fmt).load(f"{run_dir}/{name}").select(
+            F.lit(name).alias("table"), F.col("_metadata.file_path").alias("file"))
         tagged = one if tagged is None else tagged.unionByName(one)
-    return {r["table"]: int(r["count"]) for r in tagged.groupBy("table").count().collect()}
+    per_file = tagged.groupBy("table", "file").agg(F.count(F.lit(1)).alias("n"))
+    return per_file.groupBy("table").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("files"))
+
+
+def _seal(spark: SparkSession, root: str, run_dir: str, run_ts: str, written: Mapping[str, int], fmt: str) -> None:
+    """V6 on the landed files, then the manifest, then the pointer."""
+    landed = {r["table"]: r for r in _landed(spark, run_dir, list(written), fmt).collect()}
+    for name, sent in written.items():
+        here = landed[name]["rows"] if name in landed else 0
+        if here != sent:
+            raise quality.PublishError(f"{name}: wrote {sent} rows but {here} landed; not switching")
+    rows = [(name, sent, landed[name]["files"] if name in landed else 0) for name, sent in written.items()]
+    (spark.createDataFrame(rows, "table string, rows bigint, files bigint").coalesce(1)
+     .withColumn("run_ts", F.lit(run_ts).cast("timestamp")).withColumn("run", F.lit(run_dir.rsplit("/", 1)[1]))
+     .write.parquet(f"{run_dir}/{MANIFEST}"))
+    _set_pointer(spark, root, run_dir)
+
+
+def vintages(spark: SparkSession, root: str) -> DataFrame:
+    """The manifests of every run that passed: ``table, rows, files, run_ts,
+    run`` and whether it is the one that readers see."""
+    run_dir = current_run(spark, root)
+    if run_dir is None:
+        raise FileNotFoundError(f"nothing published under {root}")
+    return spark.read.parquet(f"{root}/runs/*/{MANIFEST}").withColumn(
+        "current", F.col("run") == F.lit(run_dir.rsplit("/", 1)[1]))
+
+
+def published_freshness(spark: SparkSession, root: str) -> DataFrame:
+    """Q23 / V7 of the published run from its manifest; no table is read."""
+    now = vintages(spark, root).where("current")
+    return now.agg(F.max("run_ts").alias("refreshed_at"), F.count_distinct("run_ts").alias("distinct_vintages"))
+
+
+def damaged_tables(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
+    """Tables of the published run that no longer hold the rows and files that
+    its manifest names."""
+    run_dir = current_run(spark, root)
+    sealed = vintages(spark, root).where("current").select("table", "rows", "files")
+    held = _landed(spark, run_dir, [r["table"] for r in sealed.collect()], fmt).select(
+        "table", F.col("rows").alias("held_rows"), F.col("files").alias("held_files"))
+    return sealed.join(held, "table", "left").where(
+        ~(F.col("rows").eqNullSafe(F.col("held_rows")) & F.col("files").eqNullSafe(F.col("held_files"))))
+
+
+def _refuse_older(spark: SparkSession, root: str, run_ts: str) -> None:
+    run_dir = current_run(spark, root)
+    fs, manifest = _hadoop_fs(spark, f"{run_dir}/{MANIFEST}") if run_dir else (None, None)
+    if run_dir and fs.exists(manifest):
+        newer = (spark.read.parquet(f"{run_dir}/{MANIFEST}").where(F.col("run_ts") > F.lit(run_ts).cast("timestamp"))
+                 .select(F.col("run_ts").cast("string").alias("ts")).limit(1).collect())
+        if newer:
+            raise quality.PublishError(f"a run of {newer[0]['ts']} is published; refusing one of {run_ts}")
 
 
 def _sorted_by_day(df: DataFrame, fmt: str) -> DataFrame:
@@ -197,17 +251,15 @@ def full_refresh(spark: SparkSession, tables: Mapping[str, DataFrame], root: str
     run_ts = str(run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S"))
     # Projected first, so a required column that a table lacks is seen as NULL and refused.
     ready = {name: published_frame(name, df, run_ts) for name, df in tables.items()}
+    quality.check_day_texts(tables)
     quality.validate(ready)
     if dry_run:
         health = quality.table_health(ready).select("table", "rows").distinct().collect()
         return {r["table"]: int(r["rows"]) for r in health}
+    _refuse_older(spark, root, run_ts)
     run_dir = f"{root}/runs/{_run_id(run_ts)}"
     written = {name: _write(df, f"{run_dir}/{name}", fmt) for name, df in ready.items()}
-    landed = _landed_rows(spark, run_dir, list(written), fmt)
-    for name, sent in written.items():  # V6
-        if landed.get(name, 0) != sent:
-            raise quality.PublishError(f"{name}: wrote {sent} rows but {landed.get(name, 0)} landed; not switching")
-    _set_pointer(spark, root, run_dir)
+    _seal(spark, root, run_dir, run_ts, written, fmt)
     return written
 
 

@@ -6,7 +6,7 @@ of findings; ``validate`` turns findings into one ``PublishError``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -146,21 +146,35 @@ def monthly_status_counts(orders: DataFrame) -> DataFrame:
     )
 
 
-def check_health(health) -> None:
+def check_health(health, frame_of: Callable[[str], DataFrame] | None = None) -> None:
     """Raise on an empty known table (V2) or a NULL in a non-nullable
-    column (V1); ``health`` holds ``table_health`` / ``health_rows`` rows."""
+    column (V1); ``health`` holds ``table_health`` / ``health_rows`` rows.
+    With ``frame_of`` (table name -> rows) the message shows such a row."""
     for r in health:
         if r["rows"] == 0:
             raise PublishError(f"{r['table']} came back empty (0 rows); refusing to publish")
     bad = [r for r in health if r["null_rows"]]
     if bad:
         r = bad[0]
+        where = ""
+        if frame_of is not None:
+            seen = null_rows(r["table"], frame_of(r["table"])).where(F.col("column") == r["column"]).limit(1).collect()
+            where = f" (one is {seen[0]['row']})" if seen else ""
         raise PublishError(
             f"{r['table']} has {r['null_rows']} row(s) with null in non-nullable column "
-            f"{r['column']!r}; refusing to publish"
+            f"{r['column']!r}{where}; refusing to publish"
         )
 
 
+def check_day_texts(tables: Mapping[str, DataFrame], column: str = "day_text") -> None:
+    """V4 for every table that still carries its landed day text."""
+    for name, df in tables.items():
+        if column in df.columns:
+            odd = unparseable_days(df, column).limit(1).collect()
+            if odd:
+                raise PublishError(f"{name}: {column} {odd[0]['value']!r} is no day; refusing to publish")
+
+
 def check_day_gaps(total: DataFrame, max_gap: int = MAX_DAY_GAP) -> None:
     """V3 on the total cube (one row per day)."""
     gap = day_gaps(total, max_gap).limit(1).collect()
@@ -174,9 +188,10 @@ def check_day_gaps(total: DataFrame, max_gap: int = MAX_DAY_GAP) -> None:
 
 def validate(tables: Mapping[str, DataFrame], max_gap: int = MAX_DAY_GAP) -> None:
     """Raise ``PublishError`` on any finding: nulls in non-nullable columns,
-    an empty known table, or a day gap in the total cube. Only the small
+    an empty known table, day text that is no day, or a day gap in the total cube. Only the small
     findings frames reach the driver."""
-    check_health(table_health(tables).collect())
+    check_day_texts(tables)
+    check_health(table_health(tables).collect(), tables.__getitem__)
     total = tables.get("daily_total")
     if total is not None:
         check_day_gaps(total, max_gap)

@@ -397,6 +397,32 @@ SELECT src_chain_id, dst_chain_id, {_sql_wide_total("units_60")} AS units_60, {_
 FROM wide GROUP BY ALL""")
 
 
+def _sql_vintages() -> str:
+    """Groups of each cube counted from the orders of each run."""
+    def of_run(n: int, orders: str) -> str:
+        def groups(t: str) -> str:
+            dims = ", ".join(("day",) + schemas.CUBE_DIMENSIONS[t])
+            return f"SELECT {n} AS n, '{t}' AS \"table\", count(*) AS rows FROM (SELECT DISTINCT {dims} FROM {orders})"
+
+        every = [f"SELECT {n} AS n, '{schemas.ORDERS_TABLE}' AS \"table\", count(*) AS rows FROM {orders}"]
+        return " UNION ALL ".join(every + [groups(t) for t in schemas.CUBE_DIMENSIONS])
+
+    first, second = registry_ops.RUNS
+    return with_base(f"""
+old AS (SELECT * FROM ov WHERE day < DATE '{registry_ops.WINDOW_FROM}'),
+held AS ({of_run(1, "old")} UNION ALL {of_run(2, "ov")})
+SELECT "table", rows, CASE n WHEN 1 THEN TIMESTAMP '{first}' ELSE TIMESTAMP '{second}' END AS run_ts,
+       n = 2 AS current, CASE n WHEN 2 THEN 1::BIGINT END AS distinct_vintages FROM held""")
+
+
+def _sql_null_rows() -> str:
+    lacking = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", lt_num, day FROM ov WHERE lt_num % {n} = 0" for c, n in registry_ops.LACKING.items())
+    return with_base(f"""
+lacking AS ({lacking})
+SELECT '{schemas.ORDERS_TABLE}' AS "table", "column", 'lt_num=' || lt_num || ', day=' || day AS row FROM lacking""")
+
+
 def operator_sql() -> dict[str, str]:
     out = {f"cube_{t}": _sql_cube(t) for t in schemas.CUBE_DIMENSIONS}
     out.update({
@@ -426,6 +452,8 @@ def operator_sql() -> dict[str, str]:
         "order_backfill_coverage": _sql_coverage(),
         "order_cursor_violations": _sql_cursor(),
         "order_upsert_lt": _sql_upsert(),
+        "publish_vintages": _sql_vintages(),
+        "quality_null_rows": _sql_null_rows(),
         "cube_late_finalization": _sql_late_finalization(),
         "cube_monthly_quantiles": _sql_monthly_quantiles(),
         "cube_new_returning_sketch": _sql_new_returning_sketch(),

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import calendar
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from .. import schemas
 from ..functions.address import evm_key, ton_raw, truncate_label
 from ..functions.stats import whole_units
 from ..operators import cubes, ingest, maintain, pricing, publish, quality, sketches
+from ..session import ensure_checkpoint_dir
 from ..sources import binding
 from . import growth
 from .common import cross_chain, settled, top_k_with_other
@@ -30,7 +32,10 @@ WINDOW_FROM, FIRST_PULL = "2000-10-01", "2001-01-15"
 # (small, so that they are estimates at every scale), weeks of retention.
 SKETCH_PS = {"p50": 0.5, "p90": 0.9, "p99": 0.99}
 TRADER_LG_K, SKETCH_WEEKS = 9, 12
+# Stamps of the two published runs; days that a small table may skip.
+RUNS, MONTH_GAP = ("2024-01-30 06:00:00", RUN_TS), 31
 # Parameters under which the quality checks have something to find.
+LACKING = {"lt": 97, "run_ts": 101}
 DAY_GAP, ODD_DAYS_CHAIN = 0, "ton"
 
 
@@ -338,6 +343,29 @@ def _wide_units(i: Inputs) -> DataFrame:
     return pricing.unit_totals(o, ["src_chain_id", "dst_chain_id"], ["units_60", "units_78"])
 
 
+def _vintages(i: Inputs) -> DataFrame:
+    """Two runs are published, an older one is refused, and the manifests are
+    read back."""
+    o, root = i.orders(), f"{ensure_checkpoint_dir(i.spark).rstrip('/')}/published-{uuid.uuid4().hex}"
+    first, second = RUNS
+    publish.refresh(i.spark, o.where(F.col("day") < F.lit(WINDOW_FROM).cast("date")), root, first, max_gap=MONTH_GAP)
+    publish.refresh(i.spark, o, root, second, max_gap=MONTH_GAP)
+    try:
+        publish.refresh(i.spark, o, root, first, max_gap=MONTH_GAP)
+    except quality.PublishError:
+        seen = publish.vintages(i.spark, root)
+        fresh = publish.published_freshness(i.spark, root).select("refreshed_at", "distinct_vintages")
+        return (seen.join(fresh, seen["run_ts"] == fresh["refreshed_at"], "left")
+                .select("table", "rows", F.col("run_ts").cast("timestamp_ntz").alias("run_ts"), "current", "distinct_vintages"))
+    raise AssertionError("an older run was published over a newer one")
+
+
+def _null_rows(i: Inputs) -> DataFrame:
+    """V1 with row identity, where some orders lack a required column."""
+    o = ingest.stamp_run(i.orders(), RUN_TS).withColumns({c: F.when(F.col("lt_num") % n != 0, F.col(c)) for c, n in LACKING.items()})
+    return quality.null_rows(schemas.ORDERS_TABLE, o, ("lt_num", "day"))
+
+
 def _recent(i: Inputs) -> DataFrame:
     return publish.trim_recent(i.orders(), RETENTION_AS_OF, RETENTION_DAYS).groupBy("day").agg(
         F.count(F.lit(1)).alias("orders"))
@@ -389,6 +417,8 @@ def operator_queries() -> dict[str, Query]:
         "cube_new_returning_sketch": _q(_new_returning_sketch),
         "cube_cohort_sketch": _q(_cohort_sketch),
         "token_wide_units": _q(_wide_units),
+        "publish_vintages": _q(_vintages),
+        "quality_null_rows": _q(_null_rows),
         "retention_recent_orders": _q(_recent),
         "retention_history_recent": _q(_history_recent),
     })

@@ -140,3 +140,48 @@ def test_concurrent_cube_writes_publish_what_one_writer_does(spark, tmp_path, mo
                               for name in schemas.TABLES}
     assert published[1] == published[6]
     assert len(published[6]["daily_total"]) == 3
+
+
+def _orders(spark, days):
+    return make_orders(spark, [dict(order_create_time=T0 + d * DAY, lt=str(100 + d)) for d in days])
+
+
+def test_manifest_of_each_run(spark, tmp_path):
+    root = str(tmp_path / "pub")
+    with pytest.raises(FileNotFoundError):
+        publish.vintages(spark, root)
+    publish.refresh(spark, _orders(spark, range(2)), root, "2026-08-26 06:00:00")
+    publish.refresh(spark, _orders(spark, range(3)), root, "2026-08-27 06:00:00")
+    with pytest.raises(quality.PublishError, match="2026-08-27 06:00:00 is published"):
+        publish.refresh(spark, _orders(spark, range(4)), root, "2026-08-26 09:00:00")
+    with pytest.raises(quality.PublishError):  # a run that fails has no manifest
+        publish.refresh(spark, _orders(spark, (0, 9)), root, "2026-08-28 06:00:00")
+    seen = publish.vintages(spark, root).collect()
+    assert len(seen) == 2 * len(schemas.TABLES)
+    assert {(r.run_ts.day, r.rows, r.current) for r in seen if r.table == "orders"} == {(26, 2, False), (27, 3, True)}
+    fresh = publish.published_freshness(spark, root).first()
+    assert (fresh.refreshed_at, fresh.distinct_vintages) == (dt.datetime(2026, 8, 27, 6), 1)
+    assert publish.damaged_tables(spark, root).count() == 0
+    folder = f"{publish.current_run(spark, root)}/orders"
+    part = next(f for f in os.listdir(folder) if f.endswith(".parquet"))
+    os.remove(os.path.join(folder, part))
+    assert [r.table for r in publish.damaged_tables(spark, root).collect()] == ["orders"]
+
+
+def test_refusals_show_the_row(spark, tmp_path):
+    bad = _orders(spark, range(2)).withColumn("lt", F.when(F.col("lt") != "101", F.col("lt")))
+    with pytest.raises(quality.PublishError, match=r"'lt' \(one is lt=NULL, day=2026-08-26\)"):
+        publish.refresh(spark, bad, str(tmp_path / "pub"), "2026-08-27 06:00:00")
+    t = tables_for(spark)
+    t["orders"] = t["orders"].withColumn("run_ts", F.when(F.col("lt") != "101", F.col("run_ts")))
+    with pytest.raises(quality.PublishError, match="'run_ts' .one is lt=101, day=2026-08-26"):
+        quality.validate(t)
+
+
+def test_day_text_is_a_gate(spark, tmp_path):
+    t = tables_for(spark)
+    t["daily_total"] = t["daily_total"].withColumn("day_text", F.lit("2026-08-25T00:00:00Z"))
+    quality.validate(t)
+    t["daily_total"] = t["daily_total"].withColumn("day_text", F.lit("25 August"))
+    with pytest.raises(quality.PublishError, match="daily_total: day_text '25 August'"):
+        publish.full_refresh(spark, t, str(tmp_path / "pub"))
