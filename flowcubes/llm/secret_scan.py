@@ -7,7 +7,11 @@ read over line breaks and from each of the four places where it may begin in a
 run; compressed bytes are looked for anywhere in what it decodes to. A layer
 already seen at the same place is not taken again, so cycles end. Each
 character of a layer knows the code points of the original text that it came
-from, so every finding is a span of the original.
+from, so every finding is a span of the original. Layers are taken depth first,
+one at a time. What a compressed layer unpacks to, however long, is read in
+pieces of at most PIECE bytes, each beginning with the last OVERLAP bytes of the
+one before; only what is nested in it as a run of more than OVERLAP bytes over
+such an edge is read in two parts.
 
 Defined results: a null text scans as an empty one; repeated rows give equal
 rows; a null id is passed through; an empty table gives an empty result; extra
@@ -21,7 +25,8 @@ import bz2
 import hashlib
 import re
 import zlib
-from collections import deque
+from array import array
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,8 +47,8 @@ BASE64 = re.compile(r"[A-Za-z0-9+/_-]+(?:[ \t]*(?:\r\n?|\n)[ \t]*[A-Za-z0-9+/_-]
 LEAST_BASE64 = 16
 BREAK = re.compile(r"[ \t\r\n]+")
 PACKED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]")
-#: A compressed layer that would unwrap to more bytes is not opened (a bomb guard); the rest of the text is unaffected.
-MAX_UNPACKED = 64 << 20
+#: Unpacked bytes that are held at once, and how many of them the next piece repeats.
+PIECE, OVERLAP = 8 << 20, 1 << 20
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -60,11 +65,11 @@ def base_spans(text: str) -> list[Span]:
     return sorted(found)
 
 
-def _unescape_line(line: str) -> tuple[str, list[int], list[int]] | None:
-    """A line with its URL and Unicode escapes resolved, and for each new
+def _unescape(text: str) -> tuple[str, array, array] | None:
+    """A text with its URL and Unicode escapes resolved, and for each new
     character the start and end of what it stands for."""
-    out, starts, ends, at = [], [], [], 0
-    for m in ESCAPE_RUN.finditer(line):
+    out, starts, ends, at = [], array("q"), array("q"), 0
+    for m in ESCAPE_RUN.finditer(text):
         run, lo = m.group(), m.start()
         if run[0] == "%":
             raw = bytes.fromhex(run.replace("%", ""))
@@ -84,9 +89,9 @@ def _unescape_line(line: str) -> tuple[str, list[int], list[int]] | None:
             if code > 0x10FFFF or 0xD800 <= code < 0xE000:
                 continue
             piece, sizes = chr(code), [len(run)]
-        out.append(line[at:lo])
-        starts += range(at, lo)
-        ends += range(at + 1, lo + 1)
+        out.append(text[at:lo])
+        starts.extend(range(at, lo))
+        ends.extend(range(at + 1, lo + 1))
         out.append(piece)
         for n in sizes:
             starts.append(lo)
@@ -95,39 +100,47 @@ def _unescape_line(line: str) -> tuple[str, list[int], list[int]] | None:
         at = m.end()
     if not out:
         return None
-    out.append(line[at:])
-    starts += range(at, len(line))
-    ends += range(at + 1, len(line) + 1)
+    out.append(text[at:])
+    starts.extend(range(at, len(text)))
+    ends.extend(range(at + 1, len(text) + 1))
     return "".join(out), starts, ends
 
 
-def _unpack(raw: bytes) -> bytes | None:
-    """The content of gzip, zlib or bzip2 bytes; None if they are none of these."""
+def _opened(raw: bytes | memoryview) -> Iterator[bytes]:
+    """The content of gzip, zlib or bzip2 bytes in pieces, as far as it can be
+    read; nothing if they are none of these."""
+    carry = b""
     try:
         if raw[:2] == b"\x1f\x8b":
-            opened = zlib.decompressobj(31)
+            packed = zlib.decompressobj(31)
         elif raw[:1] == b"\x78":
-            opened = zlib.decompressobj()
+            packed = zlib.decompressobj()
         else:
-            opened = bz2.BZ2Decompressor()
-        out = opened.decompress(raw, MAX_UNPACKED + 1)
-        return out if len(out) <= MAX_UNPACKED else None
+            packed = bz2.BZ2Decompressor()
+        while not packed.eof and (out := packed.decompress(raw, PIECE)):
+            yield carry + out
+            carry, raw = out[-OVERLAP:], getattr(packed, "unconsumed_tail", b"")
     except (zlib.error, OSError, ValueError, EOFError):
-        return None
+        return
+
 
+def _inside(part: bytes) -> Iterator[bytes]:
+    for m in PACKED.finditer(part):
+        yield from _opened(memoryview(part)[m.start():])
 
-def _unpacked(raw: bytes):
+
+def _unpacked(raw: bytes) -> Iterator[bytes]:
     """What the gzip, zlib and bzip2 bytes anywhere in ``raw`` unpack to, and
     those in what they unpack to, until nothing new appears."""
-    work, seen = [raw], set()
+    work, seen = [_inside(raw)], set()
     while work:
-        part = work.pop()
-        for m in PACKED.finditer(part):
-            opened = _unpack(memoryview(part)[m.start():])
-            if opened and (key := hashlib.blake2b(opened, digest_size=16).digest()) not in seen:
-                seen.add(key)
-                work.append(opened)
-                yield opened
+        piece = next(work[-1], None)
+        if piece is None:
+            work.pop()
+        elif (key := hashlib.blake2b(piece, digest_size=16).digest()) not in seen:
+            seen.add(key)
+            work.append(_inside(piece))
+            yield piece
 
 
 def _base64_runs(text: str):
@@ -140,26 +153,32 @@ def _base64_runs(text: str):
                 yield lo, run, hi
 
 
-def _text(raw: bytes) -> tuple[str, list[int]] | None:
-    """A decoded layer and the bytes of each of its characters: UTF-8, or else
-    Latin-1. None if nothing is to be found in it."""
+def _texts(raw: bytes) -> Iterator[tuple[str, list[int]]]:
+    """The decoded layers in which something is to be found, and the bytes of
+    each of their characters: UTF-8, or else Latin-1, and where there are zero
+    bytes UTF-16 of both orders."""
     try:
         text = raw.decode("utf-8")
     except UnicodeDecodeError:
         text = raw.decode("latin-1")
-    if not (base_spans(text) or ESCAPE.search(text) or next(_base64_runs(text), None)):
-        return None
-    return text, [1] * len(text) if len(text) == len(raw) else [len(c.encode("utf-8")) for c in text]
+    if _worth(text):
+        yield text, [1] * len(text) if len(text) == len(raw) else [len(c.encode("utf-8")) for c in text]
+    if b"\0" in raw:
+        for codec in ("utf-16-le", "utf-16-be"):
+            text = raw[:len(raw) // 2 * 2].decode(codec, "surrogatepass")
+            if _worth(text):
+                yield text, [2 + 2 * (c > "\uffff") for c in text]
+
+
+def _worth(text: str) -> bool:
+    return bool(base_spans(text) or ESCAPE.search(text) or next(_base64_runs(text), None))
 
 
 def _layers(text: str):
-    """(new text, start and end in ``text`` of each new character)."""
-    if ESCAPE.search(text):
-        at = 0
-        for line in text.splitlines(keepends=True):
-            if ("%" in line or "\\" in line) and (new := _unescape_line(line)):
-                yield new[0], [at + i for i in new[1]], [at + i for i in new[2]]
-            at += len(line)
+    """(new text, start and end in ``text`` of each new character, or one start
+    and one end for all of them)."""
+    if ESCAPE.search(text) and (new := _unescape(text)):
+        yield new
     for lo, run, hi in _base64_runs(text):
         if BREAK.search(run):
             places = [lo + i for i, c in enumerate(run) if c not in " \t\r\n"]
@@ -171,12 +190,10 @@ def _layers(text: str):
             body = run[skip:len(run) - ((len(run) - skip) % 4 == 1)]
             raw = base64.b64decode(body + "=" * (-len(body) % 4))
             for opened in _unpacked(raw):
-                if (layer := _text(opened)) is not None:
-                    new = layer[0]
-                    yield new, [lo] * len(new), [hi] * len(new)
-            if (layer := _text(raw)) is not None:
-                new, sizes = layer
-                starts, ends, b = [], [], 0
+                for new, _ in _texts(opened):
+                    yield new, lo, hi
+            for new, sizes in _texts(raw):
+                starts, ends, b = array("q"), array("q"), 0
                 for n in sizes:
                     starts.append(places[skip + b * 4 // 3])
                     b += n
@@ -190,23 +207,27 @@ _URLSAFE = str.maketrans("-_", "+/")
 def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     """(base spans, base spans and those of every decoded layer), both sorted."""
     base = base_spans(text)
-    found, work = set(base), deque()
-    seen: set[bytes] = set()
-
-    def push(parent: str, starts, ends) -> None:
-        for new, lo, hi in _layers(parent):
-            if starts is not None:
-                lo, hi = [starts[i] for i in lo], [ends[i - 1] for i in hi]
-            key = hashlib.blake2b(f"{lo[0]}:{hi[-1]}:".encode() + new.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-            if key not in seen:
-                seen.add(key)
-                work.append((new, lo, hi))
-
-    push(text, None, None)
+    found, seen = set(base), set()
+    work = [(_layers(text), None, None)]  # the layers of a layer, and its places in the text
     while work:
-        layer, lo, hi = work.popleft()
-        found.update((lo[s], kind, hi[e - 1]) for s, kind, e in base_spans(layer))
-        push(layer, lo, hi)
+        layers, starts, ends = work[-1]
+        layer = next(layers, None)
+        if layer is None:
+            work.pop()
+            continue
+        new, lo, hi = layer
+        if isinstance(starts, int):
+            lo, hi = starts, ends
+        elif starts is not None:
+            lo, hi = (starts[lo], ends[hi - 1]) if isinstance(lo, int) else (
+                array("q", [starts[i] for i in lo]), array("q", [ends[i - 1] for i in hi]))
+        one = isinstance(lo, int)
+        at = f"{lo}:{hi}:" if one else f"{lo[0]}:{hi[-1]}:"
+        key = hashlib.blake2b(at.encode() + new.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        if key not in seen:
+            seen.add(key)
+            found.update((lo, k, hi) if one else (lo[s], k, hi[e - 1]) for s, k, e in base_spans(new))
+            work.append((_layers(new), lo, hi))
     return base, sorted(found)
 
 

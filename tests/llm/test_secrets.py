@@ -141,3 +141,40 @@ def test_exact_spans_over_breaks():
     place = [i for i in range(2, len(text)) if text[i] != "\n"]
     found = [(s, e) for s, k, e in S.all_spans(text)[1] if k == 1]
     assert found == [(place[41 * 4 // 3], place[-(-61 * 4 // 3) - 1] + 1)]
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, zlib.compress, bz2.compress])
+@pytest.mark.parametrize("place", ["start", "middle", "end"])
+def test_a_layer_of_any_length_is_opened(monkeypatch, pack, place):
+    """In pieces that repeat the end of the one before, so that none is cut."""
+    monkeypatch.setattr(S, "PIECE", 5000)
+    monkeypatch.setattr(S, "OVERLAP", 400)
+    rng, filler = __import__("random").Random(1), []
+    filler = "".join(rng.choice("ghijklmnop \n") for _ in range(30_000))
+    for shift in range(0, 60, 7):
+        at = {"start": 0, "middle": 10_000 - 30 + shift, "end": len(filler)}[place]
+        packed = base64.b64encode(pack((filler[:at] + f" {ASSIGN} {KEY} " + filler[at:]).encode())).decode()
+        text = "see " + packed
+        assert {(4, 0, len(text)), (4, 1, len(text))} <= set(S.all_spans(text)[1])
+
+
+def test_a_layer_of_more_bytes_than_a_piece():
+    raw = ASSIGN.encode() + b"\n" + b" " * (3 * S.PIECE) + KEY.encode()
+    text = base64.b64encode(gzip.compress(raw)).decode()
+    assert {(0, 0, len(text)), (0, 1, len(text))} <= set(S.all_spans(text)[1])
+
+
+@pytest.mark.parametrize("codec", ["utf-16", "utf-16-le", "utf-16-be"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+def test_utf_16_layers(codec, pack):
+    hidden = base64.b64encode(pack(f"\U0001f511 {ASSIGN}\n{KEY}".encode(codec))).decode()
+    found = S.all_spans(f"x {hidden} y")[1]
+    assert {0, 1} <= {k for _, k, _ in found} and all(2 <= s < e <= 2 + len(hidden) for s, _, e in found)
+
+
+def test_base64_wrapped_over_lines_with_escapes():
+    """Each line holds an escape, and the run is whole only when all are resolved."""
+    run = base64.b64encode(f"some words before {ASSIGN} and {KEY} after".encode()).decode()
+    lines = [run[i:i + 20] for i in range(0, len(run), 20)]
+    text = "\n".join(f"%{ord(x[0]):02X}" + x[1:] for x in lines)
+    assert {0, 1} <= {k for _, k, _ in S.all_spans(text)[1]}
