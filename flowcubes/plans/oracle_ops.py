@@ -5,7 +5,7 @@ from __future__ import annotations
 from .. import schemas
 from ..sources import binding
 from . import registry, registry_ops
-from .oracle import _METRICS, CUBES, FAILED, FF, FILLED, SEEN, STABLE, XC, with_base
+from .oracle import _METRICS, CUBES, FAILED, FF, FILLED, SEEN, STABLE, XC, _clock, with_base
 
 VIEW_COLUMNS = (
     "status, quote_id, src_chain_id, dst_chain_id, input_asset_chain, input_asset_kind, "
@@ -65,6 +65,27 @@ c AS (
 SELECT hour, {dims}, {_metrics_out("daily_chainpair")} FROM c""")
 
 
+# An order's second within its creation day.
+CLOCK = "make_timestamp((order_create_time * 1000000)::BIGINT) + to_seconds(lt_num % 86400)"
+
+
+def _sql_hourly_clocked() -> str:
+    dims = ", ".join(schemas.CUBE_DIMENSIONS["daily_chainpair"])
+    return with_base(f"""
+c AS (SELECT date_trunc('hour', {CLOCK}) AS hour, {dims}, {_METRICS_SQL} FROM ov GROUP BY ALL)
+SELECT hour, {dims}, {_metrics_out("daily_chainpair")} FROM c""")
+
+
+def _order_clock(*labels: str) -> str:
+    acts = f"""
+acts AS (
+  SELECT {CLOCK} AS ts, src_trader_address AS trader,
+         CASE WHEN coalesce(t.symbol, jt.symbol) IN ({STABLE}) THEN
+           (actual_input_units::DECIMAL(18,0) * (10 ** -coalesce(t.decimals, jt.decimals))::DECIMAL(10,8))::DECIMAL(18,2) END AS usd
+  FROM ov o {_resolved('o')} WHERE o.{FF} AND o.{XC})"""
+    return _clock(*labels, acts, registry.DASHBOARD_AS_OF)
+
+
 def _sql_rollup_total() -> str:
     sums = ", ".join(
         f"CAST(sum({m}) AS {'BIGINT' if m.endswith('_count') else 'DOUBLE'}) AS {m}"
@@ -428,6 +449,9 @@ def operator_sql() -> dict[str, str]:
     out.update({
         "cube_alltime_chainpair": _sql_alltime(),
         "cube_hourly_chainpair": _sql_hourly(),
+        "cube_hourly_clocked": _sql_hourly_clocked(),
+        "hourly_clock_from_orders": _order_clock("HOUR", "%H:00", "hour(slot)", "hour_utc"),
+        "weekday_clock_from_orders": _order_clock("DAY", "%A", "isodow(slot)", "weekday"),
         "cube_rollup_total": _sql_rollup_total(),
         "cube_grouping_sets": _sql_grouping_sets(),
         "token_latest_revision": _sql_latest_revision(),

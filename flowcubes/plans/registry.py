@@ -79,6 +79,10 @@ def _wallet_impact(i: Inputs) -> DataFrame:
                                 token=DEPOSIT_TOKEN, decimals=TOKEN_DECIMALS, within_seconds=IMPACT_WITHIN)
 
 
+def _order_activity(i: Inputs) -> DataFrame:
+    return rhythm.activity_from_orders(binding.clocked(i.orders()), i.evm(), i.jettons(), binding.stable_symbols())
+
+
 def metric_queries() -> dict[str, Query]:
     """Q1-Q23."""
     return {
@@ -95,6 +99,8 @@ def metric_queries() -> dict[str, Query]:
         "net_flow_by_chain": _q(lambda i: flows.net_flow_by_chain(i.cube("daily_chainpair"))),
         "hourly_clock": _q(lambda i: rhythm.hourly_clock(binding.activity(i.spark, i.dir), EVENTS_AS_OF)),
         "weekday_clock": _q(lambda i: rhythm.weekday_clock(binding.activity(i.spark, i.dir), EVENTS_AS_OF)),
+        "hourly_clock_from_orders": _q(lambda i: rhythm.hourly_clock(_order_activity(i), DASHBOARD_AS_OF)),
+        "weekday_clock_from_orders": _q(lambda i: rhythm.weekday_clock(_order_activity(i), DASHBOARD_AS_OF)),
         "latency_funnel": _q(lambda i: latency.latency_funnel(i.orders())),
         "settlement_speed_daily": _q(lambda i: latency.settlement_speed_daily(i.orders())),
         "resolver_league": _q(lambda i: leagues.resolver_league(i.cube("daily_resolver"), i.orders())),

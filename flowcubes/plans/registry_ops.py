@@ -61,6 +61,13 @@ def _cube(table: str, grouping: str | None = cubes.DAY):
     return build
 
 
+def _hourly_clocked(i: Inputs) -> DataFrame:
+    """C8 over orders that are spread over the hours of their day."""
+    c = cubes.named_cube(binding.clocked(i.orders()), "daily_chainpair", cubes.HOUR)
+    return c.select(F.col("hour").cast("timestamp_ntz").alias("hour"), *schemas.CUBE_DIMENSIONS["daily_chainpair"],
+                    *published_metrics(c, "daily_chainpair"))
+
+
 def _rollup_total(i: Inputs) -> DataFrame:
     r = cubes.rollup(i.cube("daily_chainpair"), ["day"])
     return r.select("day", *[F.col(m).cast("bigint" if m.endswith("_count") else "double").alias(m)
@@ -384,6 +391,7 @@ def operator_queries() -> dict[str, Query]:
     out.update({
         "cube_alltime_chainpair": _q(_cube("daily_chainpair", None)),
         "cube_hourly_chainpair": _q(_cube("daily_chainpair", cubes.HOUR)),
+        "cube_hourly_clocked": _q(_hourly_clocked),
         "cube_rollup_total": _q(_rollup_total),
         "cube_grouping_sets": _q(_grouping_sets),
         "token_latest_revision": _q(_latest_revision),

@@ -10,11 +10,15 @@ the per-hour facts, which are filtered to the window before aggregating.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.stats import percentile
+from ..functions.stats import percentile, shifted
+from ..operators import pricing
+from .common import created_ts, cross_chain, settled
 
 WINDOW_DAYS = 56
 
@@ -50,6 +54,18 @@ def _recent(activity: DataFrame, as_of: str | dt.date, days: int) -> DataFrame:
     )
 
 
+def activity_from_orders(orders: DataFrame, evm_tokens: DataFrame, jettons: DataFrame,
+                         stable: Sequence[str] = pricing.STABLECOINS) -> DataFrame:
+    """What the clocks read, ``ts, trader, usd``, from orders: settled
+    cross-chain ones at their creation time, priced from the raw input units of
+    dollar stablecoins (exactly, to 18 places) and NULL where they are not."""
+    priced = pricing.price_orders(orders.where(settled() & cross_chain()), evm_tokens, jettons, stable)
+    exact = shifted(F.col("actual_input_units"), F.col("decimals"), T.DecimalType(38, 18))
+    return priced.select(
+        created_ts().alias("ts"), F.col("src_trader_address").alias("trader"),
+        F.when(F.col("usd").isNotNull(), exact).alias("usd"))
+
+
 def _measures(exact: bool) -> list[Column]:
     n = F.count(F.lit(1)).cast("double")
     return [

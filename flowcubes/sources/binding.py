@@ -337,6 +337,12 @@ def _landed(rows: DataFrame, name: str, *folders: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def clocked(orders: DataFrame) -> DataFrame:
+    """The orders at a second of their creation day, since the driver's order
+    dates are midnights."""
+    return orders.withColumn("order_create_time", F.col("order_create_time") + F.col("lt_num") % 86400)
+
+
 def activity(spark: SparkSession, data_dir: str) -> DataFrame:
     """``ts, trader, usd``: settled swaps with second-resolution clocks for the
     hour / weekday rhythm; error events carry no dollar value."""

@@ -1,4 +1,5 @@
 import datetime as dt
+import decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,6 +106,26 @@ def test_clock_zero_fills_and_bounds(spark):
     assert rhythm.hourly_clock(empty, "2024-01-04").count() == 0
 
 
+def test_activity_from_orders(spark):
+    """Settled cross-chain orders at their creation, priced only where the token
+    is a listed stablecoin and the units are digits."""
+    usdc, other = "0x" + "a1" * 20, "0x" + "b2" * 20
+    base = dict(src_chain_id="bnb", dst_chain_id="ton", input_asset_chain="bnb", input_asset_kind="erc20", order_create_time=T0 + 3600.0)
+    o = make_orders(spark, [
+        dict(base, src_trader_address="a", input_asset_address=usdc, actual_input_units="1000000000000000001"),
+        dict(base, src_trader_address="b", input_asset_address=other, actual_input_units="5"),
+        dict(base, src_trader_address="c", input_asset_address=usdc, actual_input_units="x"),
+        dict(base, src_trader_address="d", input_asset_address=usdc, actual_input_units="1", status=FAILED),
+        dict(base, src_trader_address="e", input_asset_address=usdc, actual_input_units="1", dst_chain_id="bnb"),
+    ])
+    evm = spark.createDataFrame([("bnb", bytes.fromhex("a1" * 20), "USDC", 18), ("bnb", bytes.fromhex("b2" * 20), "CAKE", 18)],
+                                "blockchain string, contract_address binary, symbol string, decimals int")
+    jettons = spark.createDataFrame([], "address string, symbol string, decimals int, _updated_at bigint")
+    got = rhythm.activity_from_orders(o, evm, jettons)
+    assert {(r.trader, r.usd, r.ts.hour) for r in got.select("trader", "usd", "ts").collect()} == {
+        ("a", decimal.Decimal("1.000000000000000001"), 1), ("b", None, 1), ("c", None, 1)}
+
+
 def test_latency_funnel_stack(spark):
     o = make_orders(spark, [dict(t_quote=float(i), t_decide=1.0, t_settle=2.0, t_total=float(10 * i))
                             for i in range(1, 101)])
