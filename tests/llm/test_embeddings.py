@@ -112,3 +112,40 @@ def test_pairs_at_the_threshold_share_a_cell_as_stated():
         lost += n - int((a == b).all(2).any(1).sum())
     print(f"lost {lost} of 40000, {E.TABLES} tables")
     assert lost <= 16  # four expected at 0.9999
+
+
+def test_hot_classes_and_components_are_broadcast(spark, monkeypatch):
+    """Rows of frequent vectors and classes of large components take the other join."""
+    rows = sample()
+    monkeypatch.setattr(E, "HOT_ROWS", 3)
+    monkeypatch.setattr(E, "HOT_SHARE", 10**6)
+    got = [(r.vec_id, r.n_links, r.component_id) for r in E.links(frame(spark, rows)).collect()]
+    assert sorted(got, key=key) == sorted(brute(rows), key=key)
+
+
+def test_single_precision_columns_and_small_cells(spark, monkeypatch):
+    rows = [(i, label, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, label, v in sample(4) if v is None or None in v or all(abs(x) < 1e30 and (x == 0 or abs(x) > 1e-30) for x in v)]
+    monkeypatch.setattr(E, "LEAST_BITS", 9)
+    got = E.links(frame(spark, rows).selectExpr("vec_id", "label", "cast(embedding as array<float>) as embedding"))
+    got = [(r.vec_id, r.n_links, r.component_id) for r in got.collect()]
+    assert sorted(got, key=key) == sorted(brute(rows), key=key)
+
+
+def test_every_number_of_directions_keeps_the_recall():
+    assert [E.bits_for(n) for n in (0, 1, 5_000, 10_000_000)] == [4, 4, 4, 14]
+    for bits in range(E.LEAST_BITS, 30):
+        tables = E.tables_for(bits)
+        assert E.sharing(tables, bits=bits) >= E.RECALL > E.sharing(tables - 1, bits=bits)
+
+
+def test_few_pairs_below_the_threshold_pass_the_count():
+    rng = np.random.default_rng(8)
+    counted = E.directions(64)[2]
+    for cosine, most in ((0.5, 0.01), (0.8, 0.4)):
+        a = rng.standard_normal((4000, 64))
+        a /= np.linalg.norm(a, axis=1)[:, None]
+        o = rng.standard_normal((4000, 64))
+        o -= (o * a).sum(1)[:, None] * a
+        b = cosine * a + math.sqrt(1 - cosine**2) * o / np.linalg.norm(o, axis=1)[:, None]
+        counts = (np.abs(a @ counted - b @ counted) <= 2 * E.spread(E.COSINE)).sum(1)
+        assert (counts >= E.needed()).mean() < most
