@@ -6,9 +6,12 @@ they are whole, and returns their names; only files that are so returned are
 read, so a lost and repeated task leaves no record twice.
 
 The reader checks each record: the member's checksum, the version line, the
-lengths and the digests. When one fails, it searches for the next place at
-which a member (or, in plain files, a version line) begins that passes them,
-goes on there, and reports the bytes between as a quarantined gap.
+lengths and the digests. When one fails, it searches for the nearest place at
+which a member or a version line begins that passes them, whatever the file has
+held before, goes on there, and reports the bytes between as a quarantined gap.
+All records of a member are read, with gaps of their own within it; of a member
+that is cut short, those that another record follows. Archives go out in batches
+of bounded payload, and a task reads one.
 
 Defined results: a null html is an empty payload; a null id is written and
 read back as null and counts as the smallest; among records of equal payload
@@ -25,27 +28,31 @@ import io
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from flowcubes.llm.common import cut, map_batches
+from flowcubes.llm.common import cut
 from flowcubes.session import ensure_checkpoint_dir
 
 #: Payloads from this size on are stored once.
 MIN_REVISIT = 1000
 #: A file is closed when it has so many bytes; the reader holds one file.
 ROLL_BYTES = 32 << 20
+#: The reader hands on what it has read when it holds so many bytes of payload.
+BATCH_BYTES = 32 << 20
 GZIP = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1"
 VERSION_LINE = re.compile(rb"WARC/\d\.\d\r\n")
+#: Where a member or a plain record may begin.
+BEGINNING = re.compile(rb"\x1f\x8b\x08|WARC/\d\.\d\r\n")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -78,17 +85,23 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 
 @dataclass
 class Found:
-    """A record, or a gap (``reason`` says what failed), at a place of a file."""
+    """A record, or a gap (``reason`` says what failed), at a place of a file; in
+    a member, that of the member, and ``inner`` is the place in its plain bytes."""
 
     start: int
     end: int
     fields: dict[str, str] | None = None
     block: bytes = b""
     reason: str = ""
+    inner: int | None = None
 
 
 class Damaged(ValueError):
-    pass
+    """What failed, and the records that were whole before it."""
+
+    def __init__(self, reason: str, before: list[Found] | None = None):
+        super().__init__(reason)
+        self.before = before or []
 
 
 def _parse(raw: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
@@ -118,49 +131,62 @@ def _parse(raw: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     return fields, block, stop + 4
 
 
-def _member(raw: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
-    """The record of the gzip member at a place, and where the member ends."""
+def _plain(raw: bytes, at: int) -> tuple[list[Found], int]:
+    fields, block, end = _parse(raw, at)
+    return [Found(at, end, fields, block)], end
+
+
+def _member(raw: bytes, at: int) -> tuple[list[Found], int]:
+    """The records and gaps of the gzip member at a place, and where it ends."""
     opened = zlib.decompressobj(31)
     try:
         plain = opened.decompress(memoryview(raw)[at:])
     except zlib.error as e:
         raise Damaged(f"bad member: {e}") from e
+    found = list(_walk(plain, _plain, VERSION_LINE))
     if not opened.eof:
-        raise Damaged("member cut short")
-    fields, block, end = _parse(plain, 0)
-    if end != len(plain):
-        raise Damaged("bytes after the record")
-    return fields, block, len(raw) - len(opened.unused_data)
+        followed = [f for f in found if f.fields and VERSION_LINE.match(plain, f.end)]
+        raise Damaged("member cut short", [Found(at, at, f.fields, f.block, inner=f.start) for f in followed])
+    if not any(f.fields for f in found):
+        raise Damaged(found[0].reason if found else "empty member")
+    end = len(raw) - len(opened.unused_data)
+    return [Found(at, end, f.fields, f.block, f.reason, f.start) for f in found], end
 
 
-def salvage(raw: bytes) -> Iterator[Found]:
-    """Records of an archive, compressed or plain, and gaps in file order."""
-    packed = raw[:2] == GZIP[:2] or (not VERSION_LINE.match(raw) and GZIP in raw)
-    read, at = (_member if packed else _parse), 0
+def _either(raw: bytes, at: int) -> tuple[list[Found], int]:
+    return (_member if raw.startswith(GZIP, at) else _plain)(raw, at)
+
+
+def _walk(raw: bytes, read: Callable[[bytes, int], tuple[list[Found], int]], beginning: re.Pattern) -> Iterator[Found]:
+    """What ``read`` finds at each place; after a failure, from the nearest
+    beginning at which it finds something."""
+    at = 0
     while at < len(raw):
         try:
-            fields, block, end = read(raw, at)
-            yield Found(at, end, fields, block)
+            found, end = read(raw, at)
+            yield from found
             at = end
             continue
         except Damaged as e:
-            reason, probe = str(e), at + 1
-        while True:
-            if packed:
-                probe = raw.find(GZIP, probe)
-            else:
-                m = VERSION_LINE.search(raw, probe)
-                probe = m.start() if m else -1
-            if probe < 0:
-                yield Found(at, len(raw), reason=reason)
-                return
+            reason = str(e)
+            yield from e.before
+        probe = at + 1
+        while m := beginning.search(raw, probe):
             try:
-                read(raw, probe)
+                read(raw, m.start())
                 break
-            except Damaged:
-                probe += 1
-        yield Found(at, probe, reason=reason)
-        at = probe
+            except Damaged as e:
+                if e.before:
+                    break
+                probe = m.start() + 1
+        end = m.start() if m else len(raw)
+        yield Found(at, end, reason=reason)
+        at = end
+
+
+def salvage(raw: bytes) -> Iterator[Found]:
+    """Records of an archive, compressed, plain or both, and gaps in file order."""
+    return _walk(raw, _either, BEGINNING)
 
 
 def marked(pages: DataFrame) -> DataFrame:
@@ -180,6 +206,8 @@ def write(pages: DataFrame, folder: str, roll: int = ROLL_BYTES, level: int = 3)
     """Archives of the marked pages in a shared folder (a path or URI that
     pyarrow.fs opens); returns the (path, records) that were written whole."""
 
+    folder = _shared(pages.sparkSession, folder)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _store(folder)
         store.create_dir(base, recursive=True)
@@ -211,51 +239,66 @@ def write(pages: DataFrame, folder: str, roll: int = ROLL_BYTES, level: int = 3)
     return cut(pages.mapInArrow(run, kind))
 
 
+def _shared(spark: SparkSession, folder: str) -> str:
+    """The folder as Spark understands it: without a scheme, on its default file system."""
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", folder) or default.startswith("file:"):
+        return folder
+    return f"{default.rstrip('/')}/{folder.lstrip('/')}"
+
+
 def _store(path: str) -> tuple[fs.FileSystem, str]:
+    path = re.sub("^s3[an]:", "s3:", path)
     return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
 
 
-def read(files: DataFrame, folder: str, whole: bool = False) -> DataFrame:
+def _row(path: str, found: Found) -> tuple:
+    fields = found.fields or {}
+    head, _, body = found.block.partition(b"\r\n\r\n")
+    size = re.search(rb"(?i)\r\ncontent-length: *(\d+)", head)
+    digest = fields.get("warc-payload-digest", "")
+    return (path, found.start, found.end, found.inner, found.reason or None, fields.get("warc-type"), _page(fields.get("warc-record-id")), fields.get("warc-target-uri"), _page(fields.get("warc-refers-to")),
+            int(size[1]) if size else len(body), base64.b32decode(digest[5:]).hex() if digest.startswith("sha1:") else None, body)
+
+
+def read(files: DataFrame, folder: str, whole: bool = False, most: int = BATCH_BYTES) -> DataFrame:
     """Every record and every gap of the archives named by ``path``, each archive
     in a task of its own. With ``whole`` an archive that has a gap, or other than
-    the number of ``records`` that were written to it, ends the run."""
+    the number of ``records`` that were written to it, ends the run. A batch is
+    handed on when it holds ``most`` bytes."""
+    kind = T.StructType.fromDDL("path string, start long, end long, inner long, gap string, record_type string, page_id long, url string, refers_to long, payload_bytes long, payload_digest string, payload binary")
+    arrow = to_arrow_schema(kind)
+    folder = _shared(files.sparkSession, folder)
 
-    def start():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = _store(folder)
 
-        def step(batch: pa.RecordBatch) -> dict:
-            out = {f: [] for f in names}
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)], schema=arrow)
+
+        for batch in batches:
             for path, records in zip(batch.column("path").to_pylist(), batch.column("records").to_pylist()):
                 with store.open_input_stream(path, compression=None) as f:
                     raw = f.read()
-                all_found = list(salvage(raw))
-                if whole and (len(all_found) != records or any(f.reason for f in all_found)):
-                    raise RuntimeError(f"{path}: {records} records written, {sum(not f.reason for f in all_found)} read")
-                for found in all_found:
-                    fields = found.fields or {}
-                    head, _, body = found.block.partition(b"\r\n\r\n")
-                    size = re.search(rb"(?i)\r\ncontent-length: *(\d+)", head)
-                    digest = fields.get("warc-payload-digest", "")
-                    out["path"].append(path)
-                    out["start"].append(found.start)
-                    out["end"].append(found.end)
-                    out["gap"].append(found.reason or None)
-                    out["record_type"].append(fields.get("warc-type"))
-                    out["page_id"].append(_page(fields.get("warc-record-id")))
-                    out["url"].append(fields.get("warc-target-uri"))
-                    out["refers_to"].append(_page(fields.get("warc-refers-to")))
-                    out["payload_bytes"].append(int(size[1]) if size else len(body))
-                    out["payload_digest"].append(base64.b32decode(digest[5:]).hex() if digest.startswith("sha1:") else None)
-                    out["payload"].append(body)
-            return out
-        return step
-
-    schema = "path string, start long, end long, gap string, record_type string, page_id long, url string, refers_to long, payload_bytes long, payload_digest string, payload binary"
-    names = T.StructType.fromDDL(schema).names
+                rows, held, n = [], 0, 0
+                for found in salvage(raw):
+                    if whole and found.reason:
+                        raise RuntimeError(f"{path}: {records} records written, a gap at {found.start}: {found.reason}")
+                    rows.append(_row(path, found))
+                    held += len(found.block)
+                    n += 1
+                    if held >= most:
+                        yield batch_of(rows)
+                        rows, held = [], 0
+                if whole and n != records:
+                    raise RuntimeError(f"{path}: {records} records written, {n} read")
+                if rows:
+                    yield batch_of(rows)
+
     if "records" not in files.columns:
         files = files.withColumn("records", F.lit(None).cast("long"))
     # by number, which is kept: file names are a few bytes, and would be folded into one task
-    return map_batches(files.select("path", "records").repartitionByRange(max(1, files.count()), "path"), start, schema)
+    return files.select("path", "records").repartitionByRange(max(1, files.count()), "path").mapInArrow(run, kind)
 
 
 def archive(pages: DataFrame, folder: str | None = None, whole: bool = False) -> DataFrame:

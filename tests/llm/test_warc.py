@@ -62,6 +62,62 @@ def test_wrong_length_and_digest_are_found():
     assert ids(b"".join(parts))[0] == [0, 2, 4, 5]
 
 
+def test_plain_records_after_a_damaged_line_are_read_beside_stored_gzip():
+    parts = archive(packed=False)
+    parts[1] = W.record(1, "http://x/1", b"<p>" + gzip.compress(b"a stored file" * 50, mtime=0), None, False)
+    parts[0] = b"WXRC" + parts[0][4:]
+    got, gaps = ids(b"".join(parts))
+    assert got == [1, 2, 3, 4, 5] and gaps == [(0, len(parts[0]))]
+    # the stored file lies in the damaged record itself
+    parts = archive(packed=False)
+    parts[0] = b"WXRC" + W.record(0, "http://x/0", b"<p>" + gzip.compress(b"a stored file" * 50, mtime=0), None, False)[4:]
+    got, gaps = ids(b"".join(parts))
+    assert got == [1, 2, 3, 4, 5] and gaps == [(0, len(parts[0]))]
+
+
+def test_members_with_several_records_and_mixed_files():
+    parts, plain = archive(), archive(packed=False)
+    both = gzip.compress(plain[2] + plain[3], mtime=0)
+    raw = parts[0] + plain[1] + both + plain[4] + parts[5]
+    found = list(W.salvage(raw))
+    assert [W._page(f.fields["warc-record-id"]) for f in found] == [0, 1, 2, 3, 4, 5]
+    at = len(parts[0] + plain[1])
+    assert [(f.start, f.end, f.inner) for f in found[2:4]] == [(at, at + len(both), 0), (at, at + len(both), len(plain[2]))]
+    harmed = bytearray(raw)
+    harmed[10] ^= 0xFF  # the member before plain records
+    found = list(W.salvage(bytes(harmed)))
+    assert [W._page(f.fields["warc-record-id"]) for f in found if f.fields] == [1, 2, 3, 4, 5]
+    assert [(f.start, f.end) for f in found if f.reason] == [(0, len(parts[0]))]
+
+
+def test_a_damaged_record_within_a_member_and_a_member_cut_short():
+    plain = archive(packed=False)
+    bad = plain[1].replace(b"page 1", b"pagX 1", 1)
+    found = list(W.salvage(gzip.compress(plain[0] + bad + plain[2], mtime=0) + archive()[3]))
+    assert [W._page(f.fields["warc-record-id"]) for f in found if f.fields] == [0, 2, 3]
+    assert [(f.inner, f.reason) for f in found if f.reason] == [(len(plain[0]), "block digest differs")]
+    found = list(W.salvage(gzip.compress(b"".join(plain), mtime=0)[:-7]))
+    assert [W._page(f.fields["warc-record-id"]) for f in found if f.fields] == [0, 1, 2, 3, 4]
+    assert [f.reason for f in found if f.reason] == ["member cut short"]
+
+
+def test_batches_of_bounded_payload(spark, tmp_path):
+    files = W.write(W.marked(frame(spark, PAGES)), str(tmp_path))
+    assert W.read(files, str(tmp_path), whole=True, most=1000).count() == len(PAGES)
+
+
+def test_a_folder_without_scheme_is_on_the_default_file_system(spark):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    try:
+        conf.set("fs.defaultFS", "hdfs://names:8020")
+        assert W._shared(spark, "/shared/x") == "hdfs://names:8020/shared/x"
+        assert W._shared(spark, "file:/tmp/x") == "file:/tmp/x"
+    finally:
+        conf.set("fs.defaultFS", before)
+    assert W._shared(spark, "/shared/x") == "/shared/x"
+
+
 PAGES = [(1, "http://a", "x" * 1500), (2, "http://b", "x" * 1500), (3, None, "short"), (4, "http://d\r\nx", "short"), (5, "u", None), (6, "u", ""), (9, "u", "é" * 500), (8, "u", "é" * 500), (8, "u", "é" * 500),
          (None, "u", "é" * 500), (10, "u", "y" * 999), (11, "u", "y" * 999), (12, "u", "é😀" * 300_000), (None, "v", "z" * 2000), (None, "v", "z" * 2000)]
 
