@@ -10,9 +10,16 @@ are first reached and kept up to a bound.
 
 White space always returns the machine to its start. So the map of a chunk of
 text (from the state on entry to tokens and the state on exit) is written as
-what is read before its first white space, the tokens of what is between, and
-what is read after the last one. Such maps compose associatively. Long texts
-are dealt out as chunks, and their maps are folded in order.
+what is read before its first cut, the tokens of what is between, and what is
+read after the last one. A cut is a place at which the machine is at its start
+whatever came before: white space, an end of a word before other punctuation
+than that of contractions and special strings, and either side of a digit.
+Such maps compose associatively. Long texts are dealt out as chunks; a scan's
+up-sweep composes the maps of ``FAN`` neighbours at a time, spread over all
+tasks, until one map of each text is left. A map holds no more than two parts
+without a cut, so a task holds ``FAN`` small maps, however long the text is; only
+what has no cut at all for the length of chunks, such as one endless word, is
+passed on whole.
 
 Defined results: a null text counts as an empty one, with 0 tokens; a null id
 is passed through; repeated rows give equal rows; an empty table gives an empty
@@ -24,25 +31,33 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from collections.abc import Iterable
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowcubes.llm.common import documents, map_batches, split_long
+from flowcubes.llm.common import documents, map_batches, map_groups, split_long
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
 #: Code points of a chunk; longer texts are dealt out in several.
 CHUNK = 16_384
+#: Neighbouring maps that are composed at a time.
+FAN = 64
 MAX_STATES = 300_000
 MAX_WORDS = 300_000
 MAX_PAIRS = 1_000_000
 FINAL = 0x10000  # added to a symbol that ends a word
 BREAKS = " \t\n\r"
 TO_SPACE = str.maketrans(BREAKS, " " * len(BREAKS))
-FIRST_BREAK = re.compile(r"[ \t\n\r]")
+#: Marks that never begin a contraction or stand before a letter in a special string.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{}~、。，．！？；：（）「」『』【】《》…"
+#: Where a chunk may be cut: pre-tokens end there in any context, and no normal
+#: form reaches over it.
+CUT = rf"[{BREAKS}]|(?<=[0-9])(?=\P{{M}})|(?=[0-9])|(?<=[{re.escape(MARKS)}])(?=[A-Za-z\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff])"
+FIRST_CUT, LAST_CUT = regex.compile(CUT), regex.compile(CUT, regex.REVERSE)
 
 
 def byte_symbols() -> list[str]:
@@ -170,22 +185,31 @@ class Transducer:
 
     def chunk(self, text: str) -> tuple[str, int | None, str]:
         """The map of a chunk: (head, tokens, tail), or (all of it, None, "") if
-        it holds no white space."""
-        first = FIRST_BREAK.search(text)
+        it holds no cut."""
+        first = FIRST_CUT.search(text)
         if not first:
             return text, None, ""
-        last = max(text.rfind(c) for c in BREAKS)
-        return text[:first.start()], self.text(text[first.start():last]), text[last + 1:]
-
-    def fold(self, maps: list[tuple[str, int | None, str]]) -> int:
-        """Tokens of the composed maps, entered and left at a word boundary."""
-        count, pending = 0, []
-        for head, tokens, tail in maps:
-            pending.append(head)
+        start, end = first.start(), LAST_CUT.search(text).end()
+        return text[:start], self.text(text[start:end]), text[end:]
+
+    def compose(self, maps: Iterable[tuple[str, int | None, str]]) -> tuple[str, int | None, str]:
+        """The map of the chunks of these maps, in their order."""
+        head, count, pending = "", None, []
+        for before, tokens, tail in maps:
+            pending.append(before)
             if tokens is not None:
-                count += self.text("".join(pending)) + tokens
-                pending = [tail]
-        return count + self.text("".join(pending))
+                joined, pending = "".join(pending), [tail]
+                if count is None:
+                    head, count = joined, tokens
+                else:
+                    count += self.text(joined) + tokens
+        rest = "".join(pending)
+        return (rest, None, "") if count is None else (head, count, rest)
+
+    def fold(self, maps: Iterable[tuple[str, int | None, str]]) -> int:
+        """Tokens of the composed maps, entered and left at the machine's start."""
+        head, count, tail = self.compose(maps)
+        return self.text(head) + (count or 0) + self.text(tail)
 
 
 def compiled(path: str | None) -> Transducer:
@@ -200,7 +224,7 @@ def compiled(path: str | None) -> Transducer:
 _COMPILED: dict[str, Transducer] = {}
 
 
-def count_tokens(docs: DataFrame, limit: int = LIMIT, path: str | None = None, chunk: int = CHUNK) -> DataFrame:
+def count_tokens(docs: DataFrame, limit: int = LIMIT, path: str | None = None, chunk: int = CHUNK, fan: int = FAN) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every whole text."""
     docs = documents(docs)
 
@@ -212,22 +236,35 @@ def count_tokens(docs: DataFrame, limit: int = LIMIT, path: str | None = None, c
         machine = compiled(path)
 
         def step(batch: pa.RecordBatch) -> dict:
-            maps = [machine.chunk(t) for t in batch.column("text").to_pylist()]
-            return {"row": batch.column("row"), "doc_id": batch.column("doc_id"), "k": batch.column("k"), "n_bytes": [len(t.encode("utf-8")) for t in batch.column("text").to_pylist()],
-                    "head": [m[0] for m in maps], "tokens": [m[1] for m in maps], "tail": [m[2] for m in maps]}
+            texts = batch.column("text").to_pylist()
+            head, tokens, tail = zip(*map(machine.chunk, texts))
+            return {"row": batch.column("row"), "doc_id": batch.column("doc_id"), "k": batch.column("k"), "n_bytes": [len(t.encode("utf-8")) for t in texts], "head": head, "tokens": tokens, "tail": tail}
+        return step
+
+    def composed():
+        machine = compiled(path)
+
+        def step(batch: pa.RecordBatch) -> dict:
+            rows = sorted(batch.to_pylist(), key=lambda r: r["k"])
+            head, tokens, tail = machine.compose((r["head"], r["tokens"], r["tail"]) for r in rows)
+            return {"row": [rows[0]["row"]], "doc_id": [rows[0]["doc_id"]], "k": [rows[0]["above"]], "n_bytes": [sum(r["n_bytes"] for r in rows)], "head": [head], "tokens": [tokens], "tail": [tail]}
         return step
 
-    def folded():
+    def ended():
         machine = compiled(path)
 
         def step(batch: pa.RecordBatch) -> dict:
-            tokens = [machine.fold([(m["head"], m["tokens"], m["tail"]) for m in maps]) for maps in batch.column("maps").to_pylist()]
-            return {"doc_id": batch.column("doc_id"), "n_bytes": batch.column("n_bytes"), "n_tokens": tokens}
+            maps = zip(*(batch.column(c).to_pylist() for c in ("head", "tokens", "tail")))
+            return {"doc_id": batch.column("doc_id"), "n_bytes": batch.column("n_bytes"), "n_tokens": [machine.fold([m]) for m in maps]}
         return step
 
     out = "doc_id long, n_bytes long, n_tokens long"
+    one = "row long, doc_id long, k int, n_bytes long, head string, tokens long, tail string"
     size = F.octet_length("text").cast("long").alias("n_bytes")
     short = map_batches(docs.where(F.length("text") <= chunk).select("doc_id", "text", size), whole, out)
-    maps = map_batches(split_long(docs.where(F.length("text") > chunk), chunk, 0), mapped, "row long, doc_id long, k int, n_bytes long, head string, tokens long, tail string")
-    maps = maps.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.sum("n_bytes").alias("n_bytes"), F.array_sort(F.collect_list(F.struct("k", "head", "tokens", "tail"))).alias("maps"))
-    return short.unionByName(map_batches(maps, folded, out)).withColumn("over_limit", F.col("n_tokens") > limit)
+    maps = map_batches(split_long(docs.where(F.length("text") > chunk), chunk, 0), mapped, one)
+    covered = chunk
+    while covered < 1 << 31:  # bytes, and so code points, that a string may have
+        maps = map_groups(maps.withColumn("above", F.floor(F.col("k") / fan).cast("int")), ["row", "above"], composed, one)
+        covered *= fan
+    return short.unionByName(map_batches(maps, ended, out)).withColumn("over_limit", F.col("n_tokens") > limit)

@@ -63,6 +63,29 @@ def test_chunk_maps_compose_wherever_a_text_is_cut(text, cuts):
     assert m.fold([m.chunk(text[a:b]) for a, b in zip(at, at[1:])]) == m.text(text)
 
 
+@settings(max_examples=600, deadline=None)
+@given(st.text(st.one_of(st.sampled_from("aÀé字。，、かが\u3099\u0301\u0323 1 ٣½'|<>,.;-\u3000Σß\nsﬁ"), st.characters(blacklist_categories=("Cs", "Cn", "Co"))), max_size=40), st.lists(st.integers(0, 40), max_size=6), st.integers(0, 6))
+def test_maps_compose_associatively_to_the_librarys_count(text, cuts, middle):
+    m = token_counts.compiled(None)
+    at = [0, *sorted(min(c, len(text)) for c in cuts), len(text)]
+    maps = [m.chunk(text[a:b]) for a, b in zip(at, at[1:])]
+    want = len(_words().encode(text, add_special_tokens=False).ids)
+    assert m.fold(maps) == want
+    assert m.fold([m.compose(maps[:middle]), m.compose(maps[middle:])]) == want
+
+
+def test_marks_and_digits_are_cuts(machine):
+    for text in ("字" * 50 + "。" + "字" * 50 + "，" + "字" * 50, "a" * 50 + "1" + "b" * 50 + "2" + "c" * 50, '{"k":' + "a" * 90 + ',"v":' + "b" * 90):
+        head, tokens, tail = machine.chunk(text)
+        assert tokens and len(head) + len(tail) < len(text)
+
+
+def test_maps_compose_over_several_rounds(docs_of, words):
+    rows = [(i, t * 3) for i, t in enumerate(HARD) if t and len(t) > 500] + [(90, "字" * 3000 + "。" + "か" * 3000), (91, "1" * 7000)]
+    got = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(docs_of(rows), chunk=100, fan=16).collect()}
+    assert got == {i: len(words.encode(t, add_special_tokens=False).ids) for i, t in rows}
+
+
 def test_token_counts_of_chunked_and_odd_rows(docs_of, words, clash):
     rows = [(i, t) for i, t in enumerate(HARD)] + [(0, HARD[5]), (None, "no id"), (7, "same"), (7, "same")]
     got = token_counts.count_tokens(docs_of(rows, clash), chunk=1000).collect()
