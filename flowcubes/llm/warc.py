@@ -48,6 +48,8 @@ MIN_REVISIT = 1000
 ROLL_BYTES = 32 << 20
 #: The reader hands on what it has read when it holds so many bytes of payload.
 BATCH_BYTES = 32 << 20
+#: Bytes of a member that are unpacked at a time.
+PIECE = 16 << 10
 GZIP = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1"
 VERSION_LINE = re.compile(rb"WARC/\d\.\d\r\n")
@@ -138,18 +140,22 @@ def _plain(raw: bytes, at: int) -> tuple[list[Found], int]:
 
 def _member(raw: bytes, at: int) -> tuple[list[Found], int]:
     """The records and gaps of the gzip member at a place, and where it ends."""
-    opened = zlib.decompressobj(31)
+    opened, parts, end = zlib.decompressobj(31), [], at
     try:
-        plain = opened.decompress(memoryview(raw)[at:])
+        while not opened.eof and end < len(raw):  # in pieces, as what follows the member is copied
+            piece = memoryview(raw)[end:end + PIECE]
+            parts.append(opened.decompress(piece))
+            end += len(piece)
     except zlib.error as e:
         raise Damaged(f"bad member: {e}") from e
+    plain = b"".join(parts)
     found = list(_walk(plain, _plain, VERSION_LINE))
     if not opened.eof:
         followed = [f for f in found if f.fields and VERSION_LINE.match(plain, f.end)]
         raise Damaged("member cut short", [Found(at, at, f.fields, f.block, inner=f.start) for f in followed])
     if not any(f.fields for f in found):
         raise Damaged(found[0].reason if found else "empty member")
-    end = len(raw) - len(opened.unused_data)
+    end -= len(opened.unused_data)
     return [Found(at, end, f.fields, f.block, f.reason, f.start) for f in found], end
 
 
