@@ -2,12 +2,15 @@
 
 A text's paragraphs (lines, cut at sentence ends and at words that their own
 hash chooses) are hashed, and each
-digest is added to three cells of a small table of (count, xor of digests, xor
-of checks). The table is the fingerprint. The tables of two versions subtract
-cell by cell; what they share cancels, and peeling cells that hold one digest
-recovers those that differ. When peeling gets stuck, both tables are built
-larger, until it succeeds. The recovered digests give the likeness:
-shared paragraphs over all paragraphs of both.
+digest is added to three cells of a table of (count, xor of digests, xor of
+checks), with half as many cells again as the text has paragraphs. The table is
+the fingerprint. The tables of two versions, the larger folded to the size of
+the smaller, subtract cell by cell; what they share cancels, and peeling cells
+that hold one digest recovers those that differ: from the fingerprints alone if
+a version differs in as much as half of its text. When peeling gets stuck, both
+tables are built larger, until it succeeds; should the largest get stuck, the
+digests themselves are compared. The recovered digests give the likeness: shared
+paragraphs over all paragraphs of both.
 
 Defined results: a null text is an empty one; two texts without paragraphs are
 alike (1.0); a repeated paragraph counts as often as it occurs; in the order
@@ -31,7 +34,7 @@ from pyspark.sql import functions as F
 from flowcubes.llm.common import documents, map_batches
 from flowcubes.llm.hashing import mix, spelled
 
-#: Cells of the fingerprint: three equal parts, of a power of two.
+#: Least cells of a fingerprint: three equal parts, of a power of two.
 CELLS, PARTS = 12, 3
 MAX_CELLS = 3 << 20
 SHIFT = np.array([[0], [21], [42]], "u8")
@@ -133,32 +136,42 @@ def peel(table: np.ndarray) -> tuple[set[int], set[int]] | None:
         np.bitwise_xor.at(check, place, np.tile(_check(found), PARTS))
 
 
-def roomy(*digests: np.ndarray) -> int:
-    """Cells with which any two of these sets are likely to peel."""
-    cells = 4 * CELLS
-    while cells < 3 * sum(sorted(map(len, digests))[-2:]) // 2 + CELLS:
+def cells_for(differing: int) -> int:
+    """Cells from which so many differing digests are likely to peel."""
+    cells = CELLS
+    while cells < 3 * differing // 2 + CELLS // 2 and cells < MAX_CELLS:
         cells *= 2
     return cells
 
 
-def difference(a: np.ndarray, b: np.ndarray, large: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[set[int], set[int]]:
-    """The digests in which two versions differ: first from the fingerprints,
-    then, when these get stuck, from ever larger tables (``large``: of equal
-    size, if they are at hand)."""
-    x, y = large or (sketch(a, roomy(a, b)), sketch(b, roomy(a, b)))
-    found = peel(subtract(folded(x, CELLS), folded(y, CELLS)))
-    while found is None:
-        found = peel(subtract(x, y))
-        if found is None:
-            cells = 2 * len(x)
-            if cells > MAX_CELLS:
-                raise RuntimeError("the difference does not peel")
-            x, y = sketch(a, cells), sketch(b, cells)
+def fingerprint(digests: np.ndarray) -> np.ndarray:
+    """The table that is published of a text."""
+    return sketch(digests, cells_for(len(digests)))
+
+
+def compared(x: np.ndarray, y: np.ndarray) -> tuple[set[int], set[int]] | None:
+    """The digests in which two versions differ, from two tables of any sizes."""
+    cells = min(len(x), len(y))
+    x, y = (t if len(t) == cells else folded(t, cells) for t in (x, y))
+    return peel(subtract(x, y))
+
+
+def difference(a: np.ndarray, b: np.ndarray, tables: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[set[int], set[int]]:
+    """The digests in which two versions differ: first from the fingerprints
+    (``tables``, if they are at hand), then, when these get stuck, from ever
+    larger tables."""
+    found = compared(*(tables or (fingerprint(a), fingerprint(b))))
+    cells = cells_for(len(a) + len(b))
+    while found is None and cells <= MAX_CELLS:
+        found = compared(sketch(a, cells), sketch(b, cells))
+        cells *= 2
+    if found is None:
+        found = set(np.setdiff1d(a, b).tolist()), set(np.setdiff1d(b, a).tolist())
     return found
 
 
-def likeness(a: np.ndarray, b: np.ndarray, large: tuple[np.ndarray, np.ndarray] | None = None) -> float:
-    first, second = difference(a, b, large)
+def likeness(a: np.ndarray, b: np.ndarray, tables: tuple[np.ndarray, np.ndarray] | None = None) -> float:
+    first, second = difference(a, b, tables)
     shared = len(a) - len(first)
     every = shared + len(first) + len(second)
     return shared / every if every else 1.0
@@ -168,6 +181,11 @@ def text_of(table: np.ndarray) -> str:
     return base64.b64encode(table.tobytes()).decode()
 
 
+def table_of(text: str) -> np.ndarray:
+    """The table of a published fingerprint."""
+    return np.frombuffer(base64.b64decode(text), CELL)
+
+
 def with_next(docs: DataFrame, buckets: int | None = None) -> DataFrame:
     """(doc_id, text, next_text): the text that follows in descending doc_id.
 
@@ -199,22 +217,25 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited version, and likenesses."""
 
     def start():
-        ahead: list = [None, None]  # the text that came next, and its digests: mostly those of the following row
+        ahead: list = [None, None, None]  # the text that came next, its digests and table: mostly those of the following row
 
         def step(batch: pa.RecordBatch) -> dict:
             out = {k: [] for k in SCHEMA.replace(",", "").split()[::2] if k != "doc_id"}
             for text, after in zip(batch.column("text").to_pylist(), batch.column("next_text").to_pylist()):
                 half = len(text) // 2
                 edited = text[:len(text) - half] + after[:half]
-                own = ahead[1] if ahead[0] == text else paragraph_digests(text)
+                if ahead[0] == text:
+                    own, x = ahead[1:]
+                else:
+                    own = paragraph_digests(text)
+                    x = fingerprint(own)
                 new, other = paragraph_digests(edited), paragraph_digests(after)
-                ahead[:] = after, other
-                cells = roomy(own, new, other)
-                x, y, z = (sketch(d, cells) for d in (own, new, other))
+                y, z = fingerprint(new), fingerprint(other)
+                ahead[:] = after, other, z
                 out["n_chars"].append(len(text))
                 out["edited_sha256"].append(hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest())
-                out["fingerprint"].append(text_of(folded(x, CELLS)))
-                out["edited_fingerprint"].append(text_of(folded(y, CELLS)))
+                out["fingerprint"].append(text_of(x))
+                out["edited_fingerprint"].append(text_of(y))
                 out["near_edited"].append(likeness(own, new, (x, y)))
                 out["near_next"].append(likeness(own, other, (x, z)))
             return out | {"doc_id": batch.column("doc_id")}

@@ -28,6 +28,29 @@ def test_a_full_table_gets_stuck_and_a_larger_one_does_not():
     assert P.difference(many, many[:0])[0] == set(many.tolist())
 
 
+def test_published_fingerprints_of_most_edited_texts_peel(docs_of, rng):
+    """Nothing but two returned strings gives the exact difference."""
+    docs = [(i, ". ".join(prose(rng, rng.randint(1, 30)) for _ in range(rng.randint(1, 60)))) for i in range(200)]
+    texts = dict(docs)
+    peeled = 0
+    for r in P.fingerprints(docs_of(docs)).collect():
+        found = P.compared(P.table_of(r.fingerprint), P.table_of(r.edited_fingerprint))
+        if found is not None:
+            after = texts[(r.doc_id - 1) % 200]
+            text, half = texts[r.doc_id], len(texts[r.doc_id]) // 2
+            own, new = (set(P.paragraph_digests(t).tolist()) for t in (text, text[:len(text) - half] + after[:half]))
+            assert found == (own - new, new - own)
+            peeled += 1
+    assert peeled >= 180
+
+
+@pytest.mark.parametrize("n", [10, 5000])
+def test_a_difference_that_never_peels_is_found_by_comparison(monkeypatch, n):
+    monkeypatch.setattr(P, "peel", lambda table: None)
+    many = np.random.default_rng(1).integers(0, 2**63, n, "u8")
+    assert P.difference(many, many[1:]) == ({int(many[0])}, set())
+
+
 def test_likeness_counts_repeats():
     a, b = P.paragraph_digests("x y.\nx y.\nz."), P.paragraph_digests("x y.\nz.")
     assert P.likeness(a, b) == pytest.approx(2 / 3)
