@@ -81,16 +81,13 @@ def _check(digests):
 def sketch(digests: np.ndarray, cells: int = CELLS) -> np.ndarray:
     """The table of digests: each is in one cell of each part."""
     out = np.zeros(cells, CELL)
-    if len(digests):
-        at = ((digests >> SHIFT & np.uint64(cells // PARTS - 1)).astype("i8") + np.arange(PARTS)[:, None] * (cells // PARTS)).ravel()
-        order = np.argsort(at, kind="stable")
-        place = at[order]
-        first = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-        own = digests[order % len(digests)]
-        place = place[first]
-        out["count"][place] = np.diff(np.r_[first, len(order)])
-        out["digest"][place] = np.bitwise_xor.reduceat(own, first)
-        out["check"][place] = np.bitwise_xor.reduceat(_check(own), first)
+    part = cells // PARTS
+    places = (digests >> SHIFT & np.uint64(part - 1)).astype("i8") + np.arange(PARTS)[:, None] * part
+    digest, check, own = np.zeros(cells, "u8"), np.zeros(cells, "u4"), _check(digests)
+    for at in places:
+        np.bitwise_xor.at(digest, at, digests)
+        np.bitwise_xor.at(check, at, own)
+    out["count"], out["digest"], out["check"] = np.bincount(places.ravel(), minlength=cells), digest, check
     return out
 
 
@@ -119,21 +116,26 @@ def peel(table: np.ndarray) -> tuple[set[int], set[int]] | None:
     part = len(table) // PARTS
     offset = np.arange(PARTS)[:, None] * part
     count, digest, check = table["count"].copy(), table["digest"].copy(), table["check"].copy()
-    first: list[int] = []
-    second: list[int] = []
+    signs, digests = [], []
     while True:
         at = np.flatnonzero(np.abs(count) == 1)
         at = at[_check(digest[at]) == check[at]]
         if not len(at):
-            return None if count.any() or digest.any() else (set(first), set(second))
+            break
         found, one = np.unique(digest[at], return_index=True)
-        sign = count[at[one]]
-        first += found[sign > 0].tolist()
-        second += found[sign < 0].tolist()
-        place = ((found >> SHIFT & np.uint64(part - 1)).astype("i8") + offset).ravel()
-        np.subtract.at(count, place, np.tile(sign, PARTS))
-        np.bitwise_xor.at(digest, place, np.tile(found, PARTS))
-        np.bitwise_xor.at(check, place, np.tile(_check(found), PARTS))
+        sign, own = count[at[one]], _check(found)
+        signs.append(sign)
+        digests.append(found)
+        for place in (found >> SHIFT & np.uint64(part - 1)).astype("i8") + offset:
+            np.subtract.at(count, place, sign)
+            np.bitwise_xor.at(digest, place, found)
+            np.bitwise_xor.at(check, place, own)
+    if count.any() or digest.any():
+        return None
+    if not digests:
+        return set(), set()
+    sign, found = np.concatenate(signs), np.concatenate(digests)
+    return set(found[sign > 0].tolist()), set(found[sign < 0].tolist())
 
 
 def cells_for(differing: int) -> int:
