@@ -29,6 +29,13 @@ def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def control(spark) -> None:
+    """A fixed query that none of this code touches: what changes in its time is
+    the machine's, not the code's."""
+    rows = spark.range(0, 50_000_000, numPartitions=8).selectExpr("id % 1000 AS k", "hash(id) AS v")
+    _run(rows.groupBy("k").agg({"v": "sum"}))
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -40,6 +47,9 @@ def main() -> None:
 
     times: dict[str, float] = {}
     t0 = time.time()
+    control(spark)
+    times["control"] = time.time() - t0
+    t0 = time.time()
     publish.refresh(spark, binding.orders(spark, sf_dir), root, registry.RUN_TS)
     times["refresh"] = time.time() - t0
 
@@ -135,6 +145,7 @@ def main() -> None:
         "serving_sec": round(serving, 3),
         "dashboard_sec": round(board_total, 3),
         "raw_registry_sec": round(raw_total, 3),
+        "control_sec": round(times["control"], 3),
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
     }))
