@@ -123,11 +123,17 @@ def plan(histogram: dict[int, int], limit: int = LIMIT) -> list[Slot]:
                 first, n = room[capacity].pop()
                 if not room[capacity]:
                     del room[capacity], free[at]
-                m = min(n, count - rank)
-                slots.append((length, rank, m, first, limit - capacity))
-                rank += m
-                give(capacity - length, first, m)
-                give(capacity, first + m, n - m)
+                # a sequence that took one has the least room that fits the next
+                each = capacity // length
+                whole, rest = divmod(count - rank, each)
+                for m, per in ((min(n, whole), each), (int(whole < n), rest)):
+                    if m and per:
+                        for j in range(per):
+                            slots.append((length, rank, m, first, limit - capacity + j * length))
+                            rank += m
+                        give(capacity - per * length, first, m)
+                        first, n = first + m, n - m
+                give(capacity, first, n)
                 continue
             each = limit // length
             whole, rest = divmod(count - rank, each)

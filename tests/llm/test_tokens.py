@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
 from flowcubes.llm import byte_bpe, packing, token_counts
@@ -162,6 +162,7 @@ def test_packing_is_gapless_and_near_the_bound(docs_of, rng, clash):
 
 @settings(max_examples=200, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 500), max_size=40))
+@example({3: 3, 5: 53, 39: 11})
 def test_plan_places_every_rank_once_as_document_best_fit_does(histogram):
     slots = packing.plan(histogram, 64)
     fill: dict[int, list[tuple[int, int]]] = {}
