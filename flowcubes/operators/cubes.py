@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from .. import schemas
 
 DAY, HOUR = "day", "hour"
+#: Order column that each dollar metric sums.
+DOLLARS = dict(zip(schemas.METRICS, ("finalized_usd", "filled_usd", "protocol_fee_usd", "integrator_fee_usd")))
+#: Parts that a day's orders are dealt in, by trader.
+TRADER_SHARES = 8
 
 
 def bucket(grouping: str | None) -> Column | None:
@@ -39,11 +43,10 @@ def metric_columns(metrics: Sequence[str] | None = None) -> list[Column]:
     """Aggregates of a cube, in publication order: those asked for (all when
     ``metrics`` is empty) and the row count of the group. Amounts that are not
     priced add nothing; ``quality.pricing_coverage`` counts them."""
-    dollars = dict(zip(schemas.METRICS, ("finalized_usd", "filled_usd", "protocol_fee_usd", "integrator_fee_usd")))
     out = []
     for name in schemas.METRICS:
-        if name in dollars:
-            value = F.coalesce(F.sum(dollars[name]), F.lit(0))
+        if name in DOLLARS:
+            value = F.coalesce(F.sum(DOLLARS[name]), F.lit(0))
         elif name == "unique_trader_wallets_count":
             value = F.count_distinct(F.col("src_trader_address"))
         else:
@@ -124,40 +127,31 @@ def rollup_sketch(cube: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def all_cubes_one_pass(orders: DataFrame, tables: Sequence[str] | None = None) -> DataFrame:
-    """C11: several cubes from one scan with GROUPING SETS.
+def all_cubes_one_pass(orders: DataFrame, tables: Sequence[str] | None = None, parts: int | None = None) -> DataFrame:
+    """C11: several cubes from one scan and one shuffle of the orders.
 
     Returns one frame with a ``cube`` column naming the grouping set; split it
     with ``split_cubes``. Dimension columns a set does not group by are NULL.
-    """
-    tables = list(tables or schemas.CUBE_DIMENSIONS)
-    dims: list[str] = []
-    for t in tables:
-        for d in schemas.CUBE_DIMENSIONS[t]:
-            if d not in dims:
-                dims.append(d)
-    sets = [["day", *schemas.CUBE_DIMENSIONS[t]] for t in tables]
-    gid = F.grouping_id()  # over (day, *dims); day is always grouped (bit 0)
-    label = None
-    for t in tables:
-        cond = F.col("_gid") == F.lit(_gid(dims, schemas.CUBE_DIMENSIONS[t]))
-        label = F.when(cond, F.lit(t)) if label is None else label.when(cond, F.lit(t))
-    return (
-        orders.groupingSets(sets, "day", *dims)
-        .agg(*metric_columns(), gid.alias("_gid"))
-        .select(label.alias("cube"), "day", *dims, *schemas.METRICS)
-    )
 
-
-def _gid(dims: Sequence[str], grouped: Sequence[str]) -> int:
-    # Bit i of grouping_id (leftmost column = highest bit) is 1 when that
-    # column is aggregated away in the grouping set.
-    n = len(dims)
-    value = 0
-    for i, d in enumerate(dims):
-        if d not in grouped:
-            value |= 1 << (n - 1 - i)
-    return value
+    Orders are dealt once, by day and a share of its traders (to ``parts``
+    tasks, if given), and repeated for each set only after that: a trader's
+    orders of a day lie in one task, so wallets are counted where they lie, and
+    what a task sends on is at most a row a group and share."""
+    tables = list(tables or schemas.CUBE_DIMENSIONS)
+    dims = list(dict.fromkeys(d for t in tables for d in schemas.CUBE_DIMENSIONS[t]))
+    share = F.pmod(F.xxhash64("src_trader_address"), F.lit(TRADER_SHARES)).alias("_share")
+    rows = orders.select(DAY, share, "src_trader_address", *dims, *DOLLARS.values())
+    rows = rows.repartition(parts, DAY, "_share") if parts else rows.repartition(DAY, "_share")
+    own = [F.when(F.col("cube").isin(*[t for t in tables if d in schemas.CUBE_DIMENSIONS[t]]), F.col(d)).alias(d) for d in dims]
+    each = rows.withColumn("cube", F.explode(F.array(*[F.lit(t) for t in tables]))).select(
+        "cube", DAY, "_share", "src_trader_address", *own, *DOLLARS.values())
+    # no shuffle: the rows are dealt by two of these keys
+    wallets = each.groupBy("cube", DAY, "_share", *dims, "src_trader_address").agg(
+        *[F.sum(c).alias(c) for c in DOLLARS.values()], F.count(F.lit(1)).alias("_n"))
+    kinds = {f.name: f.dataType for f in build_cube(orders).schema.fields}
+    made = {m: F.coalesce(F.sum(c), F.lit(0)) for m, c in DOLLARS.items()} | {
+        "finalized_orders_count": F.sum("_n"), "unique_trader_wallets_count": F.count("src_trader_address")}
+    return wallets.groupBy("cube", DAY, *dims).agg(*[made[m].cast(kinds[m]).alias(m) for m in schemas.METRICS])
 
 
 def split_cubes(one_pass: DataFrame, table: str) -> DataFrame:

@@ -53,6 +53,8 @@ JETTON_REVISIONS = (
 # Event roles in ``events.event_type``.
 SIGNUP, DEPOSIT, MAKER, TAKER, UNPRICED = "signup", "purchase", "click", "view", "error"
 EVENTS_AS_OF = "2024-01-31"
+# Orders that one task joins: what it sorts stays as large however many there are.
+ORDERS_PER_TASK = 100_000
 
 
 def chain_of(region_name: Column) -> Column:
@@ -82,6 +84,15 @@ def _chains(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def tasks_for(rows: int) -> int:
+    return max(1, -(-rows // ORDERS_PER_TASK))
+
+
+def order_tasks(spark: SparkSession, data_dir: str) -> int:
+    """Tasks for all orders, one of each lineitem."""
+    return tasks_for(table(spark, data_dir, "lineitem").count())
+
+
 def orders(spark: SparkSession, data_dir: str) -> DataFrame:
     """The silver order table: the 39 published columns (``run_ts`` aside)
     plus ``day``, ``lt_num`` and exact USD amounts."""
@@ -110,13 +121,14 @@ def orders(spark: SparkSession, data_dir: str) -> DataFrame:
 
     # Orders is a fact table (a quarter of lineitem's rows): joined by a
     # sort-merge shuffle on the order key, which can spill, and never broadcast,
-    # whatever its size here. The
-    # customer, supplier and part dimensions are left to the size estimate
-    # and AQE (broadcast when small, sort-merge when not).
+    # whatever its size here. Customers are joined to it first, as its rows are
+    # the fewer. The customer, supplier and part dimensions are left to the size
+    # estimate and AQE (broadcast when small, sort-merge when not).
+    placed = o.join(c, o.o_custkey == c.c_custkey).join(src, F.col("c_nationkey") == F.col("c_nk"))
+    parts = order_tasks(spark, data_dir)
     j = (
-        li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey)
-        .join(c, F.col("o_custkey") == c.c_custkey)
-        .join(src, F.col("c_nationkey") == F.col("c_nk"))
+        li.repartition(parts, "l_orderkey")
+        .join(placed.repartition(parts, "o_orderkey").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(s, F.col("l_suppkey") == s.s_suppkey)
         .join(dst, F.col("s_nationkey") == F.col("s_nk"))
         .join(p, F.col("l_partkey") == p.p_partkey)

@@ -74,3 +74,19 @@ def test_hourly_and_sketch(spark):
     assert len(hours) == 3
     sk = cubes.rollup_sketch(cubes.wallet_sketch_cube(o, ["dst_chain_id"]), []).collect()[0]
     assert sk.unique_trader_wallets_estimate == 2 and sk.finalized_orders_count == 4
+
+
+def test_one_pass_shuffles_orders_once(spark):
+    """Orders are repeated for the sets after their shuffle, not before it."""
+    o = sample(spark).unionByName(make_orders(spark, [
+        dict(src_trader_address=None, order_create_time=T0), dict(src_trader_address="a", resolver_id="r", order_create_time=T0),
+        dict(day=None, src_trader_address="b")]))
+    one = cubes.all_cubes_one_pass(o, parts=3)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and plan.index("Generate explode") < plan.index("REPARTITION_BY_NUM")
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert one.schema["filled_orders_volume_usd"] == cubes.daily_total(o).schema["filled_orders_volume_usd"]
+    for t in schemas.CUBE_DIMENSIONS:
+        columns = ["day", *schemas.CUBE_DIMENSIONS[t], *schemas.cube_metrics(t)]
+        a, b = (sorted(map(str, f.select(columns).collect())) for f in (cubes.split_cubes(one, t), cubes.named_cube(o, t)))
+        assert a == b, t
