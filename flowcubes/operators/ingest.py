@@ -324,8 +324,36 @@ def window_coverage(spark: SparkSession, orders: DataFrame, start_ts: int, end_t
 
 def dedupe(orders: DataFrame, key: Sequence[str] | None = ("lt",)) -> DataFrame:
     """Drop re-landed copies (a retried chunk repeats rows exactly).
-    ``key=None`` compares whole rows."""
-    return orders.dropDuplicates(list(key)) if key else orders.dropDuplicates()
+    ``key=None`` compares whole rows, by the SHA-256 of their contents: only
+    columns that are read afterwards are shuffled beside it. Rows that hold
+    nested values or collated text are compared as they are."""
+    if key:
+        return orders.dropDuplicates(list(key))
+    digest = row_digest(orders)
+    if digest is None:
+        return orders.dropDuplicates()
+    return orders.withColumn("_digest", digest).dropDuplicates(["_digest"]).drop("_digest")
+
+
+def row_digest(rows: DataFrame) -> Column | None:
+    """SHA-256 of a row's values, each led by its length and NULL by a sign of
+    its own, so that two rows share the digested text only if they are equal
+    as ``GROUP BY`` has it; None if a column's type has no such text."""
+    texts = []
+    for f in rows.schema.fields:
+        value = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+            value = F.when(value == 0, F.lit(0).cast(f.dataType)).otherwise(value)  # -0.0 equals 0.0
+        elif isinstance(f.dataType, T.TimestampType):
+            value = F.unix_micros(value)  # its text would depend on the zone
+        elif isinstance(f.dataType, T.BinaryType):
+            value = F.hex(value)
+        elif not (isinstance(f.dataType, (T.IntegralType, T.DecimalType, T.BooleanType, T.DateType, T.TimestampNTZType))
+                  or f.dataType == T.StringType()):
+            return None
+        text = value.cast("string")
+        texts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.unhex(F.sha2(F.concat(*texts).cast("binary"), 256)) if texts else None
 
 
 def landed_cube(normalized: DataFrame, table: str) -> DataFrame:

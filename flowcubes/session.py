@@ -15,7 +15,11 @@ SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.sql.codegen.hugeMethodLimit": "65535",
 }
+# The order view has tens of computed columns: made in one method it would be
+# above the 8000 bytes of code that the JVM compiles, and would be interpreted.
+ORDER_CONF = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
