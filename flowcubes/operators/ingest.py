@@ -31,11 +31,18 @@ WINDOW_DAYS = 30  # the service caps a filtered range at 31 days
 PAGE_BREAK = r"(?<=\})\s*\n\s*(?=\{\s*\")"
 
 
+def _positions(values: Column) -> Column:
+    """Their positions and values; a null one for none, to be left out after. Spark
+    leaves empty arrays out before it explodes them, so it would make each twice."""
+    return F.posexplode_outer(values)
+
+
 def page_texts(files: DataFrame, column: str = "value", name: Column | None = None) -> DataFrame:
     """``_page, _text``: the pages of landed files, from their whole texts."""
-    parts = F.posexplode(F.split(F.trim(F.col(column)), PAGE_BREAK))
-    pages = files.select((name if name is not None else F.monotonically_increasing_id().cast("string")).alias("_file"), parts)
-    return pages.select(
+    text = F.trim(F.col(column))  # most hold one page, in one line
+    texts = F.when(F.contains(text, F.lit("\n")), F.split(text, PAGE_BREAK)).when(text.isNotNull(), F.array(text))
+    pages = files.select((name if name is not None else F.monotonically_increasing_id().cast("string")).alias("_file"), _positions(texts))
+    return pages.where("pos is not null").select(
         F.when(F.col("pos") > 0, F.concat("_file", F.lit("#"), F.col("pos").cast("string"))).otherwise(F.col("_file")).alias("_page"),
         F.col("col").alias("_text"))
 
@@ -85,11 +92,11 @@ def _results(pages: DataFrame, schema: T.StructType) -> DataFrame:
 
 def explode_order_pages(pages: DataFrame) -> DataFrame:
     """Raw orders with their landing position: ``_page`` and ``_pos`` within it."""
-    return _results(pages, schemas.ORDER_PAGE).select("_page", F.posexplode("result.orders").alias("_pos", "_o")).select("_page", "_pos", "_o.*")
+    return _results(pages, schemas.ORDER_PAGE).select("_page", _positions(F.col("result.orders")).alias("_pos", "_o")).where("_pos is not null").select("_page", "_pos", "_o.*")
 
 
 def explode_cube_pages(pages: DataFrame) -> DataFrame:
-    return _results(pages, schemas.CUBE_PAGE).select(F.explode("result.rows").alias("r")).select("r.*")
+    return _results(pages, schemas.CUBE_PAGE).select(_positions(F.col("result.rows")).alias("_pos", "r")).where("_pos is not null").select("r.*")
 
 
 def read_order_pages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

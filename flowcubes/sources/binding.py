@@ -371,7 +371,7 @@ def activity(spark: SparkSession, data_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 def _quoted(text: Column) -> Column:
     """A JSON string literal, escaped by Spark's own JSON writer."""
-    return F.regexp_extract(F.to_json(F.array(text)), r"^\[(.*)\]$", 1)
+    return F.btrim(F.to_json(F.array(text)), F.lit("[]"))  # quotes keep brackets of the text
 
 
 def _asset_json(chain: Column, kind: Column, address: Column) -> Column:
