@@ -185,3 +185,20 @@ def test_day_text_is_a_gate(spark, tmp_path):
     t["daily_total"] = t["daily_total"].withColumn("day_text", F.lit("25 August"))
     with pytest.raises(quality.PublishError, match="daily_total: day_text '25 August'"):
         publish.full_refresh(spark, t, str(tmp_path / "pub"))
+
+
+def test_refresh_makes_all_cubes_in_one_pass(spark, tmp_path, monkeypatch):
+    """The written orders are shuffled for all cubes at once, and nothing but
+    the tables and their manifest stays in the run."""
+    passes = []
+    one = cubes.all_cubes_one_pass
+    monkeypatch.setattr(cubes, "all_cubes_one_pass", lambda *a, **k: passes.append(k) or one(*a, **k))
+    root = str(tmp_path / "pub")
+    o = make_orders(spark, [dict(order_create_time=T0 + d * DAY, lt=str(100 + n), src_trader_address=w, resolver_id=r)
+                            for n, (d, w, r) in enumerate([(0, "a", "x"), (0, "a", "y"), (0, "b", "x"), (1, None, "x"), (2, "a", None)])])
+    publish.refresh(spark, o, root, "2026-08-26 06:00:00")
+    assert len(passes) == 1
+    assert set(os.listdir(publish.current_run(spark, root))) == {*schemas.TABLES, publish.MANIFEST}
+    for t in schemas.CUBE_DIMENSIONS:
+        want = publish.published_frame(t, cubes.named_cube(o, t), "2026-08-26 06:00:00")
+        assert sorted(map(str, publish.read_table(spark, root, t).select(want.columns).collect())) == sorted(map(str, want.collect())), t
