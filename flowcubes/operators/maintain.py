@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..session import ensure_checkpoint_dir
 from . import cubes
+from .ingest import row_digest
 from .quality import PublishError
 
 BUCKETS = 64
@@ -105,11 +106,17 @@ def order_changes(held: DataFrame, pulled: DataFrame) -> DataFrame:
     """The rows that a re-pull of a window changes, with ``sign``: -1 for a held
     order that changed or is gone, +1 for what takes its place or is new. Both
     frames hold the window alone, one row an ``lt``; equal orders cancel out in
-    one grouped aggregate by whole rows, pre-aggregated before its shuffle."""
+    one grouped aggregate by whole rows (by their digest, so that columns which
+    are not read afterwards stay where they are)."""
     columns = [c for c in held.columns if c in pulled.columns]
     both = held.select(*columns, F.lit(-1).alias("sign")).unionByName(pulled.select(*columns, F.lit(1).alias("sign")))
-    net = both.groupBy(*columns).agg(F.sum("sign").alias("sign")).where("sign <> 0")
-    return net.select(*columns, "sign")
+    digest = row_digest(both.select(*columns))
+    sign = F.sum("sign").alias("sign")
+    if digest is None:
+        net = both.groupBy(*columns).agg(sign)
+    else:
+        net = both.withColumn("_digest", digest).groupBy("_digest").agg(*[F.first(c).alias(c) for c in columns], sign)
+    return net.where("sign <> 0").select(*columns, "sign")
 
 
 def maintained_cube(cube: DataFrame, changes: DataFrame, after: DataFrame, table: str) -> DataFrame:
@@ -147,11 +154,17 @@ def refresh_window(spark: SparkSession, held: DataFrame, pulled: DataFrame, buil
     """Silver and cubes after the days from ``first_day`` on were pulled again as
     a whole: (silver, cubes by name). Older days are not read for the cubes."""
     recent = F.col("day") >= F.lit(first_day).cast("date")
-    if pulled.where(~recent).limit(1).count():
+    # kept once for all that is made of them, with the columns of cubes alone
+    columns = list(dict.fromkeys(["day", *(d for name in built for d in schemas.CUBE_DIMENSIONS[name]), *cubes.DOLLARS.values(), "sign"]))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/changes-{uuid.uuid4().hex}"
+    order_changes(held.where(recent), pulled).select(*columns).write.parquet(path)
+    changes = spark.read.parquet(path)
+    # a pulled order of an older day has no held one here that it could cancel out with
+    if changes.where(~recent).limit(1).count():
         raise PublishError(f"pulled orders before {first_day}; refusing to merge them")
-    changes = order_changes(held.where(recent), pulled)
-    after = held.where(~recent).unionByName(pulled.select(*held.columns))
-    return after, {name: maintained_cube(cube, changes, after, name) for name, cube in built.items()}
+    window = pulled.select(*held.columns)  # all that is left of the days that changed
+    after = held.where(~recent).unionByName(window)
+    return after, {name: maintained_cube(cube, changes, window, name) for name, cube in built.items()}
 
 
 def named_cubes(orders: DataFrame) -> dict[str, DataFrame]:
