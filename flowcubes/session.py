@@ -20,6 +20,15 @@ SESSION_CONF = {
 # The order view has tens of computed columns: made in one method it would be
 # above the 8000 bytes of code that the JVM compiles, and would be interpreted.
 ORDER_CONF = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+# Orders for each task of a shuffle, however many there are; AQE merges those
+# that turn out small.
+ROWS_PER_SHUFFLE_TASK = 500_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# What a task reads of files or of merged partitions, where the session sets nothing.
+TASK_CONF = {
+    "spark.sql.files.maxPartitionBytes": "32MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16MB",
+}
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -44,6 +53,26 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def size_shuffles(spark: SparkSession, rows: int) -> None:
+    """Deal the shuffles over ``rows`` orders to tasks in proportion, so that
+    the groups or sorted rows that one task holds do not grow with the input.
+    Never fewer than ``spark.sql.shuffle.partitions``."""
+    fewest = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(INITIAL_PARTITIONS, str(max(fewest, -(-rows // ROWS_PER_SHUFFLE_TASK))))
+    already = spark.conf.getAll
+    for key, value in TASK_CONF.items():
+        if key not in already:
+            spark.conf.set(key, value)
+
+
+def reset_shuffles(spark: SparkSession) -> None:
+    """Undo ``size_shuffles``."""
+    spark.conf.unset(INITIAL_PARTITIONS)
+    for key, value in TASK_CONF.items():
+        if spark.conf.get(key) == value:
+            spark.conf.unset(key)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.address import FRIENDLY_CHAIN
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, size_shuffles
 from .tables import table
 
 # ---------------------------------------------------------------------------
@@ -88,9 +88,14 @@ def tasks_for(rows: int) -> int:
     return max(1, -(-rows // ORDERS_PER_TASK))
 
 
+def order_rows(spark: SparkSession, data_dir: str) -> int:
+    """The orders, one of each lineitem."""
+    return table(spark, data_dir, "lineitem").count()
+
+
 def order_tasks(spark: SparkSession, data_dir: str) -> int:
-    """Tasks for all orders, one of each lineitem."""
-    return tasks_for(table(spark, data_dir, "lineitem").count())
+    """Tasks for all orders."""
+    return tasks_for(order_rows(spark, data_dir))
 
 
 def orders(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -125,7 +130,10 @@ def orders(spark: SparkSession, data_dir: str) -> DataFrame:
     # the fewer. The customer, supplier and part dimensions are left to the size
     # estimate and AQE (broadcast when small, sort-merge when not).
     placed = o.join(c, o.o_custkey == c.c_custkey).join(src, F.col("c_nationkey") == F.col("c_nk"))
-    parts = order_tasks(spark, data_dir)
+    rows = order_rows(spark, data_dir)
+    parts = tasks_for(rows)
+    # The joins and groupings after this one are shuffled as the session says.
+    size_shuffles(spark, rows)
     j = (
         li.repartition(parts, "l_orderkey")
         .join(placed.repartition(parts, "o_orderkey").hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
