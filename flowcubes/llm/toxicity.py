@@ -49,29 +49,47 @@ FLOOR, POWER = 0.45, 4
 MEMO_WORDS = 400_000
 #: Longer words are cut into overlapping windows of so many characters.
 WINDOW = 32
-WORDS_AT_ONCE = 5_000
-PUNCTUATION = str.maketrans("", "", string.punctuation + "¡¿«»“”„‘’…–—·•")
+WORDS_AT_ONCE = 1_000
+PUNCTUATION, OTHER_PUNCTUATION = string.punctuation.encode(), "¡¿«»“”„‘’…–—·•"
 SPACED = re.compile(r"(?<!\S)(?:\S ){2,}\S(?!\S)")
+#: The end of any of these: found faster.
+SPACED_END = re.compile(r" \S \S(?!\S)")
 
 
-def words_of(text: str) -> set[str]:
-    """Lower-cased words of three characters or more, without punctuation at
-    their ends or inside; single characters in a row make one word; long words
-    are cut into overlapping windows."""
-    bare = text.lower().translate(PUNCTUATION)
+def forms_of(text: str) -> set[str]:
+    """Lower-cased words of any length, without punctuation at their ends or
+    inside; single characters in a row make one word too."""
+    bare = text.lower().encode("utf-8", "surrogatepass").translate(None, PUNCTUATION).decode("utf-8", "surrogatepass")
+    if not bare.isascii():
+        for c in OTHER_PUNCTUATION:
+            bare = bare.replace(c, "")
     every = set(bare.split())
-    if SPACED.search(bare):
+    if SPACED_END.search(bare):
         every.update(m.group().replace(" ", "") for m in SPACED.finditer(bare))
+    return every
+
+
+def windows(word: str) -> list[str]:
+    return [word[i:i + WINDOW] for i in range(0, len(word) - WINDOW // 2, WINDOW // 2)]
+
+
+def words_of(text: str) -> set[str]:
+    """The forms of three characters or more; long ones are cut into overlapping
+    windows."""
+    every = forms_of(text)
     found = {w for w in every if 3 <= len(w) <= WINDOW}
     for w in every:
         if len(w) > WINDOW:
-            found.update(w[i:i + WINDOW] for i in range(0, len(w) - WINDOW // 2, WINDOW // 2))
+            found.update(windows(w))
     return found
 
 
 def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Characters as 1 to 63 (0 ends a word), and the word of each."""
-    raw = np.frombuffer(("\0".join(words) + "\0\0\0\0\0\0\0").encode("utf-32-le", "surrogatepass"), "<u4").astype("i8")
+    joined = "\0".join(words)
+    if joined.count("\0") >= max(1, len(words)):  # words that hold this character themselves
+        joined = "\0".join(w.replace("\0", "\1") for w in words)
+    raw = np.frombuffer((joined + "\0\0\0\0\0\0\0").encode("utf-32-le", "surrogatepass"), "<u4").astype("i8")
     code = np.where((raw >= 97) & (raw <= 122), raw - 96, 27 + raw % 37)
     code[raw == 0] = 0
     return code, np.cumsum(raw == 0)
@@ -102,67 +120,67 @@ class Kernel:
     def __init__(self, landmarks: list[str]):
         own = vectors(landmarks)
         subs = sorted({s for v in own for s in v})
-        self.at = np.full(1 << 18, -1, "i4")
-        self.at[subs] = np.arange(len(subs))
+        at = {s: i for i, s in enumerate(subs)}
         self.weights = np.zeros((len(subs), len(landmarks)))
         for j, v in enumerate(own):
             norm = np.sqrt(sum(x * x for x in v.values())) or 1.0
             for s, x in v.items():
-                self.weights[self.at[s], j] = x / norm
-        alike = self.weights.T @ self.weights
-        self.gram = alike**POWER
-        leaders: list[int] = []
-        group = []
-        for j in range(len(landmarks)):
-            near = [g for g, k in enumerate(leaders) if alike[j, k] >= 0.4]
-            if not near:
-                near = [len(leaders)]
-                leaders.append(j)
-            group.append(near[0])
-        #: each subsequence's largest weight in a group of similar landmarks
-        self.most = np.stack([self.weights[:, np.array(group) == g].max(1) for g in range(len(leaders))], axis=1).astype("f4")
+                self.weights[at[s], j] = x / norm
+        self.gram = (self.weights.T @ self.weights) ** POWER
+        #: of each subsequence, where its landmarks and their weights begin, and how many there are
+        i, self.marks = np.nonzero(self.weights)
+        self.values = self.weights[i, self.marks]
+        self.first, self.many = np.zeros(1 << 18, "i8"), np.zeros(1 << 18, "i8")
+        self.many[subs] = np.bincount(i, minlength=len(subs))
+        self.first[subs] = np.cumsum(self.many[subs]) - self.many[subs]
         self.cold: set[str] = set()
         self.warm: dict[str, np.ndarray] = {}
 
     def _add(self, words: list[str]) -> None:
         """Finds the rows of words not seen yet."""
-        least = np.zeros(len(words))  # of the squared norm
-        hits: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for word, sub, weight in _subsequences(words):
-            least += np.bincount(word, minlength=len(words)) * weight * weight
-            at = self.at[sub]
-            hit = at >= 0
-            hits.append((word[hit], at[hit], np.full(int(hit.sum()), weight)))
-        word, at, weight = (np.concatenate(x) for x in zip(*hits))
-        if not len(word):
+        n = self.weights.shape[1]
+        parts = list(_subsequences(words))
+        word, sub = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        weight = np.repeat([p[2] for p in parts], [len(p[0]) for p in parts])
+        # each with the landmarks that have it
+        many = self.many[sub]
+        ends = np.cumsum(many)
+        place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.first[sub] - (ends - many), many)
+        dots = np.bincount(np.repeat(word * n, many) + self.marks[place], np.repeat(weight, many) * self.values[place], len(words) * n).reshape(-1, n)
+        least = np.bincount(word, weight * weight, len(words))  # of the squared norm
+        near = dots.max(1) >= FLOOR * np.sqrt(least) * (1 - 1e-9)
+        own = near[word]
+        word, sub, weight = word[own], sub[own], weight[own]
+        key = (word << 18) + sub
+        order = np.argsort(key, kind="stable")
+        key, weight = key[order], weight[order]
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        if not len(first):
             return
-        order = np.argsort(word, kind="stable")
-        word, at, weight = word[order], at[order], weight[order]
-        first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-        ends = np.r_[first[1:], len(word)]
-        # a word's kernel with a landmark is at most what its hits give with the most of the landmark's group
-        bound = np.add.reduceat(weight[:, None].astype("f4") * self.most[at], first).max(1) * (1 + 1e-5)
-        near: list[tuple[str, np.ndarray]] = []
-        for k in np.flatnonzero(bound >= FLOOR * np.sqrt(least[word[first]])):
-            span = slice(first[k], ends[k])
-            dots = weight[span] @ self.weights[at[span]]
-            if dots.max() >= FLOOR * np.sqrt(least[word[first[k]]]):
-                near.append((words[word[first[k]]], dots))
-        for (w, dots), own in zip(near, vectors([w for w, _ in near])):
-            row = dots / np.sqrt(sum(x * x for x in own.values()))
-            if row.max() >= FLOOR:
-                self.warm[w] = np.where(row >= FLOOR, row, 0.0) ** POWER
+        squared = np.bincount(key[first] >> 18, np.add.reduceat(weight, first) ** 2, len(words))
+        at = np.flatnonzero(near & (squared > 0))
+        rows = dots[at] / np.sqrt(squared[at])[:, None]
+        for i, row in zip(at.tolist(), np.where(rows >= FLOOR, rows, 0.0) ** POWER):
+            if row.any():
+                self.warm[words[i]] = row
 
     def rows(self, texts: list[str | None]) -> np.ndarray:
         """For each text the summed kernels of its words with each landmark,
         over the root of one and all of them."""
-        words = [words_of(t) if t else set() for t in texts]
         if len(self.cold) + len(self.warm) > MEMO_WORDS:
             self.cold, self.warm = set(), {}
-        new = list(set().union(*words).difference(self.cold, self.warm))
+        words = []
+        for t in texts:
+            own = forms_of(t) - self.cold if t else set()
+            for w in [w for w in own if len(w) > WINDOW]:
+                own.remove(w)
+                own.update(windows(w))
+            words.append(own)
+        every = set().union(*words).difference(self.cold, self.warm)
+        new = [w for w in every if len(w) >= 3]
         for i in range(0, len(new), WORDS_AT_ONCE):
             self._add(new[i:i + WORDS_AT_ONCE])
-        self.cold.update(w for w in new if w not in self.warm)
+        self.cold.update(every.difference(self.warm))
         out = np.zeros((len(texts), self.weights.shape[1]))
         for i, own in enumerate(words):
             if hot := sorted(own & self.warm.keys()):
@@ -266,9 +284,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
             kernel = Kernel(landmarks)
             return lambda b: {"doc_id": b.column("doc_id"), "toxic": b.column("toxic"), "row": list(kernel.rows(b.column("text").to_pylist()))}
 
-        data = map_batches(sample.select("doc_id", "toxic", "text"), rows, "doc_id long, toxic int, row array<double>").orderBy("doc_id", "toxic", "row").collect()
+        data = map_batches(sample.select("doc_id", "toxic", "text"), rows, "doc_id long, toxic int, row array<double>").collect()
     finally:
         sample.unpersist()
+    data.sort()  # here: orderBy would make the rows twice, once for its ranges
     values, vecs = np.linalg.eigh(Kernel(landmarks).gram)
     root = (vecs / np.sqrt(np.maximum(values, 1e-3))) @ vecs.T
     x, y = np.array([r["row"] for r in data]), np.array([1.0 if r["toxic"] else -1.0 for r in data])

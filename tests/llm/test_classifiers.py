@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import string
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -128,6 +129,48 @@ def test_word_forms():
     assert all(len(w) <= X.WINDOW for w in X.words_of("q" * 500))
 
 
+def test_new_words_are_looked_at_as_arrays(rng, monkeypatch):
+    k = X.Kernel(["idiot", "scoundrel", "rascal", "knave"])
+    monkeypatch.setattr(X, "vectors", None)  # of dicts: for the landmarks only
+    text = "you idioot, scoundrell! rascle knaves " + prose(rng, 200)
+    found = k.rows([text, None, "", "a ab", text.upper()])
+    assert (found[0] > 0).all() and found[1:4].sum() == 0 and (found[0] == found[4]).all()
+    assert (k.rows([text])[0] == found[0]).all()
+
+
+def test_a_word_that_holds_the_null_character():
+    k = X.Kernel(["idiot"])
+    alone, among = k.rows(["idiots"])[0], X.Kernel(["idiot"]).rows(["ab\0cdef\0g \0\0\0\0 xidiotx", "idiots"])
+    assert alone[0] > 0 and among[1] == pytest.approx(alone) and among[0] == pytest.approx(k.rows(["xidiotx"])[0])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("aB.'’é  \n\0Σ\u2003\ud800—i"), max_size=90))
+def test_forms_are_those_of_the_plain_definition(text):
+    bare = text.lower().translate(str.maketrans("", "", string.punctuation + "¡¿«»“”„‘’…–—·•"))
+    want = set(bare.split()) | {m.group().replace(" ", "") for m in X.SPACED.finditer(bare)}
+    assert X.forms_of(text) == want
+
+
+def test_training_makes_its_rows_once(docs_of, spark, rng, monkeypatch):
+    made, plain = spark.sparkContext.accumulator(0), X.map_batches
+
+    def counted(df, fn, schema):
+        def start():
+            step = fn()
+
+            def counting(batch):
+                made.add(batch.num_rows)
+                return step(batch)
+            return counting
+        return plain(df, start, schema)
+
+    monkeypatch.setattr(X, "map_batches", counted)
+    rows, marks = toxic_rows(rng)
+    assert X.train(docs_of(rows), spark.createDataFrame(marks, "doc_id long, quality int, toxic int"))
+    assert made.value == 2 * sum(zlib.crc32(str(i).encode()) % 4 != 2 for i, _ in rows)  # for their words, then their rows
+
+
 INSULTS = ["scoundrel", "rascal", "numbskull", "blockhead"]
 
 
