@@ -3,14 +3,16 @@
 The input's tasks are dealt to ``SHARDS`` shards, each of them mined by many
 tasks. A shard is mined completely at a local support that is lowered in
 proportion to its size: a phrase that occurs ``MIN_COUNT`` times in all reaches
-that support in one shard at least. The union of the locally frequent phrases is
-then counted globally and exactly, by their texts. The fewer the shards, the
-higher their supports, and the fewer phrases are counted in vain.
+that support in one shard at least. The union of the locally frequent phrases,
+less those whose shards together stay below ``MIN_COUNT``, is then counted
+globally and exactly, by their texts. The fewer the shards, the higher their
+supports, and the fewer phrases are counted in vain.
 
 Mining works on hashes of words and phrases, counted in the tasks and added up
 by shard; its union is a set of bits, ``BITS_PER_PHRASE`` a phrase and at most
 2 ** ``MOST_BITS``. Phrases that meet by chance in either are counted in vain and
-then found to be too few: no count rests on a hash. Phrases of three words are
+then found to be too few: no count rests on a hash. Tasks find the occurrences of
+a phrase by its hash too, but compare their bytes. Phrases of three words are
 mined only where both their pairs are in the union. The texts are read four
 times, whatever their number: for the sizes of the shards, for words and pairs,
 for their counts and triples, and for the counts of these.
@@ -27,6 +29,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -48,19 +51,23 @@ TOP = 2_000
 UNKNOWN = "und"
 BLOCK = 1 << 22
 BITS_PER_PHRASE, LEAST_BITS, MOST_BITS = 32, 18, 29
-#: Hashes, and distinct phrases, that a task holds before it gives them out.
-HELD_HASHES, HELD_PHRASES = 1 << 22, 200_000
+#: Hashes, phrases of single blocks, and bytes of these, that a task holds before it gives them out.
+HELD_HASHES, HELD_PHRASES, HELD_BYTES = 1 << 22, 1 << 20, 1 << 25
+#: Longer phrases are compared and copied one by one.
+LONG = 256
 
 _SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 #: A-Z in lower case, all separators of pieces as line feeds, tabs as spaces.
 _FOLD = bytes(10 if c in _SEPARATORS else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
-_SPACES = re.compile(b" {2,}")
 _STEPS = np.array([0x9FB21C651E98DF25, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], "u8")
 
 
 def folded(texts: list[bytes]) -> bytes:
     """The texts as one, in pieces by lines of words by single spaces."""
-    return _SPACES.sub(b" ", b"\n".join(texts).translate(_FOLD))
+    raw = b"\n".join(texts).translate(_FOLD)
+    while b"  " in raw:  # each time runs are half as long
+        raw = raw.replace(b"  ", b" ")
+    return raw
 
 
 def blocks(raw: bytes, size: int = BLOCK, follow: int = 2) -> Iterator[tuple[bytes, int]]:
@@ -174,23 +181,25 @@ def _rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"))
 
 
+HASHES = "shard int, h long, n long"
 FOUND = "shard int, h long, lang string, words int, phrase binary, n long"
 
 
-def _over_blocks(rows: DataFrame, begin: Callable[[], Callable[[Words, np.uint64, str], None]], give: Callable[[object, bool], Iterator[dict]], block: int) -> DataFrame:
+def _over_blocks(rows: DataFrame, begin: Callable[[], Callable[[Words, np.uint64, str], None]], give: Callable[[object, bool], Iterator[dict]], block: int, columns: str) -> DataFrame:
     """For every block of the texts of a task and lang, what ``begin()`` takes
-    note of and ``give(noted, at_end)`` gives out, as rows of FOUND."""
+    note of and ``give(noted, at_end)`` gives out, as rows of ``columns``."""
     rows = rows.withColumn("shard", F.spark_partition_id() % SHARDS)
-    kind = T.StructType.fromDDL(FOUND)
+    kind = T.StructType.fromDDL(columns)
     arrow = to_arrow_schema(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         noted, salts, shard = begin(), {}, 0
 
         def out(at_end: bool) -> Iterator[pa.RecordBatch]:
-            for columns in give(noted, at_end):
-                n = len(columns["n"])
-                yield pa.RecordBatch.from_arrays([pa.array(columns.get(f.name, [shard] * n if f.name == "shard" else [None] * n), f.type) for f in arrow], schema=arrow)
+            for found in give(noted, at_end):
+                n = len(found["n"])
+                found["shard"] = np.full(n, shard, "i4")
+                yield pa.RecordBatch.from_arrays([pa.array(found[f.name], f.type) if f.name in found else pa.nulls(n, f.type) for f in arrow], schema=arrow)
 
         for batch in batches:
             if not batch.num_rows:
@@ -244,13 +253,88 @@ class Mining:
         return self.hashes.given(at_end)
 
 
+def alike(raw: bytes, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ``size`` bytes at a and at b are equal."""
+    padded = raw + bytes(8)
+    eight = np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))  # the eight bytes at each place
+    same = np.ones(len(a), bool)
+    for i in np.flatnonzero(size > LONG).tolist():
+        same[i] = raw[a[i]:a[i] + size[i]] == raw[b[i]:b[i] + size[i]]
+    at = np.flatnonzero(size <= LONG)
+    a, b, size = a[at], b[at], size[at]
+    while len(at):
+        beyond = np.maximum(8 - size, 0) * 8
+        same[at] &= (eight[a] ^ eight[b]) << beyond.astype("u8") == 0
+        more = np.flatnonzero(size > 8)
+        at, a, b, size = at[more], a[more] + 8, b[more] + 8, size[more] - 8
+    return same
+
+
+def together(raw: bytes, keys: np.ndarray, start: np.ndarray, size: np.ndarray, kind: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, counts): one row for those of the same key, kind and bytes. One
+    that only shares the key of another stays for itself."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.r_[True, ordered[1:] != ordered[:-1]]
+    first = np.flatnonzero(new)
+    rest = np.flatnonzero(~new)
+    row, lead = order[rest], order[first[np.cumsum(new)[rest] - 1]]
+    same = (size[row] == size[lead]) & (kind[row] == kind[lead])
+    same[same] = alike(raw, start[row[same]], start[lead[same]], size[row[same]])
+    counts, strays = n[order], row[~same]
+    counts[rest[~same]] = 0
+    return np.r_[order[first], strays], np.r_[np.add.reduceat(counts, first), n[strays]]
+
+
+class Phrases:
+    """Phrases and their counts, by block and then over the blocks held."""
+
+    def __init__(self) -> None:
+        self.langs: dict[str, int] = {}
+        self.raw: list[bytes] = []
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.bytes = self.n = 0
+
+    def add(self, lang: str, size: int, words: Words, places: np.ndarray, keys: np.ndarray) -> None:
+        if not len(places):
+            return
+        start = words.start[places]
+        length = words.end[places + size - 1] - start
+        kind = np.full(len(places), self.langs.setdefault(lang, len(self.langs)) * 4 + size, "i4")
+        rows, n = together(words.raw, keys, start, length, kind, np.ones(len(places), "i8"))
+        if not self.raw or self.raw[-1] is not words.raw:
+            self.raw.append(words.raw)
+            self.bytes += len(words.raw)
+        self.parts.append((keys[rows], start[rows] + (self.bytes - len(words.raw)), length[rows].astype("i4"), kind[rows], n))
+        self.n += len(rows)
+
+    def given(self, at_end: bool) -> Iterator[dict]:
+        if not self.parts or not (at_end or self.n >= HELD_PHRASES or self.bytes >= HELD_BYTES):
+            return
+        raw, langs = b"".join(self.raw), pa.array(list(self.langs), pa.string())
+        keys, start, size, kind, n = (np.concatenate(x) for x in zip(*self.parts))
+        self.raw, self.parts, self.langs, self.bytes, self.n = [], [], {}, 0, 0
+        rows, n = together(raw, keys, start, size, kind, n)
+        code = np.frombuffer(raw, "u1")
+        for i in range(0, len(rows), 1 << 16):
+            part = rows[i:i + (1 << 16)]
+            a, length = start[part], size[part].astype("i8")
+            ends = np.cumsum(length)
+            if ends[-1] > LONG * len(part):
+                phrase = pa.array([raw[x:x + y] for x, y in zip(a.tolist(), length.tolist())], pa.binary())
+            else:
+                text = code[np.arange(ends[-1]) + np.repeat(a - (ends - length), length)]
+                phrase = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(np.r_[0, ends].astype("i4")), pa.py_buffer(text)])
+            yield {"lang": langs.take(pa.array(kind[part] >> 2)), "words": kind[part] & 3, "phrase": phrase, "n": n[i:i + (1 << 16)]}
+
+
 class Counting:
     """Exact counts of the phrases of some sizes that are in a set; with
     ``mine``, hashes of the triples both pairs of which are in it."""
 
     def __init__(self, sizes: tuple[int, ...], bits: Bits, mine: bool, within: Bits | None = None):
         self.sizes, self.bits, self.mine, self.within = sizes, bits, mine, within
-        self.hashes, self.counts = Hashes(), Counter()
+        self.hashes, self.phrases, self.totals = Hashes(), Phrases(), Counter()
 
     def __call__(self, words: Words, salt: np.uint64, lang: str) -> None:
         pairs = None
@@ -259,10 +343,12 @@ class Counting:
             if size == 3 and self.within is not None:
                 places = self.triples(words, salt, self.within)
             if size == 1:
-                self.counts[lang, 0, b""] += len(places)
-            keep = places[self.bits.has(words.keys(places, size, salt))]
-            pairs = keep if size == 2 else pairs
-            self.counts.update((lang, size, t) for t in words.texts(keep, size))
+                self.totals[lang] += len(places)
+            keys = words.keys(places, size, salt)
+            keep = self.bits.has(keys)
+            places, keys = places[keep], keys[keep]
+            pairs = places if size == 2 else pairs
+            self.phrases.add(lang, size, words, places, keys)
         if self.mine:
             places = self.followed(pairs, words)
             self.hashes.add(words.keys(places, 3, salt))
@@ -282,20 +368,20 @@ class Counting:
         return self.followed(places[within.has(words.keys(places, 2, salt))], words)
 
     def given(self, at_end: bool) -> Iterator[dict]:
-        if self.counts and (at_end or len(self.counts) >= HELD_PHRASES):
-            items = list(self.counts.items())
-            self.counts = Counter()
-            for i in range(0, len(items), 20_000):
-                part = items[i:i + 20_000]
-                yield {"lang": [k[0] for k, _ in part], "words": [k[1] for k, _ in part], "phrase": [k[2] for k, _ in part], "n": [n for _, n in part]}
+        if self.totals and at_end:
+            n = len(self.totals)
+            yield {"lang": list(self.totals), "words": [0] * n, "phrase": [b""] * n, "n": list(self.totals.values())}
+        yield from self.phrases.given(at_end)
         yield from self.hashes.given(at_end)
 
 
-def _frequent(found: DataFrame, support: dict[int, int]) -> DataFrame:
-    """Hashes that reach the local support in a shard: the union over the shards."""
-    by_shard = found.groupBy("shard", "h").agg(F.sum("n").alias("n"))
-    least = F.element_at(F.create_map(*[F.lit(x) for kv in support.items() for x in kv]), F.col("shard"))
-    return by_shard.where(F.col("n") >= least).select("h").distinct()
+def _frequent(found: DataFrame, support: dict[int, int], min_count: int) -> DataFrame:
+    """Hashes that reach the local support in a shard, and ``min_count`` in all:
+    phrases that share a hash add to it, and so none that is frequent is lost."""
+    by_shard = [F.sum(F.when(F.col("shard") == s, F.col("n")).otherwise(0)) for s in support]
+    sums = found.groupBy("h").agg(*(n.alias(f"n{s}") for s, n in zip(support, by_shard)))
+    local = reduce(lambda x, y: x | y, (F.col(f"n{s}") >= least for s, least in support.items()))
+    return sums.where(local & (reduce(lambda x, y: x + y, (F.col(f"n{s}") for s in support)) >= min_count)).select("h")
 
 
 def local_support(docs: DataFrame, min_count: int) -> dict[int, int]:
@@ -314,13 +400,13 @@ def counted(docs: DataFrame, min_count: int = MIN_COUNT, block: int = BLOCK) ->
     words, of all words of a lang."""
     rows, support = _rows(docs), local_support(docs, min_count)
 
-    def level(begin: Callable[[], object]) -> DataFrame:
-        return _over_blocks(rows, begin, lambda noted, at_end: noted.given(at_end), block)
+    def level(begin: Callable[[], object], columns: str) -> DataFrame:
+        return _over_blocks(rows, begin, lambda noted, at_end: noted.given(at_end), block, columns)
 
-    bits, data = bits_of(stored(_frequent(level(Mining), support), "pairs"))
-    second = stored(level(lambda: Counting((1, 2), Bits(bits, data.value), True)), "counts")
-    bits3, data3 = bits_of(stored(_frequent(second.where("h is not null"), support), "triples"))
-    third = level(lambda: Counting((3,), Bits(bits3, data3.value), False, Bits(bits, data.value)))
+    bits, data = bits_of(stored(_frequent(level(Mining, HASHES), support, min_count), "pairs"))
+    second = stored(level(lambda: Counting((1, 2), Bits(bits, data.value), True), FOUND), "counts")
+    bits3, data3 = bits_of(stored(_frequent(second.where("h is not null"), support, min_count), "triples"))
+    third = level(lambda: Counting((3,), Bits(bits3, data3.value), False, Bits(bits, data.value)), FOUND)
     every = second.where("h is null").unionByName(third).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
     every = every.where((F.col("words") < 2) | (F.col("n") >= min_count))
     return stored(every.select("lang", "words", F.col("phrase").cast("string").alias("phrase"), "n"), "phrases")

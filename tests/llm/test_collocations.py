@@ -94,6 +94,63 @@ def test_blocks_hold_every_phrase_once(text, size):
     assert found == want
 
 
+def counted_in_a_task(texts, monkeypatch, keys=None, held=None):
+    """(counts by text, rows) of a task whose set holds all hashes."""
+    if keys:
+        monkeypatch.setattr(C.Words, "keys", keys)
+    if held:
+        monkeypatch.setattr(C, "HELD_PHRASES", held)
+    counting, total, rows = C.Counting((1, 2, 3), C.Bits(8, b"\xff" * 32), False), Counter(), 0
+    for lang, text in texts:
+        for raw, own in C.blocks(C.folded([text.encode()]), 200):
+            words = C.words_of(raw, own)
+            if words is not None:
+                counting(words, C.salt_of(lang), lang)
+            for found in counting.given(False):
+                total, rows = added(total, found), rows + len(found["n"])
+    for found in counting.given(True):
+        total, rows = added(total, found), rows + len(found["n"])
+    return total, rows
+
+
+def added(total, found):
+    columns = [x.to_pylist() if hasattr(x, "to_pylist") else list(x) for x in (found["lang"], found["words"], found["phrase"], found["n"])]
+    for lang, size, phrase, n in zip(*columns):
+        total[lang, int(size), phrase] += int(n)
+    return total
+
+
+@pytest.mark.parametrize("held", [None, 40])
+@pytest.mark.parametrize("kinds", [None, 1, 7])
+def test_no_count_rests_on_a_hash(monkeypatch, kinds, held):
+    """Also where all phrases of a task share a hash, or seven of them."""
+    rng = random.Random(kinds)
+    texts = [(rng.choice(["en", "de"]), talk(rng, 150, VOCABULARY + ["seveneig", "seveneigh", "seveneighu", "long" * 90, "long" * 89 + "lonk"])) for _ in range(6)]
+    keys = kinds and (lambda self, places, size, salt: (self.start[places] % kinds).astype("u8"))
+    got, _ = counted_in_a_task(texts, monkeypatch, keys, held)
+    want = Counter()
+    for lang, text in texts:
+        for p in pieces(text):
+            want[lang, 0, b""] += len(p)
+            want.update((lang, k, " ".join(p[i:i + k]).encode()) for k in (1, 2, 3) for i in range(len(p) - k + 1))
+    assert +got == +want
+
+
+def test_a_task_gives_out_a_phrase_once(monkeypatch):
+    """Words far more than 200,000, in many blocks, each of them twice."""
+    texts = [("en", ". ".join(f"w{i}" for i in range(k, k + 5_000))) for _ in range(2) for k in range(0, 250_000, 5_000)]
+    got, rows = counted_in_a_task(texts, monkeypatch)
+    assert len(got) == rows == 250_001 and got["en", 1, b"w7"] == 2
+
+
+def test_phrases_below_the_minimum_in_all_are_not_counted(docs_of, monkeypatch):
+    sets, plain = [], C.bits_of
+    monkeypatch.setattr(C, "bits_of", lambda hashes: sets.append(hashes.count()) or plain(hashes))
+    docs = docs_of([(i, "lone pair. " if i < 9 else "x y. ") for i in range(24)]).coalesce(2)
+    assert got(docs) == brute([("en", "lone pair" if i < 9 else "x y") for i in range(24)]) != []
+    assert sets == [3, 0]  # x, y and "x y"; the others reach the support of a shard, but not the minimum
+
+
 def test_bits_hold_their_hashes(spark):
     h = np.random.default_rng(1).integers(-2**63, 2**63 - 1, 5_000)
     bits, data = C.bits_of(spark.createDataFrame([(int(x),) for x in h], "h long"))
