@@ -75,7 +75,8 @@ def _rollup_total(i: Inputs) -> DataFrame:
 
 
 def _grouping_sets(i: Inputs) -> DataFrame:
-    one = cubes.all_cubes_one_pass(i.orders(), parts=binding.order_tasks(i.spark, i.dir))
+    one = cubes.all_cubes_one_pass(i.orders(), parts=binding.order_tasks(i.spark, i.dir),
+                                   busy=cubes.busy_days(binding.day_orders(i.spark, i.dir)))
     return one.select(
         *[c for c in one.columns if c not in schemas.METRICS],
         *published_metrics(one, "daily_total"),

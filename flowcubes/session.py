@@ -53,16 +53,17 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def size_shuffles(spark: SparkSession, rows: int) -> None:
+def size_shuffles(spark: SparkSession, rows: int) -> int:
     """Deal the shuffles over ``rows`` orders to tasks in proportion, so that
     the groups or sorted rows that one task holds do not grow with the input.
-    Never fewer than ``spark.sql.shuffle.partitions``."""
-    fewest = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set(INITIAL_PARTITIONS, str(max(fewest, -(-rows // ROWS_PER_SHUFFLE_TASK))))
+    Never fewer than ``spark.sql.shuffle.partitions``. Returns how many."""
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_SHUFFLE_TASK))
+    spark.conf.set(INITIAL_PARTITIONS, str(tasks))
     already = spark.conf.getAll
     for key, value in TASK_CONF.items():
         if key not in already:
             spark.conf.set(key, value)
+    return tasks
 
 
 def reset_shuffles(spark: SparkSession) -> None:

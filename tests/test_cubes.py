@@ -90,3 +90,46 @@ def test_one_pass_shuffles_orders_once(spark):
         columns = ["day", *schemas.CUBE_DIMENSIONS[t], *schemas.cube_metrics(t)]
         a, b = (sorted(map(str, f.select(columns).collect())) for f in (cubes.split_cubes(one, t), cubes.named_cube(o, t)))
         assert a == b, t
+
+
+def odd_orders(spark):
+    """Texts with the marks of joined dimensions, and amounts of every size."""
+    amounts = ["0.01", "-3.5", "999999.9999", "1000000", "123456789012345678.123456789012345678", "0.000000000000000001", "0.00005", "0"]
+    texts = [None, "", "a", "\x01", "a\x01b", "\x02", "\x03", "\x0361", "\u00fc\x02"]
+    rows = [dict(usd=a, resolver_id=texts[n % 9], input_asset_address=texts[(n // 3) % 9], integrator_address=texts[(n + 4) % 9],
+                 src_trader_address=(None, "t", "u", "\x01")[n % 4], protocol_fee_usd=amounts[(n + 3) % 8], status=(FF, FAILED)[n % 2],
+                 order_create_time=T0 + n % 5 * DAY) for n in range(72) for a in [amounts[n % 8]]]
+    o = make_orders(spark, [*rows, dict(day=None, src_trader_address="b"), dict(day=None, src_trader_address="b", resolver_id="r")])
+    return o.withColumn("integrator_fee_usd", F.when(F.col("lt_num") % 3 != 0, F.col("integrator_fee_usd")))
+
+
+def same_as_named(one, o):
+    for t in schemas.CUBE_DIMENSIONS:
+        columns = ["day", *schemas.CUBE_DIMENSIONS[t], *schemas.cube_metrics(t)]
+        a, b = (sorted(map(str, f.select(columns).collect())) for f in (cubes.split_cubes(one, t), cubes.named_cube(o, t)))
+        assert a == b, t
+
+
+def test_whole_days_are_shuffled_once_and_no_more(spark):
+    o = odd_orders(spark)
+    for parts in (None, 3, 7):
+        one = cubes.all_cubes_one_pass(o, parts=parts, busy={})
+        assert one._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+        same_as_named(one, o)
+
+
+def test_busy_days_are_dealt_by_their_traders_too(spark, monkeypatch):
+    monkeypatch.setattr(cubes, "BUSY_DAY", 14)
+    monkeypatch.setattr(cubes, "ORDERS_PER_TASK", 1)
+    o = odd_orders(spark)
+    busy = cubes.busy_days(o.groupBy("day").agg(F.count(F.lit(1)).alias("orders")))
+    assert sorted(busy.values()) == [15, 15]
+    for days in (busy, {None: 2}, busy | {None: 2}, None):
+        same_as_named(cubes.all_cubes_one_pass(o, parts=3, busy=days), o)
+
+
+def test_orders_are_dealt_in_few_bytes(spark):
+    """A text of all dimensions and whole units, not a dozen texts and decimals."""
+    plan = cubes.all_cubes_one_pass(sample(spark), parts=3, busy={})._jdf.queryExecution().executedPlan().toString()
+    dealt = next(line for line in plan[plan.index("Exchange "):].splitlines() if "Project [" in line or "HashAggregate" in line)
+    assert "_dims" in dealt and "resolver_id" not in dealt.replace("array(", "").split("AS _dims")[-1]
