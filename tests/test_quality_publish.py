@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -202,3 +203,56 @@ def test_refresh_makes_all_cubes_in_one_pass(spark, tmp_path, monkeypatch):
     for t in schemas.CUBE_DIMENSIONS:
         want = publish.published_frame(t, cubes.named_cube(o, t), "2026-08-26 06:00:00")
         assert sorted(map(str, publish.read_table(spark, root, t).select(want.columns).collect())) == sorted(map(str, want.collect())), t
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_refresh_drops_its_shuffles_after_each_step(spark, tmp_path, monkeypatch):
+    """What a step shuffled is off the disks once its table is written."""
+    before, left, setting = _shuffle_files(spark), [], spark.conf.get(publish.DROP_SHUFFLES, None)
+
+    def watched(step):
+        def run(*a, **k):
+            until = time.time() + 20  # files go in the background
+            while (files := _shuffle_files(spark) - before) and time.time() < until:
+                time.sleep(0.2)
+            left.append(files)
+            return step(*a, **k)
+        return run
+
+    monkeypatch.setattr(cubes, "all_cubes_one_pass", watched(cubes.all_cubes_one_pass))  # after the orders
+    monkeypatch.setattr(quality, "check_health", watched(quality.check_health))  # after the cubes
+    o = _orders(spark, range(3)).repartition(3, "lt")
+    publish.refresh(spark, o, str(tmp_path / "pub"), "2026-08-26 06:00:00")
+    assert left == [set(), set()]
+    assert spark.conf.get(publish.DROP_SHUFFLES, None) == setting
+
+
+def test_refresh_names_busy_days(spark, tmp_path, monkeypatch):
+    """Days of more orders than a task should hold are dealt by their traders too."""
+    named = []
+    one = cubes.all_cubes_one_pass
+    monkeypatch.setattr(cubes, "BUSY_DAY", 1)
+    monkeypatch.setattr(cubes, "all_cubes_one_pass", lambda *a, **k: named.append(k["busy"]) or one(*a, **k))
+    o = _orders(spark, (0, 1, 1, 2))
+    root = str(tmp_path / "pub")
+    publish.refresh(spark, o, root, "2026-08-29 06:00:00")
+    assert named == [{dt.date(2026, 8, 26): 2}]
+    rows = publish.read_table(spark, root, "daily_total").orderBy("day").collect()
+    assert [r.finalized_orders_count for r in rows] == [1, 2, 1]
+
+
+def test_orders_keep_dictionaries_only_where_values_repeat(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    root = str(tmp_path / "pub")
+    o = _orders(spark, range(3)).coalesce(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("n")
+    publish.refresh(spark, o, root, "2026-08-26 06:00:00")
+    folder = f"{publish.current_run(spark, root)}/orders"
+    group = pq.ParquetFile(os.path.join(folder, next(f for f in os.listdir(folder) if f.endswith(".parquet")))).metadata.row_group(0)
+    columns = {group.column(i).path_in_schema: group.column(i).encodings for i in range(group.num_columns)}
+    assert not any("DICTIONARY" in e for c in schemas.PER_ORDER for e in columns[c])
+    assert any("DICTIONARY" in e for e in columns["status"])
